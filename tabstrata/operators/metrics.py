@@ -110,3 +110,67 @@ def compare_models(predictions: DataFrame, y: str = "label", p: str = "predictio
     m = regression_metrics(predictions, y, p, group=[model_col]).drop("n")
     o = F.col(metric).desc_nulls_last() if metric == "r2" else F.col(metric).asc_nulls_last()
     return m.orderBy(o, F.col(model_col))
+
+
+# --------------------------------------------------------------------------------------
+# Normal Q-Q
+# --------------------------------------------------------------------------------------
+# Coefficients of Acklam's rational approximation of the
+# inverse standard normal CDF (relative error below 1.2e-9).
+_A = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
+      1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
+_B = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
+      6.680131188771972e+01, -1.328068155288572e+01]
+_C = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
+      -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
+_D = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00]
+_P_LOW = 0.02425
+
+
+def _poly(coefs: list[float], x: Column) -> Column:
+    acc = F.lit(coefs[0])
+    for c in coefs[1:]:
+        acc = acc * x + F.lit(c)
+    return acc
+
+
+def norm_ppf(p: Column) -> Column:
+    """Inverse standard normal CDF as a column expression (no UDF)."""
+    q = p - 0.5
+    r = q * q
+    central = q * _poly(_A, r) / (_poly(_B, r) * r + 1.0)
+    ql = F.sqrt(-2.0 * F.log(p))
+    low = _poly(_C, ql) / (_poly(_D, ql) * ql + 1.0)
+    qu = F.sqrt(-2.0 * F.log(1.0 - p))
+    high = -_poly(_C, qu) / (_poly(_D, qu) * qu + 1.0)
+    return F.when(p < _P_LOW, low).when(p > 1.0 - _P_LOW, high).otherwise(central)
+
+
+def filliben(i: Column, n: Column) -> Column:
+    """Filliben's order-statistic medians for 1-based rank i of n."""
+    last = F.pow(F.lit(0.5), 1.0 / n)
+    return (F.when(i == n, last).when(i == 1, 1.0 - last)
+            .otherwise((i - 0.3175) / (n + 0.365)))
+
+
+def qq(df: DataFrame, y: str, p: str, id_col: str, points: int = 100):
+    """Normal Q-Q of the residuals: (line DataFrame, points DataFrame).
+
+    Residuals get their global position (D6), a Filliben plotting position
+    and its normal quantile as a column expression; the line is
+    ``regr_slope/regr_intercept/corr`` over all rows; the points returned
+    are ``points`` evenly spaced ranks (the whole set can be as large as
+    the table).
+    """
+    d = df.select(id_col, (F.col(y).cast("double") - F.col(p).cast("double")).alias("residual")) \
+          .where(F.col("residual").isNotNull())
+    n = d.count()
+    r = global_rank(d, "residual", id_col, "i")
+    th = r.withColumn("theoretical", norm_ppf(filliben(F.col("i"), F.lit(float(n)))))
+    line = th.agg(F.regr_slope("residual", "theoretical").alias("slope"),
+                  F.regr_intercept("residual", "theoretical").alias("intercept"),
+                  F.corr("residual", "theoretical").alias("r"), F.count(F.lit(1)).alias("n"))
+    m = min(points, n)
+    ranks = sorted({int(round(j * (n - 1) / max(m - 1, 1))) + 1 for j in range(m)})
+    pts = th.where(F.col("i").isin(ranks)).select("i", "theoretical", "residual")
+    return line, pts

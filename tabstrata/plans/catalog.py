@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators import density as DEN
 from ..operators import metrics as M
 from ..operators import prepare as P
 from ..operators import profile as PR
 from ..operators import ranking as R
 from ..operators import relations as REL
 from ..session import table
-from ..sources.posts import posts, posts_with_missing
+from ..sources.posts import posts_with_missing
 
 # The reference's image-count weights (0..10) and hashtag-count
 # weights (0..30) as written; the latter sum to 0.625 and need normalize=True.
@@ -386,5 +387,284 @@ QUERIES = {
 }
 
 
-def _posts_plain(spark, d):
-    return posts(table(spark, d, "events"))
+# --------------------------------------------------------------------------------------
+# distributions
+# --------------------------------------------------------------------------------------
+def histogram(spark, d):
+    return round_doubles(DEN.histogram(table(spark, d, "events"), "value", 30))
+
+
+def kde(spark, d):
+    return round_doubles(DEN.kde(table(spark, d, "events"), "value", grid_size=200))
+
+
+def box_stats(spark, d):
+    return round_doubles(DEN.box_stats(table(spark, d, "events"), "value", "event_type"))
+
+
+def violin(spark, d):
+    return round_doubles(DEN.violin(table(spark, d, "events"), "value", "event_type", grid_size=50))
+
+
+def group_ci(spark, d):
+    return round_doubles(DEN.group_ci(table(spark, d, "events"), "value", "event_type"))
+
+
+def bootstrap_ci(spark, d):
+    return round_doubles(DEN.bootstrap_mean_ci(table(spark, d, "events"), "value", "event_id", "event_type",
+                                               replicates=200, seed=SEED))
+
+
+def pair_density(spark, d):
+    li = table(spark, d, "lineitem")
+    return DEN.pair_density(li, LINE_COLS, bins=20)
+
+
+def before_after(spark, d):
+    li = table(spark, d, "lineitem").select("l_quantity", "l_extendedprice")
+    b = PR.bounds_dict(PR.iqr_bounds(li, ["l_quantity", "l_extendedprice"]))
+    after = PR.apply_iqr_treatment(li, b, "clip")
+    return round_doubles(DEN.before_after(li, after, ["l_quantity", "l_extendedprice"], bins=30), 4)
+
+
+QUERIES.update({
+    "histogram": histogram,
+    "kde": kde,
+    "box_stats": box_stats,
+    "violin": violin,
+    "group_ci": group_ci,
+    "bootstrap_ci": bootstrap_ci,
+    "pair_density": pair_density,
+    "before_after": before_after,
+})
+
+
+# --------------------------------------------------------------------------------------
+# E2 / E7 / E9 / C25
+# --------------------------------------------------------------------------------------
+KNN_COLS = ["x_nation", "x_balance", "x_segment"]
+
+
+def _customer_na(spark, d):
+    cu = table(spark, d, "customer")
+    base = cu.select("c_custkey", F.col("c_nationkey").cast("double").alias("x_nation"),
+                     (F.col("c_acctbal") / 1000.0).alias("x_balance"),
+                     F.length("c_mktsegment").cast("double").alias("x_segment"))
+    return S.inject_missing(base, KNN_COLS, 0.1, SEED, "c_custkey")
+
+
+def impute_knn(spark, d):
+    from ..operators.knn import knn_impute
+    return round_doubles(knn_impute(_customer_na(spark, d), KNN_COLS, "c_custkey", k=5))
+
+
+def isolation_forest(spark, d):
+    p = P.impute(_posts_na(spark, d), "mean", ["post_hour", "post_day", "k"])
+    out, _ = PR.detect_and_handle_outliers(p, ["post_hour", "post_day", "k", "target"], method="isolation_forest",
+                                           treatment="flag", id_col="post_id", seed=SEED)
+    return out.select("post_id", "is_outlier")
+
+
+def preprocess(spark, d):
+    from .pipeline import preprocess as prep
+    p = _posts_na(spark, d)
+    train, _, test, _ = prep(p, "target", "post_id", test_size=0.2, seed=SEED)
+    return round_doubles(train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))))
+
+
+def qq(spark, d):
+    line, _ = M.qq(_line_pred(spark, d), "label", "prediction", "row_id")
+    return round_doubles(line, 4)
+
+
+def qq_points(spark, d):
+    _, pts = M.qq(_line_pred(spark, d), "label", "prediction", "row_id", points=100)
+    return round_doubles(pts, 4)
+
+
+# --------------------------------------------------------------------------------------
+# F: models, tuning, reports
+# --------------------------------------------------------------------------------------
+LINE_FEATS = ["l_quantity", "l_discount", "l_tax"]
+POST_FEATS = ["post_hour", "post_day", "k", "user_id"]
+
+
+def _lineitem_ml(spark, d):
+    return table(spark, d, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"), *LINE_FEATS, "l_extendedprice")
+
+
+def _posts_ml(spark, d):
+    return P.impute(_posts_na(spark, d), "mean", POST_FEATS).drop("category")
+
+
+def linear(spark, d):
+    from ..operators import models as MD
+    li = _lineitem_ml(spark, d)
+    m = MD.train(li, ["l_quantity"], "l_extendedprice", "linear")
+    return round_doubles(MD.coefficients(m, ["l_quantity"]), 4)
+
+
+def _penalized(kind, **kw):
+    def q(spark, d):
+        from ..operators import models as MD
+        li = _lineitem_ml(spark, d)
+        m = MD.train(li, LINE_FEATS, "l_extendedprice", kind, **kw)
+        return round_doubles(MD.coefficients(m, LINE_FEATS), 4)
+    q.__name__ = kind
+    return q
+
+
+def _tree_model(kind, **kw):
+    def q(spark, d):
+        from ..operators import models as MD
+        p = _posts_ml(spark, d)
+        m = MD.train(p, POST_FEATS, "target", kind, **kw)
+        return round_doubles(MD.predict(m, p.select("post_id", *POST_FEATS)).select("post_id", "prediction"), 4)
+    q.__name__ = kind
+    return q
+
+
+def svr(spark, d):
+    from ..operators import models as MD
+    p = _posts_ml(spark, d)
+    m = MD.train(p, POST_FEATS, "target", "svr", n_components=100, iterations=25)
+    return round_doubles(m.transform(p.select("post_id", *POST_FEATS)).select("post_id", "prediction"), 4)
+
+
+def predict(spark, d):
+    from ..operators import models as MD
+    li = _lineitem_ml(spark, d)
+    m = MD.train(li, LINE_FEATS, "l_extendedprice", "linear")
+    return round_doubles(MD.predict(m, li).select("row_id", "prediction"), 2)
+
+
+def importance(spark, d):
+    from ..operators import models as MD
+    p = _posts_ml(spark, d)
+    m = MD.train(p, POST_FEATS, "target", "random_forest", n_estimators=20, max_depth=8)
+    return round_doubles(MD.feature_importances(m, POST_FEATS), 4)
+
+
+def grid(spark, d):
+    from ..operators import tuning as TU
+    li = _lineitem_ml(spark, d)
+    _, _, _, res = TU.search(li, LINE_FEATS, "l_extendedprice", "row_id", "ridge", cv=3,
+                             grid={"alpha": [0.1, 10.0], "fit_intercept": [True, False]})
+    return round_doubles(res, 2)
+
+
+def random_search(spark, d):
+    from ..operators import tuning as TU
+    li = _lineitem_ml(spark, d)
+    _, _, _, res = TU.search(li, LINE_FEATS, "l_extendedprice", "row_id", "lasso", cv=3, search_method="random",
+                             n_iter=3, seed=SEED)
+    return round_doubles(res, 2)
+
+
+def cv_folds(spark, d):
+    from ..operators import tuning as TU
+    ev = table(spark, d, "events").select("event_id", "value")
+    return TU.assign_folds(ev, "event_id", 5).select("event_id", "fold")
+
+
+def cv_scores(spark, d):
+    from ..operators import tuning as TU
+    li = _lineitem_ml(spark, d)
+    per_fold, _ = TU.cross_validate(li, LINE_FEATS, "l_extendedprice", "row_id", "linear", 5)
+    return round_doubles(per_fold, 4)
+
+
+def learning_curve(spark, d):
+    from ..operators import tuning as TU
+    li = _lineitem_ml(spark, d)
+    c = TU.learning_curve(li, LINE_FEATS, "l_extendedprice", "row_id", "linear", cv=3,
+                          train_sizes=[0.25, 0.5, 0.75, 1.0])
+    return round_doubles(TU.diagnose(c), 4)
+
+
+def model_save_load(spark, d):
+    from ..operators import models as MD
+    from ..session import scratch_path
+    from ..sources.io import load_model, save_model
+    li = _lineitem_ml(spark, d)
+    m = MD.train(li, LINE_FEATS, "l_extendedprice", "linear")
+    path = save_model(m, scratch_path(spark, "models"), "linear")
+    back = load_model(path)
+    return round_doubles(MD.predict(back, li).select("row_id", "prediction"), 2)
+
+
+def _bundle_sizes(bundle: dict) -> DataFrame:
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("part"), "n_rows")
+             for name, df in bundle.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def eda_report(spark, d):
+    from .report import eda_report as eda
+    p = _posts_na(spark, d)
+    return _bundle_sizes(eda(p, "target", "post_id"))
+
+
+def evaluation_report(spark, d):
+    from ..operators import models as MD
+    from .report import evaluation_report as ev
+    li = _lineitem_ml(spark, d)
+    lab = P.split_labels(li, "row_id", 0.2, 0.0, SEED)
+    train, test = lab.where(F.col("split") == "train"), lab.where(F.col("split") == "test")
+    m = MD.train(train, LINE_FEATS, "l_extendedprice", "linear")
+    return _bundle_sizes(ev(m, test, LINE_FEATS, "l_extendedprice", "row_id", "linear", train=train))
+
+
+def train_models(spark, d):
+    from ..operators import models as MD
+    from .report import train_models as tm
+    li = _lineitem_ml(spark, d)
+    lab = P.split_labels(li, "row_id", 0.2, 0.0, SEED)
+    train, test = lab.where(F.col("split") == "train"), lab.where(F.col("split") == "test")
+    models, _ = tm(train, LINE_FEATS, "l_extendedprice", "row_id", ["linear", "ridge", "gradient_boosting"],
+                   params={"gradient_boosting": {"n_estimators": 10, "max_depth": 3}})
+    preds = None
+    for name, m in models.items():
+        p = MD.predict(m, test).select(F.lit(name).alias("model"), "l_extendedprice", "prediction")
+        preds = p if preds is None else preds.unionByName(p)
+    return round_doubles(M.compare_models(preds, "l_extendedprice", "prediction"), 2)
+
+
+def run(spark, d):
+    from .report import run as run_all
+    p = _posts_na(spark, d)
+    res = run_all(p, "target", "post_id", model_types=["linear", "random_forest"],
+                  params={"random_forest": {"n_estimators": 10, "max_depth": 6}}, explore=False)
+    return round_doubles(res["comparison"], 4)
+
+
+QUERIES.update({
+    "impute_knn": impute_knn,
+    "isolation_forest": isolation_forest,
+    "preprocess": preprocess,
+    "qq": qq,
+    "qq_points": qq_points,
+    "linear": linear,
+    "ridge": _penalized("ridge", alpha=1.0),
+    "lasso": _penalized("lasso", alpha=1.0),
+    "enet": _penalized("elasticnet", alpha=1.0, l1_ratio=0.5),
+    "forest": _tree_model("random_forest", n_estimators=20, max_depth=8),
+    "boosting": _tree_model("gradient_boosting", n_estimators=20, max_depth=3),
+    "svr": svr,
+    "predict": predict,
+    "importance": importance,
+    "grid": grid,
+    "random": random_search,
+    "cv_folds": cv_folds,
+    "cv_scores": cv_scores,
+    "learning_curve": learning_curve,
+    "model_save_load": model_save_load,
+    "eda_report": eda_report,
+    "evaluation_report": evaluation_report,
+    "train_models": train_models,
+    "run": run,
+})

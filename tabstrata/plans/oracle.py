@@ -467,4 +467,92 @@ rk AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type O
 SELECT event_id, CASE WHEN pos <= al.ns - al.nt THEN 'train' ELSE 'test' END AS split
 FROM rk JOIN al USING (event_type)"""
 
+def _hist_sql(src: str, col: str, k: int, stage: str | None = None) -> str:
+    st = f"(SELECT min({col}) AS lo, max({col}) AS hi FROM {src} WHERE {col} IS NOT NULL)"
+    w = "((st.hi - st.lo) / {k})".format(k=k)
+    b = (f"(SELECT {_ewbin(col, 'st.lo', 'st.hi', k)} AS bin, count(*) AS count FROM {src}, {st} st "
+         f"WHERE {col} IS NOT NULL GROUP BY 1)")
+    head = f"'{stage}' AS stage, '{col}' AS column, " if stage else ""
+    d = 4 if stage else 6
+    return (f"SELECT {head}g.bin, {r(f'st.lo + g.bin * {w}', d)} AS bin_lo, "
+            f"{r(f'CASE WHEN g.bin = {k - 1} THEN st.hi ELSE st.lo + (g.bin + 1) * {w} END', d)} AS bin_hi, "
+            f"coalesce(c.count, 0) AS count "
+            f"FROM (SELECT cast(range AS INTEGER) AS bin FROM range({k})) g LEFT JOIN {b} c ON g.bin = c.bin, {st} st")
+
+
+SQL["histogram"] = _hist_sql("events", "value", 30)
+
+
+def _kde_sql(src: str, col: str, group: str | None, grid: int, fine: int = 2048, cut: float = 3.0) -> str:
+    g = f"{group}, " if group else ""
+    gj = f"USING ({group})" if group else "ON true"
+    return f"""
+WITH st AS (SELECT {g}min({col}) AS lo, max({col}) AS hi, count({col}) AS n, stddev_samp({col}) AS sd
+            FROM {src} WHERE {col} IS NOT NULL {'AND ' + group + ' IS NOT NULL' if group else ''} {'GROUP BY ' + group if group else ''}),
+st2 AS (SELECT *, sd * pow(cast(n AS DOUBLE), -0.2::DOUBLE) AS h, (hi - lo) / {fine} AS w FROM st),
+fb AS (SELECT {'s.' + group + ', ' if group else ''}CASE WHEN s.w > 0 THEN least(floor(({col} - s.lo) / s.w), {fine - 1}) ELSE 0 END AS fb,
+              count(*) AS c
+       FROM {src} x JOIN st2 s {('ON x.' + group + ' = s.' + group) if group else 'ON true'}
+       WHERE {col} IS NOT NULL GROUP BY ALL),
+bins AS (SELECT {g}c, lo + (fb + 0.5::DOUBLE) * w AS center, h, n, lo, hi FROM fb JOIN st2 {gj}),
+gp AS (SELECT {g}gi, lo - {cut!r}::DOUBLE * h + gi * ((hi - lo + {2 * cut!r}::DOUBLE * h) / {grid - 1}) AS gx
+       FROM st2, (SELECT range AS gi FROM range({grid})))
+SELECT {g}cast(gi AS BIGINT) AS grid, {r('any_value(gx)')} AS x,
+  {r('sum(c * exp(-0.5::DOUBLE * ((gx - center) / bins.h) * ((gx - center) / bins.h))) / (any_value(bins.n) * any_value(bins.h) * 2.5066282746310002::DOUBLE)')} AS density
+FROM gp JOIN bins {gj} WHERE bins.h > 0 GROUP BY {g}gi"""
+
+
+SQL["kde"] = _kde_sql("events", "value", None, 200)
+
+
+def _box_sql(src: str, col: str, group: str) -> str:
+    return f"""
+WITH q AS (SELECT {group}, quantile_cont({col}, 0.25) AS q1, quantile_cont({col}, 0.5) AS median,
+                  quantile_cont({col}, 0.75) AS q3 FROM {src} WHERE {col} IS NOT NULL AND {group} IS NOT NULL GROUP BY {group}),
+f AS (SELECT *, q1 - 1.5::DOUBLE * (q3 - q1) AS lo_f, q3 + 1.5::DOUBLE * (q3 - q1) AS hi_f FROM q)
+SELECT {group}, {r('any_value(f.q1)')} AS q1, {r('any_value(f.median)')} AS median, {r('any_value(f.q3)')} AS q3,
+  {r(f'min(CASE WHEN {col} >= f.lo_f AND {col} <= f.hi_f THEN {col} END)')} AS whisker_low,
+  {r(f'max(CASE WHEN {col} >= f.lo_f AND {col} <= f.hi_f THEN {col} END)')} AS whisker_high,
+  cast(sum(CASE WHEN {col} >= f.lo_f AND {col} <= f.hi_f THEN 0 ELSE 1 END) AS BIGINT) AS n_outside, count(*) AS count
+FROM {src} JOIN f USING ({group}) WHERE {col} IS NOT NULL GROUP BY {group}"""
+
+
+SQL["box_stats"] = _box_sql("events", "value", "event_type")
+
+SQL["violin"] = f"""
+WITH k AS ({_kde_sql("events", "value", "event_type", 50)}),
+q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+             quantile_cont(value, 0.75) AS q3 FROM events WHERE value IS NOT NULL GROUP BY event_type)
+SELECT k.event_type, k.grid, k.x, k.density, {r('q.q1')} AS q1, {r('q.median')} AS median, {r('q.q3')} AS q3
+FROM k JOIN q USING (event_type)"""
+
+SQL["group_ci"] = f"""
+SELECT event_type, count(value) AS n, {r('avg(value)')} AS mean, {r('stddev_samp(value)')} AS std,
+  {r('avg(value) - 1.959963984540054::DOUBLE * stddev_samp(value) / sqrt(count(value))')} AS ci_low,
+  {r('avg(value) + 1.959963984540054::DOUBLE * stddev_samp(value) / sqrt(count(value))')} AS ci_high
+FROM events WHERE event_type IS NOT NULL GROUP BY event_type"""
+
+
+def _pair_sql(cols: list[str], k: int) -> str:
+    st = "st AS (SELECT " + ", ".join(f"min(cast({c} AS DOUBLE)) AS lo_{c}, max(cast({c} AS DOUBLE)) AS hi_{c}"
+                                      for c in cols) + " FROM lineitem)"
+    parts = []
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            parts.append(f"SELECT '{a}' AS x, '{b}' AS y, {_ewbin(a, 'st.lo_' + a, 'st.hi_' + a, k)} AS bin_x, "
+                         f"{_ewbin(b, 'st.lo_' + b, 'st.hi_' + b, k)} AS bin_y, count(*) AS count "
+                         f"FROM lineitem, st WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2, 3, 4")
+    return f"WITH {st}\n" + "\nUNION ALL\n".join(parts)
+
+
+SQL["pair_density"] = _pair_sql(LINE_COLS, 20)
+
+_BA = ["l_quantity", "l_extendedprice"]
+SQL["before_after"] = (
+    f"WITH {iqr_cte('bq', 'lineitem', 'l_quantity')}, {iqr_cte('be', 'lineitem', 'l_extendedprice')},\n"
+    "aft AS (SELECT least(greatest(cast(l_quantity AS DOUBLE), bq.lo), bq.hi) AS l_quantity, "
+    "least(greatest(cast(l_extendedprice AS DOUBLE), be.lo), be.hi) AS l_extendedprice FROM lineitem, bq, be)\n"
+    + "\nUNION ALL\n".join([_hist_sql("lineitem", c, 30, "before") for c in _BA]
+                            + [_hist_sql("aft", c, 30, "after") for c in _BA]))
+
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in C.QUERIES}
