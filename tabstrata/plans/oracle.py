@@ -555,4 +555,39 @@ SQL["before_after"] = (
     + "\nUNION ALL\n".join([_hist_sql("lineitem", c, 30, "before") for c in _BA]
                             + [_hist_sql("aft", c, 30, "after") for c in _BA]))
 
+# --------------------------------------------------------------------------------------
+# E2 (KNN on the customer table), F1 (one-feature OLS), F12 (fold assignment)
+# --------------------------------------------------------------------------------------
+_KC3 = ["x_nation", "x_balance", "x_segment"]
+_CUST_NA = (
+    "base AS (SELECT c_custkey, "
+    f"CASE WHEN {u('x_nation', 'c_custkey')} < 0.1::DOUBLE THEN NULL ELSE cast(c_nationkey AS DOUBLE) END AS x_nation, "
+    f"CASE WHEN {u('x_balance', 'c_custkey')} < 0.1::DOUBLE THEN NULL ELSE c_acctbal / 1000.0::DOUBLE END AS x_balance, "
+    f"CASE WHEN {u('x_segment', 'c_custkey')} < 0.1::DOUBLE THEN NULL ELSE cast(length(c_mktsegment) AS DOUBLE) END AS x_segment "
+    "FROM customer)")
+_PAIRS = ("pairs AS (SELECT q.c_custkey AS qid, d.c_custkey AS did, "
+          + " + ".join(f"CASE WHEN q.{c} IS NOT NULL AND d.{c} IS NOT NULL THEN 1 ELSE 0 END" for c in _KC3) + " AS shared, "
+          + " + ".join(f"coalesce((q.{c} - d.{c}) * (q.{c} - d.{c}), 0.0::DOUBLE)" for c in _KC3) + " AS sq, "
+          + ", ".join(f"q.{c} IS NULL AS need_{c}, d.{c} AS v_{c}" for c in _KC3)
+          + " FROM base q, base d WHERE " + " OR ".join(f"q.{c} IS NULL" for c in _KC3) + "),\n"
+          "dist AS (SELECT *, sqrt(sq * 3 / shared) AS dist FROM pairs WHERE shared > 0)")
+_KNN_PARTS = ",\n".join(
+    f"k_{c} AS (SELECT qid, avg(v) AS v FROM (SELECT qid, v_{c} AS v, row_number() OVER (PARTITION BY qid ORDER BY dist, did) AS rn "
+    f"FROM dist WHERE need_{c} AND v_{c} IS NOT NULL) WHERE rn <= 5 GROUP BY qid)" for c in _KC3)
+SQL["impute_knn"] = (f"WITH {_CUST_NA},\n{_PAIRS},\n{_KNN_PARTS},\n"
+                     "mn AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in _KC3) + " FROM base)\n"
+                     "SELECT b.c_custkey, " + ", ".join(f"{r(f'coalesce(b.{c}, k_{c}.v, mn.m_{c})')} AS {c}" for c in _KC3)
+                     + " FROM base b " + " ".join(f"LEFT JOIN k_{c} ON k_{c}.qid = b.c_custkey" for c in _KC3) + ", mn")
+
+SQL["linear"] = f"""
+SELECT 'l_quantity' AS feature, {r('regr_slope(l_extendedprice, l_quantity)', 4)} AS coefficient FROM lineitem
+UNION ALL
+SELECT 'intercept' AS feature, {r('regr_intercept(l_extendedprice, l_quantity)', 4)} AS coefficient FROM lineitem"""
+
+SQL["cv_folds"] = """
+WITH rk AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos0, count(*) OVER () AS n FROM events),
+p AS (SELECT event_id, pos0, n // 5 AS small, n % 5 AS big, (n % 5) * (n // 5 + 1) AS boundary FROM rk)
+SELECT event_id, cast(CASE WHEN pos0 < boundary THEN floor(pos0 / (small + 1))
+                          ELSE big + floor((pos0 - boundary) / greatest(small, 1)) END AS INTEGER) AS fold FROM p"""
+
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in C.QUERIES}
