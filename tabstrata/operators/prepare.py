@@ -18,6 +18,7 @@ from pyspark.sql.types import NumericType
 
 from ..functions.scalars import uniform
 from .profile import numeric_columns, string_columns
+from .quantiles import quantiles
 from .ranking import global_rank
 
 # --------------------------------------------------------------------------------------
@@ -94,12 +95,14 @@ def fit_imputer(df: DataFrame, strategy: str = "mean", columns: list[str] | None
     cat = [c for c in cols if c not in num]
     values: dict[str, object] = {}
     as_double: list[str] = []
-    if strategy in ("mean", "median") and num:
-        aggs = [(F.avg(F.col(c).cast("double")) if strategy == "mean"
-                 else F.percentile(F.col(c).cast("double"), F.lit(0.5))).alias(f"v{i}") for i, c in enumerate(num)]
-        row = df.agg(*aggs).first()
+    if strategy == "mean" and num:
+        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(num)]).first()
         values.update({c: row[f"v{i}"] for i, c in enumerate(num)})
         as_double = list(num)
+    elif strategy == "median" and num:
+        med = quantiles(df, num, [0.5])
+        values.update({c: med[c][0] for c in num})
+        as_double = list(num)
     elif strategy == "most_frequent":
         values.update(most_frequent(df, num))
     elif strategy == "constant":
@@ -153,14 +156,12 @@ def fit_scaler(df: DataFrame, method: str = "standard", columns: list[str] | Non
             aggs += [F.avg(x).alias(f"a{i}"), F.stddev_pop(x).alias(f"b{i}")]
         elif method == "minmax":
             aggs += [F.min(x).alias(f"a{i}"), (F.max(x) - F.min(x)).alias(f"b{i}")]
-        else:
-            q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-            aggs += [q.alias(f"q{i}")]
-    row = df.agg(*aggs).first()
+    row = df.agg(*aggs).first() if aggs else None
+    qs = quantiles(df, cols, [0.25, 0.5, 0.75]) if method == "robust" else {}
     params = {}
     for i, c in enumerate(cols):
         if method == "robust":
-            q = row[f"q{i}"] or [None, None, None]
+            q = qs[c]
             center, scale = q[1], (None if q[0] is None else q[2] - q[0])
         else:
             center, scale = row[f"a{i}"], row[f"b{i}"]

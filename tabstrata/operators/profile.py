@@ -48,20 +48,33 @@ def quantile_expr(c: Column, probs: list[float], method: str = "exact", accuracy
     raise ValueError(f"unknown quantile method {method!r}")
 
 
-def describe(df: DataFrame, columns: list[str] | None = None, method: str = "exact") -> DataFrame:
-    """C1 (+C16): count, mean, std (ddof 1), min, q25, q50, q75, max per numeric column."""
+def describe(df: DataFrame, columns: list[str] | None = None, method: str = "auto") -> DataFrame:
+    """C1 (+C16): count, mean, std (ddof 1), min, q25, q50, q75, max per numeric column.
+
+    One aggregate pass; quantiles come from the same pass when every column
+    has a moderate number of distinct values, else from the scalable exact
+    selection in ``quantiles`` (method 'auto').
+    """
+    from .quantiles import choose_method, quantiles
     cols = columns or numeric_columns(df)
+    if method == "auto":
+        method = choose_method(df, cols)
+    qlit = quantiles(df, cols, [0.25, 0.5, 0.75], method) if method == "select" else None
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), quantile_expr(x, [0.25, 0.5, 0.75], method).alias(f"q{i}"),
-                 F.max(x).alias(f"hi{i}")]
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        if qlit is None:
+            aggs.append(quantile_expr(x, [0.25, 0.5, 0.75], method).alias(f"q{i}"))
     one = df.agg(*aggs)
+
+    def q(i: int, j: int) -> Column:
+        return F.col(f"q{i}")[j] if qlit is None else F.lit(qlit[cols[i]][j]).cast("double")
     structs = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
                         F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
-                        F.col(f"q{i}")[0].alias("q25"), F.col(f"q{i}")[1].alias("q50"),
-                        F.col(f"q{i}")[2].alias("q75"), F.col(f"hi{i}").alias("max"))
+                        q(i, 0).alias("q25"), q(i, 1).alias("q50"), q(i, 2).alias("q75"),
+                        F.col(f"hi{i}").alias("max"))
                for i, c in enumerate(cols)]
     return one.select(_long(structs))
 
@@ -130,13 +143,13 @@ def n_unique(df: DataFrame, columns: list[str] | None = None, approx: bool = Fal
 # --------------------------------------------------------------------------------------
 # Quantiles and Tukey fences
 # --------------------------------------------------------------------------------------
-def iqr_bounds(df: DataFrame, columns: list[str], factor: float = 1.5, method: str = "exact") -> DataFrame:
-    """One row per column: q1, q3, iqr, lower, upper (one aggregate pass)."""
-    one = df.agg(*[quantile_expr(F.col(c).cast("double"), [0.25, 0.75], method).alias(f"q{i}")
-                   for i, c in enumerate(columns)])
-    structs = [F.struct(F.lit(c).alias("column"), F.col(f"q{i}")[0].alias("q1"), F.col(f"q{i}")[1].alias("q3"))
-               for i, c in enumerate(columns)]
-    return (one.select(_long(structs))
+def iqr_bounds(df: DataFrame, columns: list[str], factor: float = 1.5, method: str = "auto") -> DataFrame:
+    """One row per column: q1, q3, iqr, lower, upper (quantiles per ``quantiles``)."""
+    from .quantiles import quantiles
+    qs = quantiles(df, columns, [0.25, 0.75], method)
+    rows = [(c, qs[c][0], qs[c][1]) for c in columns]
+    spark = df.sparkSession
+    return (spark.createDataFrame(rows, "column string, q1 double, q3 double")
             .withColumn("iqr", F.col("q3") - F.col("q1"))
             .withColumn("lower", F.col("q1") - factor * F.col("iqr"))
             .withColumn("upper", F.col("q3") + factor * F.col("iqr")))
@@ -183,7 +196,7 @@ def apply_iqr_treatment(df: DataFrame, bounds: dict[str, tuple[float, float]], t
 
 def detect_and_handle_outliers(df: DataFrame, columns: list[str] | None = None, method: str = "iqr",
                                contamination: float = 0.05, treatment: str = "clip", id_col: str | None = None,
-                               seed: int = 42, quantile_method: str = "exact"):
+                               seed: int = 42, quantile_method: str = "auto"):
     """Returns (treated DataFrame, outlier summary DataFrame)."""
     cols = columns or numeric_columns(df, exclude=(id_col,) if id_col else ())
     if method == "iqr":

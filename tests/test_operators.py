@@ -163,3 +163,18 @@ def test_pearson_pairwise_complete(spark):
     assert m[("a", "b")] == pytest.approx(np.corrcoef([1, 2, 3], [2, 4.1, 6.2])[0, 1])
     assert m[("b", "a")] == m[("a", "b")]
     assert len(REL.lower_triangle(REL.pearson_matrix(df, ["a", "b", "c"]), ["a", "b", "c"]).collect()) == 3
+
+
+def test_select_quantiles_equal_exact_with_heavy_value(spark):
+    from tabstrata.operators.quantiles import quantiles
+    rng = np.random.default_rng(5)
+    vals = rng.normal(size=3000)
+    vals[::3] = 0.25  # a third of the rows hold one value
+    rows = [(i, float(v) if i % 17 else None) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "id long, x double").repartition(4)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    exact = quantiles(df, ["x"], probs, "exact")["x"]
+    sel = quantiles(df, ["x"], probs, "select", n_buckets=16)["x"]
+    assert sel == pytest.approx(exact, abs=1e-12)
+    want = np.quantile([v for _, v in rows if v is not None], probs)
+    assert sel == pytest.approx(list(want), abs=1e-12)
