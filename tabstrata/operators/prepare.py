@@ -302,11 +302,21 @@ def split_labels_stratified(df: DataFrame, id_col: str, stratum: str, test_size=
 
 
 def split_dataset(df: DataFrame, id_col: str, target: str, test_size=0.2, val_size=0.0, seed: int = 42,
-                  stratify: str | None = None):
-    """(train, val or None, test) DataFrames; the target must exist."""
+                  stratify: str | None = None, materialize: bool = True):
+    """(train, val or None, test) DataFrames; the target must exist.
+
+    With ``materialize`` the labelled table is checkpointed once to the
+    shared ``spark.checkpoint.dir`` (reliable, survives executor loss), so
+    the several fit jobs that follow read it instead of recomputing the
+    ranking shuffle each time.
+    """
     if target not in df.columns:
         raise ValueError(f"Target column '{target}' not found in dataframe")
     lab = (split_labels_stratified(df, id_col, stratify, test_size, val_size, seed) if stratify
            else split_labels(df, id_col, test_size, val_size, seed))
+    if materialize:
+        from ..session import shared_dir
+        shared_dir(lab.sparkSession)
+        lab = lab.checkpoint(eager=True)
     parts = {k: lab.where(F.col("split") == k).drop("split") for k in ("train", "val", "test")}
     return parts["train"], (parts["val"] if val_size and float(val_size) > 0 else None), parts["test"]

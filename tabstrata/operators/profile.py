@@ -155,6 +155,18 @@ def iqr_bounds(df: DataFrame, columns: list[str], factor: float = 1.5, method: s
             .withColumn("upper", F.col("q3") + factor * F.col("iqr")))
 
 
+def iqr_bounds_dict(df: DataFrame, columns: list[str], factor: float = 1.5,
+                    method: str = "auto") -> dict[str, tuple[float, float]]:
+    """C6 fences as literals (same arithmetic as ``iqr_bounds``, no table round trip)."""
+    from .quantiles import quantiles
+    qs = quantiles(df, columns, [0.25, 0.75], method)
+    out = {}
+    for c in columns:
+        q1, q3 = qs[c]
+        out[c] = (None, None) if q1 is None else (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
+    return out
+
+
 def bounds_dict(bounds: DataFrame) -> dict[str, tuple[float, float]]:
     """Fitted bounds (one row per column: driver-sized) as literals for later projections."""
     return {r["column"]: (r["lower"], r["upper"]) for r in bounds.collect()}
@@ -200,7 +212,7 @@ def detect_and_handle_outliers(df: DataFrame, columns: list[str] | None = None,
     """Returns (treated DataFrame, outlier summary DataFrame)."""
     cols = columns or numeric_columns(df, exclude=(id_col,) if id_col else ())
     if method == "iqr":
-        b = bounds_dict(iqr_bounds(df, cols, method=quantile_method))
+        b = iqr_bounds_dict(df, cols, method=quantile_method)
         return apply_iqr_treatment(df, b, treatment), outlier_summary(df, b, treatment)
     if method == "isolation_forest":
         from .outliers import isolation_forest_outliers

@@ -61,7 +61,7 @@ def _line_pred(spark: SparkSession, d: str) -> DataFrame:
 def mean_std_by_hour(spark: SparkSession, d: str) -> DataFrame:
     p = _posts_na(spark, d).select("post_id", "post_hour", "target")
     p = P.impute(p, "mean", ["post_hour"])
-    bounds = PR.bounds_dict(PR.iqr_bounds(p, ["target"]))
+    bounds = PR.iqr_bounds_dict(p, ["target"])
     p = PR.apply_iqr_treatment(p, bounds, "clip")
     g = REL.group_mean_std(p, S.hour_bucket("post_hour"), "target", "hour")
     return round_doubles(g)
@@ -127,19 +127,19 @@ def clip(spark, d):
 
 def iqr_filter(spark, d):
     li = table(spark, d, "lineitem")
-    (lo, hi), = PR.bounds_dict(PR.iqr_bounds(li, ["l_extendedprice"])).values()
+    (lo, hi), = PR.iqr_bounds_dict(li, ["l_extendedprice"]).values()
     return li.where(PR.is_outside("l_extendedprice", lo, hi)).select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
 def iqr_flag(spark, d):
     p = _posts_na(spark, d).select("post_id", "k", "target")
-    b = PR.bounds_dict(PR.iqr_bounds(p, ["k", "target"]))
+    b = PR.iqr_bounds_dict(p, ["k", "target"])
     return PR.apply_iqr_treatment(p, b, "flag").select("post_id", "is_outlier")
 
 
 def iqr_remove(spark, d):
     p = _posts_na(spark, d).select("post_id", "k", "target")
-    b = PR.bounds_dict(PR.iqr_bounds(p, ["k", "target"]))
+    b = PR.iqr_bounds_dict(p, ["k", "target"])
     return round_doubles(PR.apply_iqr_treatment(p, b, "remove"))
 
 
@@ -151,7 +151,7 @@ def outlier_summary(spark, d):
 
 def iqr_treat(spark, d):
     pa = table(spark, d, "part")
-    b = PR.bounds_dict(PR.iqr_bounds(pa, ["p_size", "p_retailprice"]))
+    b = PR.iqr_bounds_dict(pa, ["p_size", "p_retailprice"])
     return round_doubles(PR.apply_iqr_treatment(pa, b, "clip").select("p_partkey", "p_size", "p_retailprice"))
 
 
@@ -422,7 +422,7 @@ def pair_density(spark, d):
 
 def before_after(spark, d):
     li = table(spark, d, "lineitem").select("l_quantity", "l_extendedprice")
-    b = PR.bounds_dict(PR.iqr_bounds(li, ["l_quantity", "l_extendedprice"]))
+    b = PR.iqr_bounds_dict(li, ["l_quantity", "l_extendedprice"])
     after = PR.apply_iqr_treatment(li, b, "clip")
     return round_doubles(DEN.before_after(li, after, ["l_quantity", "l_extendedprice"], bins=30), 4)
 

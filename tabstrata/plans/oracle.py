@@ -590,4 +590,51 @@ p AS (SELECT event_id, pos0, n // 5 AS small, n % 5 AS big, (n % 5) * (n // 5 +
 SELECT event_id, cast(CASE WHEN pos0 < boundary THEN floor(pos0 / (small + 1))
                           ELSE big + floor((pos0 - boundary) / greatest(small, 1)) END AS INTEGER) AS fold FROM p"""
 
+# --------------------------------------------------------------------------------------
+# Split -> (fit on train) impute mean / mode -> IQR clip -> time features -> one-hot -> standard scale
+# --------------------------------------------------------------------------------------
+_PN = ["post_hour", "post_day", "k", "user_id"]
+_SCALED = _PN + ["hour_sin", "hour_cos", "day_sin", "day_cos"]
+# Levels seen in the training rows (time_of_day has no 'unknown' after imputation).
+_PRE_TOD = ["afternoon", "evening", "morning", "night"]
+
+
+def _preprocess_sql() -> str:
+    tod = _TOD
+    clip = ", ".join(f"least(greatest({c}, b_{c}.lo), b_{c}.hi) AS {c}" for c in _PN)
+    bounds = ", ".join(
+        f"b_{c} AS (SELECT quantile_cont({c}, 0.25) - 1.5::DOUBLE * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS lo, "
+        f"quantile_cont({c}, 0.75) + 1.5::DOUBLE * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS hi "
+        f"FROM a WHERE split = 'train')" for c in _PN)
+    stats = ", ".join(f"avg({c}) AS m_{c}, CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1.0::DOUBLE "
+                      f"ELSE stddev_pop({c}) END AS s_{c}" for c in _SCALED)
+    scaled = ", ".join(f"{r(f'({c} - st.m_{c}) / st.s_{c}')} AS {c}" for c in _SCALED)
+    dummies = ", ".join([f"coalesce(cast(category = '{lv}' AS INTEGER), 0) AS category_{lv}" for lv in _CAT_LEVELS[1:]]
+                        + [f"coalesce(cast(time_of_day = '{lv}' AS INTEGER), 0) AS time_of_day_{lv}" for lv in _PRE_TOD[1:]])
+    return f"""
+WITH {POSTS_NA},
+rk AS (SELECT *, row_number() OVER (ORDER BY {u('split', 'post_id')}, post_id) AS pos, count(*) OVER () AS n FROM posts_na),
+lab AS (SELECT *, CASE WHEN pos <= n - (n + 4) // 5 THEN 'train' ELSE 'test' END AS split FROM rk),
+imp AS (SELECT avg(post_hour) AS m_post_hour, avg(cast(post_day AS DOUBLE)) AS m_post_day, avg(cast(k AS DOUBLE)) AS m_k,
+               avg(cast(user_id AS DOUBLE)) AS m_user_id,
+               (SELECT category FROM lab WHERE split = 'train' AND category IS NOT NULL GROUP BY category
+                ORDER BY count(*) DESC, category LIMIT 1) AS m_category
+        FROM lab WHERE split = 'train'),
+a AS (SELECT post_id, target, split, coalesce(cast(post_hour AS DOUBLE), m_post_hour) AS post_hour,
+             coalesce(cast(post_day AS DOUBLE), m_post_day) AS post_day, coalesce(cast(k AS DOUBLE), m_k) AS k,
+             coalesce(cast(user_id AS DOUBLE), m_user_id) AS user_id, coalesce(category, m_category) AS category
+      FROM lab, imp),
+{bounds},
+c AS (SELECT post_id, target, split, category, {clip} FROM a, {', '.join('b_' + c for c in _PN)}),
+t AS (SELECT *, sin({_TWO_PI} * post_hour / 24.0::DOUBLE) AS hour_sin, cos({_TWO_PI} * post_hour / 24.0::DOUBLE) AS hour_cos,
+             {tod} AS time_of_day,
+             coalesce(cast((post_hour BETWEEN 7 AND 9) OR (post_hour BETWEEN 17 AND 19) AS INTEGER), 0) AS is_peak_hour,
+             sin({_TWO_PI} * post_day / 7.0::DOUBLE) AS day_sin, cos({_TWO_PI} * post_day / 7.0::DOUBLE) AS day_cos,
+             coalesce(cast(post_day >= 5 AS INTEGER), 0) AS is_weekend FROM c),
+st AS (SELECT {stats} FROM t WHERE split = 'train')
+SELECT post_id, {r('target')} AS target, {scaled}, is_peak_hour, is_weekend, {dummies}, split AS part FROM t, st"""
+
+
+SQL["preprocess"] = _preprocess_sql()
+
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in C.QUERIES}
