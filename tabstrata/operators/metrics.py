@@ -7,6 +7,8 @@ over their union, not one job per model.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,6 +173,6 @@ def qq(df: DataFrame, y: str, p: str, id_col: str, points: int = 100):
                   F.regr_intercept("residual", "theoretical").alias("intercept"),
                   F.corr("residual", "theoretical").alias("r"), F.count(F.lit(1)).alias("n"))
     m = min(points, n)
-    ranks = sorted({int(round(j * (n - 1) / max(m - 1, 1))) + 1 for j in range(m)})
+    ranks = sorted({int(math.floor(j * (n - 1) / max(m - 1, 1) + 0.5)) + 1 for j in range(m)})
     pts = th.where(F.col("i").isin(ranks)).select("i", "theoretical", "residual")
     return line, pts

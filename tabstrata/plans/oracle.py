@@ -637,4 +637,40 @@ SELECT post_id, {r('target')} AS target, {scaled}, is_peak_hour, is_weekend, {du
 
 SQL["preprocess"] = _preprocess_sql()
 
+# --------------------------------------------------------------------------------------
+# Q-Q line and points (Filliben positions, rational inverse normal)
+# --------------------------------------------------------------------------------------
+def _poly_sql(coefs, x: str) -> str:
+    acc = f"{coefs[0]!r}::DOUBLE"
+    for c in coefs[1:]:
+        acc = f"({acc} * {x} + {c!r}::DOUBLE)"
+    return acc
+
+
+def _ppf_sql(p: str) -> str:
+    from ..operators import metrics as M
+    q, rr = f"({p} - 0.5::DOUBLE)", f"(({p} - 0.5::DOUBLE) * ({p} - 0.5::DOUBLE))"
+    central = f"({q} * {_poly_sql(M._A, rr)} / ({_poly_sql(M._B, rr)} * {rr} + 1.0::DOUBLE))"
+    ql = f"sqrt(-2.0::DOUBLE * ln({p}))"
+    qu = f"sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {p}))"
+    low = f"({_poly_sql(M._C, ql)} / ({_poly_sql(M._D, ql)} * {ql} + 1.0::DOUBLE))"
+    high = f"(-{_poly_sql(M._C, qu)} / ({_poly_sql(M._D, qu)} * {qu} + 1.0::DOUBLE))"
+    return (f"CASE WHEN {p} < {M._P_LOW!r}::DOUBLE THEN {low} WHEN {p} > 1.0::DOUBLE - {M._P_LOW!r}::DOUBLE "
+            f"THEN {high} ELSE {central} END")
+
+
+_QQ_BASE = f"""{LINE_PRED},
+rs AS (SELECT row_id, label - prediction AS residual FROM lp WHERE label IS NOT NULL AND prediction IS NOT NULL),
+rk AS (SELECT residual, row_number() OVER (ORDER BY residual, row_id) AS i, cast(count(*) OVER () AS DOUBLE) AS n FROM rs),
+fp AS (SELECT residual, i, n, CASE WHEN i = n THEN pow(0.5::DOUBLE, 1.0::DOUBLE / n)
+                                   WHEN i = 1 THEN 1.0::DOUBLE - pow(0.5::DOUBLE, 1.0::DOUBLE / n)
+                                   ELSE (i - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS pp FROM rk),
+th AS (SELECT residual, i, n, {_ppf_sql('pp')} AS theoretical FROM fp)"""
+SQL["qq"] = (f"WITH {_QQ_BASE}\nSELECT {r('regr_slope(residual, theoretical)', 4)} AS slope, "
+             f"{r('regr_intercept(residual, theoretical)', 4)} AS intercept, {r('corr(residual, theoretical)', 4)} AS r, "
+             f"count(*) AS n FROM th")
+SQL["qq_points"] = (f"WITH {_QQ_BASE}\nSELECT i, {r('theoretical', 4)} AS theoretical, {r('residual', 4)} AS residual "
+                    f"FROM th WHERE i IN (SELECT DISTINCT cast(floor(j * (n - 1) / 99 + 0.5) AS BIGINT) + 1 "
+                    f"FROM (SELECT range AS j FROM range(100)), (SELECT count(*) AS n FROM rs))")
+
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in C.QUERIES}
