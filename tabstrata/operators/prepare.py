@@ -294,7 +294,8 @@ def split_labels_stratified(df: DataFrame, id_col: str, stratum: str, test_size=
         a = a.withColumn("_nt", F.col("_nvt"))
     r = global_rank(df.withColumn("_u", uniform(id_col, seed, "split")), "_u", id_col, "_pos",
                     key_is_uniform=True, partition_by=[stratum])
-    r = r.join(F.broadcast(a.select(stratum, "_ns", "_nvt", "_nt")), stratum, "left")
+    # one row per stratum; AQE broadcasts it when it is small at run time
+    r = r.join(a.select(stratum, "_ns", "_nvt", "_nt"), stratum, "left")
     n_tr = F.col("_ns") - F.col("_nvt")
     lab = (F.when(F.col("_pos") <= n_tr, "train")
            .when(F.col("_pos") <= n_tr + F.col("_nvt") - F.col("_nt"), "val").otherwise("test"))
