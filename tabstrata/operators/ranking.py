@@ -134,16 +134,22 @@ def average_rank(df: DataFrame, col: str, out: str, broadcast_limit: int = 1_000
 
     Rows are first collapsed to (value, count) with a map-side combined
     aggregate, so a value held by a third of the rows is one row here.
-    The rank table is joined back on the value: broadcast when the number
-    of distinct values is below ``broadcast_limit`` (checked), otherwise a
-    shuffle join where AQE splits a skewed value.
+    When the number of distinct values is at most ``broadcast_limit``
+    (checked), that table is ranked with one window and broadcast back;
+    otherwise it is ranked with ``running_before`` (bucketed, no
+    single-partition window) and joined back with a shuffle join where
+    AQE splits a skewed value.
     """
     vals = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_vc"))
+    small = vals.limit(broadcast_limit + 1).count() <= broadcast_limit
+    if small:
+        # the distinct-value table is checked to be small: one ordered window over it
+        w = Window.orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
+        ranks = vals.select(col, (F.coalesce(F.sum("_vc").over(w), F.lit(0)) + (F.col("_vc") + 1) / 2.0).alias(out))
+        return df.join(F.broadcast(ranks), on=col, how="left")
     ranked = running_before(vals, col, "_vc", "_below")
     ranks = ranked.select(col, (F.col("_below") + (F.col("_vc") + 1) / 2.0).alias(out))
-    small = vals.limit(broadcast_limit + 1).count() <= broadcast_limit
-    right = F.broadcast(ranks) if small else ranks
-    return df.join(right, on=col, how="left")
+    return df.join(ranks, on=col, how="left")
 
 
 def qcut_segment(pos0: Column, n: Column, k: int) -> Column:
