@@ -46,15 +46,17 @@ def histogram(df: DataFrame, col: str, bins: int | str = 30, group: str | None =
     """
     x = F.col(col).cast("double")
     d = df.where(x.isNotNull())
-    aggs = [F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n")]
-    if bins == "auto":
-        aggs.append(F.percentile_approx(x, [0.25, 0.75], 10000).alias("q"))
-    st = d.agg(*aggs).first()
+    st = d.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n")).first()
     spark = df.sparkSession
     if st["n"] == 0:
         return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, count bigint")
     lo, hi = float(st["lo"]), float(st["hi"])
-    k = auto_bins(st["n"], lo, hi, (st["q"][1] - st["q"][0]) if bins == "auto" else None) if bins == "auto" else int(bins)
+    if bins == "auto":
+        from .quantiles import quantiles
+        q1, q3 = quantiles(d.select(x.alias("_x")), ["_x"], [0.25, 0.75])["_x"]
+        k = auto_bins(st["n"], lo, hi, q3 - q1)
+    else:
+        k = int(bins)
     width = (hi - lo) / k if hi > lo else 0.0
     keys = [group] if group else []
     counts = d.groupBy(*keys, _bin_expr(x, lo, width, k).alias("bin")).agg(F.count(F.lit(1)).alias("count"))

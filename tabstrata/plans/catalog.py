@@ -394,6 +394,10 @@ def histogram(spark, d):
     return round_doubles(DEN.histogram(table(spark, d, "events"), "value", 30))
 
 
+def histogram_auto(spark, d):
+    return round_doubles(DEN.histogram(table(spark, d, "lineitem"), "l_extendedprice", "auto"), 4)
+
+
 def kde(spark, d):
     return round_doubles(DEN.kde(table(spark, d, "events"), "value", grid_size=200))
 
@@ -429,6 +433,7 @@ def before_after(spark, d):
 
 QUERIES.update({
     "histogram": histogram,
+    "histogram_auto": histogram_auto,
     "kde": kde,
     "box_stats": box_stats,
     "violin": violin,

@@ -673,4 +673,25 @@ SQL["qq_points"] = (f"WITH {_QQ_BASE}\nSELECT i, {r('theoretical', 4)} AS theore
                     f"FROM th WHERE i IN (SELECT DISTINCT cast(floor(j * (n - 1) / 99 + 0.5) AS BIGINT) + 1 "
                     f"FROM (SELECT range AS j FROM range(100)), (SELECT count(*) AS n FROM rs))")
 
+def _hist_auto_sql(src: str, col: str) -> str:
+    """Bin count = ceil(range / min(Sturges width, Freedman-Diaconis width)); FD needs IQR > 0."""
+    st = (f"(SELECT min({col}) AS lo, max({col}) AS hi, count({col}) AS n, "
+          f"quantile_cont({col}, 0.75) - quantile_cont({col}, 0.25) AS iqr FROM {src} WHERE {col} IS NOT NULL)")
+    kk = ("(SELECT cast(greatest(1, ceil((hi - lo) / CASE WHEN iqr > 0 THEN least((hi - lo) / (log2(n) + 1.0::DOUBLE), "
+          "2.0::DOUBLE * iqr * pow(cast(n AS DOUBLE), -1.0::DOUBLE / 3.0::DOUBLE)) ELSE (hi - lo) / (log2(n) + 1.0::DOUBLE) END)) "
+          f"AS INTEGER) AS k, lo, hi FROM {st})")
+    w = "((s.hi - s.lo) / s.k)"
+    binx = f"cast(least(greatest(floor(({col} - s.lo) / {w}), 0), s.k - 1) AS INTEGER)"
+    return f"""
+WITH s AS {kk},
+c AS (SELECT {binx} AS bin, count(*) AS count FROM {src}, s WHERE {col} IS NOT NULL GROUP BY 1),
+g AS (SELECT cast(range AS INTEGER) AS bin FROM s, range(s.k))
+SELECT g.bin, {r(f's.lo + g.bin * {w}', 4)} AS bin_lo,
+  {r(f'CASE WHEN g.bin = s.k - 1 THEN s.hi ELSE s.lo + (g.bin + 1) * {w} END', 4)} AS bin_hi,
+  coalesce(c.count, 0) AS count
+FROM g LEFT JOIN c ON g.bin = c.bin, s"""
+
+
+SQL["histogram_auto"] = _hist_auto_sql("lineitem", "l_extendedprice")
+
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in C.QUERIES}
