@@ -112,41 +112,36 @@ def spearman_matrix(df: DataFrame, columns: list[str] | None = None, id_col: str
 # --------------------------------------------------------------------------------------
 # Kendall tau-b on collapsed cells
 # --------------------------------------------------------------------------------------
-def _codes(df: DataFrame, col: str, max_levels: int, quantile_bins: int) -> tuple[DataFrame, bool]:
-    """Dense 0-based code of ``col``: exact (distinct values) when there are at
-    most ``max_levels`` of them, else equal-count bins (then inexact)."""
-    n_distinct = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_levels + 1).count()
-    if n_distinct <= max_levels:
-        # bounded (<= max_levels rows): a single-partition window is fine here
-        levels = (df.select(col).where(F.col(col).isNotNull()).distinct()
-                  .withColumn(f"_c_{col}", (F.row_number().over(Window.orderBy(col)) - 1).cast("int")))
-        return df.join(F.broadcast(levels), col, "inner"), True
-    fr = [i / quantile_bins for i in range(1, quantile_bins)]
-    edges = df.agg(F.percentile_approx(F.col(col).cast("double"), fr, 10000)).first()[0]
-    uniq = sorted(set(edges))
-    expr = F.lit(len(uniq))
-    for i in reversed(range(len(uniq))):
-        expr = F.when(F.col(col) <= F.lit(uniq[i]), F.lit(i)).otherwise(expr)
-    return df.where(F.col(col).isNotNull()).withColumn(f"_c_{col}", expr.cast("int")), False
-
-
-def kendall_pair(df: DataFrame, x: str, y: str, max_levels: int = 2048, quantile_bins: int = 256) -> DataFrame:
-    """Kendall tau-b of two columns, one row (x, y, corr, exact).
-
-    Rows collapse to cells (code_x = i, code_y = j, count c) with a
+def _levels(df: DataFrame, col: str, max_levels: int) -> DataFrame | None:
+    """Dense 0-based codes of ``col`` when it has at most ``max_levels`` distinct
+    values (checked), else None."""
+    d = df.select(col).where(F.col(col).isNotNull()).distinct()
+    if d.limit(max_levels + 1).count() > max_levels:
+        return None
+    # bounded (<= max_levels rows): a single-partition window is fine here
+    return d.withColumn(f"_c_{col}", (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
+
+
+def kendall_pair(df: DataFrame, x: str, y: str, max_levels: int = 2048, **exact_kw) -> DataFrame:
+    """Exact Kendall tau-b of two columns, one row (x, y, corr, exact).
+
+    Low-cardinality columns (at most ``max_levels`` distinct values each):
+    rows collapse to cells (code_x = i, code_y = j, count c) with a
     map-side combined aggregate. With P(i, j) = #rows with i' <= i and
     j' <= j, every cell gets its concordant partners A = #(i' < i, j' < j)
     and discordant partners D = #(i' < i, j' > j) from prefix sums over the
     code grid, so S = n_c - n_d = sum c * (A - D) needs no pairs of rows or
-    cells. The grid has at most max_levels codes per axis and every window
-    partition (one grid row or one grid column) holds at most max_levels
-    entries. Exact when both columns have at most ``max_levels`` distinct
-    values; otherwise values fall into ``quantile_bins`` equal-count bins
-    first and ``exact`` is false.
+    cells; every window partition (one grid row or column) holds at most
+    max_levels entries. Otherwise the exact divide-and-conquer of
+    ``kendall.kendall_s`` is used.
     """
     base = df.select(x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    bx, ex = _codes(base, x, max_levels, quantile_bins)
-    bxy, ey = _codes(bx, y, max_levels, quantile_bins)
+    lx, ly = _levels(base, x, max_levels), _levels(base, y, max_levels)
+    if lx is None or ly is None:
+        from .kendall import kendall_tau_b
+        tau = kendall_tau_b(base, x, y, **exact_kw)
+        return df.sparkSession.createDataFrame([(x, y, tau, True)], "x string, y string, corr double, exact boolean")
+    bxy = base.join(F.broadcast(lx), x).join(F.broadcast(ly), y)
     cells = bxy.groupBy(F.col(f"_c_{x}").alias("i"), F.col(f"_c_{y}").alias("j")).agg(
         F.count(F.lit(1)).alias("c"))
     dims = cells.agg(F.max("i").alias("mi"), F.max("j").alias("mj"), F.sum("c").alias("n")).first()
@@ -172,7 +167,7 @@ def kendall_pair(df: DataFrame, x: str, y: str, max_levels: int = 2048, quantile
     return one.select(
         F.lit(x).alias("x"), F.lit(y).alias("y"),
         (F.col("S") / F.sqrt((F.lit(n0) - F.col("n1")) * (F.lit(n0) - F.col("n2")))).alias("corr"),
-        F.lit(ex and ey).alias("exact"))
+        F.lit(True).alias("exact"))
 
 
 def kendall_matrix(df: DataFrame, columns: list[str] | None = None, **kw) -> DataFrame:

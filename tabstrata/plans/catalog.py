@@ -211,6 +211,11 @@ def corr_kendall(spark, d):
     return round_doubles(REL.kendall_matrix(table(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_tax"]))
 
 
+def corr_kendall_wide(spark, d):
+    """Kendall tau-b on high-cardinality columns (exact divide-and-conquer path)."""
+    return round_doubles(REL.kendall_pair(table(spark, d, "orders"), "o_totalprice", "o_custkey"))
+
+
 def corr_lower(spark, d):
     m = REL.pearson_matrix(table(spark, d, "lineitem"), LINE_COLS)
     return round_doubles(REL.lower_triangle(m, LINE_COLS))
@@ -357,6 +362,7 @@ QUERIES = {
     "corr_pearson": corr_pearson,
     "corr_spearman": corr_spearman,
     "corr_kendall": corr_kendall,
+    "corr_kendall_wide": corr_kendall_wide,
     "corr_lower": corr_lower,
     "corr_target": corr_target,
     "ols_line": ols_line,

@@ -694,4 +694,14 @@ FROM g LEFT JOIN c ON g.bin = c.bin, s"""
 
 SQL["histogram_auto"] = _hist_auto_sql("lineitem", "l_extendedprice")
 
+SQL["corr_kendall_wide"] = f"""
+WITH c AS (SELECT o_totalprice AS a, o_custkey AS b, count(*) AS n FROM orders
+           WHERE o_totalprice IS NOT NULL AND o_custkey IS NOT NULL GROUP BY 1, 2),
+s AS (SELECT sum(c1.n * c2.n * sign(c1.a - c2.a) * sign(c1.b - c2.b)) / 2.0 AS S FROM c c1, c c2),
+t AS (SELECT sum(n) * (sum(n) - 1) / 2.0 AS n0 FROM c),
+t1 AS (SELECT sum(m * (m - 1) / 2.0) AS n1 FROM (SELECT sum(n) AS m FROM c GROUP BY a)),
+t2 AS (SELECT sum(m * (m - 1) / 2.0) AS n2 FROM (SELECT sum(n) AS m FROM c GROUP BY b))
+SELECT 'o_totalprice' AS x, 'o_custkey' AS y, {r('s.S / sqrt((t.n0 - t1.n1) * (t.n0 - t2.n2))')} AS corr, true AS exact
+FROM s, t, t1, t2"""
+
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in C.QUERIES}

@@ -178,3 +178,21 @@ def test_select_quantiles_equal_exact_with_heavy_value(spark):
     assert sel == pytest.approx(exact, abs=1e-12)
     want = np.quantile([v for _, v in rows if v is not None], probs)
     assert sel == pytest.approx(list(want), abs=1e-12)
+
+
+def test_exact_kendall_recursion_matches_brute_force(spark):
+    from tabstrata.operators.kendall import inversions, kendall_s, numpy_s
+    rng = np.random.default_rng(8)
+    n = 1500
+    x = np.round(rng.normal(size=n), 2)
+    x[: n // 3] = 0.5  # a third of the rows share one x value
+    y = np.round(x * 0.7 + rng.normal(size=n), 1)
+    brute = sum(np.sign(x[i] - x[j]) * np.sign(y[i] - y[j]) for i, j in itertools.combinations(range(n), 2))
+    assert numpy_s(x, y) == pytest.approx(brute)
+    r = rng.integers(0, 50, 300)
+    assert inversions(r) == sum(1 for i, j in itertools.combinations(range(300), 2) if r[i] > r[j])
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double").repartition(3)
+    s, cnt, n1, n2 = kendall_s(df, "x", "y", blocks=4, leaf=60)
+    assert cnt == n
+    assert s == pytest.approx(brute)
+    assert n1 == pytest.approx(sum(c * (c - 1) / 2 for c in np.unique(x, return_counts=True)[1]))
