@@ -121,7 +121,13 @@ def box_stats(df: DataFrame, col: str, group: str | None = None) -> DataFrame:
     d = df.where(x.isNotNull())
     if group:
         d = d.where(F.col(group).isNotNull())
-    q = d.groupBy(*keys).agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    if keys:
+        from .quantiles import grouped_quantiles
+        q = grouped_quantiles(d, keys, col, [0.25, 0.5, 0.75])
+    else:
+        from .quantiles import quantiles
+        one = quantiles(d.select(x.alias("_x")), ["_x"], [0.25, 0.5, 0.75])["_x"]
+        q = d.sparkSession.createDataFrame([(one,)], "q array<double>")
     q = q.select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("lo_f", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_f", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))

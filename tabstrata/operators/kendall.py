@@ -24,10 +24,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import _bucket_columns, default_buckets
+from .ranking import running_sums_before
 
 
 # --------------------------------------------------------------------------------------
@@ -71,25 +71,6 @@ def numpy_s(x: np.ndarray, y: np.ndarray) -> float:
     return n * (n - 1) / 2.0 - _pairs_tied(x) - _pairs_tied(y) + n3 - 2.0 * d
 
 
-# --------------------------------------------------------------------------------------
-# running sums over a key within groups, bucketed
-# --------------------------------------------------------------------------------------
-def running_sums_before(df: DataFrame, group: str, key: str, weights: list[str]) -> DataFrame:
-    """For a table unique in (group, key): per row, the sums of ``weights`` over rows of
-    the same group with a smaller key. Buckets come from global quantile edges of the
-    key, so no window holds a whole group; bucket offsets are per (group, bucket)."""
-    nb = default_buckets(df.sparkSession)
-    b = _bucket_columns(df, key, key, nb, False)
-    sums = b.groupBy(group, "_maj", "_min").agg(*[F.sum(w).alias(f"_s_{w}") for w in weights])
-    wo = Window.partitionBy(group).orderBy("_maj", "_min").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sums.select(group, "_maj", "_min",
-                       *[F.coalesce(F.sum(f"_s_{w}").over(wo), F.lit(0)).alias(f"_o_{w}") for w in weights])
-    wi = Window.partitionBy(group, "_maj", "_min").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    out = b.join(offs, [group, "_maj", "_min"])
-    return out.select(*df.columns, *[(F.coalesce(F.sum(w).over(wi), F.lit(0)) + F.col(f"_o_{w}")).alias(f"before_{w}")
-                                     for w in weights])
-
-
 # --------------------------------------------------------------------------------------
 # one level
 # --------------------------------------------------------------------------------------

@@ -74,12 +74,17 @@ def actual_vs_predicted(df: DataFrame, y: str = "label", p: str = "prediction",
 def residual_bins(df: DataFrame, y: str = "label", p: str = "prediction", bins: int = 10) -> DataFrame:
     """Residual and |residual| against predicted, per equal-width bin of the prediction."""
     d = df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
+    from .quantiles import grouped_quantiles
     rng = d.agg(F.min(p).cast("double").alias("lo"), F.max(p).cast("double").alias("hi")).first()
     e = F.col(y) - F.col(p)
-    return (d.groupBy(_equal_width_bin(F.col(p), F.lit(rng["lo"]), F.lit(rng["hi"]), bins).alias("bin"))
-            .agg(F.count(F.lit(1)).alias("count"), F.avg(p).alias("mean_pred"),
-                 F.avg(e).alias("mean_resid"), F.stddev_samp(e).alias("std_resid"),
-                 F.percentile(e, F.lit(0.5)).alias("median_resid"), F.avg(F.abs(e)).alias("mean_abs_resid")))
+    binned = d.select(_equal_width_bin(F.col(p), F.lit(rng["lo"]), F.lit(rng["hi"]), bins).alias("bin"),
+                      F.col(p).alias("_p"), e.alias("_e"))
+    med = grouped_quantiles(binned, ["bin"], "_e", [0.5]).select("bin", F.col("q")[0].alias("median_resid"))
+    stats = (binned.groupBy("bin")
+             .agg(F.count(F.lit(1)).alias("count"), F.avg("_p").alias("mean_pred"),
+                  F.avg("_e").alias("mean_resid"), F.stddev_samp("_e").alias("std_resid"),
+                  F.avg(F.abs("_e")).alias("mean_abs_resid")))
+    return stats.join(med, "bin")
 
 
 def segments(df: DataFrame, y: str, p: str, id_col: str, k: int = 3) -> DataFrame:

@@ -129,3 +129,45 @@ def _select(df: DataFrame, columns: list[str], probs: list[float], nb: int) -> d
             vals.append(v[0] + (h - lo) * (v[1] - v[0]))
         out[c] = vals
     return out
+
+
+def grouped_quantiles(df: DataFrame, groups: list[str], col: str, probs: list[float], method: str = "auto",
+                      exact_limit: int = EXACT_LIMIT) -> DataFrame:
+    """Linear-interpolated quantiles of ``col`` per group: (groups..., q array<double>).
+
+    'exact' is Spark's ``percentile`` (a value map per group). 'rank' reads
+    the needed order statistics from running counts over the distinct
+    (group, value) table (map-side combined; running sums bucketed by value,
+    so neither a hot group nor a hot value lands in one task). 'auto' picks
+    'rank' when some group has more than ``exact_limit`` distinct values.
+    """
+    d = df.select(*groups, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    if method == "auto":
+        mx = d.groupBy(*groups).agg(F.approx_count_distinct("_x").alias("_d")).agg(F.max("_d")).first()[0] or 0
+        method = "exact" if mx <= exact_limit else "rank"
+    if method == "exact":
+        return d.groupBy(*groups).agg(F.percentile("_x", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
+    if method != "rank":
+        raise ValueError(f"unknown grouped quantile method {method!r}")
+    # distinct (group, value) rows with counts: a hot value is one row; positions of a value
+    # are (rows of its group below it, + its count]
+    from .ranking import running_sums_before
+    vals = d.groupBy(*groups, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    gkey = "_gk"
+    vals = vals.withColumn(gkey, F.to_json(F.struct(*groups)) if groups else F.lit(""))
+    run = running_sums_before(vals, gkey, "_x", ["_c"])
+    n = vals.groupBy(gkey).agg(F.sum("_c").alias("_n"))
+    r = run.join(n, gkey)
+    below, upto = F.col("before__c"), F.col("before__c") + F.col("_c")
+    aggs = []
+    for k, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("_n") - 1)
+        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
+        aggs += [F.max(F.when((below < lo) & (lo <= upto), F.col("_x"))).alias(f"_lo{k}"),
+                 F.max(F.when((below < hi) & (hi <= upto), F.col("_x"))).alias(f"_hi{k}")]
+    picked = r.groupBy(*groups).agg(F.first("_n").alias("_n"), *aggs)
+    qs = []
+    for k, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("_n") - 1)
+        qs.append(F.col(f"_lo{k}") + (h - F.floor(h)) * (F.col(f"_hi{k}") - F.col(f"_lo{k}")))
+    return picked.select(*groups, F.array(*qs).alias("q"))

@@ -196,3 +196,20 @@ def test_exact_kendall_recursion_matches_brute_force(spark):
     assert cnt == n
     assert s == pytest.approx(brute)
     assert n1 == pytest.approx(sum(c * (c - 1) / 2 for c in np.unique(x, return_counts=True)[1]))
+
+
+def test_grouped_quantiles_rank_equals_exact(spark):
+    from tabstrata.operators.quantiles import grouped_quantiles
+    rng = np.random.default_rng(9)
+    g = rng.integers(0, 3, 2500)
+    g[:900] = 7  # a hot group
+    v = np.round(rng.normal(size=2500), 3)
+    v[::4] = 0.0
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, v)], "g int, v double").repartition(3)
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    ex = {r["g"]: r["q"] for r in grouped_quantiles(df, ["g"], "v", probs, "exact").collect()}
+    rk = {r["g"]: r["q"] for r in grouped_quantiles(df, ["g"], "v", probs, "rank").collect()}
+    assert ex.keys() == rk.keys()
+    for k in ex:
+        assert rk[k] == pytest.approx(ex[k], abs=1e-12)
+        assert rk[k] == pytest.approx(list(np.quantile(v[g == k], probs)), abs=1e-12)
