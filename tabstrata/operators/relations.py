@@ -112,17 +112,19 @@ def spearman_matrix(df: DataFrame, columns: list[str] | None = None, id_col: str
 # --------------------------------------------------------------------------------------
 # Kendall tau-b on collapsed cells
 # --------------------------------------------------------------------------------------
-def _levels(df: DataFrame, col: str, max_levels: int) -> DataFrame | None:
-    """Dense 0-based codes of ``col`` when it has at most ``max_levels`` distinct
-    values (checked), else None."""
+def _levels(df: DataFrame, col: str, max_levels: int) -> tuple[DataFrame, int] | None:
+    """Dense 0-based codes of ``col`` and their number when it has at most
+    ``max_levels`` distinct values (checked), else None."""
     d = df.select(col).where(F.col(col).isNotNull()).distinct()
-    if d.limit(max_levels + 1).count() > max_levels:
+    k = d.limit(max_levels + 1).count()
+    if k > max_levels:
         return None
     # bounded (<= max_levels rows): a single-partition window is fine here
-    return d.withColumn(f"_c_{col}", (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
+    return d.withColumn(f"_c_{col}", (F.row_number().over(Window.orderBy(col)) - 1).cast("int")), k
 
 
-def kendall_pair(df: DataFrame, x: str, y: str, max_levels: int = 2048, **exact_kw) -> DataFrame:
+def kendall_pair(df: DataFrame, x: str, y: str, max_levels: int = 2048, levels: dict | None = None,
+                 **exact_kw) -> DataFrame:
     """Exact Kendall tau-b of two columns, one row (x, y, corr, exact).
 
     Low-cardinality columns (at most ``max_levels`` distinct values each):
@@ -136,17 +138,19 @@ def kendall_pair(df: DataFrame, x: str, y: str, max_levels: int = 2048, **exact_
     ``kendall.kendall_s`` is used.
     """
     base = df.select(x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    lx, ly = _levels(base, x, max_levels), _levels(base, y, max_levels)
+    levels = levels if levels is not None else {}
+    lx = levels[x] if x in levels else _levels(base, x, max_levels)
+    ly = levels[y] if y in levels else _levels(base, y, max_levels)
     if lx is None or ly is None:
         from .kendall import kendall_tau_b
         tau = kendall_tau_b(base, x, y, **exact_kw)
         return df.sparkSession.createDataFrame([(x, y, tau, True)], "x string, y string, corr double, exact boolean")
+    (lx, kx), (ly, ky) = lx, ly
+    # inner joins drop rows whose value is not a level (levels from other rows than ``base``)
     bxy = base.join(F.broadcast(lx), x).join(F.broadcast(ly), y)
     cells = bxy.groupBy(F.col(f"_c_{x}").alias("i"), F.col(f"_c_{y}").alias("j")).agg(
         F.count(F.lit(1)).alias("c"))
-    dims = cells.agg(F.max("i").alias("mi"), F.max("j").alias("mj"), F.sum("c").alias("n")).first()
-    mi, mj, n = int(dims["mi"] or 0), int(dims["mj"] or 0), int(dims["n"] or 0)
-    n0 = n * (n - 1) / 2.0
+    mj = ky - 1  # codes run over 0..k-1; unoccupied rows/columns add nothing
     # every occupied grid row gets all levels 0..mj (bounded by max_levels)
     grid = (cells.select("i").distinct()
             .select("i", F.explode(F.sequence(F.lit(0), F.lit(mj))).alias("j"))
@@ -156,17 +160,20 @@ def kendall_pair(df: DataFrame, x: str, y: str, max_levels: int = 2048, **exact_
     g = grid.withColumn("rp", F.sum("c").over(by_i.rowsBetween(Window.unboundedPreceding, 0)))
     g = g.withColumn("P", F.sum("rp").over(by_j.rowsBetween(Window.unboundedPreceding, 0)))
     g = g.withColumn("ct", F.sum("c").over(Window.partitionBy("j")))                 # column total
+    g = g.withColumn("last_i", F.max("i").over(Window.partitionBy("j")))             # last occupied row
     g = g.withColumn("Pprev", F.coalesce(F.lag("P").over(by_j), F.lit(0)))          # #(i'<i, j'<=j)
     g = (g.withColumn("A", F.coalesce(F.lag("Pprev").over(by_i), F.lit(0)))         # #(i'<i, j'<j)
          .withColumn("T", F.last("Pprev").over(by_i.rowsBetween(Window.unboundedPreceding,
                                                                  Window.unboundedFollowing))))  # #(i'<i)
     one = g.agg(
+        F.sum("c").alias("n"),
         F.sum(F.when(F.col("c") > 0, F.col("c") * (F.col("A") - (F.col("T") - F.col("Pprev"))))).alias("S"),
         F.sum(F.when(F.col("j") == mj, F.col("rp") * (F.col("rp") - 1) / 2)).alias("n1"),   # ties in x
-        F.sum(F.when(F.col("i") == mi, F.col("ct") * (F.col("ct") - 1) / 2)).alias("n2"))  # ties in y
+        F.sum(F.when(F.col("i") == F.col("last_i"), F.col("ct") * (F.col("ct") - 1) / 2)).alias("n2"))  # ties in y
+    n0 = F.col("n") * (F.col("n") - 1) / 2.0
     return one.select(
         F.lit(x).alias("x"), F.lit(y).alias("y"),
-        (F.col("S") / F.sqrt((F.lit(n0) - F.col("n1")) * (F.lit(n0) - F.col("n2")))).alias("corr"),
+        (F.col("S") / F.sqrt((n0 - F.col("n1")) * (n0 - F.col("n2")))).alias("corr"),
         F.lit(True).alias("exact"))
 
 
@@ -174,8 +181,11 @@ def kendall_matrix(df: DataFrame, columns: list[str] | None = None, **kw) -> Dat
     """C10 as a long matrix (x, y, corr, exact), mirrored with a unit diagonal."""
     cols = columns or numeric_columns(df)
     parts = []
+    # levels per column once; a pair's own null pattern is handled by the inner joins
+    mx = kw.get("max_levels", 2048)
+    levels = {c: _levels(df.select(c), c, mx) for c in cols}
     for a, b in _pairs(cols):
-        p = kendall_pair(df, a, b, **kw)
+        p = kendall_pair(df, a, b, levels=levels, **kw)
         parts.append(p)
         parts.append(p.select(F.col("y").alias("x"), F.col("x").alias("y"), "corr", "exact"))
     spark = df.sparkSession

@@ -213,3 +213,27 @@ def test_grouped_quantiles_rank_equals_exact(spark):
     for k in ex:
         assert rk[k] == pytest.approx(ex[k], abs=1e-12)
         assert rk[k] == pytest.approx(list(np.quantile(v[g == k], probs)), abs=1e-12)
+
+
+def test_kendall_matrix_with_different_null_patterns(spark):
+    rng = np.random.default_rng(12)
+    a = rng.integers(0, 6, 300).astype(float)
+    b = (a + rng.integers(0, 3, 300)).astype(float)
+    c = rng.integers(0, 4, 300).astype(float)
+    rows = []
+    for i in range(300):
+        rows.append((None if i % 7 == 0 or a[i] == 5 else float(a[i]), None if i % 5 == 0 else float(b[i]),
+                     None if i % 11 == 0 else float(c[i])))
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r["x"], r["y"]): r["corr"] for r in REL.kendall_matrix(df, ["a", "b", "c"]).collect()}
+    for u, v in [("a", "b"), ("a", "c"), ("b", "c")]:
+        pairs = [(r[["a", "b", "c"].index(u)], r[["a", "b", "c"].index(v)]) for r in rows]
+        pairs = [(p, q) for p, q in pairs if p is not None and q is not None]
+        x = np.array([p for p, _ in pairs]); y = np.array([q for _, q in pairs])
+        n = len(x)
+        s = sum(np.sign(x[i] - x[j]) * np.sign(y[i] - y[j]) for i, j in itertools.combinations(range(n), 2))
+        n0 = n * (n - 1) / 2
+        n1 = sum(k * (k - 1) / 2 for k in np.unique(x, return_counts=True)[1])
+        n2 = sum(k * (k - 1) / 2 for k in np.unique(y, return_counts=True)[1])
+        assert got[(u, v)] == pytest.approx(s / math.sqrt((n0 - n1) * (n0 - n2)))
+        assert got[(v, u)] == got[(u, v)]
