@@ -96,8 +96,8 @@ def coefficients(model: PipelineModel, features: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, coefficient double")
 
 
-def feature_importances(model, features: list[str]) -> DataFrame:
-    """Tree importances, else |coefficient|; sorted descending.
+def feature_importances(model, features: list[str], top_n: int | None = None) -> DataFrame:
+    """Tree importances, else |coefficient|; sorted descending, optionally the top n.
 
     The table has one row per feature (driver-sized by construction).
     """
@@ -110,7 +110,8 @@ def feature_importances(model, features: list[str]) -> DataFrame:
         raise ValueError("model does not expose feature importances")
     spark = _spark()
     df = spark.createDataFrame([(f, float(v)) for f, v in zip(features, vals)], "feature string, importance double")
-    return df.orderBy(F.col("importance").desc(), F.col("feature"))
+    out = df.orderBy(F.col("importance").desc(), F.col("feature"))
+    return out.limit(top_n) if top_n else out
 
 
 def _spark():

@@ -93,3 +93,23 @@ def test_svr_fits_rbf_signal_better_than_linear(spark):
     e_svr = regression_metrics(svr.transform(df), "y", "prediction").first()["rmse"]
     e_lin = regression_metrics(MD.predict(lin, df), "y", "prediction").first()["rmse"]
     assert e_svr < e_lin
+
+
+def test_save_and_load_every_model_in_a_folder(spark, regression_frame):
+    from tabstrata.session import scratch_path
+    from tabstrata.sources.io import load_model, load_models, save_model
+    _, _, df = regression_frame
+    folder = scratch_path(spark, "models")
+    lin = MD.train(df, ["a", "b", "c"], "y", "linear")
+    rf = MD.train(df, ["a", "b", "c"], "y", "random_forest", n_estimators=5, max_depth=3)
+    save_model(lin, folder, "linear")
+    save_model(rf, folder, "forest")
+    models = load_models(spark, folder)
+    assert list(models) == ["forest", "linear"]
+    a = MD.predict(lin, df).select("id", "prediction").collect()
+    b = MD.predict(models["linear"], df).select("id", "prediction").collect()
+    assert sorted(a) == sorted(b)
+    top = MD.feature_importances(models["forest"], ["a", "b", "c"], top_n=2).collect()
+    assert len(top) == 2 and top[0]["importance"] >= top[1]["importance"]
+    with pytest.raises(Exception):
+        load_model(folder + "/missing")
