@@ -103,11 +103,10 @@ def fit_imputer(df: DataFrame, strategy: str = "mean", columns: list[str] | None
         med = quantiles(df, num, [0.5])
         values.update({c: med[c][0] for c in num})
         as_double = list(num)
-    elif strategy == "most_frequent":
-        values.update(most_frequent(df, num))
     elif strategy == "constant":
         values.update({c: fill_value for c in num})
-    values.update(most_frequent(df, cat))
+    # one stacked count serves the numeric columns (most_frequent) and every categorical column
+    values.update(most_frequent(df, (num if strategy == "most_frequent" else []) + cat))
     return ImputerModel(values, as_double)
 
 
