@@ -237,3 +237,17 @@ def test_kendall_matrix_with_different_null_patterns(spark):
         n2 = sum(k * (k - 1) / 2 for k in np.unique(y, return_counts=True)[1])
         assert got[(u, v)] == pytest.approx(s / math.sqrt((n0 - n1) * (n0 - n2)))
         assert got[(v, u)] == got[(u, v)]
+
+
+def test_preprocess_fits_on_train_only_by_default(spark):
+    from tabstrata.plans.pipeline import preprocess
+    rows = [(i, float(i), float(i % 7), "a" if i % 2 else "b") for i in range(200)]
+    df = spark.createDataFrame(rows, "pid long, x double, target double, cat string")
+    cfg = {"time_features": {"enabled": False}, "outliers": {"enabled": False}}
+    tr, _, te, m = preprocess(df, "target", "pid", cfg, test_size=0.25, seed=3)
+    assert tr.count() == 150 and te.count() == 50
+    mean_x = tr.agg(F.avg("x")).first()[0]
+    assert abs(mean_x) < 1e-9  # standardized with the training rows' own mean
+    assert "target" not in m.scaler.params and "pid" not in m.scaler.params
+    _, _, _, m_all = preprocess(df, "target", "pid", cfg, test_size=0.25, seed=3, fit_on="all", include_target=True)
+    assert m_all.scaler.params["x"][0] == pytest.approx(99.5) and "target" in m_all.scaler.params
