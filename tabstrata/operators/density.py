@@ -202,19 +202,13 @@ def bootstrap_mean_ci(df: DataFrame, col: str, id_col: str, group: str | None =
     else:
         d = d.withColumn("_g", F.lit(""))
     B = int(replicates)
-    th = _poisson1_thresholds()
-    salt = np.uint64((seed * 0x9E3779B97F4A7C15) % (1 << 64))
 
     def partial(it):
         acc: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        reps = np.arange(B, dtype=np.uint64)
         for pdf in it:
             for g, sub in pdf.groupby("_g", sort=False):
-                ids = sub["_id"].to_numpy(dtype=np.int64).astype(np.uint64)
                 xs = sub["_x"].to_numpy(dtype=np.float64)
-                h = _mix64(_mix64(ids[:, None] ^ salt) + reps[None, :] * np.uint64(0x9E3779B97F4A7C15))
-                uu = (h >> np.uint64(11)).astype(np.float64) / float(1 << 53)
-                w = np.searchsorted(th, uu, side="right").astype(np.float64)
+                w = _poisson_weights(sub["_id"].to_numpy(dtype=np.int64), B, seed)
                 sw, swx = acc.get(g, (np.zeros(B), np.zeros(B)))
                 acc[g] = (sw + w.sum(axis=0), swx + (w * xs[:, None]).sum(axis=0))
         for g, (sw, swx) in acc.items():
@@ -286,3 +280,51 @@ def before_after(before: DataFrame, after: DataFrame, columns: list[str] | None
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def _poisson_weights(ids: np.ndarray, B: int, seed: int) -> np.ndarray:
+    """rows x B repeatable Poisson(1) weights from a hash of (seed, id, replicate)."""
+    salt = np.uint64((seed * 0x9E3779B97F4A7C15) % (1 << 64))
+    reps = np.arange(B, dtype=np.uint64)
+    h = _mix64(_mix64(ids.astype(np.uint64)[:, None] ^ salt) + reps[None, :] * np.uint64(0x9E3779B97F4A7C15))
+    uu = (h >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+    return np.searchsorted(_poisson1_thresholds(), uu, side="right").astype(np.float64)
+
+
+def regression_band(df: DataFrame, x: str, y: str, id_col: str, replicates: int = 200, seed: int = 42,
+                    level: float = 0.95, grid_size: int = 50) -> DataFrame:
+    """C13 band: least-squares line of y on x and its bootstrap percentile band.
+
+    Each replicate's weighted sums (w, wx, wy, wxx, wxy) are accumulated per
+    partition with NumPy, so only partitions x replicates rows are
+    shuffled; the band is the percentile of a_b + s_b * x over replicates
+    at ``grid_size`` points between min(x) and max(x).
+    """
+    d = df.select(F.col(id_col).cast("long").alias("_id"), F.col(x).cast("double").alias("_x"),
+                  F.col(y).cast("double").alias("_y")).where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    B = int(replicates)
+
+    def partial(it):
+        acc = np.zeros((5, B))
+        for pdf in it:
+            w = _poisson_weights(pdf["_id"].to_numpy(dtype=np.int64), B, seed)
+            xs, ys = pdf["_x"].to_numpy()[:, None], pdf["_y"].to_numpy()[:, None]
+            acc += np.stack([w.sum(0), (w * xs).sum(0), (w * ys).sum(0), (w * xs * xs).sum(0), (w * xs * ys).sum(0)])
+        yield pd.DataFrame({"rep": np.arange(B, dtype=np.int32), "sw": acc[0], "sx": acc[1], "sy": acc[2],
+                            "sxx": acc[3], "sxy": acc[4]})
+
+    sums = d.mapInPandas(partial, "rep int, sw double, sx double, sy double, sxx double, sxy double") \
+            .groupBy("rep").agg(*[F.sum(c).alias(c) for c in ("sw", "sx", "sy", "sxx", "sxy")])
+    slope = (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("sw")) / (F.col("sxx") - F.col("sx") * F.col("sx") / F.col("sw"))
+    lines = sums.select("rep", slope.alias("s"), (F.col("sy") / F.col("sw")).alias("my"), (F.col("sx") / F.col("sw")).alias("mx"))
+    lines = lines.select("rep", "s", (F.col("my") - F.col("s") * F.col("mx")).alias("a"))
+    st = d.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.regr_slope("_y", "_x").alias("s"),
+               F.regr_intercept("_y", "_x").alias("a")).first()
+    step = (st["hi"] - st["lo"]) / max(grid_size - 1, 1)
+    a = (1.0 - level) / 2.0
+    band = (lines.select("a", "s", F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("grid"))
+            .withColumn("x", F.lit(st["lo"]) + F.col("grid") * F.lit(step))
+            .groupBy("grid", "x").agg(F.percentile(F.col("a") + F.col("s") * F.col("x"),
+                                                   F.array(F.lit(a), F.lit(1.0 - a))).alias("ci")))
+    return band.select("grid", "x", (F.lit(st["a"]) + F.lit(st["s"]) * F.col("x")).alias("fit"),
+                       F.col("ci")[0].alias("ci_low"), F.col("ci")[1].alias("ci_high"))

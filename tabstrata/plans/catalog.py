@@ -425,6 +425,13 @@ def bootstrap_ci(spark, d):
                                                replicates=200, seed=SEED))
 
 
+def ols_band(spark, d):
+    li = table(spark, d, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"),
+                                            "l_quantity", "l_extendedprice")
+    return round_doubles(DEN.regression_band(li, "l_quantity", "l_extendedprice", "row_id", replicates=100,
+                                             seed=SEED), 2)
+
+
 def pair_density(spark, d):
     li = table(spark, d, "lineitem")
     return DEN.pair_density(li, LINE_COLS, bins=20)
@@ -445,6 +452,7 @@ QUERIES.update({
     "violin": violin,
     "group_ci": group_ci,
     "bootstrap_ci": bootstrap_ci,
+    "ols_band": ols_band,
     "pair_density": pair_density,
     "before_after": before_after,
 })

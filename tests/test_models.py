@@ -113,3 +113,15 @@ def test_save_and_load_every_model_in_a_folder(spark, regression_frame):
     assert len(top) == 2 and top[0]["importance"] >= top[1]["importance"]
     with pytest.raises(Exception):
         load_model(folder + "/missing")
+
+
+def test_bootstrap_band_and_ci_are_repeatable(spark, regression_frame):
+    from tabstrata.operators.density import bootstrap_mean_ci, regression_band
+    _, _, df = regression_frame
+    a = {r["grid"]: r for r in regression_band(df, "a", "y", "id", replicates=60).collect()}
+    b = {r["grid"]: r for r in regression_band(df.repartition(5), "a", "y", "id", replicates=60).collect()}
+    for g, r in a.items():
+        assert r["ci_low"] <= r["fit"] <= r["ci_high"]
+        assert b[g]["ci_low"] == pytest.approx(r["ci_low"]) and b[g]["ci_high"] == pytest.approx(r["ci_high"])
+    ci = bootstrap_mean_ci(df, "y", "id", replicates=80).first()
+    assert ci["ci_low"] < ci["mean"] < ci["ci_high"] and ci["replicates"] == 80
