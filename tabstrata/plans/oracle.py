@@ -497,7 +497,7 @@ fb AS (SELECT {'s.' + group + ', ' if group else ''}CASE WHEN s.w > 0 THEN least
 bins AS (SELECT {g}c, lo + (fb + 0.5::DOUBLE) * w AS center, h, n, lo, hi FROM fb JOIN st2 {gj}),
 gp AS (SELECT {g}gi, lo - {cut!r}::DOUBLE * h + gi * ((hi - lo + {2 * cut!r}::DOUBLE * h) / {grid - 1}) AS gx
        FROM st2, (SELECT range AS gi FROM range({grid})))
-SELECT {g}cast(gi AS BIGINT) AS grid, {r('any_value(gx)')} AS x,
+SELECT {g}cast(gi AS INTEGER) AS grid, {r('any_value(gx)')} AS x,
   {r('sum(c * exp(-0.5::DOUBLE * ((gx - center) / bins.h) * ((gx - center) / bins.h))) / (any_value(bins.n) * any_value(bins.h) * 2.5066282746310002::DOUBLE)')} AS density
 FROM gp JOIN bins {gj} WHERE bins.h > 0 GROUP BY {g}gi"""
 
@@ -704,4 +704,64 @@ t2 AS (SELECT sum(m * (m - 1) / 2.0) AS n2 FROM (SELECT sum(n) AS m FROM c GROUP
 SELECT 'o_totalprice' AS x, 'o_custkey' AS y, {r('s.S / sqrt((t.n0 - t1.n1) * (t.n0 - t2.n2))')} AS corr, true AS exact
 FROM s, t, t1, t2"""
 
+# --------------------------------------------------------------------------------------
+# C20 / C13 band: the same repeatable Poisson(1) weights (splitmix64 of seed, id, replicate)
+# --------------------------------------------------------------------------------------
+_M64 = "18446744073709551616"
+_GOLD = 0x9E3779B97F4A7C15
+
+
+def _mulmod(a: str, b: int) -> str:
+    lo, hi = b & 0xFFFFFFFF, b >> 32
+    return (f"CAST(((CAST({a} AS HUGEINT) * {lo}) + ((CAST({a} AS HUGEINT) * {hi}) % 4294967296) * 4294967296)"
+            f" % {_M64} AS UBIGINT)")
+
+
+def _mix64_sql(z: str) -> str:
+    z1 = _mulmod(f"xor({z}, {z} >> 30)", 0xBF58476D1CE4E5B9)
+    z2 = _mulmod(f"xor({z1}, {z1} >> 27)", 0x94D049BB133111EB)
+    return f"xor({z2}, {z2} >> 31)"
+
+
+def _poisson_sql(id_expr: str, rep: str, seed: int) -> str:
+    from ..operators.density import _poisson1_thresholds
+    salt = (seed * _GOLD) % (1 << 64)
+    z1 = _mix64_sql(f"xor(CAST({id_expr} AS UBIGINT), {salt}::UBIGINT)")
+    z2 = f"CAST((CAST({z1} AS HUGEINT) + {_mulmod(f'CAST({rep} AS UBIGINT)', _GOLD)}) % {_M64} AS UBIGINT)"
+    uu = f"(CAST(({_mix64_sql('z2')}) >> 11 AS DOUBLE) / 9007199254740992.0::DOUBLE)"
+    th = _poisson1_thresholds()
+    w = " + ".join(f"CASE WHEN uu >= {float(t)!r}::DOUBLE THEN 1 ELSE 0 END" for t in th)
+    return z2, uu, w
+
+
+def _weighted_rows(src: str, id_expr: str, cols: str, B: int, seed: int) -> str:
+    z2, uu, w = _poisson_sql(id_expr, "rep", seed)
+    return f"""wz AS (SELECT {cols}, rep, {z2} AS z2 FROM {src}, (SELECT range AS rep FROM range({B}))),
+wu AS (SELECT *, {uu} AS uu FROM wz),
+ww AS (SELECT *, ({w}) AS w FROM wu)"""
+
+
+SQL["bootstrap_ci"] = f"""
+WITH {_weighted_rows("events", "event_id", "event_id, event_type, value", 200, SEED)},
+reps AS (SELECT event_type, rep, sum(w * value) / sum(w) AS m FROM ww GROUP BY event_type, rep),
+ci AS (SELECT event_type, quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi, count(*) AS replicates
+       FROM reps GROUP BY event_type),
+mn AS (SELECT event_type, count(*) AS n, avg(value) AS mean FROM events WHERE value IS NOT NULL GROUP BY event_type)
+SELECT mn.event_type, mn.n, {r('mn.mean')} AS mean, {r('ci.lo')} AS ci_low, {r('ci.hi')} AS ci_high, ci.replicates
+FROM mn JOIN ci USING (event_type)"""
+
+SQL["ols_band"] = f"""
+WITH li AS (SELECT l_orderkey * 8 + l_linenumber AS row_id, l_quantity AS x, l_extendedprice AS y FROM lineitem
+            WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL),
+{_weighted_rows("li", "row_id", "row_id, x, y", 100, SEED)},
+sums AS (SELECT rep, sum(w) AS sw, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx, sum(w * x * y) AS sxy
+         FROM ww GROUP BY rep),
+lines AS (SELECT rep, (sxy - sx * sy / sw) / (sxx - sx * sx / sw) AS s, sy / sw AS my, sx / sw AS mx FROM sums),
+ab AS (SELECT rep, s, my - s * mx AS a FROM lines),
+st AS (SELECT min(x) AS lo, max(x) AS hi, regr_slope(y, x) AS s, regr_intercept(y, x) AS a FROM li),
+g AS (SELECT cast(range AS INTEGER) AS grid, st.lo + range * ((st.hi - st.lo) / 49) AS x FROM st, range(50))
+SELECT g.grid, {r('g.x', 2)} AS x, {r('any_value(st.a) + any_value(st.s) * g.x', 2)} AS fit,
+  {r('quantile_cont(ab.a + ab.s * g.x, 0.025)', 2)} AS ci_low, {r('quantile_cont(ab.a + ab.s * g.x, 0.975)', 2)} AS ci_high
+FROM g, ab, st GROUP BY g.grid, g.x"""
+
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in C.QUERIES}
