@@ -764,4 +764,134 @@ SELECT g.grid, {r('g.x', 2)} AS x, {r('any_value(st.a) + any_value(st.s) * g.x',
   {r('quantile_cont(ab.a + ab.s * g.x, 0.025)', 2)} AS ci_low, {r('quantile_cont(ab.a + ab.s * g.x, 0.975)', 2)} AS ci_high
 FROM g, ab, st GROUP BY g.grid, g.x"""
 
+# --------------------------------------------------------------------------------------
+# F1/F2/F8/F12 with three features: least squares (optionally ridge) by Cramer's rule on
+# centred sums; per-fold training sums are the totals minus the fold's own sums
+# --------------------------------------------------------------------------------------
+_LX = ["l_quantity", "l_discount", "l_tax"]
+_LY = "l_extendedprice"
+
+
+def _sums_select(xs: list[str], y: str) -> str:
+    parts = ["count(*) AS n", f"sum({y}) AS sy", f"sum({y} * {y}) AS syy"]
+    for i, a in enumerate(xs):
+        parts.append(f"sum({a}) AS s{i}")
+        parts.append(f"sum({a} * {y}) AS s{i}y")
+        for j in range(i, len(xs)):
+            parts.append(f"sum({a} * {xs[j]}) AS s{i}{j}")
+    return ", ".join(parts)
+
+
+def _det3(m) -> str:
+    return (f"(({m[0][0]}) * (({m[1][1]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][1]}))"
+            f" - ({m[0][1]}) * (({m[1][0]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][0]}))"
+            f" + ({m[0][2]}) * (({m[1][0]}) * ({m[2][1]}) - ({m[1][1]}) * ({m[2][0]})))")
+
+
+def _ols3_coefs(t: str, alpha: float = 0.0) -> list[str]:
+    """Coefficient expressions (w0, w1, w2, intercept) from a sums row aliased ``t``."""
+    def sxx(i, j):
+        i, j = min(i, j), max(i, j)
+        base = f"({t}.s{i}{j} - {t}.s{i} * {t}.s{j} / {t}.n)"
+        return f"({base} + {alpha!r})" if (i == j and alpha) else base
+    def sxy(i):
+        return f"({t}.s{i}y - {t}.s{i} * {t}.sy / {t}.n)"
+    A = [[sxx(i, j) for j in range(3)] for i in range(3)]
+    det = _det3(A)
+    ws = []
+    for k in range(3):
+        Ak = [[sxy(i) if j == k else A[i][j] for j in range(3)] for i in range(3)]
+        ws.append(f"({_det3(Ak)} / {det})")
+    icpt = f"({t}.sy / {t}.n - ({ws[0]}) * {t}.s0 / {t}.n - ({ws[1]}) * {t}.s1 / {t}.n - ({ws[2]}) * {t}.s2 / {t}.n)"
+    return ws + [icpt]
+
+
+_LI_ML = f"li AS (SELECT l_orderkey * 8 + l_linenumber AS row_id, {', '.join(_LX)}, {_LY} FROM lineitem)"
+
+
+def _pred_sql(t: str, alpha: float = 0.0) -> str:
+    w = _ols3_coefs(t, alpha)
+    return f"({w[3]} + {w[0]} * l_quantity + {w[1]} * l_discount + {w[2]} * l_tax)"
+
+
+SQL["predict"] = (f"WITH {_LI_ML}, t AS (SELECT {_sums_select(_LX, _LY)} FROM li)\n"
+                  f"SELECT row_id, {r(_pred_sql('t'), 2)} AS prediction FROM li, t")
+SQL["model_save_load"] = SQL["predict"]
+
+
+def _ridge_alpha_sql() -> str:
+    # the ridge query uses alpha = 1.0 on the summed loss (closed form (Xc'Xc + aI) w = Xc'yc)
+    w = _ols3_coefs("t", 1.0)
+    rows = [f"SELECT '{c}' AS feature, {r(w[i], 4)} AS coefficient FROM t" for i, c in enumerate(_LX)]
+    rows.append(f"SELECT 'intercept' AS feature, {r(w[3], 4)} AS coefficient FROM t")
+    return f"WITH {_LI_ML}, t AS (SELECT {_sums_select(_LX, _LY)} FROM li)\n" + "\nUNION ALL\n".join(rows)
+
+
+SQL["ridge"] = _ridge_alpha_sql()
+
+
+def _cv_sql(k: int = 5) -> str:
+    tr = ", ".join(f"a.{c} - f.{c} AS {c}" for c in
+                   ["n", "sy", "syy"] + [f"s{i}" for i in range(3)] + [f"s{i}y" for i in range(3)]
+                   + [f"s{i}{j}" for i in range(3) for j in range(i, 3)])
+    pred = _pred_sql("tr")
+    return f"""
+WITH {_LI_ML},
+rk AS (SELECT *, row_number() OVER (ORDER BY row_id) - 1 AS pos0, count(*) OVER () AS nn FROM li),
+fo AS (SELECT *, cast(CASE WHEN pos0 < (nn % {k}) * (nn // {k} + 1) THEN floor(pos0 / (nn // {k} + 1))
+                          ELSE (nn % {k}) + floor((pos0 - (nn % {k}) * (nn // {k} + 1)) / greatest(nn // {k}, 1)) END
+                     AS INTEGER) AS fold FROM rk),
+a AS (SELECT {_sums_select(_LX, _LY)} FROM fo),
+f AS (SELECT fold, {_sums_select(_LX, _LY)} FROM fo GROUP BY fold),
+tr AS (SELECT f.fold, {tr} FROM a, f),
+p AS (SELECT fo.fold, fo.{_LY} AS label, {pred} AS prediction FROM fo JOIN tr ON fo.fold = tr.fold)
+SELECT fold, {metric_select('label', 'prediction', 4)}, count(*) AS n FROM p GROUP BY fold"""
+
+
+SQL["cv_scores"] = _cv_sql(5)
+
+def _raw_coefs(t: str, alpha: float) -> list[str]:
+    """No-intercept ridge / least squares: (X'X + aI) w = X'y from raw sums."""
+    def sxx(i, j):
+        i, j = min(i, j), max(i, j)
+        return f"({t}.s{i}{j} + {alpha!r})" if (i == j and alpha) else f"{t}.s{i}{j}"
+    A = [[sxx(i, j) for j in range(3)] for i in range(3)]
+    det = _det3(A)
+    return [f"({_det3([[f'{t}.s{i}y' if j == k else A[i][j] for j in range(3)] for i in range(3)])} / {det})"
+            for k in range(3)]
+
+
+def _grid_sql() -> str:
+    from itertools import product
+    k = 3
+    tr = ", ".join(f"a.{c} - f.{c} AS {c}" for c in
+                   ["n", "sy", "syy"] + [f"s{i}" for i in range(3)] + [f"s{i}y" for i in range(3)]
+                   + [f"s{i}{j}" for i in range(3) for j in range(i, 3)])
+    points = list(product([0.1, 10.0], [True, False]))
+    parts = []
+    for pi, (alpha, icpt) in enumerate(points):
+        if icpt:
+            pred = _pred_sql("tr", alpha)
+        else:
+            w = _raw_coefs("tr", alpha)
+            pred = f"({w[0]} * l_quantity + {w[1]} * l_discount + {w[2]} * l_tax)"
+        params = repr({"alpha": alpha, "fit_intercept": icpt}).replace("'", "''")
+        parts.append(f"""SELECT {pi} AS point, '{params}' AS params, {r('avg(mse)', 2)} AS mean_score,
+  {r('stddev_pop(mse)', 2)} AS std_score
+FROM (SELECT fo.fold, avg((fo.{_LY} - {pred}) * (fo.{_LY} - {pred})) AS mse
+      FROM fo JOIN tr ON fo.fold = tr.fold GROUP BY fo.fold)""")
+    return f"""
+WITH {_LI_ML},
+rk AS (SELECT *, row_number() OVER (ORDER BY row_id) - 1 AS pos0, count(*) OVER () AS nn FROM li),
+fo AS (SELECT *, cast(CASE WHEN pos0 < (nn % {k}) * (nn // {k} + 1) THEN floor(pos0 / (nn // {k} + 1))
+                          ELSE (nn % {k}) + floor((pos0 - (nn % {k}) * (nn // {k} + 1)) / greatest(nn // {k}, 1)) END
+                     AS INTEGER) AS fold FROM rk),
+a AS (SELECT {_sums_select(_LX, _LY)} FROM fo),
+f AS (SELECT fold, {_sums_select(_LX, _LY)} FROM fo GROUP BY fold),
+tr AS (SELECT f.fold, {tr} FROM a, f)
+""" + "\nUNION ALL\n".join(parts)
+
+
+SQL["grid"] = _grid_sql()
+
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in C.QUERIES}
