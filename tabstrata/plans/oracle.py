@@ -894,4 +894,40 @@ tr AS (SELECT f.fold, {tr} FROM a, f)
 
 SQL["grid"] = _grid_sql()
 
+def _learning_curve_sql(k: int = 3, sizes=(0.25, 0.5, 0.75, 1.0)) -> str:
+    """Diagnosis row of the OLS learning curve: fold i trains on the first m rows (in id order)
+    of the other folds; train and test RMSE per (fold, m); mean over folds per m."""
+    size_rows = " UNION ALL ".join(f"SELECT {s!r}::DOUBLE AS sz" for s in sizes)
+    pred = _pred_sql("t")
+    sums = _sums_select(_LX, _LY)
+    return f"""
+WITH {_LI_ML},
+rk AS (SELECT *, row_number() OVER (ORDER BY row_id) AS pos, count(*) OVER () AS nn FROM li),
+fo AS (SELECT *, cast(CASE WHEN pos - 1 < (nn % {k}) * (nn // {k} + 1) THEN floor((pos - 1) / (nn // {k} + 1))
+                          ELSE (nn % {k}) + floor((pos - 1 - (nn % {k}) * (nn // {k} + 1)) / greatest(nn // {k}, 1)) END
+                     AS INTEGER) AS fold FROM rk),
+fc AS (SELECT fold AS i, count(*) AS ci, any_value(nn) AS nn FROM fo GROUP BY fold),
+combos AS (SELECT fc.i, fc.ci, greatest(1, cast(floor(sz * (fc.nn - fc.ci)) AS BIGINT)) AS m FROM fc, ({size_rows})),
+trrows AS (SELECT combos.i, combos.m, fo.* FROM fo JOIN combos ON fo.fold <> combos.i
+           WHERE CASE WHEN fo.fold < combos.i THEN fo.pos ELSE fo.pos - combos.ci END <= combos.m),
+t AS (SELECT i, m, {sums} FROM trrows GROUP BY i, m),
+tr_err AS (SELECT t.i, t.m, sqrt(avg((trrows.{_LY} - {pred}) * (trrows.{_LY} - {pred}))) AS rmse
+           FROM trrows JOIN t ON trrows.i = t.i AND trrows.m = t.m GROUP BY t.i, t.m),
+te_err AS (SELECT t.i, t.m, sqrt(avg((fo.{_LY} - {pred}) * (fo.{_LY} - {pred}))) AS rmse
+           FROM fo JOIN t ON fo.fold = t.i GROUP BY t.i, t.m),
+curve AS (SELECT tr_err.m AS train_size, avg(tr_err.rmse) AS tr, avg(te_err.rmse) AS te
+          FROM tr_err JOIN te_err ON tr_err.i = te_err.i AND tr_err.m = te_err.m GROUP BY tr_err.m),
+mx AS (SELECT greatest(max(tr), max(te)) AS mx FROM curve),
+last AS (SELECT * FROM curve ORDER BY train_size DESC LIMIT 1)
+SELECT cast(train_size AS INTEGER) AS train_size, {r('tr', 4)} AS train_rmse_mean, {r('te', 4)} AS test_rmse_mean,
+  {r('te - tr', 4)} AS gap,
+  CASE WHEN te > 2 * tr THEN 'overfitting'
+       WHEN tr > 0.9 * mx AND te > 0.9 * mx THEN 'underfitting'
+       WHEN te - tr < 0.2 * te AND te < 0.7 * mx THEN 'good fit'
+       ELSE 'more data may help' END AS diagnosis
+FROM last, mx"""
+
+
+SQL["learning_curve"] = _learning_curve_sql()
+
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in C.QUERIES}
