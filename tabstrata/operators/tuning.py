@@ -11,6 +11,7 @@ import itertools
 import random
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,12 +55,82 @@ def _fit_predict(train: DataFrame, test: DataFrame, features, label, model_type,
     return MD.predict(m, test.select(*features, label))
 
 
+# --------------------------------------------------------------------------------------
+# linear / ridge from sufficient statistics: every fold (and every grid point) from ONE
+# grouped aggregate of X'X, X'y per fold; the training statistics of fold i are the
+# totals minus fold i's own, the p x p solves run on the driver, and one pass scores all.
+# --------------------------------------------------------------------------------------
+MAX_GRAM_FEATURES = 64
+
+
+def fold_gram(f: DataFrame, features: list[str], label: str) -> dict:
+    """{fold: (n, sx[p], sy, sxx[p,p], sxy[p])} from one grouped aggregate (k rows)."""
+    p = len(features)
+    xs = [F.col(c).cast("double") for c in features]
+    y = F.col(label).cast("double")
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy")]
+    aggs += [F.sum(x).alias(f"sx{i}") for i, x in enumerate(xs)]
+    aggs += [F.sum(x * y).alias(f"sxy{i}") for i, x in enumerate(xs)]
+    aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(p) for j in range(i, p)]
+    out = {}
+    for r in f.groupBy("fold").agg(*aggs).collect():
+        sxx = np.zeros((p, p))
+        for i in range(p):
+            for j in range(i, p):
+                sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"]
+        out[r["fold"]] = (r["n"], np.array([r[f"sx{i}"] for i in range(p)]), r["sy"], sxx,
+                          np.array([r[f"sxy{i}"] for i in range(p)]))
+    return out
+
+
+def solve_linear(n, sx, sy, sxx, sxy, alpha: float = 0.0, fit_intercept: bool = True):
+    """Least squares / ridge (penalty alpha * ||w||^2 on the summed loss) from sums."""
+    p = len(sx)
+    if fit_intercept:
+        A = sxx - np.outer(sx, sx) / n
+        b = sxy - sx * sy / n
+    else:
+        A, b = sxx.copy(), sxy.copy()
+    w = np.linalg.solve(A + alpha * np.eye(p), b)
+    icpt = (sy - w @ sx) / n if fit_intercept else 0.0
+    return w, float(icpt)
+
+
+def _linear_params(model_type: str, params: dict) -> tuple[float, bool] | None:
+    if model_type == "linear":
+        return 0.0, bool(params.get("fit_intercept", True))
+    if model_type == "ridge":
+        return float(params.get("alpha", 1.0)), bool(params.get("fit_intercept", True))
+    return None
+
+
+def _fold_predictions(f: DataFrame, features, label, stats: dict, points: list[tuple[float, bool]]) -> DataFrame:
+    """Predictions of every fold's model for every point, one pass: column pred{j} per point."""
+    tot = [sum(v[i] for v in stats.values()) for i in range(5)]
+    cols = []
+    for j, (alpha, icpt) in enumerate(points):
+        expr = None
+        for k, v in stats.items():
+            w, b = solve_linear(*(tot[i] - v[i] for i in range(5)), alpha=alpha, fit_intercept=icpt)
+            lin = F.lit(float(b))
+            for c, wc in zip(features, w):
+                lin = lin + F.lit(float(wc)) * F.col(c).cast("double")
+            expr = (F.when(F.col("fold") == k, lin) if expr is None else expr.when(F.col("fold") == k, lin))
+        cols.append(expr.alias(f"pred{j}"))
+    return f.select("fold", F.col(label).cast("double").alias(label), *cols)
+
+
 def cross_validate(df: DataFrame, features: list[str], label: str, id_col: str, model_type: str = "linear",
                    k: int = 5, params: dict | None = None, parallelism: int = 2, folded: DataFrame | None = None):
     """per-fold metrics (fold, mse, rmse, mae, r2, mape, n) and the summary
     (metric, mean, std with ddof 0) over folds."""
     params = params or {}
     f = folded if folded is not None else assign_folds(df.select(id_col, *features, label), id_col, k)
+    lin = _linear_params(model_type, params)
+    if lin is not None and len(features) <= MAX_GRAM_FEATURES:
+        preds = _fold_predictions(f, features, label, fold_gram(f, features, label), [lin])
+        per_fold = regression_metrics(preds, label, "pred0", group=["fold"])
+        return per_fold, _summary(per_fold)
     f = f.persist()
 
     def one(i):
@@ -72,11 +143,14 @@ def cross_validate(df: DataFrame, features: list[str], label: str, id_col: str,
     for p in preds[1:]:
         u = u.unionByName(p)
     per_fold = regression_metrics(u, label, "prediction", group=["fold"])
+    return per_fold, _summary(per_fold)
+
+
+def _summary(per_fold: DataFrame) -> DataFrame:
     long = per_fold.select("fold", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("score"))
                                                       for m in ("mse", "rmse", "mae", "r2", "mape")])))
-    summary = long.groupBy("metric").agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"),
-                                         F.count(F.lit(1)).alias("folds"))
-    return per_fold, summary
+    return long.groupBy("metric").agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"),
+                                      F.count(F.lit(1)).alias("folds"))
 
 
 def param_points(model_type: str, grid: dict | None = None) -> list[dict]:
@@ -85,6 +159,19 @@ def param_points(model_type: str, grid: dict | None = None) -> list[dict]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[g[k] for k in keys])]
 
 
+def _linear_search_scores(folded: DataFrame, features, label, pts, lin, scoring) -> list[tuple]:
+    """Every grid point and fold from one aggregate and one scoring pass."""
+    preds = _fold_predictions(folded, features, label, fold_gram(folded, features, label), lin)
+    mets = [regression_metrics(preds, label, f"pred{j}", group=["fold"]).select(F.lit(j).alias("point"), "fold", scoring)
+            for j in range(len(pts))]
+    allm = mets[0]
+    for m in mets[1:]:
+        allm = allm.unionByName(m)
+    agg = {r["point"]: r for r in allm.groupBy("point").agg(F.avg(scoring).alias("m"),
+                                                            F.stddev_pop(scoring).alias("s")).collect()}
+    return [(j, str(p), float(agg[j]["m"]), float(agg[j]["s"])) for j, p in enumerate(pts)]
+
+
 def search(df: DataFrame, features: list[str], label: str, id_col: str, model_type: str, cv: int = 5,
            scoring: str = "mse", search_method: str = "grid", n_iter: int = 10, seed: int = 42,
            grid: dict | None = None, parallelism: int = 2):
@@ -92,6 +179,9 @@ def search(df: DataFrame, features: list[str], label: str, id_col: str, model_ty
 
     Returns (best model, best params, best score, results table). Random
     search draws ``n_iter`` distinct grid points with a seeded generator.
+    Linear and ridge grids are scored from per-fold sufficient statistics
+    (one aggregate + one scoring pass for all points and folds); other
+    models fit once per (point, fold).
     """
     pts = param_points(model_type, grid)
     if search_method == "random":
@@ -99,11 +189,15 @@ def search(df: DataFrame, features: list[str], label: str, id_col: str, model_ty
     elif search_method != "grid":
         raise ValueError(f"unknown search method {search_method!r}")
     folded = assign_folds(df.select(id_col, *features, label), id_col, cv).persist()
-    rows = []
-    for i, p in enumerate(pts):
-        per_fold, summary = cross_validate(df, features, label, id_col, model_type, cv, p, parallelism, folded)
-        s = summary.where(F.col("metric") == scoring).first()
-        rows.append((i, str(p), float(s["mean"]), float(s["std"])))
+    lin = [_linear_params(model_type, p) for p in pts]
+    if all(x is not None for x in lin) and len(features) <= MAX_GRAM_FEATURES:
+        rows = _linear_search_scores(folded, features, label, pts, lin, scoring)
+    else:
+        rows = []
+        for i, p in enumerate(pts):
+            _, summary = cross_validate(df, features, label, id_col, model_type, cv, p, parallelism, folded)
+            s = summary.where(F.col("metric") == scoring).first()
+            rows.append((i, str(p), float(s["mean"]), float(s["std"])))
     spark = df.sparkSession
     res = spark.createDataFrame(rows, "point int, params string, mean_score double, std_score double")
     better_high = scoring == "r2"
