@@ -8,6 +8,7 @@ scored in ONE grouped aggregate.
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from concurrent.futures import ThreadPoolExecutor
 
@@ -234,6 +235,11 @@ def learning_curve(df: DataFrame, features: list[str], label: str, id_col: str,
         for s in sizes:
             m = max(1, int(s * n_train)) if s <= 1 else int(s)
             jobs.append((i, m))
+    lin = _linear_params(model_type, params)
+    if lin is not None and len(features) <= MAX_GRAM_FEATURES:
+        curve = _linear_learning_curve(f, features, label, counts, jobs, *lin)
+        f.unpersist()
+        return curve
 
     def one(job):
         i, m = job
@@ -273,3 +279,78 @@ def diagnose(curve: DataFrame) -> DataFrame:
           .when((gap < 0.2 * te) & (te < 0.7 * F.lit(mx)), "good fit")
           .otherwise("more data may help"))
     return last.select("train_size", "train_rmse_mean", "test_rmse_mean", gap.alias("gap"), dx.alias("diagnosis"))
+
+
+def _sse(stats, w, b) -> float:
+    """Sum of squared errors of y - (b + w.x) from (n, sx, sy, sxx, sxy, syy)."""
+    n, sx, sy, sxx, sxy, syy = stats
+    return float(syy - 2 * b * sy - 2 * w @ sxy + n * b * b + 2 * b * (w @ sx) + w @ sxx @ w)
+
+
+def _linear_learning_curve(f: DataFrame, features, label, counts: dict, jobs, alpha: float,
+                           fit_intercept: bool) -> DataFrame:
+    """All (fold, size) fits of OLS / ridge from ONE aggregate.
+
+    Every training set is a prefix of the id order with the held-out fold
+    removed, so it is a difference of prefix sums taken at a few cut
+    positions. Rows are summed per segment between cuts; train and test
+    errors follow from the same sums in closed form.
+    """
+    p = len(features)
+    folds = sorted(counts)
+    start = {}
+    acc = 0
+    for k in folds:  # folds are contiguous in id order
+        start[k] = acc
+        acc += counts[k]
+    cuts = set()
+    for i, m in jobs:
+        cuts.update({start[i], start[i] + counts[i]})
+        cuts.add(m if m <= start[i] else m + counts[i])
+    cuts = sorted(c for c in cuts if c > 0)
+    from pyspark.ml.feature import Bucketizer
+    splits = [0.5] + [c + 0.5 for c in cuts] + [float("inf")]
+    seg = Bucketizer(splits=splits, inputCol="_posd", outputCol="_seg").transform(
+        f.withColumn("_posd", F.col("_pos").cast("double")))
+    xs = [F.col(c).cast("double") for c in features]
+    y = F.col(label).cast("double")
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
+    aggs += [F.sum(x).alias(f"sx{i}") for i, x in enumerate(xs)]
+    aggs += [F.sum(x * y).alias(f"sxy{i}") for i, x in enumerate(xs)]
+    aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(p) for j in range(i, p)]
+    rows = {int(r["_seg"]): r for r in seg.groupBy("_seg").agg(*aggs).collect()}  # one row per segment
+
+    def stats_of(r):
+        sxx = np.zeros((p, p))
+        for i in range(p):
+            for j in range(i, p):
+                sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"]
+        return [r["n"], np.array([r[f"sx{i}"] for i in range(p)]), r["sy"], sxx,
+                np.array([r[f"sxy{i}"] for i in range(p)]), r["syy"]]
+
+    zero = [0, np.zeros(p), 0.0, np.zeros((p, p)), np.zeros(p), 0.0]
+    prefix = [zero]  # prefix[j] = sums over positions <= cuts[j-1]
+    for j in range(len(cuts) + 1):
+        seg_stats = stats_of(rows[j]) if j in rows else zero
+        prefix.append([a + b for a, b in zip(prefix[-1], seg_stats)])
+    at = {0: prefix[0]}
+    for j, c in enumerate(cuts):
+        at[c] = prefix[j + 1]
+
+    def diff(a, b):
+        return [x - y for x, y in zip(a, b)]
+
+    out = []
+    for i, m in jobs:
+        held = diff(at[start[i] + counts[i]], at[start[i]])
+        train = at[m] if m <= start[i] else diff(at[m + counts[i]], held)
+        w, b = solve_linear(train[0], train[1], train[2], train[3], train[4], alpha, fit_intercept)
+        tr = math.sqrt(max(_sse(train, w, b), 0.0) / train[0])
+        te = math.sqrt(max(_sse(held, w, b), 0.0) / held[0])
+        out.append((i, m, tr, te))
+    spark = f.sparkSession
+    pts = spark.createDataFrame(out, "fold int, train_size int, train_rmse double, test_rmse double")
+    return (pts.groupBy("train_size").agg(F.avg("train_rmse").alias("train_rmse_mean"),
+                                          F.stddev_pop("train_rmse").alias("train_rmse_std"),
+                                          F.avg("test_rmse").alias("test_rmse_mean"),
+                                          F.stddev_pop("test_rmse").alias("test_rmse_std")))
