@@ -225,6 +225,27 @@ def encode(df: DataFrame, method: str = "one_hot", columns: list[str] | None = N
     return fit_encoder(df, method, columns, max_levels).transform(df)
 
 
+def fit_one_hot_vector(df: DataFrame, column: str, out_col: str | None = None):
+    """E8 for wide categoricals: one sparse vector column instead of one column per level.
+
+    Same semantics as ``one_hot``: levels in sorted order, the first dropped,
+    null -> all zeros. Built from Spark ML stages: StringIndexer (alphabetical,
+    nulls kept as an extra index), OneHotEncoder (no level dropped) and a
+    VectorSlicer that removes index 0 (the first level) and the null slot.
+    Returns a fitted PipelineModel; its output is ``out_col`` (default ``<column>_vec``).
+    """
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
+    out_col = out_col or f"{column}_vec"
+    idx = StringIndexer(inputCol=column, outputCol=f"_{column}_idx", stringOrderType="alphabetAsc",
+                        handleInvalid="keep").fit(df)
+    k = len(idx.labels)
+    ohe = OneHotEncoder(inputCols=[f"_{column}_idx"], outputCols=[f"_{column}_ohe"], dropLast=False,
+                        handleInvalid="keep")
+    sl = VectorSlicer(inputCol=f"_{column}_ohe", outputCol=out_col, indices=list(range(1, k)))
+    return Pipeline(stages=[idx, ohe, sl]).fit(df), idx.labels[1:]
+
+
 # --------------------------------------------------------------------------------------
 # Exact-size, repeatable splits
 # --------------------------------------------------------------------------------------

@@ -251,3 +251,12 @@ def test_preprocess_fits_on_train_only_by_default(spark):
     assert "target" not in m.scaler.params and "pid" not in m.scaler.params
     _, _, _, m_all = preprocess(df, "target", "pid", cfg, test_size=0.25, seed=3, fit_on="all", include_target=True)
     assert m_all.scaler.params["x"][0] == pytest.approx(99.5) and "target" in m_all.scaler.params
+
+
+def test_one_hot_vector_matches_one_hot_columns(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "a"), (3, None), (4, "c"), (5, "b")], "id int, cat string")
+    model, names = P.fit_one_hot_vector(df, "cat")
+    assert names == ["b", "c"]
+    vec = {r["id"]: list(r["cat_vec"].toArray()) for r in model.transform(df).collect()}
+    cols = {r["id"]: [r["cat_b"], r["cat_c"]] for r in P.encode(df, "one_hot", ["cat"]).collect()}
+    assert vec == {k: [float(x) for x in v] for k, v in cols.items()}
