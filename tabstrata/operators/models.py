@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 MODEL_TYPES = ("linear", "ridge", "lasso", "elasticnet", "random_forest", "gradient_boosting", "svr")
+NORMAL_SOLVER_MAX_FEATURES = 4096  # Spark's limit for solver="normal"
 
 
 def assembler(features: list[str]) -> VectorAssembler:
@@ -48,19 +49,25 @@ def estimator(model_type: str, df: DataFrame | None = None, label: str = "label"
     if model_type in ("ridge", "lasso", "elasticnet"):
         alpha = float(kw.get("alpha", 1.0))
         fit_intercept = kw.get("fit_intercept", True)
-        if model_type == "ridge":
-            n, sd = _label_sd(df, label)
-            reg, en, solver = (alpha / n * sd if n else 0.0), 0.0, "normal"
-        elif model_type == "lasso":
-            reg, en, solver = alpha, 1.0, "auto"
+        # the normal solver aggregates X'X once and iterates on that p x p system, so a tight
+        # tolerance is free; above its feature limit Spark's L-BFGS/OWL-QN passes over the rows
+        n_features = int(kw.get("n_features", 0))
+        solver = "normal" if n_features <= NORMAL_SOLVER_MAX_FEATURES else "l-bfgs"
+        if model_type == "lasso":
+            reg, en = alpha, 1.0
         else:
-            rho = float(kw.get("l1_ratio", 0.5))
             n, sd = _label_sd(df, label)
-            reg = alpha * rho + alpha * (1 - rho) * sd
-            en, solver = (alpha * rho / reg if reg else 0.0), "normal"
+            if solver != "normal" and n > 1:  # L-BFGS scales the L2 part with the sample std
+                sd = sd * math.sqrt(n / (n - 1))
+            if model_type == "ridge":
+                reg, en = (alpha / n * sd if n else 0.0), 0.0
+            else:
+                rho = float(kw.get("l1_ratio", 0.5))
+                reg = alpha * rho + alpha * (1 - rho) * sd
+                en = alpha * rho / reg if reg else 0.0
         return LinearRegression(labelCol=label, regParam=reg, elasticNetParam=en, solver=solver,
                                 fitIntercept=fit_intercept, standardization=False,
-                                maxIter=int(kw.get("max_iter", 1000)), tol=float(kw.get("tol", 1e-6)))
+                                maxIter=int(kw.get("max_iter", 10000)), tol=float(kw.get("tol", 1e-9)))
     if model_type == "random_forest":
         return RandomForestRegressor(labelCol=label, numTrees=int(kw.get("n_estimators", 100)),
                                      maxDepth=int(kw.get("max_depth") or 10), featureSubsetStrategy="all",
@@ -79,7 +86,7 @@ def train(df: DataFrame, features: list[str], label: str, model_type: str = "lin
     if model_type == "svr":
         return train_svr(df, features, label, **kw)
     d = df.select(*features, F.col(label).cast("double").alias(label))
-    est = estimator(model_type, d, label, **kw)
+    est = estimator(model_type, d, label, n_features=len(features), **kw)
     return Pipeline(stages=[assembler(features), est]).fit(d)
 
 

@@ -930,4 +930,40 @@ FROM last, mx"""
 
 SQL["learning_curve"] = _learning_curve_sql()
 
+# --------------------------------------------------------------------------------------
+# lasso and elastic net by cyclic coordinate descent on the centred Gram sums, run
+# as a recursive CTE (the objective is strictly convex here, so the sweeps converge to it)
+# --------------------------------------------------------------------------------------
+def _penalized_sql(alpha: float, l1_ratio: float, sweeps: int = 30000) -> str:
+    def g(i, j):
+        i, j = min(i, j), max(i, j)
+        return f"((s{i}{j} - s{i} * s{j} / n) / n)"
+    def c(i):
+        return f"((s{i}y - s{i} * sy / n) / n)"
+    l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio)
+
+    def soft(x):
+        return f"(sign({x}) * greatest(abs({x}) - {l1!r}, 0.0))"
+    gm = ", ".join([f"{g(i, j)} AS g{i}{j}" for i in range(3) for j in range(i, 3)] + [f"{c(i)} AS c{i}" for i in range(3)]
+                   + ["sy / n AS my"] + [f"s{i} / n AS m{i}" for i in range(3)])
+    return f"""
+WITH RECURSIVE {_LI_ML},
+t AS (SELECT {_sums_select(_LX, _LY)} FROM li),
+gm AS (SELECT {gm} FROM t),
+cd(it, w0, w1, w2) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT it + 1, w0, w1, {soft('c2 - g02 * w0 - g12 * w1')} / (g22 + {l2!r}) AS w2 FROM (
+    SELECT it, w0, {soft('c1 - g01 * w0 - g12 * w2')} / (g11 + {l2!r}) AS w1, w2, c2, g02, g12, g22 FROM (
+      SELECT it, {soft('c0 - g01 * w1 - g02 * w2')} / (g00 + {l2!r}) AS w0, w1, w2, c1, c2, g01, g02, g11, g12, g22
+      FROM cd, gm WHERE it < {sweeps})))
+SELECT 'l_quantity' AS feature, {r('w0', 4)} AS coefficient FROM cd WHERE it = {sweeps}
+UNION ALL SELECT 'l_discount', {r('w1', 4)} FROM cd WHERE it = {sweeps}
+UNION ALL SELECT 'l_tax', {r('w2', 4)} FROM cd WHERE it = {sweeps}
+UNION ALL SELECT 'intercept', {r('my - w0 * m0 - w1 * m1 - w2 * m2', 4)} FROM cd, gm WHERE it = {sweeps}"""
+
+
+SQL["lasso"] = _penalized_sql(1.0, 1.0)
+SQL["enet"] = _penalized_sql(1.0, 0.5)
+
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in C.QUERIES}
