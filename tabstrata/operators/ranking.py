@@ -168,6 +168,33 @@ def average_rank(df: DataFrame, col: str, out: str, broadcast_limit: int = 1_000
     return df.join(ranks, on=col, how="left")
 
 
+def ranks_from_counts(vals: DataFrame, group: str, value: str, count: str, sizes: dict,
+                      window_limit: int = 1_000_000, out: str = "avg_rank") -> DataFrame:
+    """Average rank of every distinct value within its group, from a table
+    unique in (group, value) with the number of rows ``count`` of each.
+
+    ``sizes`` holds the number of distinct values per group (counted by the
+    caller). Groups with at most ``window_limit`` of them are ranked with one
+    window per group (a bounded partition); larger groups use
+    ``running_sums_before`` (global bucket edges, no window holds a whole
+    group). Returns (group, value, out).
+    """
+    small = [g for g, n in sizes.items() if n <= window_limit]
+    big = [g for g, n in sizes.items() if n > window_limit]
+    parts = []
+    if small:
+        w = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        parts.append(vals.where(F.col(group).isin(small)).select(
+            group, value, (F.coalesce(F.sum(count).over(w), F.lit(0)) + (F.col(count) + 1) / 2.0).alias(out)))
+    if big:
+        run = running_sums_before(vals.where(F.col(group).isin(big)), group, value, [count])
+        parts.append(run.select(group, value, (F.col(f"before_{count}") + (F.col(count) + 1) / 2.0).alias(out)))
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
+
+
 def qcut_segment(pos0: Column, n: Column, k: int) -> Column:
     """Equal-count segment (1..k) of 0-based position ``pos0`` among ``n`` rows.
 

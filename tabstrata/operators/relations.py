@@ -8,11 +8,12 @@ so ties and hot values cost one row each).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .profile import numeric_columns
-from .ranking import average_rank
+from .ranking import ranks_from_counts
 
 MAX_PAIRS_PER_PASS = 1800  # about 60 columns; wider matrices are split into several passes
 
@@ -76,25 +77,70 @@ def lower_triangle(matrix: DataFrame, columns: list[str]) -> DataFrame:
     return with_index(matrix, columns).where(F.col("i") > F.col("j")).drop("i", "j")
 
 
-def spearman_matrix(df: DataFrame, columns: list[str] | None = None, id_col: str | None = None) -> DataFrame:
+def _rank_tables(df: DataFrame, sides: list[tuple[str, Column]], broadcast_limit: int):
+    """Average ranks for several (column, row condition) sides in one pass.
+
+    Every row is stacked into one (side, value) entry per side whose
+    condition holds, and one map-side combined aggregate counts rows per
+    (side, value); that distinct-value table is written once to the shared
+    folder and the number of distinct values per side is counted there.
+    Ranks come from ``ranks_from_counts``. Returns, per side, the rank table
+    (_v, _rank) and whether it may be broadcast: the smallest tables are
+    broadcast while their summed row count stays within ``broadcast_limit``;
+    the rest are shuffle-joined.
+    """
+    spark = df.sparkSession
+    entries = [F.struct(F.lit(k).alias("_k"), F.when(cond, F.col(c).cast("double")).alias("_v"))
+               for k, (c, cond) in enumerate(sides)]
+    path = scratch_path(spark, "rank-values")
+    (df.select(F.inline(F.array(*entries))).where(F.col("_v").isNotNull())
+     .groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_vc"))
+     .write.parquet(path))
+    vals = spark.read.parquet(path)
+    sizes = {r["_k"]: r["n"] for r in vals.groupBy("_k").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per side
+    ranks = ranks_from_counts(vals, "_k", "_v", "_vc", sizes, broadcast_limit, "_rank")
+    small, used = set(), 0
+    for k in sorted(range(len(sides)), key=lambda k: sizes.get(k, 0)):
+        if used + sizes.get(k, 0) <= broadcast_limit:
+            small.add(k)
+            used += sizes.get(k, 0)
+    return [(ranks.where(F.col("_k") == k).select("_v", "_rank"), k in small) for k in range(len(sides))]
+
+
+def _attach_rank(df: DataFrame, col: str, table: DataFrame, bcast: bool, out: str) -> DataFrame:
+    t = table.select(F.col("_v").alias(f"_jv_{out}"), F.col("_rank").alias(out))
+    d = df.withColumn(f"_jv_{out}", F.col(col).cast("double"))
+    return d.join(F.broadcast(t) if bcast else t, f"_jv_{out}", "left").drop(f"_jv_{out}")
+
+
+def spearman_matrix(df: DataFrame, columns: list[str] | None = None, broadcast_limit: int = 1_000_000) -> DataFrame:
     """Spearman = Pearson on average ranks.
 
     Without nulls each column is ranked once. With nulls (checked in one
     pass), each pair is ranked among its complete rows, as pandas does.
+    Either way all rankings come from one stacked aggregate
+    (``_rank_tables``), not one pass per column or pair.
     """
     cols = columns or numeric_columns(df)
     nulls = df.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first()
     has_null = any(nulls[c] for c in cols)
     if not has_null:
+        tables = _rank_tables(df, [(c, F.lit(True)) for c in cols], broadcast_limit)
         r = df.select(*cols)
-        for c in cols:
-            r = average_rank(r, c, f"_r_{c}")
-        ranked = r.select(*[F.col(f"_r_{c}").alias(c) for c in cols])
+        for i, c in enumerate(cols):
+            r = _attach_rank(r, c, *tables[i], f"_r{i}")
+        ranked = r.select(*[F.col(f"_r{i}").alias(c) for i, c in enumerate(cols)])
         return pearson_matrix(ranked, cols)
+    pairs = _pairs(cols)
+    sides = []
+    for a, b in pairs:
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        sides += [(a, both), (b, both)]
+    tables = _rank_tables(df, sides, broadcast_limit)
     parts = []
-    for a, b in _pairs(cols):
+    for p, (a, b) in enumerate(pairs):
         sub = df.select(a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
-        sub = average_rank(average_rank(sub, a, "_ra"), b, "_rb")
+        sub = _attach_rank(_attach_rank(sub, a, *tables[2 * p], "_ra"), b, *tables[2 * p + 1], "_rb")
         one = sub.agg(F.corr("_ra", "_rb").alias("corr"))
         parts.append(one.select(F.inline(F.array(
             F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col("corr")),

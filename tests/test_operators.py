@@ -260,3 +260,26 @@ def test_one_hot_vector_matches_one_hot_columns(spark):
     vec = {r["id"]: list(r["cat_vec"].toArray()) for r in model.transform(df).collect()}
     cols = {r["id"]: [r["cat_b"], r["cat_c"]] for r in P.encode(df, "one_hot", ["cat"]).collect()}
     assert vec == {k: [float(x) for x in v] for k, v in cols.items()}
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_spearman_pairwise_complete_matches_pandas(spark, limit):
+    """Pairs ranked among their complete rows, heavy ties, both broadcast and shuffle joins."""
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    n = 400
+    a = rng.integers(0, 5, n).astype(float)
+    a[: n // 3] = 2.0                                  # one value holds a third of the rows
+    b = rng.normal(size=n).round(1)
+    c = rng.integers(0, 40, n).astype(float)
+    for arr, frac in ((a, 0.1), (b, 0.2), (c, 0.05)):
+        arr[rng.random(n) < frac] = np.nan
+    pdf = pd.DataFrame({"a": a, "b": b, "c": c})
+    rows = [tuple(None if math.isnan(v) else float(v) for v in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(4)
+    want = pdf.corr(method="spearman")
+    for nulls in (True, False):
+        src, ref = (df, want) if nulls else (df.na.drop(), pdf.dropna().corr(method="spearman"))
+        got = {(r["x"], r["y"]): r["corr"] for r in REL.spearman_matrix(src, ["a", "b", "c"], broadcast_limit=limit).collect()}
+        for x, y in itertools.product("abc", repeat=2):
+            assert got[(x, y)] == pytest.approx(ref.loc[x, y], abs=1e-12)
