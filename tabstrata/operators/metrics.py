@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from .ranking import global_rank, qcut_segment
+from .ranking import global_rank, qcut_rows
 
 
 def metric_aggs(y: str, p: str) -> list[Column]:
@@ -90,14 +90,13 @@ def residual_bins(df: DataFrame, y: str = "label", p: str = "prediction", bins:
 def segments(df: DataFrame, y: str, p: str, id_col: str, k: int = 3) -> DataFrame:
     """Metrics per equal-count segment of the rows ordered by actual value (ties by id).
 
-    Positions come from ``global_rank`` (no single-partition window); the
-    segment is D7's quantile cut of the position.
+    The segment is D7's quantile cut of the position; ``qcut_rows`` finds
+    only the k - 1 boundary rows and labels rows by comparing with them, so
+    no row is shuffled.
     """
     d = df.select(id_col, F.col(y).cast("double").alias("_y"), F.col(p).cast("double").alias("_p")) \
           .where(F.col("_y").isNotNull() & F.col("_p").isNotNull())
-    n = d.count()
-    r = global_rank(d, "_y", id_col, "_rank")
-    seg = r.withColumn("segment", qcut_segment(F.col("_rank") - 1, F.lit(n), k))
+    seg = qcut_rows(d, "_y", id_col, k)
     e = F.col("_y") - F.col("_p")
     ss_tot = F.var_pop("_y") * F.count(F.lit(1))
     ss_res = F.sum(e * e)

@@ -19,7 +19,7 @@ from pyspark.sql.types import NumericType
 from ..functions.scalars import uniform
 from .profile import numeric_columns, string_columns
 from .quantiles import quantiles
-from .ranking import global_rank
+from .ranking import global_rank, label_by_position
 
 # --------------------------------------------------------------------------------------
 # Simple imputation
@@ -269,17 +269,19 @@ def split_labels(df: DataFrame, id_col: str, test_size=0.2, val_size=0.0, seed:
                  out: str = "split") -> DataFrame:
     """Label each row train / val / test with exact sizes.
 
-    Rows are ordered by a repeatable md5 draw of their id (ties by id);
-    the position comes from ``global_rank`` with equal-width buckets on the
-    draw, so no window spans the table and nothing depends on partitioning.
+    Rows are ordered by a repeatable md5 draw of their id (ties by id).
+    Only the two boundary rows are selected (``label_by_position``, with
+    equal-width buckets on the draw); every row is labelled by comparing
+    with them, so no row is shuffled and nothing depends on partitioning.
     """
-    n = df.count()
-    n_train, n_val, _ = split_sizes(n, test_size, val_size)
-    r = global_rank(df.withColumn("_u", uniform(id_col, seed, "split")), "_u", id_col, "_pos",
-                    key_is_uniform=True)
-    lab = (F.when(F.col("_pos") <= n_train, "train")
-           .when(F.col("_pos") <= n_train + n_val, "val").otherwise("test"))
-    return r.withColumn(out, lab).drop("_u", "_pos")
+    def starts(n):
+        n_train, n_val, _ = split_sizes(n, test_size, val_size)
+        return [n_train + 1, n_train + n_val + 1]
+
+    _, r = label_by_position(df.withColumn("_u", uniform(id_col, seed, "split")), "_u", id_col, starts, "_cut",
+                             key_is_uniform=True)
+    lab = F.when(F.col("_cut") == 0, "train").when(F.col("_cut") == 1, "val").otherwise("test")
+    return r.withColumn(out, lab).drop("_u", "_cut")
 
 
 def _allocate(counts: DataFrame, key: str, n_col: str, total: int, n_all: int, out: str) -> DataFrame:

@@ -109,6 +109,110 @@ def global_rank(df: DataFrame, key: str, id_col: str, out: str = "rank", n_bucke
     return res
 
 
+def position_cuts(df: DataFrame, key: str, id_col: str, starts, n_buckets: int | None = None,
+                  key_is_uniform: bool = False) -> tuple[int, dict]:
+    """The rows at given 1-based positions of the order (key, id), nulls last,
+    without numbering every row.
+
+    ``starts`` maps the row count n to the positions wanted. Rows are cut
+    into the same bounded buckets as ``global_rank``; the bucket table
+    (counts, running offsets) stays on the cluster and only the buckets
+    holding a wanted position (at most one per position, each about
+    n / n_buckets rows) are numbered. Returns (n, {position: (key, id, before)})
+    where ``before`` counts the rows equal to (key, id) that precede the
+    position (0 unless (key, id) is repeated).
+    """
+    spark = df.sparkSession
+    nb = n_buckets or default_buckets(spark)
+    b = _bucket_columns(df.select(key, id_col), key, id_col, nb, key_is_uniform)
+    counts = b.groupBy("_maj", "_min").agg(F.count(F.lit(1)).alias("_cnt")).persist()
+    try:
+        n = int(counts.agg(F.sum("_cnt")).first()[0] or 0)
+        pos = sorted({int(p) for p in starts(n) if 1 <= p <= n})
+        if not pos:
+            return n, {}
+        # the bucket table is an aggregate (about n_buckets rows): one ordered window over it
+        w = Window.orderBy("_maj", "_min").rowsBetween(Window.unboundedPreceding, -1)
+        offs = counts.select("_maj", "_min", "_cnt", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
+        wanted = F.array(*[F.lit(p) for p in pos])
+        targets = offs.where(F.exists(wanted, lambda p: (p > F.col("_off")) & (p <= F.col("_off") + F.col("_cnt"))))
+        tgt = [(r["_maj"], r["_min"], r["_off"]) for r in targets.select("_maj", "_min", "_off").collect()]
+    finally:
+        counts.unpersist()
+    tdf = spark.createDataFrame(tgt, "_maj int, _min int, _off long")  # at most len(pos) rows
+    wi = Window.partitionBy("_maj", "_min").orderBy(F.col(key).asc_nulls_last(), F.col(id_col))
+    sel = (b.join(F.broadcast(tdf), ["_maj", "_min"])
+           .withColumn("_pos", F.row_number().over(wi) + F.col("_off"))
+           .withColumn("_before", F.row_number().over(wi) - F.rank().over(wi))
+           .where(F.col("_pos").isin(pos)).select("_pos", key, id_col, "_before").collect())  # len(pos) rows
+    return n, {r["_pos"]: (r[key], r[id_col], r["_before"]) for r in sel}
+
+
+def cut_index(key: str, id_col: str, cuts: list[tuple], tie_col: str = "_tn") -> Column:
+    """Number of cut rows (key, id) at or before each row in the order (key, id), nulls last.
+
+    A row's segment, fold or split label then follows from one projection.
+    A cut (key, id, before) with ``before`` > 0 falls inside a run of equal
+    (key, id) rows: those rows carry their 0-based number in the run in
+    ``tie_col`` and the first ``before`` of them stay before the cut.
+    """
+    k, i = F.col(key), F.col(id_col)
+    terms = []
+    for ck, cid, before in cuts:
+        same = (k.isNull() if ck is None else (k == F.lit(ck))) & (i == F.lit(cid))
+        after = (i > F.lit(cid)) if ck is None else ((k > F.lit(ck)) | ((k == F.lit(ck)) & (i > F.lit(cid))))
+        if ck is not None:
+            after = k.isNull() | after
+        else:
+            after = k.isNull() & after
+        at = same if not before else same & (F.col(tie_col) >= F.lit(before))
+        terms.append((after | at).cast("int"))
+    out = F.lit(0)
+    for t in terms:
+        out = out + t
+    return out
+
+
+def label_by_position(df: DataFrame, key: str, id_col: str, starts, out: str,
+                      key_is_uniform: bool = False) -> tuple[int, DataFrame]:
+    """Adds ``out`` = number of ``starts(n)`` positions at or before the row's position.
+
+    Positions may repeat (an empty segment) or exceed n (never reached).
+    Rows only move when a cut falls inside a run of repeated (key, id)
+    (an id that is not unique): the rows of such runs, and only those, are
+    numbered in input order (``monotonically_increasing_id``: partition,
+    then position, fixed for a given file layout), as a stable sort would.
+    """
+    n, cuts = position_cuts(df, key, id_col, starts, key_is_uniform=key_is_uniform)
+    marks = [cuts[p] for p in sorted(int(p) for p in starts(n)) if p in cuts]
+    runs = {(ck, cid) for ck, cid, before in marks if before}
+    if not runs:
+        return n, df.withColumn(out, cut_index(key, id_col, marks))
+    k, i = F.col(key), F.col(id_col)
+    in_run = F.lit(False)
+    for ck, cid in runs:
+        in_run = in_run | (k.eqNullSafe(F.lit(ck)) & (i == F.lit(cid)))
+    w = Window.partitionBy(key, id_col).orderBy("_mid")
+    src = df.withColumn("_mid", F.monotonically_increasing_id())
+    tied = src.where(in_run).withColumn("_tn", F.row_number().over(w) - 1).drop("_mid")
+    rest = src.where(~in_run).drop("_mid").withColumn("_tn", F.lit(None).cast("int"))
+    both = rest.unionByName(tied)
+    return n, both.withColumn(out, cut_index(key, id_col, marks)).drop("_tn")
+
+
+def qcut_starts(n: int, k: int) -> list[int]:
+    """1-based first positions of segments 2..k of ``qcut_segment`` (repeated when a segment is empty)."""
+    if n <= 1:
+        return []
+    return [-(-((s - 1) * (n - 1) + 1) // k) + 1 for s in range(2, k + 1)]
+
+
+def qcut_rows(df: DataFrame, key: str, id_col: str, k: int, out: str = "segment") -> DataFrame:
+    """D7 over rows: equal-count segment (1..k) of each row in the order (key, id)."""
+    _, lab = label_by_position(df, key, id_col, lambda n: qcut_starts(n, k), "_cut")
+    return lab.withColumn(out, (F.col("_cut") + 1).cast("int")).drop("_cut")
+
+
 def running_before(df: DataFrame, key: str, weight: str, out: str = "before",
                    n_buckets: int | None = None) -> DataFrame:
     """Sum of ``weight`` over all rows with a smaller ``key``; ``key`` must be unique.

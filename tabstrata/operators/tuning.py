@@ -1,7 +1,7 @@
 """Validation and tuning.
 
-Folds are a column (contiguous, unshuffled, from ``global_rank`` of the
-id), so CV never collects rows; all folds' predictions are unioned and
+Folds are a column (contiguous, unshuffled, cut at the k - 1 boundary ids found by
+``label_by_position``), so CV never collects rows; all folds' predictions are unioned and
 scored in ONE grouped aggregate.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import models as MD
 from .metrics import regression_metrics
-from .ranking import global_rank
+from .ranking import global_rank, label_by_position
 
 # The reference's search grids (parameters Spark has no
 # equivalent for - solver names, normalize, copy_X, min_samples_split - are
@@ -42,13 +42,24 @@ def fold_of(pos0: Column, n: int, k: int) -> Column:
         F.lit(big) + F.floor((pos0 - boundary) / max(small, 1))).cast("int")
 
 
+def fold_starts(n: int, k: int) -> list[int]:
+    """1-based first positions of folds 1..k-1 of ``fold_of``."""
+    small, big = n // k, n % k
+    return [j * (small + 1) + 1 if j <= big else big * (small + 1) + (j - big) * small + 1 for j in range(1, k)]
+
+
 def assign_folds(df: DataFrame, id_col: str, k: int = 5, out: str = "fold") -> DataFrame:
-    """F12 fold column: rows in id order cut into k contiguous folds."""
-    n = df.count()
-    if k < 2 or k > n:
+    """F12 fold column: rows in id order cut into k contiguous folds.
+
+    Only the k - 1 fold boundaries are selected (``label_by_position``);
+    rows get their fold from comparisons with them, without a shuffle.
+    """
+    if k < 2:
+        raise ValueError(f"need 2 <= k <= n rows, got k={k}")
+    n, lab = label_by_position(df, id_col, id_col, lambda n: fold_starts(n, k), "_cut")
+    if k > n:
         raise ValueError(f"need 2 <= k <= n rows, got k={k}, n={n}")
-    r = global_rank(df, id_col, id_col, "_pos")
-    return r.withColumn(out, fold_of(F.col("_pos") - 1, n, k)).drop("_pos")
+    return lab.withColumn(out, F.col("_cut").cast("int")).drop("_cut")
 
 
 def _fit_predict(train: DataFrame, test: DataFrame, features, label, model_type, params) -> DataFrame:

@@ -291,9 +291,7 @@ def global_rank(spark, d):
 
 def qcut(spark, d):
     ev = table(spark, d, "events").select("event_id", "value")
-    n = ev.count()
-    rk = R.global_rank(ev, "value", "event_id", "rank")
-    return rk.select("event_id", R.qcut_segment(F.col("rank") - 1, F.lit(n), 7).alias("segment"))
+    return R.qcut_rows(ev, "value", "event_id", 7).select("event_id", "segment")
 
 
 # --------------------------------------------------------------------------------------

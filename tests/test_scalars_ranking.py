@@ -86,3 +86,32 @@ def test_norm_ppf_accuracy(spark):
     for p, g in zip(ps, got):
         assert g == pytest.approx(NormalDist().inv_cdf(p), abs=1e-8)
     assert not any(math.isnan(g) for g in got)
+
+
+@pytest.mark.parametrize("k", [2, 3, 7])
+def test_qcut_rows_and_folds_match_positions(spark, k):
+    """Boundary cuts label rows exactly as positions in (key, id) order would:
+    a key holding a third of the rows, null keys last, a repeated (key, id) run."""
+    from tabstrata.operators import tuning as TU
+    rows = [(i, 5.0 if i % 3 == 0 else (None if i % 17 == 0 else float(i % 11))) for i in range(1, 301)]
+    rows += [(42, 5.0)] * 6                                   # a repeated (key, id) run
+    df = spark.createDataFrame(rows, "id long, v double").repartition(4)
+    order = sorted(range(len(rows)), key=lambda j: (rows[j][1] is None, rows[j][1] or 0.0, rows[j][0]))
+    n = len(rows)
+    seg = R.qcut_rows(df, "v", "id", k).groupBy("v", "id", "segment").count().collect()
+    got_sizes = sorted((r["segment"], r["count"]) for r in seg)
+    seg_of = {}
+    for p0 in range(n):
+        s = 1 if n <= 1 else max(1, (p0 * k + n - 2) // (n - 1))
+        seg_of[s] = seg_of.get(s, 0) + 1
+    sizes = {}
+    for s, c in got_sizes:
+        sizes[s] = sizes.get(s, 0) + c
+    assert sizes == seg_of
+    for r in seg:   # every (v, id) group lies in the segments its positions span
+        ps = [p0 for p0, j in enumerate(order) if rows[j][0] == r["id"] and rows[j][1] == r["v"]]
+        segs = {max(1, (p0 * k + n - 2) // (n - 1)) for p0 in ps}
+        assert r["segment"] in segs
+    folds = TU.assign_folds(df, "id", k).groupBy("fold").count().collect()
+    small, big = n // k, n % k
+    assert sorted((r["fold"], r["count"]) for r in folds) == [(j, small + (1 if j < big else 0)) for j in range(k)]
