@@ -51,26 +51,27 @@ def quantile_expr(c: Column, probs: list[float], method: str = "exact", accuracy
 def describe(df: DataFrame, columns: list[str] | None = None, method: str = "auto") -> DataFrame:
     """C1 (+C16): count, mean, std (ddof 1), min, q25, q50, q75, max per numeric column.
 
-    One aggregate pass; quantiles come from the same pass when every column
-    has a moderate number of distinct values, else from the scalable exact
-    selection in ``quantiles`` (method 'auto').
+    One aggregate pass; quantiles of columns with a moderate number of
+    distinct values come from the same pass, those of the others from the
+    scalable exact selection in ``quantiles`` (method 'auto' decides per
+    column).
     """
-    from .quantiles import choose_method, quantiles
+    from .quantiles import column_methods, quantiles
     cols = columns or numeric_columns(df)
-    if method == "auto":
-        method = choose_method(df, cols)
-    qlit = quantiles(df, cols, [0.25, 0.5, 0.75], method) if method == "select" else None
+    per = column_methods(df, cols) if method == "auto" else {c: method for c in cols}
+    sel = [c for c in cols if per[c] == "select"]
+    qlit = quantiles(df, sel, [0.25, 0.5, 0.75], "select") if sel else {}
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-        if qlit is None:
-            aggs.append(quantile_expr(x, [0.25, 0.5, 0.75], method).alias(f"q{i}"))
+        if c not in qlit:
+            aggs.append(quantile_expr(x, [0.25, 0.5, 0.75], per[c]).alias(f"q{i}"))
     one = df.agg(*aggs)
 
     def q(i: int, j: int) -> Column:
-        return F.col(f"q{i}")[j] if qlit is None else F.lit(qlit[cols[i]][j]).cast("double")
+        return F.col(f"q{i}")[j] if cols[i] not in qlit else F.lit(qlit[cols[i]][j]).cast("double")
     structs = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
                         F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
                         q(i, 0).alias("q25"), q(i, 1).alias("q50"), q(i, 2).alias("q75"),

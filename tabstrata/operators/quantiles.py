@@ -13,8 +13,9 @@ statistics instead:
    the lower edge are numbered (window per (column, bucket), each about
    n / n_buckets rows).
 
-``auto`` uses Spark's ``percentile`` when the approximate distinct count
-of every column is at most ``exact_limit`` and ``select`` otherwise.
+``auto`` decides per column: Spark's ``percentile`` (one value map merged
+in one task) for columns with at most ``exact_limit`` approximate distinct
+values, ``select`` for the others.
 """
 
 from __future__ import annotations
@@ -25,16 +26,22 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-EXACT_LIMIT = 1_000_000
+EXACT_LIMIT = 100_000  # measured crossover: 500k distinct values already select faster
 
 
 def _splits(edges) -> list[float]:
     return [float("-inf")] + sorted({float(e) for e in edges if e is not None}) + [float("inf")]
 
 
-def choose_method(df: DataFrame, columns: list[str], exact_limit: int = EXACT_LIMIT) -> str:
+def column_methods(df: DataFrame, columns: list[str], exact_limit: int = EXACT_LIMIT) -> dict[str, str]:
+    """'exact' or 'select' per column from one approximate distinct count pass."""
     row = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    return "exact" if all((row[f"d{i}"] or 0) <= exact_limit for i in range(len(columns))) else "select"
+    return {c: "exact" if (row[f"d{i}"] or 0) <= exact_limit else "select" for i, c in enumerate(columns)}
+
+
+def choose_method(df: DataFrame, columns: list[str], exact_limit: int = EXACT_LIMIT) -> str:
+    per = column_methods(df, columns, exact_limit)
+    return "exact" if all(m == "exact" for m in per.values()) else "select"
 
 
 def quantiles(df: DataFrame, columns: list[str], probs: list[float], method: str = "auto",
@@ -43,7 +50,15 @@ def quantiles(df: DataFrame, columns: list[str], probs: list[float], method: str
     if not columns:
         return {}
     if method == "auto":
-        method = choose_method(df, columns)
+        per = column_methods(df, columns)
+        ex = [c for c in columns if per[c] == "exact"]
+        se = [c for c in columns if per[c] == "select"]
+        out = {}
+        if ex:
+            out.update(quantiles(df, ex, probs, "exact"))
+        if se:
+            out.update(_select(df, se, probs, n_buckets))
+        return {c: out[c] for c in columns}
     xs = [F.col(c).cast("double") for c in columns]
     if method == "exact":
         arr = F.array(*[F.lit(float(p)) for p in probs])
