@@ -19,7 +19,7 @@ from pyspark.sql.types import NumericType
 from ..functions.scalars import uniform
 from .profile import numeric_columns, string_columns
 from .quantiles import quantiles
-from .ranking import global_rank, label_by_position
+from .ranking import global_rank, label_by_group_positions, label_by_position
 
 # --------------------------------------------------------------------------------------
 # Simple imputation
@@ -297,23 +297,40 @@ def _allocate(counts: DataFrame, key: str, n_col: str, total: int, n_all: int, o
             .drop("_q", "_f", "_r", "_o"))
 
 
+MAX_CUT_STRATA = 10_000  # strata whose boundary rows are gathered and broadcast back
+
+
 def split_labels_stratified(df: DataFrame, id_col: str, stratum: str, test_size=0.2, val_size=0.0,
                             seed: int = 42, out: str = "split") -> DataFrame:
     """Stratified exact-size split; the stratum is used in both stages.
 
-    Per-stratum sizes come from largest-remainder allocation of the totals;
-    the position inside a stratum comes from ``global_rank`` partitioned by
-    the stratum over md5-draw buckets, so a stratum holding a third of the
-    rows is still spread over many tasks.
+    Per-stratum sizes come from largest-remainder allocation of the totals.
+    With at most ``MAX_CUT_STRATA`` strata (counted), only each stratum's
+    two boundary rows are selected (``label_by_group_positions`` over
+    md5-draw buckets) and rows are labelled by comparing with them through
+    a broadcast per-stratum table: no row is shuffled. Otherwise (or when
+    an id repeats at a boundary) the position inside a stratum comes from
+    ``global_rank`` partitioned by the stratum over the same buckets, so a
+    stratum holding a third of the rows is still spread over many tasks.
     """
-    counts = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("_ns"))
-    n = df.count()
+    # one row per stratum, read by several small jobs: kept once
+    counts = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("_ns")).persist()
+    n = int(counts.agg(F.sum("_ns")).first()[0] or 0)
     n_train, n_val, n_test = split_sizes(n, test_size, val_size)
     a = _allocate(counts, stratum, "_ns", n_val + n_test, n, "_nvt")
     if n_val:
         a = _allocate(a, stratum, "_nvt", n_test, n_val + n_test, "_nt")
     else:
         a = a.withColumn("_nt", F.col("_nvt"))
+    src = df.withColumn("_u", uniform(id_col, seed, "split"))
+    if a.limit(MAX_CUT_STRATA + 1).count() <= MAX_CUT_STRATA:
+        starts = a.select(stratum, (F.col("_ns") - F.col("_nvt") + 1).alias("_s0"),
+                          (F.col("_ns") - F.col("_nt") + 1).alias("_s1"))
+        lab = label_by_group_positions(src, stratum, "_u", id_col, starts, "_cut", key_is_uniform=True)
+        counts.unpersist()
+        if lab is not None:
+            names = F.when(F.col("_cut") == 0, "train").when(F.col("_cut") == 1, "val").otherwise("test")
+            return lab.withColumn(out, names).drop("_u", "_cut")
     r = global_rank(df.withColumn("_u", uniform(id_col, seed, "split")), "_u", id_col, "_pos",
                     key_is_uniform=True, partition_by=[stratum])
     # one row per stratum; AQE broadcasts it when it is small at run time

@@ -200,6 +200,60 @@ def label_by_position(df: DataFrame, key: str, id_col: str, starts, out: str,
     return n, both.withColumn(out, cut_index(key, id_col, marks)).drop("_tn")
 
 
+def label_by_group_positions(df: DataFrame, group: str, key: str, id_col: str, starts: DataFrame, out: str,
+                             key_is_uniform: bool = False) -> DataFrame | None:
+    """Per group, adds ``out`` = number of the group's start positions at or
+    before the row's position in the order (key, id); the key has no nulls.
+
+    ``starts`` has one row per group (the caller bounds their number): the
+    group and one column per 1-based start position (null or beyond the
+    group's size: never reached). Like ``position_cuts``, only the buckets
+    holding a start are numbered; the cut rows (at most groups x starts)
+    come back to the driver and are broadcast back as a per-group table,
+    and rows are labelled by comparison, so no row is shuffled. Returns
+    None when a start falls inside a run of repeated (key, id), for the
+    caller to number rows instead.
+    """
+    spark = df.sparkSession
+    nb = default_buckets(spark)
+    scols = [c for c in starts.columns if c != group]
+    b = _bucket_columns(df.select(group, key, id_col), key, id_col, nb, key_is_uniform)
+    counts = b.groupBy(group, "_maj", "_min").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy(group).orderBy("_maj", "_min").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(group, "_maj", "_min", "_cnt", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
+    st = starts.select(group, F.inline(F.array(*[F.struct(F.lit(j).alias("_j"), F.col(c).cast("long").alias("_p"))
+                                                 for j, c in enumerate(scols)])))
+    tg = (offs.join(F.broadcast(st), group)
+          .where((F.col("_p") > F.col("_off")) & (F.col("_p") <= F.col("_off") + F.col("_cnt"))))
+    tgt = tg.select(group, "_maj", "_min", "_off", "_j", "_p").collect()  # at most groups x starts rows
+    tdf = spark.createDataFrame(tgt, tg.select(group, "_maj", "_min", "_off", "_j", "_p").schema)
+    wi = Window.partitionBy(group, "_maj", "_min").orderBy(F.col(key), F.col(id_col))
+    sel = (b.join(F.broadcast(tdf.select(group, "_maj", "_min", "_off").distinct()), [group, "_maj", "_min"])
+           .withColumn("_pos", F.row_number().over(wi) + F.col("_off"))
+           .withColumn("_before", F.row_number().over(wi) - F.rank().over(wi))
+           .join(F.broadcast(tdf.select(group, "_maj", "_min", "_j", "_p")), [group, "_maj", "_min"])
+           .where(F.col("_pos") == F.col("_p"))
+           .select(group, "_j", key, id_col, "_before").collect())  # at most groups x starts rows
+    if any(r["_before"] for r in sel):
+        return None
+    per: dict = {}
+    for r in sel:
+        per.setdefault(r[group], {})[r["_j"]] = (r[key], r[id_col])
+    gtype = starts.schema[group].dataType.simpleString()
+    ktype = df.schema[key].dataType.simpleString()
+    itype = df.schema[id_col].dataType.simpleString()
+    cut_rows = [(g, *[x for j in range(len(scols)) for x in per[g].get(j, (None, None))]) for g in per]
+    cut_schema = ", ".join([f"`{group}` {gtype}"] + [f"_k{j} {ktype}, _i{j} {itype}" for j in range(len(scols))])
+    cuts = spark.createDataFrame(cut_rows, cut_schema)  # one row per group with a cut
+    k, i = F.col(key), F.col(id_col)
+    lab = F.lit(0)
+    for j in range(len(scols)):
+        ge = (k > F.col(f"_k{j}")) | ((k == F.col(f"_k{j}")) & (i >= F.col(f"_i{j}")))
+        lab = lab + F.coalesce(ge.cast("int"), F.lit(0))
+    res = df.join(F.broadcast(cuts), group, "left").withColumn(out, lab)
+    return res.drop(*[f"_k{j}" for j in range(len(scols))], *[f"_i{j}" for j in range(len(scols))])
+
+
 def qcut_starts(n: int, k: int) -> list[int]:
     """1-based first positions of segments 2..k of ``qcut_segment`` (repeated when a segment is empty)."""
     if n <= 1:

@@ -283,3 +283,16 @@ def test_spearman_pairwise_complete_matches_pandas(spark, limit):
         got = {(r["x"], r["y"]): r["corr"] for r in REL.spearman_matrix(src, ["a", "b", "c"], broadcast_limit=limit).collect()}
         for x, y in itertools.product("abc", repeat=2):
             assert got[(x, y)] == pytest.approx(ref.loc[x, y], abs=1e-12)
+
+
+def test_stratified_cuts_equal_ranked_path(spark, monkeypatch):
+    """Boundary cuts per stratum label rows exactly like numbering every row per stratum."""
+    rows = [(i, "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(1, 2001)]
+    df = spark.createDataFrame(rows, "id long, s string").repartition(5)
+    for test_size, val_size in ((0.2, 0.0), (0.25, 0.15)):
+        cut = {r["id"]: r["split"] for r in P.split_labels_stratified(df, "id", "s", test_size, val_size, 7).collect()}
+        monkeypatch.setattr(P, "MAX_CUT_STRATA", 0)
+        ranked = {r["id"]: r["split"] for r in P.split_labels_stratified(df, "id", "s", test_size, val_size, 7).collect()}
+        monkeypatch.setattr(P, "MAX_CUT_STRATA", 10_000)
+        assert cut == ranked
+        assert len(cut) == 2000
