@@ -237,9 +237,10 @@ def learning_curve(df: DataFrame, features: list[str], label: str, id_col: str,
     params = params or {}
     base = df.select(id_col, *features, label)
     n = base.count()
-    f = assign_folds(base, id_col, cv)
-    f = global_rank(f, id_col, id_col, "_pos").persist()
-    counts = {r["fold"]: r["c"] for r in f.groupBy("fold").agg(F.count(F.lit(1)).alias("c")).collect()}
+    if cv < 2 or cv > n:
+        raise ValueError(f"need 2 <= k <= n rows, got k={cv}, n={n}")
+    # contiguous folds have fixed sizes: the first n mod k hold one row more
+    counts = {j: n // cv + (1 if j < n % cv else 0) for j in range(cv)}
     jobs = []
     for i in range(cv):
         n_train = n - counts[i]
@@ -248,9 +249,9 @@ def learning_curve(df: DataFrame, features: list[str], label: str, id_col: str,
             jobs.append((i, m))
     lin = _linear_params(model_type, params)
     if lin is not None and len(features) <= MAX_GRAM_FEATURES:
-        curve = _linear_learning_curve(f, features, label, counts, jobs, *lin)
-        f.unpersist()
-        return curve
+        return _linear_learning_curve(base, id_col, features, label, counts, jobs, *lin)
+    f = assign_folds(base, id_col, cv)
+    f = global_rank(f, id_col, id_col, "_pos").persist()
 
     def one(job):
         i, m = job
@@ -298,14 +299,16 @@ def _sse(stats, w, b) -> float:
     return float(syy - 2 * b * sy - 2 * w @ sxy + n * b * b + 2 * b * (w @ sx) + w @ sxx @ w)
 
 
-def _linear_learning_curve(f: DataFrame, features, label, counts: dict, jobs, alpha: float,
+def _linear_learning_curve(f: DataFrame, id_col: str, features, label, counts: dict, jobs, alpha: float,
                            fit_intercept: bool) -> DataFrame:
     """All (fold, size) fits of OLS / ridge from ONE aggregate.
 
     Every training set is a prefix of the id order with the held-out fold
     removed, so it is a difference of prefix sums taken at a few cut
-    positions. Rows are summed per segment between cuts; train and test
-    errors follow from the same sums in closed form.
+    positions. Rows are summed per segment between cuts (segments from
+    ``label_by_position``: only the cut rows are found, no row is
+    numbered); train and test errors follow from the same sums in closed
+    form.
     """
     p = len(features)
     folds = sorted(counts)
@@ -319,10 +322,8 @@ def _linear_learning_curve(f: DataFrame, features, label, counts: dict, jobs, al
         cuts.update({start[i], start[i] + counts[i]})
         cuts.add(m if m <= start[i] else m + counts[i])
     cuts = sorted(c for c in cuts if c > 0)
-    from pyspark.ml.feature import Bucketizer
-    splits = [0.5] + [c + 0.5 for c in cuts] + [float("inf")]
-    seg = Bucketizer(splits=splits, inputCol="_posd", outputCol="_seg").transform(
-        f.withColumn("_posd", F.col("_pos").cast("double")))
+    # segment j holds the positions in (cuts[j-1], cuts[j]]
+    _, seg = label_by_position(f, id_col, id_col, lambda n: [c + 1 for c in cuts], "_seg")
     xs = [F.col(c).cast("double") for c in features]
     y = F.col(label).cast("double")
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
