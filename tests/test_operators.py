@@ -102,14 +102,16 @@ def test_iqr_outliers_flag_remove_clip(spark):
     assert clipped.where("id = 9").first()["x"] is None
 
 
-def test_knn_impute_matches_brute_force(spark):
+@pytest.mark.parametrize("block_rows,fanout", [(37, 64), (10, 2)])
+def test_knn_impute_matches_brute_force(spark, block_rows, fanout):
     rng = np.random.default_rng(3)
     X = rng.normal(size=(120, 3))
     X[rng.random((120, 3)) < 0.15] = np.nan
     rows = [(i, *[None if np.isnan(v) else float(v) for v in X[i]]) for i in range(120)]
     df = spark.createDataFrame(rows, "id long, a double, b double, c double")
     from tabstrata.operators.knn import knn_impute
-    got = {r["id"]: (r["a"], r["b"], r["c"]) for r in knn_impute(df, ["a", "b", "c"], "id", k=3, block_rows=37).collect()}
+    got = {r["id"]: (r["a"], r["b"], r["c"]) for r in knn_impute(df, ["a", "b", "c"], "id", k=3, block_rows=block_rows,
+                                                                   fanout=fanout).collect()}
     means = np.nanmean(X, axis=0)
     for i in range(120):
         for j in range(3):
