@@ -32,6 +32,9 @@ MODEL_TYPES = ("linear", "ridge", "lasso", "elasticnet", "random_forest", "gradi
 NORMAL_SOLVER_MAX_FEATURES = 4096  # Spark's limit for solver="normal"
 
 
+MAX_TREE_DEPTH = 30  # the deepest tree Spark ML grows
+
+
 def assembler(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
 
@@ -69,8 +72,11 @@ def estimator(model_type: str, df: DataFrame | None = None, label: str = "label"
                                 fitIntercept=fit_intercept, standardization=False,
                                 maxIter=int(kw.get("max_iter", 10000)), tol=float(kw.get("tol", 1e-9)))
     if model_type == "random_forest":
+        # not given: depth 10 (a bounded default); given as None (unlimited): Spark's cap of 30
+        depth = kw["max_depth"] if "max_depth" in kw else 10
+        depth = MAX_TREE_DEPTH if depth is None else min(int(depth), MAX_TREE_DEPTH)
         return RandomForestRegressor(labelCol=label, numTrees=int(kw.get("n_estimators", 100)),
-                                     maxDepth=int(kw.get("max_depth") or 10), featureSubsetStrategy="all",
+                                     maxDepth=depth, featureSubsetStrategy="all",
                                      minInstancesPerNode=int(kw.get("min_samples_leaf", 1)),
                                      maxBins=int(kw.get("max_bins", 64)), seed=int(kw.get("random_state", 42)))
     if model_type == "gradient_boosting":

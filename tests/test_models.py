@@ -125,3 +125,10 @@ def test_bootstrap_band_and_ci_are_repeatable(spark, regression_frame):
         assert b[g]["ci_low"] == pytest.approx(r["ci_low"]) and b[g]["ci_high"] == pytest.approx(r["ci_high"])
     ci = bootstrap_mean_ci(df, "y", "id", replicates=80).first()
     assert ci["ci_low"] < ci["mean"] < ci["ci_high"] and ci["replicates"] == 80
+
+
+def test_forest_depth_default_and_unlimited(spark):
+    from tabstrata.operators import models as MD
+    assert MD.estimator("random_forest").getMaxDepth() == 10
+    assert MD.estimator("random_forest", max_depth=None).getMaxDepth() == 30
+    assert MD.estimator("random_forest", max_depth=20).getMaxDepth() == 20
