@@ -72,3 +72,12 @@ def test_scan_reads_only_needed_columns(spark, name, schema):
     plan = _plan(spark, name)
     schemas = {part.split("ReadSchema: ")[1].split()[0] for part in plan.splitlines() if "ReadSchema: " in part}
     assert schemas == {schema}
+
+
+@pytest.mark.parametrize("name", ["qcut", "split", "cv_folds", "split_stratified"])
+def test_position_labels_do_not_shuffle_rows(spark, name):
+    """Segments, splits and folds label rows by comparing with boundary rows: the
+    final plan is a scan and projections (plus a broadcast of the per-stratum cut table)."""
+    plan = _plan(spark, name)
+    shuffles = [line for line in plan.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+    assert not shuffles, shuffles
