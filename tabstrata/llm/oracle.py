@@ -44,4 +44,20 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM r JOIN verdict ON r.source IS NOT DISTINCT FROM verdict.host
 """
 
-ORACLE_SQL = {"op8_host_rules": OP8}
+OP3 = r"""
+WITH l AS (
+  SELECT rid, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+  FROM (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), k AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l
+), often AS (
+  SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(often.key)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (often.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN often USING (key) GROUP BY rid
+"""
+
+ORACLE_SQL = {"op3_line_dedup": OP3, "op8_host_rules": OP8}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstrata.llm import host_rules
+from tabstrata.llm import host_rules, line_dedup
 from tabstrata.session import table
 
 
@@ -15,4 +15,10 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op8_host_rules,)}
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that at least 10 documents share."""
+    out = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"), digest=True, min_docs=10, min_chars=1)
+    return out.select("row.doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op8_host_rules)}
