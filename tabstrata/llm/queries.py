@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstrata.llm import host_rules, line_dedup
+from tabstrata.llm import bpe, host_rules, line_dedup
 from tabstrata.session import table
 
 
@@ -21,4 +21,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op8_host_rules)}
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text to ids and back."""
+    ranks = bpe.default_ranks()
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, keep=["doc_id"], with_offsets=False)
+    return bpe.decode(encoded, ranks, digests=True).select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op8_host_rules, op9_bpe)}
