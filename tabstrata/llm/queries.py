@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstrata.llm import bpe, host_rules, line_dedup
+from tabstrata.llm import bpe, host_rules, line_dedup, token_counts
 from tabstrata.session import table
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every text."""
+    out = token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.default_tokenizer())
+    return out.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word and line rules of every document and its host's verdict."""
     out = host_rules.judge(table(spark, sf_dir, "documents"))
@@ -28,4 +34,4 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(encoded, ranks, digests=True).select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op8_host_rules, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op7_token_counts, op8_host_rules, op9_bpe)}
