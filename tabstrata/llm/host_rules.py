@@ -93,9 +93,10 @@ def host_verdicts(rules: DataFrame, host: str, max_rate: float = MAX_RATE) -> Da
     rate = F.col("failed") / F.col("n")
     prior = hosts.agg((F.sum("failed") / F.sum("n")).alias("m"), F.var_pop(rate).alias("v"))
     weight = F.least(F.greatest(F.col("m") * (1 - F.col("m")) / F.greatest(F.col("v"), F.lit(1e-12)) - 1, F.lit(1.0)), F.lit(1e6))
-    both = hosts.join(F.broadcast(prior.select("m", weight.alias("w"))))  # the prior is one row
-    shrunk = (F.col("failed") + F.col("m") * F.col("w")) / (F.col("n") + F.col("w"))
-    return both.select("host", "n", "failed", shrunk.alias("rate"), (shrunk > max_rate).alias("host_rejected"))
+    m, w = prior.select("m").scalar(), prior.select(weight).scalar()  # one row each
+    shrunk = (F.col("failed") + m * w) / (F.col("n") + w)
+    rated = hosts.withColumn("rate", shrunk)
+    return rated.withColumn("host_rejected", F.col("rate") > max_rate)
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: str = "text", max_rate: float = MAX_RATE) -> DataFrame:

@@ -60,4 +60,25 @@ SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(often.key
 FROM k LEFT JOIN often USING (key) GROUP BY rid
 """
 
-ORACLE_SQL = {"op3_line_dedup": OP3, "op8_host_rules": OP8}
+OP5 = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS sha FROM pages
+), bits AS (
+  SELECT sha, any_value(payload_bytes) AS n, max(page_id) AS response,
+         string_agg(list_extract(['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'],
+                                 position(substr(sha, k::INT, 1) IN '0123456789abcdef')), '' ORDER BY k) AS b
+  FROM (SELECT DISTINCT ON (sha) sha, payload_bytes, max(page_id) OVER (PARTITION BY sha) AS page_id FROM p), range(1, 41) AS r(k)
+  GROUP BY sha
+), digest AS (
+  SELECT sha, any_value(response) AS response,
+         string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * substr(b, (5 * j + 1)::INT, 1)::INT + 8 * substr(b, (5 * j + 2)::INT, 1)::INT
+                           + 4 * substr(b, (5 * j + 3)::INT, 1)::INT + 2 * substr(b, (5 * j + 4)::INT, 1)::INT + substr(b, (5 * j + 5)::INT, 1)::INT, 1), '' ORDER BY j) AS payload_digest
+  FROM bits, range(0, 32) AS q(j) GROUP BY sha
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM response THEN response END AS refers_to
+FROM p JOIN digest USING (sha)
+"""
+
+ORACLE_SQL = {"op5_warc": OP5, "op3_line_dedup": OP3, "op8_host_rules": OP8}

@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstrata.llm import bpe, host_rules, line_dedup, token_counts
-from tabstrata.session import table
+from tabstrata.llm import bpe, host_rules, line_dedup, token_counts, warc
+from tabstrata.session import scratch_path, table
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    folder = scratch_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder, min_bytes=0)
+    records = warc.read_archive(spark, folder, with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to_page").alias("refers_to"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,4 +42,4 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(encoded, ranks, digests=True).select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op7_token_counts, op8_host_rules, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op5_warc, op7_token_counts, op8_host_rules, op9_bpe)}
