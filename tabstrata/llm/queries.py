@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstrata.llm import bpe, host_rules, line_dedup, token_counts, warc
+from tabstrata.llm import bpe, chat_windows, host_rules, line_dedup, token_counts, warc
 from tabstrata.session import scratch_path, table
 
 
@@ -17,6 +17,16 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to_page").alias("refers_to"))
 
 
+def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of control strings, formatted, written and read back."""
+    said = "\\### Assistant: </turn> ok"
+    odd = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
+    path = scratch_path(spark, "chat-windows")
+    chat_windows.format_windows(turns, bpe.default_ranks()).write.parquet(path)
+    return chat_windows.read_back(spark.read.parquet(path))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every text."""
     out = token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.default_tokenizer())
@@ -42,4 +52,4 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(encoded, ranks, digests=True).select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op5_warc, op7_token_counts, op8_host_rules, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe)}
