@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstrata.llm import bpe, chat_windows, host_rules, line_dedup, token_counts, warc
+from tabstrata.llm import bpe, chat_windows, decontaminate, host_rules, line_dedup, token_counts, warc
 from tabstrata.session import scratch_path, table
 
 
@@ -52,4 +52,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(encoded, ranks, digests=True).select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) with a similar window."""
+    marked = decontaminate.mark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    found = marked.select("row.doc_id", F.explode("leaks").alias("leak"))
+    return found.select("doc_id", "leak.item_id", F.round("leak.similarity", 6).alias("similarity"), "leak.first_word", "leak.n_words")
+
+
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe, op10_decontamination)}
