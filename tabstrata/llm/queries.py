@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstrata.llm import bpe, chat_windows, decontaminate, host_rules, line_dedup, token_counts, warc
+from tabstrata.llm import bpe, chat_windows, decontaminate, host_rules, line_dedup, lm_scoring, token_counts, warc
 from tabstrata.session import scratch_path, table
 
 
@@ -39,6 +39,12 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's closeness to the documents labelled as good."""
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm_scoring.score(table(spark, sf_dir, "documents"), good)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that at least 10 documents share."""
     out = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"), digest=True, min_docs=10, min_chars=1)
@@ -59,4 +65,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leak.item_id", F.round("leak.similarity", 6).alias("similarity"), "leak.first_word", "leak.n_words")
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op3_line_dedup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe, op10_decontamination)}
