@@ -32,22 +32,12 @@ _BLOCKS = 8
 PASS_BYTES = 32 << 20
 #: Words that one table of running sums covers.
 _SUM_WORDS = 8192
-_PUNCTUATION = np.zeros(256, bool)
-_PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and bytes of every word, and the word offsets of the texts; A-Z lower-cased, ASCII punctuation off the ends of words that have more."""
-    start, end, at = textarrays.words(data, offsets)
-    if not start.size:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), at
-    plain = ~_PUNCTUATION[data]
-    mark = np.r_[0, np.cumsum(plain)]
-    some = mark[end] > mark[start]
-    place = np.flatnonzero(plain)
-    first = np.where(some, place[np.minimum(mark[start], len(place) - 1)] if place.size else start, start)
-    last = np.where(some, place[np.maximum(mark[end] - 1, 0)] + 1 if place.size else end, end)
-    return textarrays.hash_spans(textarrays._LOWER[data], first, last), last - first, at
+    start, end, at = textarrays.word_spans(data, offsets)
+    return textarrays.hash_spans(textarrays.LOWER[data], start, end), end - start, at
 
 
 def simhash(h: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:

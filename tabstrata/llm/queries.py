@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstrata.llm import bpe, chat_windows, decontaminate, host_rules, line_dedup, lm_scoring, token_counts, warc
+from tabstrata.llm import bpe, chat_windows, decontaminate, host_rules, line_dedup, lm_scoring, token_counts, toxicity, warc
 from tabstrata.session import scratch_path, table
 
 
@@ -45,6 +45,15 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"), good)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of the held-out quarter of the ids are not learnt from."""
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out)
+    out = toxicity.score(docs, machine, keep=["doc_id"]).select("row.doc_id", "score")
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that at least 10 documents share."""
     out = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"), digest=True, min_docs=10, min_chars=1)
@@ -65,4 +74,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leak.item_id", F.round("leak.similarity", 6).alias("similarity"), "leak.first_word", "leak.n_words")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op3_line_dedup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_toxicity, op3_line_dedup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe, op10_decontamination)}

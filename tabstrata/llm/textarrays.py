@@ -17,8 +17,10 @@ SLICE_BYTES = 4 << 20
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_PLAIN = np.ones(256, bool)
+_PLAIN[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = False
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -67,6 +69,19 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, np.searchsorted(start, offsets)
 
 
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``words``, without ASCII punctuation at the ends of words that have anything else."""
+    start, end, at = words(data, offsets)
+    plain = _PLAIN[data]
+    place = np.flatnonzero(plain)
+    if not start.size or not place.size:
+        return start, end, at
+    mark = np.r_[0, np.cumsum(plain)]
+    some = mark[end] > mark[start]
+    first = np.where(some, place[np.minimum(mark[start], len(place) - 1)], start)
+    return first, np.where(some, place[np.maximum(mark[end] - 1, 0)] + 1, end), at
+
+
 def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of the bytes of each span (spans must not be empty)."""
     if not start.size:
@@ -82,7 +97,7 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word (A-Z lower-cased if ``lower``) and the word offsets of the texts."""
     start, end, at = words(data, offsets)
-    return hash_spans(_LOWER[data] if lower else data, start, end), at
+    return hash_spans(LOWER[data] if lower else data, start, end), at
 
 
 def chain(h: np.ndarray, n: int) -> np.ndarray:
