@@ -1,12 +1,13 @@
 """Token counts by merging every distinct pre-token of the corpus once.
 
-Each task turns its texts into pre-tokens and sends, for every range of
-pre-token hashes, one block: the distinct pre-tokens once, with the documents
-that hold them and how often. A range's task merges each of its distinct
-pre-tokens once with the tokenizers library, joins the token numbers to the
-documents' frequencies and adds them up per document; the partial sums are
-added up over the ranges. No ids are made and no text is shuffled. A frequent
-pre-token is one entry a block, so it loads no task more than others.
+Each task turns its texts into pre-tokens and writes blocks to the shared
+folder: the per-document pre-token frequencies as one row, and the distinct
+pre-tokens of the block as one row for each range of hashes. The ranges are
+grouped; a range's task merges each of its distinct pre-tokens once with the
+tokenizers library and answers every block with the token numbers of its
+pre-tokens. Joined to the frequencies by block, they are summed per document.
+No ids are made and no text is shuffled; a frequent pre-token is one entry a
+block, so it loads no task more than others.
 """
 
 from __future__ import annotations
@@ -18,17 +19,18 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tabstrata.llm import pretokens, textarrays
+from tabstrata.session import scratch_path
 
 #: Bytes of text that a task gathers into one set of blocks.
-BLOCK_BYTES = 32 << 20
-_BLOCK = "bucket int, hashes binary, pieces binary, ends binary, counts binary, docs binary, freqs binary, ids binary, keys binary, nulls binary, rows binary"
-_ROW = "doc_id long, text_key long, n_rows long, n_bytes long, n_tokens long"
+BLOCK_BYTES = 16 << 20
+_BLOCK = "block string, bucket int, pieces binary, sizes binary, counts binary, docs binary, freqs binary, ids binary, nulls binary, n_bytes binary, own binary"
+_PACKED = [c.split()[0] for c in _BLOCK.split(", ")[2:]]
 
 
 @lru_cache(4)
@@ -47,8 +49,18 @@ def _specials(tokenizer: Tokenizer) -> list[str]:
     return [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
 
+def _ranges(buckets: int) -> np.ndarray:
+    """First hash of every range."""
+    return np.array([(k << 64) // buckets for k in range(buckets)], np.uint64)
+
+
+def _row(block: str, bucket: int | None, **packed: bytes) -> pa.RecordBatch:
+    cols = [pa.array([block]), pa.array([bucket], pa.int32()), *(pa.array([packed.get(c)], pa.binary()) for c in _PACKED)]
+    return pa.RecordBatch.from_arrays(cols, names=["block", "bucket", *_PACKED])
+
+
 class _Block:
-    """Pre-token frequencies of the documents of one task, until they are sent."""
+    """Pre-token frequencies of some documents of a task, until they are sent."""
 
     def __init__(self):
         self.bytes, self.base, self.parts, self.rows = 0, 0, [], []
@@ -56,7 +68,6 @@ class _Block:
     def add(self, part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, tokenizer: Tokenizer, specials: list[str]) -> None:
         raw = data.tobytes()
         tokens = np.zeros(part.num_rows, np.int64)
-        keys = np.array([xxhash.xxh3_64_intdigest(raw[offsets[i] : offsets[i + 1]]) for i in range(part.num_rows)], np.uint64)
         own = np.zeros(part.num_rows, bool)
         for special in specials:
             mark = special.encode()
@@ -74,112 +85,101 @@ class _Block:
         pair, freq = np.unique(which.astype(np.uint64) << np.uint64(32) | doc.astype(np.uint64), return_counts=True)
         size = (end - start)[one]
         spelled = data[pretokens.ragged(start[one], size)]
-        self.parts.append((hashes, size, spelled, pair >> np.uint64(32), (pair & np.uint64(0xFFFFFFFF)) + np.uint64(self.base), freq))
-        self.rows.append((part.column("doc_id"), keys, np.diff(offsets), tokens))
+        self.parts.append((hashes, size, spelled, (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64) + self.base, freq))
+        self.rows.append((part.column("doc_id"), np.diff(offsets), tokens))
         self.base += part.num_rows
         self.bytes += data.size
 
-    def send(self, buckets: int) -> Iterator[pa.RecordBatch]:
+    def send(self, block: str, buckets: int) -> Iterator[pa.RecordBatch]:
         if not self.rows:
             return
         ids = pa.concat_arrays([r[0] for r in self.rows])
-        nulls = ids.is_null().to_numpy(zero_copy_only=False)
-        ids = ids.fill_null(0).to_numpy()
-        keys, n_bytes, tokens = (np.concatenate([r[k] for r in self.rows]) for k in (1, 2, 3))
-        # one list of distinct pieces for all parts
-        every = np.concatenate([p[0] for p in self.parts])
-        size = np.concatenate([p[1] for p in self.parts])
-        spelled = np.concatenate([p[2] for p in self.parts])
+        # one list of distinct pieces, in order of their hashes, for all parts
+        every, size, spelled = (np.concatenate([p[k] for p in self.parts]) for k in range(3))
         begin = np.cumsum(size) - size
         hashes, one, which = np.unique(every, return_index=True, return_inverse=True)
         base = np.cumsum([0, *(len(p[0]) for p in self.parts)])
-        piece = np.concatenate([which[b + p[3].astype(np.int64)] for b, p in zip(base, self.parts)])
-        doc = np.concatenate([p[4] for p in self.parts]).astype(np.int64)
-        freq = np.concatenate([p[5] for p in self.parts])
+        piece = np.concatenate([which[b + p[3]] for b, p in zip(base, self.parts)])
         order = np.argsort(piece, kind="stable")
-        piece, doc, freq = piece[order], doc[order], freq[order]
-        edge = np.searchsorted(hashes, (np.arange(buckets + 1, dtype=object) * (1 << 64) // buckets)[:-1].astype(np.uint64))
-        edge = np.r_[edge, len(hashes)]
-        home = np.arange(len(ids)) % buckets  # every document's own row goes to one of the buckets
-        for k in range(buckets):
-            a, b = edge[k], edge[k + 1]
-            lo, hi = np.searchsorted(piece, [a, b])
-            here = np.unique(doc[lo:hi])
-            mine = np.flatnonzero(home == k)
-            if a == b and not mine.size:
-                continue
-            text = spelled[pretokens.ragged(begin[one[a:b]], size[one[a:b]])].tobytes()
-            count = np.bincount(piece[lo:hi] - a, minlength=b - a)
-            both = np.r_[here, mine]
-            rows = np.stack([mine, n_bytes[mine], tokens[mine]]) if mine.size else np.zeros((3, 0), np.int64)
-            rows[0] = np.arange(len(here), len(both))
-            packed = [textarrays.pack_sorted(hashes[a:b]), text, textarrays.pack(size[one[a:b]]), textarrays.pack(count), textarrays.pack(np.searchsorted(here, doc[lo:hi])), textarrays.pack(freq[lo:hi]), textarrays.pack(ids[both]), textarrays.pack(keys[both]), np.packbits(nulls[both]).tobytes(), textarrays.pack(rows.reshape(-1))]
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)], names=[c.split()[0] for c in _BLOCK.split(", ")])
+        doc, freq = (np.concatenate([p[k] for p in self.parts])[order] for k in (4, 5))
+        edge = np.r_[np.searchsorted(hashes, _ranges(buckets)), len(hashes)]
+        pack = textarrays.pack
+        yield _row(
+            block, None, counts=pack(np.bincount(piece, minlength=len(hashes))), docs=pack(doc), freqs=pack(freq), ids=pack(ids.fill_null(0).to_numpy()),
+            nulls=np.packbits(ids.is_null().to_numpy(zero_copy_only=False)).tobytes(), n_bytes=pack(np.concatenate([r[1] for r in self.rows])), own=pack(np.concatenate([r[2] for r in self.rows])),
+        )
+        for k in np.flatnonzero(np.diff(edge)):
+            these = one[edge[k] : edge[k + 1]]
+            yield _row(block, int(k), pieces=spelled[pretokens.ragged(begin[these], size[these])].tobytes(), sizes=pack(size[these]))
 
 
 def _blocks(path: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = library(path)
         specials = _specials(tokenizer)
-        block = _Block()
+        part, n, block = TaskContext.get().partitionId(), 0, _Block()
         for batch in batches:
-            for part, data, offsets in textarrays.slices(batch, "_text"):
-                block.add(part, data, offsets, tokenizer, specials)
+            for rows, data, offsets in textarrays.slices(batch, "_text"):
+                block.add(rows, data, offsets, tokenizer, specials)
                 if block.bytes >= BLOCK_BYTES:
-                    yield from block.send(buckets)
-                    block = _Block()
-        yield from block.send(buckets)
+                    yield from block.send(f"{part}-{n}", buckets)
+                    n, block = n + 1, _Block()
+        yield from block.send(f"{part}-{n}", buckets)
 
     return run
 
 
-def _count(path: str):
-    """Of all blocks of one range: partial sums of its documents."""
+def _merge(path: str):
+    """Of one range's pre-tokens in all blocks: for each block the number of tokens of each."""
 
     def run(table: pa.Table) -> pa.Table:
         model = library(path).model
-        blocks = table.to_pylist()
-        hashes = [textarrays.unpack_sorted(b["hashes"]) for b in blocks]
-        distinct = np.unique(np.concatenate(hashes))
-        tokens = np.full(len(distinct), -1, np.int64)
-        out = []
-        for b, h in zip(blocks, hashes):
-            slot = np.searchsorted(distinct, h)
-            size = textarrays.unpack(b["ends"]).astype(np.int64)
-            end = np.cumsum(size)
-            for i in np.flatnonzero(tokens[slot] < 0):  # the first block with a piece has it merged
-                tokens[slot[i]] = len(model.tokenize(pretokens.as_characters(b["pieces"][end[i] - size[i] : end[i]])))
-            ids, keys = textarrays.unpack(b["ids"]).astype(np.int64), textarrays.unpack(b["keys"]).astype(np.int64)
-            null = np.unpackbits(np.frombuffer(b["nulls"], np.uint8))[: len(ids)].astype(bool)
-            each = np.repeat(tokens[slot], textarrays.unpack(b["counts"]).astype(np.int64)) * textarrays.unpack(b["freqs"]).astype(np.int64)
-            total = np.bincount(textarrays.unpack(b["docs"]).astype(np.int64), each, len(ids)).astype(np.int64)
-            at, n_bytes, own = textarrays.unpack(b["rows"]).astype(np.int64).reshape(3, -1)
-            rows, length = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
-            rows[at], length[at] = 1, n_bytes
-            total[at] += own
-            out.append(pa.table({"doc_id": pa.array(ids, mask=null), "text_key": keys, "n_rows": rows, "n_bytes": length, "n_tokens": total}))
-        # a document has entries from one block only, but for copies of its row
-        return pa.concat_tables(out)
+        known: dict[bytes, int] = {}
+        counts = []
+        for pieces, sizes in zip(table.column("pieces").to_pylist(), table.column("sizes").to_pylist()):
+            end = np.cumsum(textarrays.unpack(sizes).astype(np.int64)).tolist()
+            numbers = []
+            for a, b in zip([0, *end], end):
+                piece = pieces[a:b]
+                n = known.get(piece)
+                if n is None:
+                    n = known[piece] = len(model.tokenize(pretokens.as_characters(piece)))
+                numbers.append(n)
+            counts.append(textarrays.pack(np.array(numbers, np.int64)))
+        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "own": pa.array(counts, pa.binary())})
 
     return run
 
 
+def _sum(table: pa.Table) -> pa.Table:
+    """Of one block's frequencies and the answers of all ranges: a row per document."""
+    rows = sorted(table.to_pylist(), key=lambda r: -1 if r["bucket"] is None else r["bucket"])
+    have, answers = rows[0], rows[1:]
+    whole = lambda c: textarrays.unpack(have[c]).astype(np.int64)
+    tokens = np.concatenate([np.zeros(0, np.uint64), *(textarrays.unpack(r["own"]) for r in answers)]).astype(np.int64)
+    total = whole("own")
+    each = np.repeat(tokens, whole("counts")) * whole("freqs")
+    total += np.bincount(whole("docs"), each, len(total)).astype(np.int64)
+    null = np.unpackbits(np.frombuffer(have["nulls"], np.uint8))[: len(total)].astype(bool)
+    return pa.table({"doc_id": pa.array(whole("ids"), mask=null), "n_bytes": whole("n_bytes"), "n_tokens": total})
+
+
 def count_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens of every row of ``docs``, as the library's ``encode`` counts without added begin and end tokens.
 
-    Null and empty texts have no tokens. Rows with the same id and text come
-    back as often as they are there; rows with the same id and other texts are
-    told apart by a hash of the text. Other columns are left out.
+    Null and empty texts have no tokens, repeated rows and ids stay apart, an
+    empty table gives no rows. Other columns are left out.
     """
     library(path)  # fails here, not in a task, if the file is of another kind
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = docs.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    blocks = rows.mapInArrow(_blocks(path, buckets), _BLOCK)
-    sums = blocks.groupBy("bucket").applyInArrow(_count(path), _ROW)
-    total = sums.groupBy("doc_id", "text_key").agg(F.sum("n_rows").alias("n"), F.sum("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"))
-    each = lambda c: F.expr(f"{c} div n").alias(c)
-    once = total.select("doc_id", each("n_bytes"), each("n_tokens"), "n")
-    return once.select("doc_id", "n_bytes", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).drop("col")
+    folder = scratch_path(spark, "token-blocks")
+    rows.mapInArrow(_blocks(path, buckets), _BLOCK).write.option("compression", "zstd").parquet(folder)
+    blocks = spark.read.parquet(folder)
+    answers = blocks.filter("bucket IS NOT NULL").select("block", "bucket", "pieces", "sizes").groupBy("bucket").applyInArrow(_merge(path), "block string, bucket int, own binary")
+    have = blocks.filter("bucket IS NULL").drop("pieces", "sizes")
+    return have.unionByName(answers, allowMissingColumns=True).groupBy("block").applyInArrow(_sum, "doc_id long, n_bytes long, n_tokens long")
 
 
 def default_tokenizer() -> str:
