@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstrata.llm import bpe, chat_windows, decontaminate, host_rules, line_dedup, lm_scoring, token_counts, toxicity, warc
+from tabstrata.llm import bpe, chat_windows, decontaminate, host_rules, line_dedup, lm_scoring, near_dup, token_counts, toxicity, warc
 from tabstrata.session import scratch_path, table
 
 
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document: the least id of its class."""
+    return near_dup.with_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
     folder = scratch_path(spark, "warc")
@@ -74,4 +79,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leak.item_id", F.round("leak.similarity", 6).alias("similarity"), "leak.first_word", "leak.n_words")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_toxicity, op3_line_dedup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_toxicity, op3_line_dedup, op4_near_dup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe, op10_decontamination)}
