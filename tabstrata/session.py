@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tabstrata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -48,6 +51,19 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python may not have it; once a session.
+
+    The archive is only made on the driver; Spark hands it to every worker.
+    """
+    sc = spark.sparkContext
+    if not getattr(sc, "_tabstrata_sent", False):
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="tabstrata-"), "tabstrata"), "zip", root, "tabstrata")
+        sc.addPyFile(archive)
+        sc._tabstrata_sent = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for an intermediate table or file."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
