@@ -46,7 +46,7 @@ TASK_NODES = 1000
 PIVOTS = 16
 #: Bytes of pivots in one round.
 PIVOT_BYTES = 48 << 20
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _EPS = 1e-9
 
 
