@@ -241,17 +241,22 @@ def drop_shared_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     return joined.select("_row", "_text", "_keep").mapInArrow(_apply(["row", "n_lines", "n_dropped", last], digest), f"row {kind}, n_lines long, n_dropped long, {last} string")
 
 
-def dedup_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", **rule) -> DataFrame:
-    """``docs`` with the shared lines out of their texts (and ``n_chars`` set anew if there is such a column)."""
+def dedup_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", drop_emptied: bool = False, **rule) -> DataFrame:
+    """``docs`` with the shared lines out of their texts (and ``n_chars`` set anew if there is such a column).
+
+    A text that loses nothing stays as it is, a null too. With ``drop_emptied``
+    the rows go whose lost lines were all their text.
+    """
     done = drop_shared_lines(docs, doc_id, text, **rule)
-    # a text that loses nothing stays as it is, a null too
-    new = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("row")[text])
+    changed = F.col("n_dropped") > 0
+    if drop_emptied:
+        done = done.filter(~changed | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
     cols = []
     for c in docs.columns:
         value = F.col("row")[c]
         if c == text:
-            value = new
+            value = F.when(changed, F.col("kept_text")).otherwise(value)
         elif c == n_chars:
-            value = F.when(F.col("n_dropped") > 0, F.length("kept_text").cast(docs.schema[c].dataType)).otherwise(value)
+            value = F.when(changed, F.length("kept_text").cast(docs.schema[c].dataType)).otherwise(value)
         cols.append(value.alias(c))
     return done.select(*cols)
