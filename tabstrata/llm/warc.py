@@ -156,9 +156,9 @@ def _member_at(view: _Range, offset: int) -> tuple[dict[str, str], bytes, int] |
         out.append(got)
         if fields is None:
             seen += got
-            if not b"WARC/"[: len(seen)] == seen[:5] or len(seen) > 1 << 20:
-                return None
             fields = _headers(seen)
+            if seen[:5] != b"WARC/"[: len(seen)] or fields is None and len(seen) > 1 << 20:
+                return None
     whole = b"".join(out)
     fields = fields or _headers(whole)
     if fields is None:
