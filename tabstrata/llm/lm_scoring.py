@@ -32,7 +32,11 @@ from tabstrata.session import scratch_path
 
 VOCABULARY, ALPHA, PRIOR = 65_536, 0.5, 50.0
 #: Bytes of text that a task gathers into one block.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
+#: Ranges of bigram hashes for each shuffle partition; a range is held in memory by one task.
+RANGES = 2
+#: Target ids that may be broadcast (64 MB); more are joined to the documents instead.
+BROADCAST_IDS = 8_000_000
 _OTHER, _EDGE, _FIRST = 0, 1, 2
 _BLOCK = "block string, bucket int, keys binary, counts binary, targets binary, spread binary, docs binary, freqs binary, ids binary, nulls binary, words binary, marks binary"
 _PACKED = [c.split()[0] for c in _BLOCK.split(", ")[2:]]
@@ -92,6 +96,14 @@ def _row(block: str, bucket: int | None, **packed: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=["block", "bucket", *_PACKED])
 
 
+def among(ids: pa.Array, chosen: np.ndarray) -> pa.Array:
+    """Whether each id is one of the sorted ones; a null id isn't."""
+    value = ids.fill_null(0).to_numpy()
+    at = np.minimum(np.searchsorted(chosen, value), max(0, len(chosen) - 1))
+    hit = (chosen[at] == value) if len(chosen) else np.zeros(len(value), bool)
+    return pa.array(hit & ids.is_valid().to_numpy(zero_copy_only=False))
+
+
 def bigrams(h: np.ndarray, at: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Key (first id, second id) and text of every bigram; each text starts and ends with the edge id."""
     place = np.minimum(np.searchsorted(words, h), max(0, len(words) - 1))
@@ -141,10 +153,14 @@ class _Block:
             yield _row(block, int(k), keys=textarrays.pack_sorted(own[a:b]), counts=pack(n[a:b]), targets=pack(target[a:b]))
 
 
-def _blocks(words, buckets: int):
+def _blocks(words, chosen, buckets: int):
+    """``chosen``: the target ids, sorted, or None where the rows have a column ``target``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n, block = TaskContext.get().partitionId(), 0, _Block()
         for batch in batches:
+            if chosen is not None:
+                batch = batch.append_column("target", among(batch.column("doc_id"), chosen.value))
             for rows, data, offsets in textarrays.slices(batch, "_text"):
                 block.add(rows, data, offsets, words.value)
                 if block.bytes >= BLOCK_BYTES:
@@ -224,17 +240,22 @@ def score(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", text: str
     """
     spark = docs.sparkSession
     words = vocabulary(docs, text, size)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chosen = targets.select(F.col("doc_id").cast("long").alias("_id")).distinct().withColumn("target", F.lit(True))
+    buckets = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chosen = targets.select(F.col("doc_id").cast("long").alias("_id")).dropna().distinct()
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    marked = rows.join(chosen, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "_text", "target")
+    if chosen.count() <= BROADCAST_IDS:
+        ids = np.sort(chosen.toArrow().column("_id").to_numpy())
+        known = spark.sparkContext.broadcast(ids)
+    else:
+        known = None
+        rows = rows.join(chosen.withColumn("target", F.lit(True)), F.col("doc_id") == F.col("_id"), "left").select("doc_id", "_text", "target")
     folder = scratch_path(spark, "lm-blocks")
-    marked.mapInArrow(_blocks(spark.sparkContext.broadcast(words), buckets), _BLOCK).write.option("compression", "zstd").parquet(folder)
+    rows.mapInArrow(_blocks(spark.sparkContext.broadcast(words), known, buckets), _BLOCK).write.option("compression", "zstd").parquet(folder)
     blocks = spark.read.parquet(folder)
     grams = blocks.filter("bucket IS NOT NULL").select("block", "bucket", "keys", "counts", "targets")
-    ids = len(words) + _FIRST
-    uni = np.zeros((2, ids))
-    counted = grams.mapInArrow(_unigrams(ids), "id long, n long, t long").groupBy("id").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    size = len(words) + _FIRST
+    uni = np.zeros((2, size))
+    counted = grams.mapInArrow(_unigrams(size), "id long, n long, t long").groupBy("id").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     for r in counted.collect():  # at most one row per id of the vocabulary
         uni[:, r["id"]] = r["n"], r["t"]
     answers = grams.groupBy("bucket").applyInArrow(_merge, "block string, bucket int, keys binary, counts binary, targets binary")

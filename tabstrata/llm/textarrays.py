@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -123,12 +123,18 @@ def shingles(h: np.ndarray, at: np.ndarray, n: int = 5) -> tuple[np.ndarray, np.
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Integers as byte planes, so that the unused high bytes compress away in a shuffle."""
-    return np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Integers as byte planes, as many as the largest needs, led by their number."""
+    a = a.astype("<u8")
+    width = max(1, (int(a.max()).bit_length() + 7) // 8) if a.size else 1
+    return bytes([width]) + np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8).T[:width]).tobytes()
 
 
 def unpack(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
+    width = b[0]
+    planes = np.frombuffer(b, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").reshape(-1)
 
 
 def pack_sorted(a: np.ndarray) -> bytes:
