@@ -253,14 +253,16 @@ def pair_density(df: DataFrame, columns: list[str], bins: int = 20) -> DataFrame
 
 def pair_columns(df: DataFrame, target: str | None, columns: list[str] | None = None, max_cols: int = 6) -> list[str]:
     """C21 column choice: up to ``max_cols`` numeric columns; with more, the
-    ``max_cols - 1`` most target-correlated ones (the target itself counts)."""
+    ``max_cols - 1`` most target-correlated ones (the target is one of them)."""
     from .profile import numeric_columns
     from .relations import target_correlations
     cols = columns or numeric_columns(df)
-    if len(cols) <= max_cols or not target:
-        return cols[:max_cols] if not target else cols
+    if len(cols) <= max_cols:
+        return cols
+    if not target:
+        return cols[:max_cols - 1]
     tc = target_correlations(df, target, cols).withColumn("a", F.abs("corr"))
-    top = [r["feature"] for r in tc.orderBy(F.col("a").desc_nulls_last(), "feature").limit(max_cols - 1).collect()]
+    top = [r["feature"] for r in tc.orderBy(F.col("a").desc_nulls_last(), "feature").limit(max_cols - 2).collect()]
     return top + [target]
 
 

@@ -16,6 +16,7 @@ hence the sd_y factor.
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -45,7 +46,15 @@ def _label_sd(df: DataFrame, label: str) -> tuple[int, float]:
 
 
 def estimator(model_type: str, df: DataFrame | None = None, label: str = "label", **kw):
-    """The Spark estimator for a model type with the reference's defaults."""
+    """The Spark estimator for a model type with its usual defaults; unknown parameters raise."""
+    known = {"linear": ("fit_intercept",), "ridge": ("alpha", "fit_intercept", "max_iter", "tol"), "lasso": ("alpha", "l1_ratio", "fit_intercept", "max_iter", "tol"),  # the ratio is 1 for it
+            
+             "elasticnet": ("alpha", "l1_ratio", "fit_intercept", "max_iter", "tol"),
+             "random_forest": ("n_estimators", "max_depth", "min_samples_leaf", "max_bins", "random_state"),
+             "gradient_boosting": ("n_estimators", "learning_rate", "max_depth", "subsample", "max_bins", "random_state")}
+    odd = set(kw) - set(known.get(model_type, kw)) - {"n_features"}
+    if odd:
+        raise ValueError(f"{model_type} has no parameter {sorted(odd)}")
     if model_type == "linear":
         return LinearRegression(labelCol=label, solver="normal", regParam=0.0, elasticNetParam=0.0,
                                 fitIntercept=kw.get("fit_intercept", True), standardization=False)
@@ -72,8 +81,7 @@ def estimator(model_type: str, df: DataFrame | None = None, label: str = "label"
                                 fitIntercept=fit_intercept, standardization=False,
                                 maxIter=int(kw.get("max_iter", 10000)), tol=float(kw.get("tol", 1e-9)))
     if model_type == "random_forest":
-        # not given: depth 10 (a bounded default); given as None (unlimited): Spark's cap of 30
-        depth = kw["max_depth"] if "max_depth" in kw else 10
+        depth = kw.get("max_depth")  # None, the default: as deep as Spark grows trees
         depth = MAX_TREE_DEPTH if depth is None else min(int(depth), MAX_TREE_DEPTH)
         return RandomForestRegressor(labelCol=label, numTrees=int(kw.get("n_estimators", 100)),
                                      maxDepth=depth, featureSubsetStrategy="all",
@@ -87,11 +95,16 @@ def estimator(model_type: str, df: DataFrame | None = None, label: str = "label"
     raise ValueError(f"Unknown model type: {model_type}")
 
 
+def complete_rows(df: DataFrame, features: list[str], label: str) -> DataFrame:
+    """Rows without a null or NaN in the features or the label: what every fit and every validation uses."""
+    return df.dropna(subset=[*features, label])
+
+
 def train(df: DataFrame, features: list[str], label: str, model_type: str = "linear", **kw) -> PipelineModel:
-    """Fit (assembler -> estimator) on ``df``; F7 goes through ``train_svr``."""
+    """Fit (assembler -> estimator) on the complete rows of ``df``; F7 goes through ``train_svr``."""
     if model_type == "svr":
         return train_svr(df, features, label, **kw)
-    d = df.select(*features, F.col(label).cast("double").alias(label))
+    d = complete_rows(df, features, label).select(*features, F.col(label).cast("double").alias(label))
     est = estimator(model_type, d, label, n_features=len(features), **kw)
     return Pipeline(stages=[assembler(features), est]).fit(d)
 
@@ -149,11 +162,24 @@ class SVRModel:
     intercept: float
     gamma: float
     approximation: str = "random Fourier features"
+    kernel: str = "rbf"
 
     def _z(self, X: np.ndarray) -> np.ndarray:
         S = (X - self.center) / self.scale
+        if self.kernel == "linear":
+            return S
         return math.sqrt(2.0 / self.W.shape[1]) * np.cos(S @ self.W + self.b)
 
+    def save(self, spark, path: str) -> None:
+        """The parameters as one JSON row in ``path``."""
+        state = {k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in self.__dict__.items()}
+        spark.createDataFrame([(json.dumps(state),)], "svr string").coalesce(1).write.mode("overwrite").text(path)
+
+    @staticmethod
+    def load(spark, path: str) -> SVRModel:
+        state = json.loads(spark.read.text(path).first()[0])
+        return SVRModel(**{k: np.array(v) if k in ("center", "scale", "W", "b", "coef") else v for k, v in state.items()})
+
     def transform(self, df: DataFrame) -> DataFrame:
         feats, me = self.features, self
         schema = StructType(list(df.schema.fields) + [StructField("prediction", DoubleType())])
@@ -169,7 +195,7 @@ class SVRModel:
 
 def train_svr(df: DataFrame, features: list[str], label: str, C: float = 1.0, epsilon: float = 0.1,
               gamma: str | float = "scale", n_components: int = 200, iterations: int = 30, seed: int = 42,
-              scale_data: bool = True, tol: float = 1e-6, **_) -> SVRModel:
+              scale_data: bool = True, tol: float = 1e-6, kernel: str = "rbf") -> SVRModel:
     """approximate RBF SVR (C 1, epsilon 0.1, gamma 'scale'), primal objective
     1/2 ||w||^2 + C * sum_i max(0, |y_i - z_i.w - b| - epsilon) on random Fourier features z.
 
@@ -178,11 +204,15 @@ def train_svr(df: DataFrame, features: list[str], label: str, C: float = 1.0, ep
     C / (|r| - epsilon) and target y - epsilon * sign(r); each iteration is ONE
     distributed pass summing Z'AZ, Z'A1, 1'A1, Z'Ay', 1'Ay' per partition
     (a (D+1) x (D+1) system, D = n_components), solved on the driver. The
-    training rows are persisted for the iterations.
+    training rows are persisted for the iterations. Rows with a null feature or
+    label are left out. ``kernel`` may be rbf or linear (z(x) is then the scaled
+    features themselves).
     """
+    if kernel not in ("rbf", "linear"):
+        raise ValueError(f"unknown kernel {kernel!r}: rbf or linear")
     from ..operators.prepare import fit_scaler
     d = df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias("_y")) \
-          .where(F.col("_y").isNotNull())
+          .dropna()
     if scale_data:
         sc = fit_scaler(d, "standard", features)
         center = np.array([sc.params[c][0] for c in features])
@@ -200,10 +230,14 @@ def train_svr(df: DataFrame, features: list[str], label: str, C: float = 1.0, ep
     else:
         g = float(gamma)
     rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, math.sqrt(2.0 * g), size=(len(features), n_components))
-    b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
+    if kernel == "linear":
+        n_components = len(features)
+        W, b = np.eye(n_components), np.zeros(n_components)
+    else:
+        W = rng.normal(0.0, math.sqrt(2.0 * g), size=(len(features), n_components))
+        b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
     start_b = d.agg(F.percentile_approx("_y", 0.5, 10000)).first()[0] or 0.0
-    model = SVRModel(features, center, scale, W, b, np.zeros(n_components), float(start_b), g)
+    model = SVRModel(features, center, scale, W, b, np.zeros(n_components), float(start_b), g, kernel=kernel)
     d = d.persist()
     D = n_components
     prev = None
@@ -226,14 +260,20 @@ def train_svr(df: DataFrame, features: list[str], label: str, C: float = 1.0, ep
                 Za = Z * a[:, None]
                 M += Z.T @ Za
                 v += Za.T @ yt
-            yield pd.DataFrame({"g": [np.concatenate([M.ravel(), v, [obj]]).tolist()]})
-
-        # one pass per iteration: the per-partition sums are added up per array index
-        tot = (d.mapInPandas(normal_eq, "g array<double>").select(F.posexplode("g").alias("i", "x"))
-               .groupBy("i").agg(F.sum("x").alias("x")).collect())  # (D+1)^2 + D + 2 numbers
-        flat = np.zeros((D + 1) * (D + 1) + D + 2)
-        for row in tot:
-            flat[row["i"]] = row["x"]
+            yield pd.DataFrame({"g": [np.concatenate([M.ravel(), v, [obj]]).tobytes()]})
+
+        def added(batches):
+            total = 0.0
+            for pdf in batches:
+                for g in pdf["g"]:
+                    total = total + np.frombuffer(g)
+            if not np.isscalar(total):
+                yield pd.DataFrame({"g": [total.tobytes()]})
+
+        # one pass per iteration: a row per partition, added up in about the root of their number of tasks
+        some = max(1, int(math.sqrt(d.rdd.getNumPartitions())))
+        rows = d.mapInPandas(normal_eq, "g binary").repartition(some).mapInPandas(added, "g binary").collect()
+        flat = sum((np.frombuffer(r["g"]) for r in rows), np.zeros((D + 1) * (D + 1) + D + 2))
         M = flat[:(D + 1) * (D + 1)].reshape(D + 1, D + 1)
         v = flat[(D + 1) * (D + 1):-1]
         obj = 0.5 * float(coef @ coef) + float(flat[-1])

@@ -8,6 +8,7 @@ a single codegen'd projection over the scan.
 
 from __future__ import annotations
 
+import decimal
 import math
 from dataclasses import dataclass, field
 from fractions import Fraction
@@ -69,13 +70,14 @@ def most_frequent(df: DataFrame, columns: list[str]) -> dict[str, object]:
     counts = st.where(F.col("txt").isNotNull()).groupBy("column", "num", "txt").agg(F.count(F.lit(1)).alias("cnt"))
     top = counts.groupBy("column").agg(F.max("cnt").alias("top"))
     best = (counts.join(F.broadcast(top), "column").where(F.col("cnt") == F.col("top"))
-            .groupBy("column").agg(F.min("num").alias("num"), F.min("txt").alias("txt")))
+            .groupBy("column").agg(F.min("num").alias("num"), F.min("txt").alias("txt"),
+                                   F.min_by("txt", F.col("txt").try_cast("decimal(38,10)")).alias("exact")))
     out = {}
     for r in best.collect():  # one row per column
         c = r["column"]
         if c in numeric:
-            v = r["num"]
-            out[c] = int(v) if types[c] in ("int", "bigint", "smallint", "tinyint") else v
+            whole = types[c] in ("int", "bigint", "smallint", "tinyint") or types[c].startswith("decimal")
+            out[c] = decimal.Decimal(r["exact"]) if types[c].startswith("decimal") else int(r["exact"]) if whole else r["num"]
         else:
             out[c] = r["txt"]
     for c in columns:
@@ -342,13 +344,12 @@ def split_labels_stratified(df: DataFrame, id_col: str, stratum: str, test_size=
 
 
 def split_dataset(df: DataFrame, id_col: str, target: str, test_size=0.2, val_size=0.0, seed: int = 42,
-                  stratify: str | None = None, materialize: bool = True):
+                  stratify: str | None = None, materialize: bool = False):
     """(train, val or None, test) DataFrames; the target must exist.
 
+    Labels are a projection, so the parts are read through to the source.
     With ``materialize`` the labelled table is checkpointed once to the
-    shared ``spark.checkpoint.dir`` (reliable, survives executor loss), so
-    the several fit jobs that follow read it instead of recomputing the
-    ranking shuffle each time.
+    shared ``spark.checkpoint.dir``, for inputs that are dear to recompute.
     """
     if target not in df.columns:
         raise ValueError(f"Target column '{target}' not found in dataframe")

@@ -186,8 +186,8 @@ def outlier_summary(df: DataFrame, bounds: dict[str, tuple[float, float]], treat
                  *[F.sum(is_outside(c, *bounds[c]).cast("long")).alias(f"o{i}") for i, c in enumerate(cols)])
     structs = [F.struct(F.lit(c).alias("column"), F.col(f"o{i}").alias("outlier_count"),
                         (F.col(f"o{i}") * 100.0 / F.nullif(F.col("_n"), F.lit(0))).alias("outlier_percent"),
-                        F.lit(float(bounds[c][0])).alias("lower_bound"),
-                        F.lit(float(bounds[c][1])).alias("upper_bound"),
+                        F.lit(bounds[c][0]).cast("double").alias("lower_bound"),  # null for a column without values
+                        F.lit(bounds[c][1]).cast("double").alias("upper_bound"),
                         F.lit(treatment).alias("treatment"))
                for i, c in enumerate(cols)]
     return one.select(_long(structs))

@@ -50,9 +50,9 @@ def _bucket_columns(df: DataFrame, key: str, id_col: str, n_buckets: int, key_is
         return df.withColumns({"_maj": maj, "_min": F.lit(0)})
     fr = [i / n_buckets for i in range(1, n_buckets)]
     acc = accuracy or max(10000, 20 * n_buckets)
-    row = df.agg(F.percentile_approx(F.col(key).cast("double"), fr, acc).alias("ke"),
+    row = df.agg(F.percentile_approx(F.col(key), fr, acc).alias("ke"),
                  F.percentile_approx(F.col(id_col).cast("double"), fr, acc).alias("ie")).first()
-    kedges = [e for e in (row["ke"] or []) if e is not None]
+    kedges = [e for e in (row["ke"] or []) if e is not None]  # of the key's own type
     iedges = [e for e in (row["ie"] or []) if e is not None]
     ksplits = _splits(kedges)
     # an edge repeated in the quantiles holds more than 1/n_buckets of the rows
@@ -61,16 +61,20 @@ def _bucket_columns(df: DataFrame, key: str, id_col: str, n_buckets: int, key_is
     out = _bucketize(out, id_col, _splits(iedges), "_ib")
     lower = F.element_at(F.array(*[F.lit(s) for s in ksplits]), F.col("_kb").cast("int") + 1)
     kd = F.col(key).cast("double")
+    # rows at an edge: keys that differ may share a double, so heavy keys are compared in their
+    # own type; a heavy key's rows are split by id, the keys between two heavy ones stay together
+    step = len(iedges) + 4
     if heavy:
-        is_heavy = F.array_contains(F.array(*[F.lit(float(h)) for h in heavy]), kd)
-        tie_minor = F.when(is_heavy, F.col("_ib").cast("int")).otherwise(F.lit(0))
+        listed = F.array(*[F.lit(h).cast(df.schema[key].dataType) for h in heavy])
+        below = F.size(F.filter(listed, lambda h: h < F.col(key)))
+        tie_minor = below * step + F.when(F.array_contains(listed, F.col(key)), F.col("_ib").cast("int") + 1).otherwise(F.lit(0))
     else:
         tie_minor = F.lit(0)
     null_maj = F.lit(len(ksplits))
     maj = F.when(F.col(key).isNull(), null_maj).otherwise(F.col("_kb").cast("int"))
     minor = (F.when(F.col(key).isNull(), F.col("_ib").cast("int"))
              .when(kd == lower, tie_minor)
-             .otherwise(F.lit(n_buckets + 1)))
+             .otherwise(F.lit((len(heavy) + 1) * step)))
     return out.withColumns({"_maj": maj, "_min": minor}).drop("_kb", "_ib")
 
 
@@ -180,8 +184,8 @@ def label_by_position(df: DataFrame, key: str, id_col: str, starts, out: str,
     Positions may repeat (an empty segment) or exceed n (never reached).
     Rows only move when a cut falls inside a run of repeated (key, id)
     (an id that is not unique): the rows of such runs, and only those, are
-    numbered in input order (``monotonically_increasing_id``: partition,
-    then position, fixed for a given file layout), as a stable sort would.
+    numbered by a hash of their content, so that labels don't depend on the
+    layout of the input.
     """
     n, cuts = position_cuts(df, key, id_col, starts, key_is_uniform=key_is_uniform)
     marks = [cuts[p] for p in sorted(int(p) for p in starts(n)) if p in cuts]
@@ -193,7 +197,7 @@ def label_by_position(df: DataFrame, key: str, id_col: str, starts, out: str,
     for ck, cid in runs:
         in_run = in_run | (k.eqNullSafe(F.lit(ck)) & (i == F.lit(cid)))
     w = Window.partitionBy(key, id_col).orderBy("_mid")
-    src = df.withColumn("_mid", F.monotonically_increasing_id())
+    src = df.withColumn("_mid", F.xxhash64(*df.columns))
     tied = src.where(in_run).withColumn("_tn", F.row_number().over(w) - 1).drop("_mid")
     rest = src.where(~in_run).drop("_mid").withColumn("_tn", F.lit(None).cast("int"))
     both = rest.unionByName(tied)

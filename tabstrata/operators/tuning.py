@@ -34,16 +34,8 @@ GRIDS = {
 }
 
 
-def fold_of(pos0: Column, n: int, k: int) -> Column:
-    """Contiguous k-fold index of 0-based position; the first n mod k folds are one larger."""
-    small, big = n // k, n % k
-    boundary = big * (small + 1)
-    return F.when(pos0 < boundary, F.floor(pos0 / (small + 1))).otherwise(
-        F.lit(big) + F.floor((pos0 - boundary) / max(small, 1))).cast("int")
-
-
 def fold_starts(n: int, k: int) -> list[int]:
-    """1-based first positions of folds 1..k-1 of ``fold_of``."""
+    """1-based first positions of folds 1..k-1: contiguous folds, the first n mod k one row larger."""
     small, big = n // k, n % k
     return [j * (small + 1) + 1 if j <= big else big * (small + 1) + (j - big) * small + 1 for j in range(1, k)]
 
@@ -69,43 +61,58 @@ def _fit_predict(train: DataFrame, test: DataFrame, features, label, model_type,
 
 # --------------------------------------------------------------------------------------
 # linear / ridge from sufficient statistics: every fold (and every grid point) from ONE
-# grouped aggregate of X'X, X'y per fold; the training statistics of fold i are the
-# totals minus fold i's own, the p x p solves run on the driver, and one pass scores all.
+# grouped aggregate of the sums and products of the columns less their global means (so a
+# large offset cancels nothing); the training statistics of fold i are the totals minus
+# fold i's own, the p x p solves run on the driver, and one pass scores all. Only complete
+# rows are used, as in ``models.train``.
 # --------------------------------------------------------------------------------------
 MAX_GRAM_FEATURES = 64
 
 
-def fold_gram(f: DataFrame, features: list[str], label: str) -> dict:
-    """{fold: (n, sx[p], sy, sxx[p,p], sxy[p])} from one grouped aggregate (k rows)."""
+def column_means(f: DataFrame, columns: list[str]) -> np.ndarray:
+    row = f.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    return np.array([row[f"m{i}"] or 0.0 for i in range(len(columns))])
+
+
+def centred_sums(f: DataFrame, by: str, features: list[str], label: str, means: np.ndarray) -> dict:
+    """{group: [n, sx[p], sy, sxx[p,p], sxy[p], syy]} of the columns less ``means``, from one aggregate."""
     p = len(features)
-    xs = [F.col(c).cast("double") for c in features]
-    y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy")]
+    xs = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(features, means)]
+    y = F.col(label).cast("double") - F.lit(float(means[p]))
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
     aggs += [F.sum(x).alias(f"sx{i}") for i, x in enumerate(xs)]
     aggs += [F.sum(x * y).alias(f"sxy{i}") for i, x in enumerate(xs)]
     aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(p) for j in range(i, p)]
     out = {}
-    for r in f.groupBy("fold").agg(*aggs).collect():
+    for r in f.groupBy(by).agg(*aggs).collect():  # one row per fold or segment
         sxx = np.zeros((p, p))
         for i in range(p):
             for j in range(i, p):
                 sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"]
-        out[r["fold"]] = (r["n"], np.array([r[f"sx{i}"] for i in range(p)]), r["sy"], sxx,
-                          np.array([r[f"sxy{i}"] for i in range(p)]))
+        out[int(r[by])] = [r["n"], np.array([r[f"sx{i}"] for i in range(p)]), r["sy"], sxx,
+                           np.array([r[f"sxy{i}"] for i in range(p)]), r["syy"]]
     return out
 
 
-def solve_linear(n, sx, sy, sxx, sxy, alpha: float = 0.0, fit_intercept: bool = True):
-    """Least squares / ridge (penalty alpha * ||w||^2 on the summed loss) from sums."""
+def solve_linear(stats, means: np.ndarray, alpha: float = 0.0, fit_intercept: bool = True):
+    """Least squares / ridge (penalty alpha * ||w||^2 on the summed loss): (w, intercept) from centred sums.
+
+    Collinear or constant columns get the solution of least norm, of which all
+    solutions' predictions are the same.
+    """
+    n, sx, sy, sxx, sxy = stats[:5]
+    mx, my = means[:-1], means[-1]
     p = len(sx)
     if fit_intercept:
         A = sxx - np.outer(sx, sx) / n
         b = sxy - sx * sy / n
     else:
-        A, b = sxx.copy(), sxy.copy()
-    w = np.linalg.solve(A + alpha * np.eye(p), b)
-    icpt = (sy - w @ sx) / n if fit_intercept else 0.0
-    return w, float(icpt)
+        A = sxx + np.outer(sx, mx) + np.outer(mx, sx) + n * np.outer(mx, mx)
+        b = sxy + sx * my + mx * sy + n * mx * my
+    A = A + alpha * np.eye(p)
+    size = np.sqrt(np.where(np.diag(A) > 0, np.diag(A), 1.0))  # columns of unit length, for the cut-off
+    w = np.linalg.lstsq(A / np.outer(size, size), b / size, rcond=1e-11)[0] / size
+    return w, float(my + (sy - w @ sx) / n - w @ mx) if fit_intercept else 0.0
 
 
 def _linear_params(model_type: str, params: dict) -> tuple[float, bool] | None:
@@ -116,14 +123,16 @@ def _linear_params(model_type: str, params: dict) -> tuple[float, bool] | None:
     return None
 
 
-def _fold_predictions(f: DataFrame, features, label, stats: dict, points: list[tuple[float, bool]]) -> DataFrame:
+def _fold_predictions(f: DataFrame, features, label, points: list[tuple[float, bool]]) -> DataFrame:
     """Predictions of every fold's model for every point, one pass: column pred{j} per point."""
+    means = column_means(f, [*features, label])
+    stats = centred_sums(f, "fold", features, label, means)
     tot = [sum(v[i] for v in stats.values()) for i in range(5)]
     cols = []
     for j, (alpha, icpt) in enumerate(points):
         expr = None
         for k, v in stats.items():
-            w, b = solve_linear(*(tot[i] - v[i] for i in range(5)), alpha=alpha, fit_intercept=icpt)
+            w, b = solve_linear([tot[i] - v[i] for i in range(5)], means, alpha, icpt)
             lin = F.lit(float(b))
             for c, wc in zip(features, w):
                 lin = lin + F.lit(float(wc)) * F.col(c).cast("double")
@@ -135,15 +144,18 @@ def _fold_predictions(f: DataFrame, features, label, stats: dict, points: list[t
 def cross_validate(df: DataFrame, features: list[str], label: str, id_col: str, model_type: str = "linear",
                    k: int = 5, params: dict | None = None, parallelism: int = 2, folded: DataFrame | None = None):
     """per-fold metrics (fold, mse, rmse, mae, r2, mape, n) and the summary
-    (metric, mean, std with ddof 0) over folds."""
+    (metric, mean, std with ddof 0) over folds. Rows with a null are left out
+    before the folds are cut."""
     params = params or {}
-    f = folded if folded is not None else assign_folds(df.select(id_col, *features, label), id_col, k)
+    base = MD.complete_rows(df.select(id_col, *features, label), features, label)
+    f = folded if folded is not None else assign_folds(base, id_col, k)
     lin = _linear_params(model_type, params)
     if lin is not None and len(features) <= MAX_GRAM_FEATURES:
-        preds = _fold_predictions(f, features, label, fold_gram(f, features, label), [lin])
+        preds = _fold_predictions(f, features, label, [lin])
         per_fold = regression_metrics(preds, label, "pred0", group=["fold"])
         return per_fold, _summary(per_fold)
-    f = f.persist()
+    mine = folded is None
+    f = f.persist() if mine else f
 
     def one(i):
         return _fit_predict(f.where(F.col("fold") != i), f.where(F.col("fold") == i), features, label,
@@ -155,6 +167,9 @@ def cross_validate(df: DataFrame, features: list[str], label: str, id_col: str,
     for p in preds[1:]:
         u = u.unionByName(p)
     per_fold = regression_metrics(u, label, "prediction", group=["fold"])
+    if mine:  # k rows are kept, the training rows let go
+        per_fold = df.sparkSession.createDataFrame(per_fold.collect(), per_fold.schema)
+        f.unpersist()
     return per_fold, _summary(per_fold)
 
 
@@ -173,7 +188,7 @@ def param_points(model_type: str, grid: dict | None = None) -> list[dict]:
 
 def _linear_search_scores(folded: DataFrame, features, label, pts, lin, scoring) -> list[tuple]:
     """Every grid point and fold from one aggregate and one scoring pass."""
-    preds = _fold_predictions(folded, features, label, fold_gram(folded, features, label), lin)
+    preds = _fold_predictions(folded, features, label, lin)
     mets = [regression_metrics(preds, label, f"pred{j}", group=["fold"]).select(F.lit(j).alias("point"), "fold", scoring)
             for j in range(len(pts))]
     allm = mets[0]
@@ -200,7 +215,7 @@ def search(df: DataFrame, features: list[str], label: str, id_col: str, model_ty
         pts = random.Random(seed).sample(pts, min(n_iter, len(pts)))
     elif search_method != "grid":
         raise ValueError(f"unknown search method {search_method!r}")
-    folded = assign_folds(df.select(id_col, *features, label), id_col, cv).persist()
+    folded = assign_folds(MD.complete_rows(df.select(id_col, *features, label), features, label), id_col, cv).persist()
     lin = [_linear_params(model_type, p) for p in pts]
     if all(x is not None for x in lin) and len(features) <= MAX_GRAM_FEATURES:
         rows = _linear_search_scores(folded, features, label, pts, lin, scoring)
@@ -227,26 +242,25 @@ def learning_curve(df: DataFrame, features: list[str], label: str, id_col: str,
                    parallelism: int = 4) -> DataFrame:
     """RMSE of train and validation folds at growing train sizes.
 
-    For fold i the training rows are the other folds in id order; a size s
-    keeps the first s of them (position within the training part). Each
-    (size, fold) fit is one job submitted from a small thread pool.
+    For fold i the training rows are the other folds in id order; a size m
+    keeps the first m of them (position within the training part). A size
+    given as a share is one number for all folds, that share of the smallest
+    training part. Each (size, fold) fit of a model other than linear and
+    ridge is one job submitted from a small thread pool.
     Returns (train_size, train_rmse_mean, train_rmse_std, test_rmse_mean,
     test_rmse_std) with ddof 0 over folds.
     """
     sizes = train_sizes or [round(0.1 * i, 10) for i in range(1, 11)]
     params = params or {}
-    base = df.select(id_col, *features, label)
+    base = MD.complete_rows(df.select(id_col, *features, label), features, label)
     n = base.count()
     if cv < 2 or cv > n:
         raise ValueError(f"need 2 <= k <= n rows, got k={cv}, n={n}")
     # contiguous folds have fixed sizes: the first n mod k hold one row more
     counts = {j: n // cv + (1 if j < n % cv else 0) for j in range(cv)}
-    jobs = []
-    for i in range(cv):
-        n_train = n - counts[i]
-        for s in sizes:
-            m = max(1, int(s * n_train)) if s <= 1 else int(s)
-            jobs.append((i, m))
+    n_train = n - max(counts.values())
+    every = sorted({min(n_train, max(1, math.floor(s * n_train + 1e-9)) if s <= 1 else int(s)) for s in sizes})
+    jobs = [(i, m) for i in range(cv) for m in every]
     lin = _linear_params(model_type, params)
     if lin is not None and len(features) <= MAX_GRAM_FEATURES:
         return _linear_learning_curve(base, id_col, features, label, counts, jobs, *lin)
@@ -293,10 +307,11 @@ def diagnose(curve: DataFrame) -> DataFrame:
     return last.select("train_size", "train_rmse_mean", "test_rmse_mean", gap.alias("gap"), dx.alias("diagnosis"))
 
 
-def _sse(stats, w, b) -> float:
-    """Sum of squared errors of y - (b + w.x) from (n, sx, sy, sxx, sxy, syy)."""
+def _sse(stats, means, w, b) -> float:
+    """Sum of squared errors of y - (b + w.x) from centred sums."""
     n, sx, sy, sxx, sxy, syy = stats
-    return float(syy - 2 * b * sy - 2 * w @ sxy + n * b * b + 2 * b * (w @ sx) + w @ sxx @ w)
+    c = b + w @ means[:-1] - means[-1]  # the intercept for centred columns
+    return float(syy - 2 * c * sy - 2 * w @ sxy + n * c * c + 2 * c * (w @ sx) + w @ sxx @ w)
 
 
 def _linear_learning_curve(f: DataFrame, id_col: str, features, label, counts: dict, jobs, alpha: float,
@@ -324,26 +339,13 @@ def _linear_learning_curve(f: DataFrame, id_col: str, features, label, counts: d
     cuts = sorted(c for c in cuts if c > 0)
     # segment j holds the positions in (cuts[j-1], cuts[j]]
     _, seg = label_by_position(f, id_col, id_col, lambda n: [c + 1 for c in cuts], "_seg")
-    xs = [F.col(c).cast("double") for c in features]
-    y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
-    aggs += [F.sum(x).alias(f"sx{i}") for i, x in enumerate(xs)]
-    aggs += [F.sum(x * y).alias(f"sxy{i}") for i, x in enumerate(xs)]
-    aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(p) for j in range(i, p)]
-    rows = {int(r["_seg"]): r for r in seg.groupBy("_seg").agg(*aggs).collect()}  # one row per segment
-
-    def stats_of(r):
-        sxx = np.zeros((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"]
-        return [r["n"], np.array([r[f"sx{i}"] for i in range(p)]), r["sy"], sxx,
-                np.array([r[f"sxy{i}"] for i in range(p)]), r["syy"]]
+    means = column_means(f, [*features, label])
+    rows = centred_sums(seg, "_seg", features, label, means)  # one row per segment
 
     zero = [0, np.zeros(p), 0.0, np.zeros((p, p)), np.zeros(p), 0.0]
     prefix = [zero]  # prefix[j] = sums over positions <= cuts[j-1]
     for j in range(len(cuts) + 1):
-        seg_stats = stats_of(rows[j]) if j in rows else zero
+        seg_stats = rows.get(j, zero)
         prefix.append([a + b for a, b in zip(prefix[-1], seg_stats)])
     at = {0: prefix[0]}
     for j, c in enumerate(cuts):
@@ -356,9 +358,9 @@ def _linear_learning_curve(f: DataFrame, id_col: str, features, label, counts: d
     for i, m in jobs:
         held = diff(at[start[i] + counts[i]], at[start[i]])
         train = at[m] if m <= start[i] else diff(at[m + counts[i]], held)
-        w, b = solve_linear(train[0], train[1], train[2], train[3], train[4], alpha, fit_intercept)
-        tr = math.sqrt(max(_sse(train, w, b), 0.0) / train[0])
-        te = math.sqrt(max(_sse(held, w, b), 0.0) / held[0])
+        w, b = solve_linear(train, means, alpha, fit_intercept)
+        tr = math.sqrt(max(_sse(train, means, w, b), 0.0) / train[0])
+        te = math.sqrt(max(_sse(held, means, w, b), 0.0) / held[0])
         out.append((i, m, tr, te))
     spark = f.sparkSession
     pts = spark.createDataFrame(out, "fold int, train_size int, train_rmse double, test_rmse double")

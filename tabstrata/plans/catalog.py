@@ -40,6 +40,10 @@ def round_doubles(df: DataFrame, d: int = 6, skip: tuple[str, ...] = ()) -> Data
                        and f.name not in skip else F.col(f.name) for f in df.schema.fields])
 
 
+#: A unique id of a line item: order, line, part and supplier.
+ROW_ID = "((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey"
+
+
 def _posts_na(spark: SparkSession, d: str) -> DataFrame:
     return posts_with_missing(table(spark, d, "events"), MISSING_PCT, SEED)
 
@@ -49,7 +53,7 @@ def _line_pred(spark: SparkSession, d: str) -> DataFrame:
     fixed-rate prediction from the quantity."""
     li = table(spark, d, "lineitem")
     return li.select(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_returnflag"),
-                     (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"),
+                     F.expr(ROW_ID).alias("row_id"),
                      F.col("l_extendedprice").alias("label"),
                      (F.col("l_quantity") * 1500.0).alias("prediction"),
                      (F.col("l_quantity") * 1000.0 + 10000.0).alias("prediction_b"))
@@ -424,7 +428,7 @@ def bootstrap_ci(spark, d):
 
 
 def ols_band(spark, d):
-    li = table(spark, d, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"),
+    li = table(spark, d, "lineitem").select(F.expr(ROW_ID).alias("row_id"),
                                             "l_quantity", "l_extendedprice")
     return round_doubles(DEN.regression_band(li, "l_quantity", "l_extendedprice", "row_id", replicates=100,
                                              seed=SEED), 2)
@@ -508,7 +512,7 @@ POST_FEATS = ["post_hour", "post_day", "k", "user_id"]
 
 def _lineitem_ml(spark, d):
     return table(spark, d, "lineitem").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_id"), *LINE_FEATS, "l_extendedprice")
+        F.expr(ROW_ID).alias("row_id"), *LINE_FEATS, "l_extendedprice")
 
 
 def _posts_ml(spark, d):
@@ -566,8 +570,7 @@ def importance(spark, d):
 def grid(spark, d):
     from ..operators import tuning as TU
     li = _lineitem_ml(spark, d)
-    _, _, _, res = TU.search(li, LINE_FEATS, "l_extendedprice", "row_id", "ridge", cv=3,
-                             grid={"alpha": [0.1, 10.0], "fit_intercept": [True, False]})
+    _, _, _, res = TU.search(li, LINE_FEATS, "l_extendedprice", "row_id", "ridge", cv=5)
     return round_doubles(res, 2)
 
 
@@ -589,14 +592,39 @@ def cv_scores(spark, d):
     from ..operators import tuning as TU
     li = _lineitem_ml(spark, d)
     per_fold, _ = TU.cross_validate(li, LINE_FEATS, "l_extendedprice", "row_id", "linear", 5)
-    return round_doubles(per_fold, 4)
+    return round_doubles(per_fold, 2)
+
+
+def _odd_lines(spark, d):
+    """Line items with nulls in a feature and the label, an offset label, and a column that is the sum of two others."""
+    li = _lineitem_ml(spark, d)
+    gap = lambda c, k: F.when(F.col("row_id") % k != 0, F.col(c)).alias(c)
+    return li.select("row_id", gap("l_quantity", 7), "l_discount", "l_tax", (F.col("l_discount") + F.col("l_tax")).alias("both"),
+                     F.lit(1.0).alias("one"), (gap("l_extendedprice", 11) + 1e5).alias("price"))
+
+
+def cv_nulls(spark, d):
+    from ..operators import tuning as TU
+    per_fold, _ = TU.cross_validate(_odd_lines(spark, d), LINE_FEATS, "price", "row_id", "linear", 5)
+    return round_doubles(per_fold, 2)
+
+
+def cv_collinear(spark, d):
+    from ..operators import tuning as TU
+    per_fold, _ = TU.cross_validate(_odd_lines(spark, d), [*LINE_FEATS, "both", "one"], "price", "row_id", "linear", 5)
+    return round_doubles(per_fold, 2)
+
+
+def learning_curve_uneven(spark, d):
+    from ..operators import tuning as TU
+    c = TU.learning_curve(_odd_lines(spark, d), LINE_FEATS, "price", "row_id", "linear", cv=7, train_sizes=[0.1, 0.37, 1.0])
+    return round_doubles(c, 2)
 
 
 def learning_curve(spark, d):
     from ..operators import tuning as TU
     li = _lineitem_ml(spark, d)
-    c = TU.learning_curve(li, LINE_FEATS, "l_extendedprice", "row_id", "linear", cv=3,
-                          train_sizes=[0.25, 0.5, 0.75, 1.0])
+    c = TU.learning_curve(li, LINE_FEATS, "l_extendedprice", "row_id", "linear")
     return round_doubles(TU.diagnose(c), 4)
 
 
@@ -678,6 +706,9 @@ QUERIES.update({
     "random": random_search,
     "cv_folds": cv_folds,
     "cv_scores": cv_scores,
+    "cv_nulls": cv_nulls,
+    "cv_collinear": cv_collinear,
+    "learning_curve_uneven": learning_curve_uneven,
     "learning_curve": learning_curve,
     "model_save_load": model_save_load,
     "eda_report": eda_report,

@@ -41,8 +41,8 @@ POSTS_NA = f"""posts_na AS (
          value AS target
   FROM events)"""
 
-LINE_PRED = """lp AS (
-  SELECT l_orderkey, l_linenumber, l_returnflag, l_orderkey * 8 + l_linenumber AS row_id,
+LINE_PRED = f"""lp AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag, {C.ROW_ID} AS row_id,
          l_extendedprice AS label, l_quantity * 1500.0::DOUBLE AS prediction,
          l_quantity * 1000.0::DOUBLE + 10000.0::DOUBLE AS prediction_b
   FROM lineitem)"""
@@ -751,7 +751,7 @@ SELECT mn.event_type, mn.n, {r('mn.mean')} AS mean, {r('ci.lo')} AS ci_low, {r('
 FROM mn JOIN ci USING (event_type)"""
 
 SQL["ols_band"] = f"""
-WITH li AS (SELECT l_orderkey * 8 + l_linenumber AS row_id, l_quantity AS x, l_extendedprice AS y FROM lineitem
+WITH li AS (SELECT {C.ROW_ID} AS row_id, l_quantity AS x, l_extendedprice AS y FROM lineitem
             WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL),
 {_weighted_rows("li", "row_id", "row_id, x, y", 100, SEED)},
 sums AS (SELECT rep, sum(w) AS sw, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx, sum(w * x * y) AS sxy
@@ -806,7 +806,7 @@ def _ols3_coefs(t: str, alpha: float = 0.0) -> list[str]:
     return ws + [icpt]
 
 
-_LI_ML = f"li AS (SELECT l_orderkey * 8 + l_linenumber AS row_id, {', '.join(_LX)}, {_LY} FROM lineitem)"
+_LI_ML = f"li AS (SELECT {C.ROW_ID} AS row_id, {', '.join(_LX)}, {_LY} FROM lineitem)"
 
 
 def _pred_sql(t: str, alpha: float = 0.0) -> str:
@@ -830,13 +830,19 @@ def _ridge_alpha_sql() -> str:
 SQL["ridge"] = _ridge_alpha_sql()
 
 
-def _cv_sql(k: int = 5) -> str:
+_ODD_ML = f"""li AS (SELECT row_id, l_quantity, l_discount, l_tax, l_extendedprice FROM (
+  SELECT {C.ROW_ID} AS row_id, CASE WHEN ({C.ROW_ID}) % 7 <> 0 THEN l_quantity END AS l_quantity, l_discount, l_tax,
+         CASE WHEN ({C.ROW_ID}) % 11 <> 0 THEN l_extendedprice + 1e5 END AS l_extendedprice FROM lineitem)
+  WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL)"""
+
+
+def _cv_sql(k: int = 5, li: str = _LI_ML, shift: float = 0.0) -> str:
     tr = ", ".join(f"a.{c} - f.{c} AS {c}" for c in
                    ["n", "sy", "syy"] + [f"s{i}" for i in range(3)] + [f"s{i}y" for i in range(3)]
                    + [f"s{i}{j}" for i in range(3) for j in range(i, 3)])
     pred = _pred_sql("tr")
     return f"""
-WITH {_LI_ML},
+WITH {li},
 rk AS (SELECT *, row_number() OVER (ORDER BY row_id) - 1 AS pos0, count(*) OVER () AS nn FROM li),
 fo AS (SELECT *, cast(CASE WHEN pos0 < (nn % {k}) * (nn // {k} + 1) THEN floor(pos0 / (nn // {k} + 1))
                           ELSE (nn % {k}) + floor((pos0 - (nn % {k}) * (nn // {k} + 1)) / greatest(nn // {k}, 1)) END
@@ -845,10 +851,12 @@ a AS (SELECT {_sums_select(_LX, _LY)} FROM fo),
 f AS (SELECT fold, {_sums_select(_LX, _LY)} FROM fo GROUP BY fold),
 tr AS (SELECT f.fold, {tr} FROM a, f),
 p AS (SELECT fo.fold, fo.{_LY} AS label, {pred} AS prediction FROM fo JOIN tr ON fo.fold = tr.fold)
-SELECT fold, {metric_select('label', 'prediction', 4)}, count(*) AS n FROM p GROUP BY fold"""
+SELECT fold, {metric_select('label', 'prediction', 2)}, count(*) AS n FROM p GROUP BY fold"""
 
 
 SQL["cv_scores"] = _cv_sql(5)
+SQL["cv_nulls"] = _cv_sql(5, _ODD_ML)
+SQL["cv_collinear"] = SQL["cv_nulls"]  # the further columns add nothing that the others can't say
 
 def _raw_coefs(t: str, alpha: float) -> list[str]:
     """No-intercept ridge / least squares: (X'X + aI) w = X'y from raw sums."""
@@ -863,11 +871,11 @@ def _raw_coefs(t: str, alpha: float) -> list[str]:
 
 def _grid_sql() -> str:
     from itertools import product
-    k = 3
+    k = 5
     tr = ", ".join(f"a.{c} - f.{c} AS {c}" for c in
                    ["n", "sy", "syy"] + [f"s{i}" for i in range(3)] + [f"s{i}y" for i in range(3)]
                    + [f"s{i}{j}" for i in range(3) for j in range(i, 3)])
-    points = list(product([0.1, 10.0], [True, False]))
+    points = list(product([0.1, 1.0, 10.0, 100.0], [True, False]))
     parts = []
     for pi, (alpha, icpt) in enumerate(points):
         if icpt:
@@ -894,20 +902,23 @@ tr AS (SELECT f.fold, {tr} FROM a, f)
 
 SQL["grid"] = _grid_sql()
 
-def _learning_curve_sql(k: int = 3, sizes=(0.25, 0.5, 0.75, 1.0)) -> str:
+def _learning_curve_sql(k: int = 5, sizes=tuple(i / 10 for i in range(1, 11)), li: str = _LI_ML, whole: bool = False) -> str:
     """Diagnosis row of the OLS learning curve: fold i trains on the first m rows (in id order)
     of the other folds; train and test RMSE per (fold, m); mean over folds per m."""
     size_rows = " UNION ALL ".join(f"SELECT {s!r}::DOUBLE AS sz" for s in sizes)
     pred = _pred_sql("t")
     sums = _sums_select(_LX, _LY)
-    return f"""
-WITH {_LI_ML},
+    tail = f"""SELECT tr_err.m::INTEGER AS train_size, {r('avg(tr_err.rmse)', 2)} AS train_rmse_mean, {r('stddev_pop(tr_err.rmse)', 2)} AS train_rmse_std,
+  {r('avg(te_err.rmse)', 2)} AS test_rmse_mean, {r('stddev_pop(te_err.rmse)', 2)} AS test_rmse_std
+FROM tr_err JOIN te_err ON tr_err.i = te_err.i AND tr_err.m = te_err.m GROUP BY tr_err.m"""
+    sql = f"""
+WITH {li},
 rk AS (SELECT *, row_number() OVER (ORDER BY row_id) AS pos, count(*) OVER () AS nn FROM li),
 fo AS (SELECT *, cast(CASE WHEN pos - 1 < (nn % {k}) * (nn // {k} + 1) THEN floor((pos - 1) / (nn // {k} + 1))
                           ELSE (nn % {k}) + floor((pos - 1 - (nn % {k}) * (nn // {k} + 1)) / greatest(nn // {k}, 1)) END
                      AS INTEGER) AS fold FROM rk),
 fc AS (SELECT fold AS i, count(*) AS ci, any_value(nn) AS nn FROM fo GROUP BY fold),
-combos AS (SELECT fc.i, fc.ci, greatest(1, cast(floor(sz * (fc.nn - fc.ci)) AS BIGINT)) AS m FROM fc, ({size_rows})),
+combos AS (SELECT fc.i, fc.ci, greatest(1, cast(floor(sz * (fc.nn - (SELECT max(ci) FROM fc)) + 1e-9) AS BIGINT)) AS m FROM fc, ({size_rows})),
 trrows AS (SELECT combos.i, combos.m, fo.* FROM fo JOIN combos ON fo.fold <> combos.i
            WHERE CASE WHEN fo.fold < combos.i THEN fo.pos ELSE fo.pos - combos.ci END <= combos.m),
 t AS (SELECT i, m, {sums} FROM trrows GROUP BY i, m),
@@ -926,9 +937,11 @@ SELECT cast(train_size AS INTEGER) AS train_size, {r('tr', 4)} AS train_rmse_mea
        WHEN te - tr < 0.2 * te AND te < 0.7 * mx THEN 'good fit'
        ELSE 'more data may help' END AS diagnosis
 FROM last, mx"""
+    return sql if not whole else sql[:sql.index(",\ncurve AS")] + "\n" + tail
 
 
 SQL["learning_curve"] = _learning_curve_sql()
+SQL["learning_curve_uneven"] = _learning_curve_sql(7, (0.1, 0.37, 1.0), _ODD_ML, whole=True)
 
 # --------------------------------------------------------------------------------------
 # lasso and elastic net by cyclic coordinate descent on the centred Gram sums, run

@@ -3,6 +3,7 @@ descent, planted outliers, learning-curve diagnosis rules, fold sizes."""
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tabstrata.operators import models as MD
 from tabstrata.operators import tuning as TU
@@ -129,6 +130,48 @@ def test_bootstrap_band_and_ci_are_repeatable(spark, regression_frame):
 
 def test_forest_depth_default_and_unlimited(spark):
     from tabstrata.operators import models as MD
-    assert MD.estimator("random_forest").getMaxDepth() == 10
+    assert MD.estimator("random_forest").getMaxDepth() == 30  # unlimited by default
     assert MD.estimator("random_forest", max_depth=None).getMaxDepth() == 30
     assert MD.estimator("random_forest", max_depth=20).getMaxDepth() == 20
+
+
+def test_unknown_parameters_raise(spark):
+    from tabstrata.operators import models as MD
+    with pytest.raises(ValueError):
+        MD.estimator("random_forest", min_samples_split=3)
+
+
+def test_svr_nulls_kernel_and_save(spark, regression_frame):
+    from tabstrata.operators import models as MD
+    from tabstrata.session import scratch_path
+    from tabstrata.sources.io import load_model, save_model
+    _, _, df = regression_frame
+    holes = df.withColumn("a", F.when(F.col("id") % 9 != 0, F.col("a")))
+    for kernel in ("rbf", "linear"):
+        m = MD.train(holes, ["a", "b"], "y", "svr", n_components=40, iterations=6, kernel=kernel)
+        assert np.isfinite(m.coef).all()
+        back = load_model(save_model(m, scratch_path(spark, "models"), f"svr_{kernel}"))
+        a, b = (x.transform(df.select("id", "a", "b")).orderBy("id").limit(20).toPandas().prediction for x in (m, back))
+        assert np.allclose(a, b)
+    with pytest.raises(ValueError):
+        MD.train(df, ["a", "b"], "y", "svr", kernel="cubic")
+
+
+def test_fold_sums_equal_fits_with_nulls_collinear_columns_and_offsets(spark, regression_frame):
+    from tabstrata.operators import tuning as TU
+    _, _, df = regression_frame
+    odd = df.select("id", F.when(F.col("id") % 9 != 0, F.col("a")).alias("a"), "b", (F.col("a") + F.col("b")).alias("c"), (F.col("y") + 1e9).alias("y"))
+    for feats in (["a", "b"], ["a", "b", "c"]):
+        fast = {r["fold"]: r["mse"] for r in TU.cross_validate(odd, feats, "y", "id", "linear", 4)[0].collect()}
+        base = odd.dropna(subset=[*feats, "y"]).toPandas().sort_values("id").reset_index(drop=True)
+        cuts = np.array_split(np.arange(len(base)), 4)
+        for i, hold in enumerate(cuts):
+            tr = base.drop(index=hold)
+            y0 = tr["y"].mean()
+            X = np.c_[np.ones(len(tr)), tr[feats]]
+            w = np.linalg.lstsq(X, tr["y"] - y0, rcond=None)[0]
+            te = base.loc[hold]
+            mse = np.mean((te["y"] - y0 - np.c_[np.ones(len(te)), te[feats]] @ w) ** 2)
+            assert fast[i] == pytest.approx(mse, rel=1e-4)
+    curve = TU.learning_curve(odd, ["a", "b"], "y", "id", "linear", cv=4, train_sizes=[0.3, 1.0]).collect()
+    assert len(curve) == 2 and all(r["train_rmse_mean"] > 0 for r in curve)

@@ -298,3 +298,32 @@ def test_stratified_cuts_equal_ranked_path(spark, monkeypatch):
         monkeypatch.setattr(P, "MAX_CUT_STRATA", 10_000)
         assert cut == ranked
         assert len(cut) == 2000
+
+
+def test_csv_mixed_round_trip(spark):
+    from decimal import Decimal
+    from tabstrata.session import scratch_path
+    from tabstrata.sources.io import read_csv
+    path = scratch_path(spark, "mixed") + ".csv"
+    lines = ["a,b,c,d", '120.0,1.5,"say ""hi"", ok",2024-01-02', "NA,NaN,,", '7,2,"two', 'lines",2024-02-03']
+    spark.createDataFrame([("\n".join(lines),)], "t string").coalesce(1).write.text(path)
+    rows = read_csv(spark, path, "a int, b double, c string, d date").orderBy("a").collect()
+    assert [(r["a"], r["b"], r["c"]) for r in rows] == [(None, None, None), (7, 2.0, "two\nlines"), (120, 1.5, 'say "hi", ok')]
+    inferred = read_csv(spark, path, infer_schema=True)
+    assert dict(inferred.dtypes) == {"a": "bigint", "b": "double", "c": "string", "d": "date"}
+    with pytest.raises(Exception, match="not a int"):
+        read_csv(spark, path, "b int").collect()
+
+
+def test_outliers_of_an_all_null_column(spark):
+    from tabstrata.operators.profile import detect_and_handle_outliers
+    df = spark.createDataFrame([(1, None), (2, None), (50, None)], "x int, y double")
+    out, summary = detect_and_handle_outliers(df, ["x", "y"])
+    assert out.count() == 3 and {r["column"]: r["outlier_count"] for r in summary.collect()}["y"] == 0
+
+
+def test_most_frequent_keeps_64_bit_integers(spark):
+    from tabstrata.operators.prepare import impute
+    big = 9007199254740993
+    df = spark.createDataFrame([(big,), (big,), (9,), (10,), (None,)], "x bigint")
+    assert [r["x"] for r in impute(df, "most_frequent", ["x"]).collect()].count(big) == 3

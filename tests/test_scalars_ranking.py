@@ -115,3 +115,24 @@ def test_qcut_rows_and_folds_match_positions(spark, k):
     folds = TU.assign_folds(df, "id", k).groupBy("fold").count().collect()
     small, big = n // k, n % k
     assert sorted((r["fold"], r["count"]) for r in folds) == [(j, small + (1 if j < big else 0)) for j in range(k)]
+
+
+def test_rank_and_segments_of_keys_that_share_a_double(spark):
+    from pyspark.sql import functions as F
+    from tabstrata.operators.ranking import global_rank, qcut_rows
+    big = 2**53
+    df = spark.range(2000).select(F.col("id"), (F.lit(big) + F.col("id") % 2).alias("k")).repartition(5)
+    rows = sorted(df.collect(), key=lambda r: (r["k"], r["id"]))
+    want = {r["id"]: i + 1 for i, r in enumerate(rows)}
+    assert {r["id"]: r["rank"] for r in global_rank(df, "k", "id", n_buckets=16).collect()} == want
+    seg = qcut_rows(df, "k", "id", 2).groupBy("segment").agg(F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")).orderBy("segment").collect()
+    assert [(r["n"], r["lo"], r["hi"]) for r in seg] == [(1000, big, big), (1000, big + 1, big + 1)]
+
+
+def test_labels_of_repeated_ids_do_not_depend_on_layout(spark):
+    from pyspark.sql import functions as F
+    from tabstrata.operators.tuning import assign_folds
+    df = spark.range(101).select((F.col("id") % 3).alias("i"), (F.col("id") * 7 % 50).alias("x"), F.col("id").alias("u"))
+    a = {r["u"]: r["fold"] for r in assign_folds(df.repartition(7), "i", 5).collect()}
+    b = {r["u"]: r["fold"] for r in assign_folds(df.coalesce(1), "i", 5).collect()}
+    assert a == b
