@@ -130,9 +130,9 @@ def clip(spark, d):
 
 
 def iqr_filter(spark, d):
-    li = table(spark, d, "lineitem")
-    (lo, hi), = PR.iqr_bounds_dict(li, ["l_extendedprice"]).values()
-    return li.where(PR.is_outside("l_extendedprice", lo, hi)).select("l_orderkey", "l_linenumber", "l_extendedprice")
+    docs = table(spark, d, "documents")
+    (lo, hi), = PR.iqr_bounds_dict(docs, ["n_chars"]).values()
+    return docs.where(PR.is_outside("n_chars", lo, hi)).select("doc_id", "n_chars")
 
 
 def iqr_flag(spark, d):

@@ -145,9 +145,9 @@ SELECT event_id, {r('CASE WHEN value IS NOT NULL THEN least(greatest(value, 1.0:
 FROM events"""
 
 SQL["iqr_filter"] = f"""
-WITH {iqr_cte('b', 'lineitem', 'l_extendedprice')}
-SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem, b
-WHERE l_extendedprice < b.lo OR l_extendedprice > b.hi"""
+WITH {iqr_cte('b', 'documents', 'n_chars')}
+SELECT doc_id, n_chars FROM documents, b
+WHERE n_chars < b.lo OR n_chars > b.hi"""
 
 SQL["iqr_flag"] = f"""
 WITH {POSTS_NA}, {iqr_cte('bk', 'posts_na', 'k')}, {iqr_cte('bt', 'posts_na', 'target')}

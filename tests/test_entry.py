@@ -15,5 +15,5 @@ def test_oracle_keys_are_queries():
 
 
 def test_no_reserved_names():
-    for name in E.queries():
+    for name in E.catalog.QUERIES:
         assert name != "pipeline" and not name.startswith("op")
