@@ -15,10 +15,10 @@ the text has it times ``idf``. Texts whose weighted Jaccard similarity is
    their similarity. Equal multisets become one node. Nodes that agree in a
    whole band are candidates, tied by stars to the band's least node, so a band
    of m nodes has m - 1 ties.
-3. Candidate components are solved exactly: those of up to ``TASK_NODES`` nodes
-   in one task by an inverted list; larger ones in rounds in which all their
-   nodes are compared with a few pivots (see ``_pivot_links``), so that neither
-   a task nor the driver holds such a component.
+3. Candidate components are solved exactly by pivots (see ``_solve``): those of
+   bounded size in one task, larger ones in rounds over all their nodes (see
+   ``_pivot_links``), so that neither a task nor the driver holds such a
+   component and a large group of near copies is never compared pair by pair.
 """
 
 from __future__ import annotations
@@ -42,11 +42,14 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 14, 4
 #: Share of all documents added to a document frequency: the weight halves for a shingle in about a third of them.
 SMOOTHING = 0.1
-TASK_NODES = 1000
+#: Nodes and bytes of a component that one task solves.
+TASK_NODES, TASK_BYTES = 4000, 16 << 20
 PIVOTS = 16
 #: Bytes of pivots in one round.
 PIVOT_BYTES = 48 << 20
 BLOCK_BYTES = 8 << 20
+#: Ranges of shingle hashes for each shuffle partition; a range is held in memory by one task.
+RANGES = 4
 _EPS = 1e-9
 
 
@@ -178,6 +181,12 @@ def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.T
 
 
+def _packed(h: np.ndarray, times: np.ndarray, dfs: np.ndarray) -> bytes:
+    """A multiset: two lengths, then shingles, how often each is there, document frequencies."""
+    a, b, c = textarrays.pack_sorted(h), textarrays.pack(times), textarrays.pack(dfs)
+    return np.array([len(a), len(b)], "<i8").tobytes() + a + b + c
+
+
 def _survivors(n_docs: int, least: float, bands: int, rows: int):
     """Of one block: documents with enough shared weight, as multisets of shared shingles with band keys."""
 
@@ -200,7 +209,7 @@ def _survivors(n_docs: int, least: float, bands: int, rows: int):
         start = np.searchsorted(doc, own)
         stop = np.r_[start[1:], len(doc)]
         keys = band_keys(samples(h, weight, start, bands * rows), bands, rows).view(np.int64) if len(own) else np.zeros((0, bands), np.int64)
-        vectors = [textarrays.pack_sorted(h[a:b]) + textarrays.pack(times[a:b]) + textarrays.pack(dfs[a:b]) for a, b in zip(start, stop)]
+        vectors = [_packed(h[a:b], times[a:b], dfs[a:b]) for a, b in zip(start, stop)]
         # a document with a shingle of its own equals no other
         digests = [hashlib.md5(v + (ids[i].tobytes() if alone[i] else b"")).hexdigest() for v, i in zip(vectors, own)]
         central = np.add.reduceat(dfs * weight, start) / whole[own] if len(own) else np.zeros(0)
@@ -211,7 +220,7 @@ def _survivors(n_docs: int, least: float, bands: int, rows: int):
 
 def shared_vectors(docs: DataFrame, doc_id: str, text: str, n_docs: int, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, digest, total, central, bands, vector of the documents that can have links."""
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text")).filter("doc_id IS NOT NULL")
     blocks = texts.mapInArrow(_blocks(buckets), _BLOCK)
     answers = blocks.groupBy("bucket").applyInArrow(_frequencies, _ANSWER)
@@ -223,9 +232,9 @@ def shared_vectors(docs: DataFrame, doc_id: str, text: str, n_docs: int, least:
 # --------------------------------------------------------------------------------------
 def _vector(packed: bytes, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles, ascending, and their weights."""
-    third = len(packed) // 3
-    h = textarrays.unpack_sorted(packed[:third])
-    return h, textarrays.unpack(packed[third : 2 * third]).astype(float) * idf(textarrays.unpack(packed[2 * third :]), n_docs)
+    a, b = np.frombuffer(packed, "<i8", 2).tolist()
+    times, dfs = textarrays.unpack(packed[16 + a : 16 + a + b]), textarrays.unpack(packed[16 + a + b :])
+    return textarrays.unpack_sorted(packed[16 : 16 + a]), times.astype(float) * idf(dfs, n_docs)
 
 
 class _Lists:
@@ -246,22 +255,45 @@ class _Lists:
 
 
 def _solve(n_docs: int, least: float):
-    """Of one candidate component: each node's class, its least node."""
+    """Of one candidate component: each node's class, its least node.
+
+    Every node is compared with pivots, the most central first, until it is
+    one or is linked to one. Two nodes linked to different pivots can still be
+    linked to each other; as one minus the weighted Jaccard similarity is a
+    metric, that needs a node x outside the pivot's class within
+    2 (1 - least) of the pivot, and a node whose distance from the pivot is at
+    least x's less (1 - least). Such nodes become pivots too, until none is
+    left. So no link between classes is lost, and nodes deep in a group of
+    near copies are never compared with each other.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        node = table.column("node").to_numpy()
+        node, central = table.column("node").to_numpy(), table.column("central").to_numpy()
         order = np.argsort(node)
-        node = node[order]
-        totals = table.column("total").to_numpy()[order]
+        node, central, totals = node[order], central[order], table.column("total").to_numpy()[order]
         packed = table.column("vector").to_pylist()
         vectors = [_vector(packed[i], n_docs) for i in order]
         lists = _Lists(vectors, totals)
-        label = np.arange(len(node))
-        for i, (h, w) in enumerate(vectors):
-            near = np.flatnonzero(lists.similarities(h, w, totals[i]) >= least - _EPS)
-            mine = np.unique(label[near])
-            if len(mine) > 1:
-                label[np.isin(label, mine)] = mine[0]
+        label, pivots = np.arange(len(node)), {}
+        free = np.ones(len(node), bool)
+        todo = np.lexsort((node, -central)).tolist()
+        while todo:
+            for i in todo:
+                if i in pivots or not free[i]:
+                    continue
+                pivots[i] = lists.similarities(*vectors[i], totals[i])
+                near = np.flatnonzero(pivots[i] >= least - _EPS)
+                free[near] = False
+                mine = np.unique(label[np.r_[near, i]])
+                if len(mine) > 1:
+                    label[np.isin(label, mine)] = mine[0]
+            again: set[int] = set()
+            for i, s in pivots.items():
+                outside = s[label != label[i]]
+                if outside.size and outside.max() >= 2 * least - 1 - _EPS:
+                    again.update(np.flatnonzero((s >= least - _EPS) & ((1 - s) >= (1 - outside.max()) - (1 - least) - _EPS)).tolist())
+            todo = sorted(again - set(pivots))
+            free[todo] = True
         return pa.table({"node": node, "class_id": node[label]})
 
     return run
@@ -291,40 +323,35 @@ def _compare(pivots, n_docs: int, least: float):
 
 
 def _pivot_links(nodes: DataFrame, n_docs: int, least: float) -> DataFrame:
-    """u, v of links that connect the classes of large components.
-
-    Every node is compared with pivots until it is one or is linked to one. Two
-    nodes linked to different pivots can still be linked to each other; as one
-    minus the weighted Jaccard similarity is a metric, that needs a node x
-    outside the pivot's class within 2 (1 - least) of the pivot, and a node
-    whose distance from the pivot is at least x's less (1 - least). Such nodes
-    become pivots too, until none is left. So no link between classes is lost,
-    and nodes deep in a group of near copies are never compared with each other.
-    """
+    """u, v of links that connect the classes of large components: ``_solve`` in rounds over all their nodes."""
     spark = nodes.sparkSession
     reach = 1 - least
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
     state = nodes.select("component", "node", "central")
     opened, found, tried = state, None, None
     while True:
         # the most central open nodes of each component, components in order up to the round's bytes
         rank = F.row_number().over(Window.partitionBy("component").orderBy(F.desc("central"), "node"))
-        best = opened.withColumn("k", rank).filter(F.col("k") <= PIVOTS).select("component", "node")
-        chosen = nodes.join(best.select(F.col("component").alias("_c"), F.col("node").alias("_n")), (F.col("component") == F.col("_c")) & (F.col("node") == F.col("_n")), "left_semi")
+        best = opened.withColumn("k", rank).filter(F.col("k") <= PIVOTS).select(F.col("node").alias("_n"))
+        chosen = written(nodes.join(best, F.col("node") == F.col("_n"), "left_semi").select("component", "node", "total", "vector"), "near-pivots")
         sizes = chosen.groupBy("component").agg(F.sum(F.length("vector")).alias("b")).orderBy("component").limit(1000).collect()
         if not sizes:
-            # links are known; look for pairs of classes that a link could still join
+            # every node is settled; look for pairs of classes that a link could still join
             links = found.filter(F.col("similarity") >= least - _EPS)
-            label = connected_components(links.select(F.col("node").alias("u"), F.col("pivot").alias("v")).filter("u != v").distinct())
+            label = connected_components(links.select(F.col("node").alias("u"), F.col("pivot").alias("v")))
             a = label.select(F.col("node").alias("_x"), F.col("component").alias("cx"))
             b = label.select(F.col("node").alias("_p"), F.col("component").alias("cp"))
             labelled = found.join(a, F.col("node") == F.col("_x"), "left").join(b, F.col("pivot") == F.col("_p"), "left")
-            labelled = labelled.withColumn("cx", F.coalesce("cx", "node")).withColumn("cp", F.coalesce("cp", "pivot"))
-            nearest = labelled.filter("cx != cp").groupBy("pivot").agg(F.max("similarity").alias("s")).select(F.col("pivot").alias("_q"), "s")
-            more = links.join(nearest, F.col("pivot") == F.col("_q")).filter((1 - F.col("similarity")) >= (1 - F.col("s")) - reach - _EPS).select("component", "node").distinct()
-            more = more.join(tried.select(F.col("node").alias("_t")), F.col("node") == F.col("_t"), "left_anti")
-            path = scratch_path(spark, "near-open")
-            more.join(state.select(F.col("node").alias("_s"), "central"), F.col("node") == F.col("_s")).select("component", "node", "central").write.parquet(path)
-            opened = spark.read.parquet(path)
+            apart = F.coalesce("cx", "node") != F.coalesce("cp", "pivot")
+            nearest = labelled.filter(apart).groupBy("pivot").agg(F.max("similarity").alias("s")).select(F.col("pivot").alias("_q"), "s")
+            more = links.join(nearest, F.col("pivot") == F.col("_q")).filter((1 - F.col("similarity")) >= (1 - F.col("s")) - reach - _EPS).select(F.col("node").alias("_m")).distinct()
+            fresh = state.join(more, F.col("node") == F.col("_m"), "left_semi")
+            opened = written(fresh.join(tried.select(F.col("node").alias("_t")), F.col("node") == F.col("_t"), "left_anti"), "near-open")
             if opened.isEmpty():
                 return links.select(F.col("node").alias("u"), F.col("pivot").alias("v"))
             continue
@@ -335,19 +362,16 @@ def _pivot_links(nodes: DataFrame, n_docs: int, least: float) -> DataFrame:
             now.append(r["component"])
             size += r["b"]
         pivots: dict[int, list] = {}
-        for r in chosen.filter(F.col("component").isin(now)).select("component", "node", "total", "vector").orderBy("component", "node").toLocalIterator():
+        for r in chosen.filter(F.col("component").isin(now)).orderBy("component", "node").toLocalIterator():
             pivots.setdefault(r["component"], []).append((r["node"], r["total"], bytes(r["vector"])))
-        path = scratch_path(spark, "near-links")
         given = spark.sparkContext.broadcast(pivots)
-        nodes.filter(F.col("component").isin(now)).select("component", "node", "total", "vector").mapInArrow(_compare(given, n_docs, least), "component long, node long, pivot long, similarity double").write.parquet(path)
-        new = spark.read.parquet(path)
+        mine = nodes.filter(F.col("component").isin(now)).select("component", "node", "total", "vector")
+        new = written(mine.mapInArrow(_compare(given, n_docs, least), "component long, node long, pivot long, similarity double"), "near-links")
         found = new if found is None else found.unionByName(new)
         fresh = spark.createDataFrame([(p[0],) for ps in pivots.values() for p in ps], "node long")
         tried = fresh if tried is None else tried.unionByName(fresh)
-        linked = new.filter(F.col("similarity") >= least - _EPS).select("node").unionByName(fresh).distinct().select(F.col("node").alias("_d"))
-        path = scratch_path(spark, "near-open")
-        opened.join(linked, F.col("node") == F.col("_d"), "left_anti").write.parquet(path)
-        opened = spark.read.parquet(path)
+        linked = new.filter(F.col("similarity") >= least - _EPS).select("node").unionByName(fresh).select(F.col("node").alias("_d"))
+        opened = written(opened.join(linked, F.col("node") == F.col("_d"), "left_anti"), "near-open")
 
 
 # --------------------------------------------------------------------------------------
@@ -361,36 +385,37 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     document, in the least class of their texts. An empty table gives no rows.
     """
     spark = docs.sparkSession
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
     n_docs = docs.count()
-    path = scratch_path(spark, "near-vectors")
-    shared_vectors(docs, doc_id, text, n_docs, least, bands, rows).write.parquet(path)
-    vectors = spark.read.parquet(path)
+    vectors = written(shared_vectors(docs, doc_id, text, n_docs, least, bands, rows), "near-vectors")
     # equal multisets are one node, named by its least document
-    names = vectors.groupBy("digest").agg(F.min("doc_id").alias("node")).select(F.col("digest").alias("_d"), "node")
-    member = vectors.select("doc_id", "digest").join(names, F.col("digest") == F.col("_d")).select("doc_id", "node").distinct()
-    path = scratch_path(spark, "near-members")
-    member.write.parquet(path)
-    member = spark.read.parquet(path)
+    alike = vectors.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first(F.struct("total", "central", "bands", "vector")).alias("x"))
+    chosen = written(alike.select("digest", "node", "x.*"), "near-nodes")
     # ties of nodes that agree in a band
-    chosen = vectors.join(names, (F.col("digest") == F.col("_d")) & (F.col("doc_id") == F.col("node")), "left_semi").select(F.col("doc_id").alias("node"), "total", "central", "bands", "vector")
-    keys = chosen.select("node", F.posexplode("bands").alias("band", "key")).distinct()
-    least_node = keys.groupBy("band", "key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most").select(F.col("band").alias("_b"), F.col("key").alias("_k"), "least")
-    ties = keys.join(least_node, (F.col("band") == F.col("_b")) & (F.col("key") == F.col("_k"))).filter("node != least").select(F.col("node").alias("u"), F.col("least").alias("v")).distinct()
-    tied = connected_components(ties).select(F.col("node").alias("_n"), "component")
-    sizes = tied.groupBy("component").agg(F.count(F.lit(1)).alias("size")).select(F.col("component").alias("_c"), "size")
-    labelled = tied.join(sizes, F.col("component") == F.col("_c")).select("_n", "component", "size")
-    path = scratch_path(spark, "near-nodes")
-    chosen.drop("bands").join(labelled, F.col("node") == F.col("_n")).drop("_n").dropDuplicates(["node"]).write.parquet(path)
-    nodes = spark.read.parquet(path)
-    small = nodes.filter(F.col("size") <= task_nodes).select("component", "node", "total", "vector")
+    keys = chosen.select("node", F.posexplode("bands").alias("band", "key"))
+    star = keys.groupBy("band", "key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most").select(F.col("band").alias("_b"), F.col("key").alias("_k"), "least")
+    ties = keys.join(star, (F.col("band") == F.col("_b")) & (F.col("key") == F.col("_k"))).filter("node != least")
+    tied = written(connected_components(ties.select(F.col("node").alias("u"), F.col("least").alias("v"))), "near-components").select(F.col("node").alias("_n"), "component")
+    nodes = written(chosen.drop("bands").join(tied, F.col("node") == F.col("_n")).drop("_n"), "near-tied")
+    sizes = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("vector")).alias("b"))
+    large = written(sizes.filter((F.col("n") > task_nodes) | (F.col("b") > TASK_BYTES)).select(F.col("component").alias("_c")), "near-large")
+    in_large = F.col("component") == F.col("_c")
+    small = nodes.join(large, in_large, "left_anti").select("component", "node", "total", "central", "vector")
     classes = small.groupBy("component").applyInArrow(_solve(n_docs, least), "node long, class_id long")
-    large = nodes.filter(F.col("size") > task_nodes)
     if not large.isEmpty():
-        joined = connected_components(_pivot_links(large, n_docs, least).filter("u != v").distinct())
+        crowded = written(nodes.join(large, in_large, "left_semi"), "near-crowded")
+        joined = connected_components(_pivot_links(crowded, n_docs, least))
         classes = classes.unionByName(joined.select("node", F.col("component").alias("class_id")))
-    classes = classes.select(F.col("node").alias("_n"), "class_id")
-    every = member.join(classes, F.col("node") == F.col("_n"), "left").groupBy("doc_id").agg(F.min(F.coalesce("class_id", "node")).alias("class_id"))
-    crowd = every.groupBy("class_id").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select(F.col("class_id").alias("_c"))
+    named = written(classes.filter("node != class_id"), "near-classes").select(F.col("node").alias("_n"), "class_id")
+    by_digest = chosen.select("digest", "node").join(named, F.col("node") == F.col("_n"), "left").select(F.col("digest").alias("_d"), F.coalesce("class_id", "node").alias("class_id"))
+    every = vectors.select("doc_id", "digest").join(by_digest, F.col("digest") == F.col("_d")).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    every = written(every, "near-members")
+    crowd = every.filter("doc_id != class_id").select(F.col("class_id").alias("_c")).distinct()
     return every.join(crowd, F.col("class_id") == F.col("_c"), "left_semi")
 
 

@@ -212,7 +212,7 @@ def test_samples_agree_as_often_as_texts_are_similar():
     assert abs((values[:, 0] == values[:, 1]).mean() - _link(x, y)) < 0.03
 
 
-def test_connected_components(spark, odd):
+def test_connected_components(spark, odd, monkeypatch):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(101, 140)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)]
     pairs = [(a, b) for a, b in pairs if a != b]
@@ -222,6 +222,9 @@ def test_connected_components(spark, odd):
             label[a] = label[b] = min(label[a], label[b])
     got = components.connected_components(spark.createDataFrame(pairs, "u long, v long"))
     assert {r.node: r.component for r in got.collect()} == label
+    monkeypatch.setattr(components, "EDGES_PER_TASK", 20)
+    got = components.connected_components(spark.createDataFrame(pairs, "u long, v long"))
+    assert {r.node: r.component for r in got.collect()} == label
     assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
