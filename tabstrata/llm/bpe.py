@@ -25,8 +25,8 @@ from tokenizers import models
 
 from tabstrata.llm import pretokens, textarrays
 
-#: Distinct pre-tokens (by 64-bit hash) that a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+#: Distinct pre-tokens (by 64-bit hash) that a task remembers before it starts anew.
+REMEMBERED = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -134,6 +134,7 @@ def _encode(path: str, with_offsets: bool):
                     base = np.repeat(texts, np.diff(at))
                     cols += [pa.ListArray.from_arrays(at.astype(np.int32), pa.array((x - base).astype(np.int32))) for x in (first, last)]
                 yield pa.RecordBatch.from_arrays(cols, names=["row", "ids", "char_start", "char_end"][: len(cols)])
+        coder.pieces.clear()  # an idle worker holds no table
 
     return rows
 
@@ -150,13 +151,17 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None
     return rows.mapInArrow(_encode(path, with_offsets), f"row {kind}, ids array<int>{more}")
 
 
+def _numerals(coder: Codec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids as decimals with a comma, back to back, and each one's first character and length."""
+    name = [b"%d," % i for i in range(len(coder.length))]
+    long = np.array([len(x) for x in name], np.int64)
+    return np.frombuffer(b"".join(name), np.uint8), np.cumsum(long) - long, long
+
+
 def _decode(path: str, digests: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
-        name = [b"%d," % i for i in range(len(coder.length))]
-        digits = np.frombuffer(b"".join(name), np.uint8)
-        long = np.array([len(x) for x in name], np.int64)
-        first = np.cumsum(long) - long
+        digits, first, long = _numerals(coder)
         for whole in batches:
             for lo in range(0, whole.num_rows, 512):
                 batch = whole.slice(lo, 512)
@@ -186,5 +191,35 @@ def decode(encoded: DataFrame, path: str, digests: bool = False) -> DataFrame:
     return encoded.select("row", "ids").mapInArrow(_decode(path, digests), f"row {kind}, n_tokens long, {out}")
 
 
+def _round_trip(path: str, with_ids: bool):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(path)
+        digits, first, long = _numerals(coder)
+        sha = lambda a: hashlib.sha256(a).hexdigest()
+        for batch in batches:
+            for part, data, offsets in textarrays.slices(batch, "_text", 1 << 20):
+                ids, at = coder.encode(data, offsets)
+                texts = [ids[a:b] for a, b in zip(at, at[1:])]
+                cols = [part.column("row"), pa.array(np.diff(at), pa.int64()), pa.array([sha(digits[pretokens.ragged(first[x], long[x])].tobytes()[:-1]) for x in texts], pa.string()), pa.array([sha(coder.spelled(x).tobytes()) for x in texts], pa.string())]
+                if with_ids:
+                    cols.append(pa.ListArray.from_arrays(at.astype(np.int32), pa.array(ids, pa.int32())))
+                yield pa.RecordBatch.from_arrays(cols, names=["row", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(cols)])
+        coder.pieces.clear()
+
+    return rows
+
+
+def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, with_ids: bool = False) -> DataFrame:
+    """row, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids: ``encode`` and ``decode`` of each text in one pass.
+
+    The ids are decoded where they are made, so a task needs one Python worker
+    and no ids travel for the digests.
+    """
+    rows = df.select(F.struct(*(keep if keep is not None else df.columns)).alias("row"), F.col(text).alias("_text"))
+    kind = rows.schema["row"].dataType.simpleString()
+    more = ", ids array<int>" if with_ids else ""
+    return rows.mapInArrow(_round_trip(path, with_ids), f"row {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
+
+
 def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

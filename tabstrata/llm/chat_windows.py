@@ -137,6 +137,7 @@ def _format(ranks: str, budget: int, history: int):
             rows.append(row)
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
+        coder.pieces.clear()
 
     return run
 

@@ -31,8 +31,8 @@ def _repeat_words(ordered: Column) -> Column:
     return F.size(F.array_distinct(covered)).cast("long")
 
 
-def document_features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without its text but with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_lines.
+def document_features(docs: DataFrame, text: str = "text", windows: bool = True) -> DataFrame:
+    """``docs`` without its text but with n_words, word_chars, n_symbols, n_dup_lines, n_lines and, with ``windows``, n_repeat_words.
 
     A null text has no words and no lines with words; all counts are over the
     whole text. Windows are compared by 64-bit hashes within one text.
@@ -53,15 +53,16 @@ def document_features(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size("_words") >= 3,
         F.transform(F.sequence(F.lit(0), F.size("_words") - 3), lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2))),
     ).otherwise(F.array().cast("array<bigint>"))
-    base = base.select(
-        *keep,
+    counts = [
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
-        "n_symbols",
+        F.col("n_symbols"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.explode(F.array(grams)).alias("_g"),
-    )
+    ]
+    if not windows:
+        return base.select(*keep, *counts)
+    base = base.select(*keep, *counts, F.explode(F.array(grams)).alias("_g"))
     repeats = F.size(F.array_distinct("_g")) < F.size("_g")
     ordered = F.when(repeats, F.sort_array(F.transform("_g", lambda h, i: F.struct(h.alias("h"), i.alias("p")))))
     base = base.withColumn("_o", F.explode(F.array(ordered))).drop("_g")
@@ -69,17 +70,21 @@ def document_features(docs: DataFrame, text: str = "text") -> DataFrame:
     return base.withColumn("n_repeat_words", count).drop("_o")
 
 
-def with_rules(features: DataFrame) -> DataFrame:
-    """Adds base_failed and soft_failed."""
+def soft_rules() -> Column:
     n = F.col("n_words")
-    base = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n)
-    soft = (n > 0) & (
+    return (n > 0) & (
         (F.col("n_symbols") > MAX_SYMBOLS * n)
         | (F.col("n_dup_lines") > MAX_DUP_LINES * F.col("n_lines"))
         | (F.col("word_chars") < MIN_WORD * n)
         | (F.col("word_chars") > MAX_WORD * n)
     )
-    return features.withColumn("base_failed", base).withColumn("soft_failed", soft)
+
+
+def with_rules(features: DataFrame) -> DataFrame:
+    """Adds base_failed and soft_failed."""
+    n = F.col("n_words")
+    base = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n)
+    return features.withColumn("base_failed", base).withColumn("soft_failed", soft_rules())
 
 
 def host_verdicts(rules: DataFrame, host: str, max_rate: float = MAX_RATE) -> DataFrame:
@@ -89,7 +94,10 @@ def host_verdicts(rules: DataFrame, host: str, max_rate: float = MAX_RATE) -> Da
     a + b = m (1 - m) / v - 1, at least 1; hosts all alike give the largest
     weight, 1e6 documents.
     """
-    hosts = rules.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("soft_failed").cast("long")).alias("failed"))
+    spark = rules.sparkSession
+    path = scratch_path(spark, "host-counts")  # written, so that the prior doesn't count anew
+    rules.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("soft_failed").cast("long")).alias("failed")).write.parquet(path)
+    hosts = spark.read.parquet(path)
     rate = F.col("failed") / F.col("n")
     prior = hosts.agg((F.sum("failed") / F.sum("n")).alias("m"), F.var_pop(rate).alias("v"))
     weight = F.least(F.greatest(F.col("m") * (1 - F.col("m")) / F.greatest(F.col("v"), F.lit(1e-12)) - 1, F.lit(1.0)), F.lit(1e6))
@@ -120,14 +128,18 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: s
 def filter_documents(docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_RATE) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their columns as they were.
 
-    The rows ride along as one struct, so columns of any name may be present.
+    Only hosts' counts and verdicts are written; texts are read twice (the
+    first time without the word windows, which hosts don't need) and, while
+    the table of rejected hosts is small, never shuffled. The rows ride along
+    as one struct, so columns of any name may be present.
     """
     spark = docs.sparkSession
-    path = scratch_path(spark, "host-rules-rows")
+    narrow = docs.select(F.col(host).alias("host"), F.col(text).alias("text"))
+    soft = document_features(narrow, windows=False).select("host", soft_rules().alias("soft_failed"))
+    path = scratch_path(spark, "host-rejected")
+    host_verdicts(soft, "host", max_rate).filter("host_rejected").select(F.col("host").alias("_host"), F.lit(True).alias("_bad")).write.parquet(path)
+    bad = spark.read.parquet(path)
     packed = docs.select(F.struct("*").alias("row"), F.col(host).alias("host"), F.col(text).alias("text"))
-    marked = with_rules(document_features(packed))
-    marked.select(F.when(~F.col("base_failed"), F.col("row")).alias("row"), "host", "base_failed", "soft_failed").write.parquet(path)
-    rules = spark.read.parquet(path)
-    bad = host_verdicts(rules, "host", max_rate).filter("host_rejected").select(F.col("host").alias("_host"), F.lit(True).alias("_bad"))
-    joined = rules.filter(~F.col("base_failed")).join(bad, F.col("host").eqNullSafe(F.col("_host")), "left")
+    marked = with_rules(document_features(packed)).filter(~F.col("base_failed")).select("row", "host", "soft_failed")
+    joined = marked.join(bad, F.col("host").eqNullSafe(F.col("_host")), "left")
     return joined.filter(~F.col("soft_failed") | F.col("_bad").isNull()).select("row.*")

@@ -19,6 +19,7 @@ entry a block. Only the vocabulary, of fixed size, is broadcast.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,8 +88,10 @@ def vocabulary(docs: DataFrame, text: str = "text", size: int = VOCABULARY) -> n
     """Sorted hashes of the ``size`` most frequent words of all texts (ties by hash). The size bounds what comes to the driver."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = docs.select(F.col(text).alias("_text")).mapInArrow(_word_counts(buckets), "bucket int, words binary, counts binary")
-    top = packed.groupBy("bucket").applyInArrow(_frequent(size), "word long, n long").orderBy(F.desc("n"), "word").limit(size)
-    return np.sort(np.array([r["word"] for r in top.select("word").collect()], np.int64).view(np.uint64))
+    ranked = packed.groupBy("bucket").applyInArrow(_frequent(size), "word long, n long").orderBy(F.desc("n"), "word").select("word")
+    # sorted by ranges: only the first partitions, which hold the most frequent words, come to the driver
+    top = [r["word"] for r in itertools.islice(ranked.toLocalIterator(), size)]
+    return np.sort(np.array(top, np.int64).view(np.uint64))
 
 
 def _row(block: str, bucket: int | None, **packed: bytes) -> pa.RecordBatch:

@@ -67,9 +67,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text to ids and back."""
-    ranks = bpe.default_ranks()
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, keep=["doc_id"], with_offsets=False)
-    return bpe.decode(encoded, ranks, digests=True).select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    done = bpe.round_trip(table(spark, sf_dir, "documents"), bpe.default_ranks(), keep=["doc_id"])
+    return done.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
