@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tabstrata.llm import bpe, decontaminate, host_rules, line_dedup, near_dup
 from tabstrata.session import scratch_path, ship_package, table
@@ -34,10 +33,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, with digests of the ids and of the bytes they decode to."""
-    ranks = bpe.default_ranks()
-    encoded = bpe.encode(docs, ranks, keep=["doc_id", "lang", "source", "n_chars"], with_offsets=False)
-    carried = encoded.select(F.struct("row.*", "ids").alias("row"), "ids")
-    return bpe.decode(carried, ranks, digests=True).select("row.*", "n_tokens", "ids_sha256", "decoded_sha256")
+    done = bpe.round_trip(docs, bpe.default_ranks(), keep=["doc_id", "lang", "source", "n_chars"], with_ids=True)
+    return done.select("row.*", "ids", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("near-dedup", near_duplicates), ("decontamination", decontamination), ("byte-level BPE", tokens)]
