@@ -9,8 +9,11 @@ terms, so a long text isn't all pairs.
 
 The model is fitted on a bounded sample of labelled rows (``SAMPLE``, those
 with the smallest hash of their id); the terms of the sample come to the driver
-as packed numbers, the texts don't. Columns in fewer than ``MIN_TEXTS`` sample
-texts are left out. All texts are scored in one pass without a shuffle.
+as packed numbers, the texts don't. A column is fitted if its presence goes
+with the label, or if it is half of a pair of words that does where neither
+word need do so alone: among texts with either word, the other tells. Columns
+and pairs in fewer than ``MIN_TEXTS`` sample texts are left out. All texts are
+scored in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -28,21 +31,22 @@ COLUMNS_LOG2, PREFIXES = 20, (4, 5, 6)
 #: Labelled rows to fit on, at most.
 SAMPLE = 20_000
 MIN_TEXTS = 3
-#: A column is fitted if its chi-square with the label is at least this (one in 1e4 columns by chance).
+#: A column is fitted if its chi-square with the label is at least this (one in 1e4 columns by chance),
+#: the words of a pair if so are both likelihood ratios of the pair, among texts with one word or the other.
 MIN_CHI2 = 15.1
 FACTORS, EPOCHS, BATCH, RATE, DECAY = 4, 12, 128, 0.1, 1e-5
 THRESHOLD = 0.3
 
 
-def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Text index and column of every distinct term of the texts, in order."""
+def terms(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = PREFIXES) -> tuple[np.ndarray, np.ndarray]:
+    """Text index and column of every distinct term of the texts, in order; without ``prefixes``, of every distinct word."""
     start, end, at = textarrays.word_spans(data, offsets)
     if not start.size:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     lower = textarrays.LOWER[data]
     doc = np.repeat(np.arange(len(at) - 1, dtype=np.uint64), np.diff(at))
     pairs = []
-    for k in (0, *PREFIXES):
+    for k in (0, *prefixes):
         take = np.arange(len(start)) if not k else np.flatnonzero(end - start >= k)
         h = textarrays.hash_spans(lower, start[take], start[take] + k if k else end[take])
         column = textarrays.mix(h + np.uint64(k)) >> np.uint64(64 - COLUMNS_LOG2)
@@ -92,9 +96,50 @@ def telling(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return np.flatnonzero((has >= MIN_TEXTS) & (chi2 >= MIN_CHI2))
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
-    """Logistic loss by AdaGrad over batches of texts; the columns of each text are distinct."""
-    columns = telling(texts, labels)
+def _ratio(t: np.ndarray, n: np.ndarray, all_t: np.ndarray, all_n: np.ndarray) -> np.ndarray:
+    """Likelihood ratio of t ones in n texts against the others of all_n texts with all_t ones."""
+    log = lambda x, y: x * np.log(np.maximum(x, 1) / np.maximum(y, 1))
+    rest, rest_t = all_n - n, all_t - t
+    return 2 * (log(t, n) + log(n - t, n) + log(rest_t, rest) + log(rest - rest_t, rest) - log(all_t, all_n) - log(all_n - all_t, all_n))
+
+
+def telling_pairs(words: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Columns of the words in pairs that tell more than each of their words.
+
+    All pairs in ``MIN_TEXTS`` texts or more are counted, one word at a time
+    with the words that come after it in its texts.
+    """
+    has = np.bincount(np.concatenate([np.zeros(0, np.int64), *words]), minlength=1 << COLUMNS_LOG2)
+    columns = np.flatnonzero(has >= MIN_TEXTS)
+    size = len(columns)
+    place = np.full(1 << COLUMNS_LOG2, -1, np.int32)
+    place[columns] = np.arange(size, dtype=np.int32)
+    rows = [r[r >= 0] for r in (place[w] for w in words)]  # ascending
+    flat = np.concatenate([np.zeros(0, np.int32), *rows])
+    length = np.array([len(r) for r in rows], np.int64)
+    end = np.repeat(np.cumsum(length), length)
+    one = np.repeat(labels > 0, length)
+    by_word = np.argsort(flat, kind="stable")  # places in ``flat`` by word
+    total = np.bincount(flat, minlength=size).astype(float)
+    ones = np.bincount(flat[one], minlength=size).astype(float)
+    cut = np.r_[0, np.cumsum(total).astype(np.int64)]
+    found = np.zeros(size, bool)
+    for i in range(size):
+        at = by_word[cut[i] : cut[i + 1]]
+        toxic = one[at]
+        t, n = (np.bincount(np.concatenate([np.zeros(0, np.int32), *(flat[a + 1 : b] for a, b in zip(some.tolist(), end[some].tolist()))]), minlength=size) for some in (at[toxic], at[~toxic]))
+        n = n + t
+        j = np.flatnonzero(n >= MIN_TEXTS)
+        t, n = t[j].astype(float), n[j].astype(float)
+        hit = j[(_ratio(t, n, ones[i], total[i]) >= MIN_CHI2) & (_ratio(t, n, ones[j], total[j]) >= MIN_CHI2)]
+        if len(hit):
+            found[i] = found[hit] = True
+    return columns[found]
+
+
+def fit(texts: list[np.ndarray], words: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
+    """Logistic loss by AdaGrad over batches of texts; the columns of each text, and those of its words, are distinct."""
+    columns = np.union1d(telling(texts, labels), telling_pairs(words, labels))
     rate = float(labels.mean()) if len(labels) else 0.0
     clipped = min(max(rate, 1e-6), 1 - 1e-6)
     rng = np.random.default_rng(seed)
@@ -133,10 +178,12 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, data, offsets in textarrays.slices(batch, "_text"):
-            doc, col = terms(data, offsets)
-            cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
-            packed = [col[a:b].astype("<i4").tobytes() for a, b in zip(cut, cut[1:])]
-            yield pa.RecordBatch.from_arrays([part.column("label"), pa.array(packed, pa.binary())], names=["label", "terms"])
+            packed = []
+            for prefixes in (PREFIXES, ()):
+                doc, col = terms(data, offsets, prefixes)
+                cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
+                packed.append(pa.array([col[a:b].astype("<i4").tobytes() for a, b in zip(cut, cut[1:])], pa.binary()))
+            yield pa.RecordBatch.from_arrays([part.column("label"), *packed], names=["label", "terms", "words"])
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Machine:
@@ -149,10 +196,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, doc_id
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"))
     chosen = known.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_terms, "label int, terms binary").toArrow()  # bounded by ``sample``
+    rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_terms, "label int, terms binary, words binary").toArrow()  # bounded by ``sample``
     order = sorted(range(rows.num_rows), key=lambda i: rows["terms"][i].as_py())  # the same order on every run
-    packed = [np.frombuffer(rows["terms"][i].as_py(), "<i4").astype(np.int64) for i in order]
-    return fit(packed, np.array([rows["label"][i].as_py() for i in order], float))
+    packed = [[np.frombuffer(rows[c][i].as_py(), "<i4").astype(np.int64) for i in order] for c in ("terms", "words")]
+    return fit(*packed, np.array([rows["label"][i].as_py() for i in order], float))
 
 
 def _score(model):

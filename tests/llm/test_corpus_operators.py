@@ -109,6 +109,38 @@ def test_toxicity_interactions_and_holding_out(spark, odd):
     assert toxicity.score(docs, none).count() == 1200
 
 
+def test_toxicity_rare_pair_of_uninformative_words():
+    """A word in 30 texts, toxic in the 8 that name a group: neither word passes alone, their pair is learnt."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randint(0, 60)}x" for _ in range(12)) for _ in range(2000)]
+    labels = np.zeros(2000)
+    for i in range(200):
+        texts[i] += " vile"
+        labels[i] = 1
+    for i in range(400, 430):
+        texts[i] += " fool"
+    for i in range(422, 560):
+        texts[i] += " group"
+    labels[422:430] = 1
+    for i in range(12):  # groups are named as often in toxic texts as elsewhere
+        texts[i] += " group"
+
+    def columns(texts, *prefixes):
+        doc, col = toxicity.terms(*_buffer(texts), *prefixes)
+        return [col[doc == k] for k in range(len(texts))]
+
+    terms, words = columns(texts), columns(texts, ())
+    pair = np.concatenate(columns(["fool group"], ()))
+    assert not np.isin(pair, toxicity.telling(terms, labels)).any() and np.isin(pair, toxicity.telling_pairs(words, labels)).all()
+    machine = toxicity.fit(terms, words, labels)
+    new = columns(["w1x w2x w3x w4x fool group", "w1x w2x w3x w4x fool", "w1x w2x w3x w4x group"])
+    place = machine.place()
+    rows = [place[c] for c in new]
+    rows = [r[r >= 0] for r in rows]
+    both, one, other = toxicity.logistic(machine.margins(np.repeat(np.arange(3), [len(r) for r in rows]), np.concatenate(rows), 3))
+    assert both >= 0.3 > max(one, other)
+
+
 def test_toxicity_query(spark, odd):
     d = SF_CHECK
     got = queries.op2_toxicity(spark, d).collect()
