@@ -176,27 +176,40 @@ def fit(texts: list[np.ndarray], words: list[np.ndarray], labels: np.ndarray, se
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row an id, however many rows it has in the task: those terms whose text has the smallest hash."""
+    best: dict[int, tuple] = {}  # at most the chosen ids
     for batch in batches:
         for part, data, offsets in textarrays.slices(batch, "_text"):
             packed = []
             for prefixes in (PREFIXES, ()):
                 doc, col = terms(data, offsets, prefixes)
                 cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
-                packed.append(pa.array([col[a:b].astype("<i4").tobytes() for a, b in zip(cut, cut[1:])], pa.binary()))
-            yield pa.RecordBatch.from_arrays([part.column("label"), *packed], names=["label", "terms", "words"])
+                packed.append([col[a:b].astype("<i4").tobytes() for a, b in zip(cut, cut[1:])])
+            ids, *known = (part.column(c).to_pylist() for c in ("doc_id", "key", "label"))
+            for i, *row in zip(ids, *known, *packed):
+                if i not in best or row < best[i]:
+                    best[i] = row
+    ids = list(best)
+    for at in range(0, len(ids), 1000):
+        some = ids[at : at + 1000]
+        columns = [pa.array([best[i][k] for i in some], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *columns], names=["doc_id", "key", "label", "terms", "words"])
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Machine:
     """Fit on at most ``sample`` labelled rows whose id satisfies ``usable`` (a condition on ``doc_id``).
 
     Rows with a null id or label are left out; an id labelled twice counts as
-    1 if any label is. Without both classes every score is the share of ones.
+    1 if any label is, an id with several rows in ``docs`` once, with the text
+    of the smallest hash. Without both classes every score is the share of ones.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).dropna().filter(usable)
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"))
     chosen = known.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_terms, "label int, terms binary, words binary").toArrow()  # bounded by ``sample``
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.col(text).alias("_text"))
+    found = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_terms, "doc_id long, key long, label int, terms binary, words binary")
+    least = found.groupBy("doc_id").agg(F.min(F.struct("key", "label", "terms", "words")).alias("row"))
+    rows = least.select("row.*").toArrow()  # bounded by ``sample``
     order = sorted(range(rows.num_rows), key=lambda i: rows["terms"][i].as_py())  # the same order on every run
     packed = [[np.frombuffer(rows[c][i].as_py(), "<i4").astype(np.int64) for i in order] for c in ("terms", "words")]
     return fit(*packed, np.array([rows["label"][i].as_py() for i in order], float))

@@ -141,6 +141,17 @@ def test_toxicity_rare_pair_of_uninformative_words():
     assert both >= 0.3 > max(one, other)
 
 
+def test_toxicity_learns_a_repeated_id_once(spark, monkeypatch):
+    rows = [(i, f"word w{i} and more") for i in range(20)] + [(5, "word w5 and more")] * 200 + [(6, "some other text")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(i, int(i == 5)) for i in range(20)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, words, labels: seen.append((len(texts), len(words), labels.sum())))
+    toxicity.train(docs, labels, "toxic", F.lit(True))
+    toxicity.train(docs, labels, "toxic", F.lit(True), sample=8)
+    assert seen[0] == (20, 20, 1) and seen[1][:2] == (8, 8)
+
+
 def test_toxicity_query(spark, odd):
     d = SF_CHECK
     got = queries.op2_toxicity(spark, d).collect()
