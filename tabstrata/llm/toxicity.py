@@ -106,11 +106,12 @@ def _ratio(t: np.ndarray, n: np.ndarray, all_t: np.ndarray, all_n: np.ndarray) -
 def telling_pairs(words: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Columns of the words in pairs that tell more than each of their words.
 
-    All pairs in ``MIN_TEXTS`` texts or more are counted, one word at a time
-    with the words that come after it in its texts.
+    Pairs in ``MIN_TEXTS`` texts or more are counted, one word at a time with
+    the words that come after it in its texts. Words whose texts' labels have
+    too little entropy for any pair to reach ``MIN_CHI2`` are left out first.
     """
-    has = np.bincount(np.concatenate([np.zeros(0, np.int64), *words]), minlength=1 << COLUMNS_LOG2)
-    columns = np.flatnonzero(has >= MIN_TEXTS)
+    has, ones = (np.bincount(np.concatenate([np.zeros(0, np.int64), *some]), minlength=1 << COLUMNS_LOG2).astype(float) for some in (words, [w for w, y in zip(words, labels) if y > 0]))
+    columns = np.flatnonzero((has >= MIN_TEXTS) & (_ratio(ones, ones, ones, has) >= MIN_CHI2))
     size = len(columns)
     place = np.full(1 << COLUMNS_LOG2, -1, np.int32)
     place[columns] = np.arange(size, dtype=np.int32)
@@ -120,8 +121,7 @@ def telling_pairs(words: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     end = np.repeat(np.cumsum(length), length)
     one = np.repeat(labels > 0, length)
     by_word = np.argsort(flat, kind="stable")  # places in ``flat`` by word
-    total = np.bincount(flat, minlength=size).astype(float)
-    ones = np.bincount(flat[one], minlength=size).astype(float)
+    total, ones = has[columns], ones[columns]
     cut = np.r_[0, np.cumsum(total).astype(np.int64)]
     found = np.zeros(size, bool)
     for i in range(size):
