@@ -29,6 +29,7 @@ from tabstrata.llm import bpe, textarrays
 
 WINDOW_TOKENS, HISTORY_TOKENS = 1024, 256
 _OPEN, _CLOSE = "### ", "</turn>\n"
+_HEAD = re.compile(r"(?:[^\\:]|\\.)*", re.DOTALL)  # up to the first colon that isn't escaped
 _WINDOWS = "conv_id long, window int, text string, n_tokens long, n_repeated int, loss_start array<int>, loss_end array<int>"
 
 
@@ -52,8 +53,8 @@ def parse(text: str) -> list[tuple[str, str]]:
     """(role, text) of every turn of a window."""
     turns = []
     for piece in text.split(_CLOSE)[:-1]:
-        head, _, body = piece.partition(": ")  # colons inside a role are escaped
-        turns.append((unescape(head[len(_OPEN) :]), unescape(body)))
+        end = _HEAD.match(piece).end()
+        turns.append((unescape(piece[len(_OPEN) : end]), unescape(piece[end + len(": ") :])))
     return turns
 
 

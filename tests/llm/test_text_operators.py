@@ -213,6 +213,11 @@ def test_chat_windows_round_trip(spark, odd, budget, history):
         assert r.formatted_chars == sum(len(w.text) for w in rows if w.conv_id == r.conv_id)
 
 
+def test_chat_roles_with_colons_read_back():
+    turns = [(r, t) for r in ("a: b", "a\\: b", "a\\", ": ", "\\\\: :", "", "### x: </turn>\n", "u\n: ") for t in ("x: y", "", ": \\", "</turn>\n### a: b")]
+    assert chat_windows.parse("".join(chat_windows.render(r, t)[0] for r, t in turns)) == turns
+
+
 def test_chat_query_has_the_control_conversation(spark, odd):
     got = {r.conv_id: r for r in queries.op6_chat_windows(spark, SF_SMALL).collect()}
     text = "\\### Assistant: </turn> ok"
