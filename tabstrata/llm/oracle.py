@@ -81,4 +81,98 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM p JOIN digest USING (sha)
 """
 
-ORACLE_SQL = {"op5_warc": OP5, "op3_line_dedup": OP3, "op8_host_rules": OP8}
+OP12 = rf"""
+WITH c(i, c) AS (  -- crc32 of a byte at a time
+  SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) FROM range(256) AS r(i)
+), byte AS (SELECT list(c ORDER BY i) AS c FROM c
+), t AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
+         list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT) AS codes
+  FROM documents
+), h AS (
+  SELECT t.*, len(w) AS n, xor(list_reduce(list_concat([4294967295::BIGINT], codes), lambda x, y: xor(byte.c[(xor(x, y) & 255) + 1], x >> 8)), 4294967295) AS h FROM t, byte
+), tail AS (
+  SELECT rid, doc_id, w, n, CASE WHEN n > 0 AND h % 10 = 0 THEN (h // 10) % n END AS a, h // 10 AS g FROM h
+), made AS (
+  SELECT rid, doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+           list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i + 1 ELSE 1 + a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w
+  FROM tail
+), word AS (
+  SELECT rid, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM made
+), pair AS (
+  SELECT a.rid, a.i, b.i - a.i AS q FROM word a JOIN word b ON a.rid = b.rid AND a.word = b.word AND b.i > a.i AND 4 * (b.i - a.i) <= a.n
+), island AS (
+  SELECT rid, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS k FROM pair) GROUP BY rid, q, k HAVING count(*) + q >= greatest(6, 4 * q)
+), run AS (
+  SELECT rid, start, length, min(q) AS period FROM island GROUP BY ALL
+), gone AS (
+  SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM run
+), kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY i) AS s FROM word ANTI JOIN gone USING (rid, i) GROUP BY rid
+), told AS (
+  SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS s,
+         list({{'l': length, 's': -start, 'q': -period}} ORDER BY length DESC, start, period)[1] AS best
+  FROM run GROUP BY rid
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, (-best.s)::BIGINT AS start, best.l::BIGINT AS length, (-best.q)::BIGINT AS period,
+       (1000 * best.l // -best.q)::BIGINT AS exponent_milli, sha256(coalesce(told.s, '')) AS runs_sha256, sha256(coalesce(kept.s, '')) AS collapsed_sha256
+FROM made LEFT JOIN told USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+_FIELDS = ["doc_id", "source", "lang", "n_chars"]
+_LEAF = "sha256(" + " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR END" for c in [*_FIELDS, "{text}"]) + ")"
+#: Levels that the SQL unrolls: trees of up to 16 ** 6 leaves.
+_LEVELS = range(6)
+
+
+def _up(name: str) -> str:
+    """Levels of the trees (tree, i, n, d) of table name0, each node with the digests beside it."""
+    return "".join(f""", {name}{k + 1} AS (
+  SELECT tree, i // 16 AS i, any_value((n + 15) // 16) AS n, CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d FROM {name}{k} GROUP BY tree, i // 16
+), {name}p{k} AS (
+  SELECT x.tree, x.i, coalesce(string_agg(y.d, '' ORDER BY y.i) FILTER (y.i < x.i), '') AS before, coalesce(string_agg(y.d, '' ORDER BY y.i) FILTER (y.i > x.i), '') AS after, any_value(x.n) AS n
+  FROM {name}{k} x JOIN {name}{k} y ON x.tree = y.tree AND x.i // 16 = y.i // 16 GROUP BY x.tree, x.i
+)""" for k in _LEVELS)
+
+
+def _fold() -> tuple[str, str]:
+    """Joins to the digests beside each level's node, and all of them in a row."""
+    joins, beside = "", []
+    for name, tree, at in (("s", "o.src", "o.i"), ("t", "0", "o.src")):
+        for k in _LEVELS:
+            joins += f" JOIN {name}p{k} ON {name}p{k}.tree = {tree} AND {name}p{k}.i = {at} // {16 ** k}"
+            beside.append(f"{name}p{k}.before || {name}p{k}.after")
+    return joins, " || ".join(beside)
+
+
+def _op13() -> str:
+    joins, beside = _fold()
+    steps, last = "", "opened"
+    for k, name in enumerate([f"{x}p{j}" for x in "st" for j in _LEVELS]):
+        steps += f""", f{k} AS (SELECT * REPLACE (CASE WHEN {name}_n = 1 THEN given ELSE sha256({name}_b || given || {name}_a) END AS given) FROM {last})"""
+        last = f"f{k}"
+    named = ", ".join(f"{x}p{j}.before AS {x}p{j}_b, {x}p{j}.after AS {x}p{j}_a, {x}p{j}.n AS {x}p{j}_n" for x in "st" for j in _LEVELS)
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH c(i, c) AS (
+  SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) FROM range(256) AS r(i)
+), byte AS (SELECT list(c ORDER BY i) AS c FROM c
+), t AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS src, {_LEAF.replace("{text}", "text")} AS leaf, {_LEAF.replace("{text}", lowered)} AS changed,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                         lambda x, y: xor(byte.c[(xor(x, y) & 255) + 1], x >> 8)), 4294967295) AS h
+  FROM documents, byte
+), o AS (
+  SELECT doc_id, src, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf, CASE WHEN h % 5 = 0 THEN changed ELSE leaf END AS given, count(*) OVER (PARTITION BY src) AS n FROM t
+), s0 AS (SELECT src AS tree, i, n, leaf AS d FROM o){_up("s")}, t0 AS (
+  SELECT 0 AS tree, tree AS i, count(*) OVER () AS n, d FROM s{len(_LEVELS)}
+){_up("t")}, opened AS (
+  SELECT o.doc_id, o.leaf, sub.d AS subroot, root.d AS root, o.given, sha256({beside}) AS proof_sha256, {named}
+  FROM o JOIN s{len(_LEVELS)} sub ON sub.tree = o.src JOIN t{len(_LEVELS)} root ON true{joins}
+){steps}
+SELECT doc_id, leaf, subroot, root, proof_sha256, given AS folded_root, given = root AS verified FROM {last}
+"""
+
+
+ORACLE_SQL = {"op5_warc": OP5, "op3_line_dedup": OP3, "op8_host_rules": OP8, "op12_periodic_runs": OP12, "op13_merkle_manifest": _op13()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstrata.llm import bpe, chat_windows, decontaminate, host_rules, line_dedup, lm_scoring, near_dup, token_counts, toxicity, warc
+from tabstrata.llm import bpe, chat_windows, decontaminate, host_rules, line_dedup, lm_scoring, merkle, near_dup, periodic, token_counts, toxicity, warc
 from tabstrata.session import scratch_path, table
 
 
@@ -78,4 +78,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leak.item_id", F.round("leak.similarity", 6).alias("similarity"), "leak.first_word", "leak.n_words")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_toxicity, op3_line_dedup, op4_near_dup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe, op10_decontamination)}
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every text; a tenth of the texts (by the crc32 of their id) end in repeats made from their own words."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.floor(h / 10).cast("long").alias("g"), F.coalesce(h % 10 == 0, F.lit(False)).alias("chosen"))
+    docs = docs.withColumn("w", F.when(F.col("chosen"), F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)")))).withColumn("n", F.size("w"))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    docs = docs.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    ended = F.expr("array_join(concat(slice(w, 1, a), slice(flatten(array_repeat(slice(w, a + 1, p), cast((n - a + p - 1) div p as int))), 1, n - a)), ' ')")
+    made = docs.select("doc_id", F.when(F.col("chosen") & (F.col("n") > 0), ended).otherwise(F.col("text")).alias("text"))
+    return periodic.periodic_runs(made, keep=["doc_id"], spans=False).select("row.doc_id", *periodic.RUN)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and root of every document; a fifth of the proofs (by the crc32 of the id) are tried on a lower-cased text."""
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    chosen = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    out = merkle.manifest(table(spark, sf_dir, "documents"), {"text": lowered}, chosen)
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_toxicity, op3_line_dedup, op4_near_dup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe, op10_decontamination, op12_periodic_runs, op13_merkle_manifest)}
