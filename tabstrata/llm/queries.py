@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabstrata.llm import bpe, chat_windows, decontaminate, host_rules, line_dedup, lm_scoring, merkle, near_dup, periodic, token_counts, toxicity, warc
+from tabstrata.llm import bpe, chat_windows, decontaminate, host_rules, line_dedup, lm_scoring, merkle, near_dup, periodic, pii, token_counts, toxicity, warc
 from tabstrata.session import scratch_path, table
 
 
@@ -78,6 +78,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leak.item_id", F.round("leak.similarity", 6).alias("similarity"), "leak.first_word", "leak.n_words")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every text: the exact patterns' matches and the field's further spans."""
+    field = pii.train(pii.examples(spark))
+    out = pii.find(table(spark, sf_dir, "documents"), field, keep=["doc_id"])
+    return out.select("row.doc_id", *(f"n_{k}" for k in pii.KINDS), "base_sha256", "spans")
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in every text; a tenth of the texts (by the crc32 of their id) end in repeats made from their own words."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -98,4 +105,4 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_toxicity, op3_line_dedup, op4_near_dup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe, op10_decontamination, op12_periodic_runs, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_toxicity, op3_line_dedup, op4_near_dup, op5_warc, op6_chat_windows, op7_token_counts, op8_host_rules, op9_bpe, op10_decontamination, op11_pii, op12_periodic_runs, op13_merkle_manifest)}
