@@ -9,8 +9,9 @@ with its value and the values one bit away. Two fingerprints at most 15 bits
 apart have a block at most one bit apart, so every pair within the radius is
 found. Each is then verified by the exact weighted similarity of its shingles.
 
-The benchmark is handed to the tasks in blocks of bounded size, one pass over
-the documents a block; documents are never shuffled.
+The benchmark is handed to the tasks in blocks of bounded size (arrays, about
+ten bytes a byte of its text), one pass over the documents a block; documents
+are never shuffled.
 """
 
 from __future__ import annotations
@@ -25,11 +26,14 @@ from pyspark.sql import functions as F
 
 from tabstrata.llm import textarrays
 from tabstrata.llm.pretokens import ragged
+from tabstrata.session import scratch_path
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 15
 _BLOCKS = 8
-#: Bytes of benchmark text in one pass.
-PASS_BYTES = 32 << 20
+#: Bytes of benchmark text in one pass; its index takes about ten times that.
+PASS_BYTES = 8 << 20
+#: (window, item) pairs that are looked at together.
+_PAIRS = 1 << 21
 #: Words that one table of running sums covers.
 _SUM_WORDS = 8192
 
@@ -66,7 +70,10 @@ class _Length:
     words: int
     ids: np.ndarray
     prints: np.ndarray
-    shingles: list[dict[int, tuple[int, int]]]  # shingle: (times, weight)
+    edges: np.ndarray  # of each item's entries in shingles, times and weights
+    shingles: np.ndarray
+    times: np.ndarray
+    weights: np.ndarray
     lists: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
 
     def build(self) -> None:
@@ -77,10 +84,20 @@ class _Length:
             keys = (value[:, None] ^ near[None, :]).reshape(-1)
             items = np.repeat(np.arange(len(self.prints)), len(near))
             order = np.argsort(keys, kind="stable")
-            self.lists.append((np.searchsorted(keys[order], np.arange(257)), items[order]))
+            self.lists.append((np.searchsorted(keys[order], np.arange(257)), items[order].astype(np.int32)))
+
+    def item(self, i: int) -> dict[int, tuple[int, int]]:
+        """The item's multiset of shingles."""
+        own = slice(self.edges[i], self.edges[i + 1])
+        return dict(zip(self.shingles[own].tolist(), zip(self.times[own].tolist(), self.weights[own].tolist())))
 
     def within(self, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window, item, distance) of every pair at most ``radius`` bits apart."""
+        """(window, item, distance) of every pair at most ``radius`` bits apart; windows are taken in chunks of about ``_PAIRS`` pairs."""
+        step = max(1, _PAIRS // max(1, len(self.prints)))
+        if len(prints) > step:
+            parts = [self.within(prints[k : k + step], radius) for k in range(0, len(prints), step)]
+            window = np.concatenate([w + k * step for k, (w, _, _) in enumerate(parts)])
+            return window, np.concatenate([i for _, i, _ in parts]), np.concatenate([d for *_, d in parts])
         pairs = []
         for b, (edge, items) in enumerate(self.lists):
             value = (prints >> np.uint64(8 * b)).astype(np.uint8).astype(np.int64)
@@ -108,10 +125,11 @@ class Index:
             own = np.flatnonzero(count == n)
             k = min(SHINGLE, n)
             sets = [multiset(h[at[i] : at[i + 1]], size[at[i] : at[i + 1]], k) for i in own]
-            group = _Length(n, np.array([ids[i] for i in own]), simhash(h, at[own], count[own]), sets)
+            flat = [np.array([f(x) for m in sets for x in m.items()], t) for f, t in ((lambda x: x[0], np.uint64), (lambda x: x[1][0], np.int32), (lambda x: x[1][1], np.int32))]
+            group = _Length(n, np.array([ids[i] for i in own]), simhash(h, at[own], count[own]), np.r_[0, np.cumsum([len(m) for m in sets])], *flat)
             group.build()
             self.lengths[n] = group
-            keys = np.array(sorted({s for m in sets for s in m}), np.uint64)
+            keys = np.unique(group.shingles)
             told.setdefault(k, []).append((keys, np.full(len(keys), n)))
         # for each shingle size: shingles, sorted, and the lengths of the items that hold them
         self.keys = {}
@@ -172,12 +190,12 @@ def leaks(index: Index, data: np.ndarray, offsets: np.ndarray, least: float = SI
     for n, (first, words, doc) in index.windows(h, at).items():
         group = index.lengths[n]
         window, item, _ = group.within(simhash(h, first, words), index.radius)
-        last, own = -1, {}
+        last, own, items = -1, {}, {i: group.item(i) for i in np.unique(item).tolist()}
         for w, i in zip(window.tolist(), item.tolist()):
             if w != last:
                 a, b = first[w], first[w] + words[w]
                 last, own = w, multiset(h[a:b], size[a:b], min(SHINGLE, n))
-            s = similarity(own, group.shingles[i])
+            s = similarity(own, items[i])
             best = out[doc[w]].get(group.ids[i])
             if s >= least and (best is None or s > best[0]):
                 out[doc[w]][group.ids[i]] = (s, int(first[w] - at[doc[w]]), int(words[w]))
@@ -187,25 +205,25 @@ def leaks(index: Index, data: np.ndarray, offsets: np.ndarray, least: float = SI
 _LEAK = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int64()), ("n_words", pa.int64())]))
 
 
-def _mark(index, least: float):
+def _mark(index, least: float, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = index.value
         for batch in batches:
             for part, data, offsets in textarrays.slices(batch, "_text"):
                 rows = [[{"item_id": int(i), "similarity": s, "first_word": a, "n_words": n} for i, (s, a, n) in sorted(x.items())] for x in leaks(items, data, offsets, least)]
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(rows, _LEAK)], names=["row", "leaks"])
+                cols = [part.column("row"), pa.array(rows, _LEAK), *([part.column("_text")] if with_text else [])]
+                yield pa.RecordBatch.from_arrays(cols, names=["row", "leaks", "_text"][: len(cols)])
 
     return run
 
 
-def _passes(benchmark: DataFrame, item_id: str, text: str) -> Iterator[tuple[list[int], list[str]]]:
-    """The benchmark in blocks of at most about PASS_BYTES, each small enough for the driver."""
+def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[DataFrame]:
+    """The benchmark (id, text) in blocks of about PASS_BYTES, each small enough for the driver; rows of one id are in one block."""
     items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).filter("id IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = -(-total // PASS_BYTES) or 1
     for b in range(blocks):
-        got = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect()
-        yield [r["id"] for r in got], [r["text"] for r in got]
+        yield items.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)
 
 
 def mark_leaks(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id", text: str = "text", keep: list[str] | None = None, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
@@ -214,22 +232,29 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id",
     An item of fewer than five words has one shingle, all its words; empty
     items and items without an id never match, null and empty texts hold no
     leaks. An empty benchmark gives empty lists. Items with the same id count
-    as one, by their best window.
+    as one, by their best window. With a benchmark of several passes, rows and
+    texts are written to the shared folder between passes, so only one index
+    is alive at a time.
     """
     spark = docs.sparkSession
     rows = docs.select(F.struct(*(keep if keep is not None else docs.columns)).alias("row"), F.col(text).alias("_text"))
-    kind = rows.schema["row"].dataType.simpleString()
+    passes = list(_blocks(benchmark, item_id, text))
     out = None
-    for ids, texts in _passes(benchmark, item_id, text):
-        index = spark.sparkContext.broadcast(Index(ids, texts, radius))
-        schema = f"row {kind}, leaks array<struct<item_id:bigint,similarity:double,first_word:bigint,n_words:bigint>>"
-        if out is None:
-            out = rows.mapInArrow(_mark(index, least), schema)
-        else:  # a further pass carries the lists so far along in the row
-            carried = out.select(F.struct("row", "leaks").alias("row"), F.col("row")[text].alias("_text"))
-            inner = carried.schema["row"].dataType.simpleString()
-            again = carried.mapInArrow(_mark(index, least), schema.replace(f"row {kind}", f"row {inner}", 1))
-            out = again.select(F.col("row.row").alias("row"), F.concat("row.leaks", "leaks").alias("leaks"))
+    for k, block in enumerate(passes):
+        last = k == len(passes) - 1
+        items = block.collect()
+        index = spark.sparkContext.broadcast(Index([r["id"] for r in items], [r["text"] for r in items], radius))
+        source = rows if out is None else out.select(F.struct("row", "leaks").alias("row"), "_text")
+        kind = source.schema["row"].dataType.simpleString()
+        marked = source.mapInArrow(_mark(index, least, not last), f"row {kind}, leaks array<struct<item_id:bigint,similarity:double,first_word:bigint,n_words:bigint>>" + ", _text string" * (not last))
+        if out is not None:
+            marked = marked.select(F.col("row.row").alias("row"), F.concat("row.leaks", "leaks").alias("leaks"), *(["_text"] if not last else []))
+        if not last:
+            path = scratch_path(spark, "leaks")
+            marked.write.parquet(path)
+            index.destroy()
+            marked = spark.read.parquet(path)
+        out = marked
     return out
 
 

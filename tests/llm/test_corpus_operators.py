@@ -364,8 +364,16 @@ def test_decontamination_in_several_passes(spark, odd, monkeypatch):
     docs, bench = spark.read.parquet(f"{SF_SMALL}/documents.parquet"), spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
     flat = lambda df: sorted((r.row.doc_id, x.item_id, x.similarity) for r in df.collect() for x in r.leaks)
     whole = flat(decontaminate.mark_leaks(docs, bench))
+    result = lambda: sorted(map(tuple, queries.op10_decontamination(spark, SF_SMALL).collect()))
+    query = result()
+    twice = bench.unionByName(bench.select((F.col("item_id")).alias("item_id"), F.concat(F.lit("other words "), "text").alias("text")))
+    both = flat(decontaminate.mark_leaks(docs, twice))
+    assert len({x[:2] for x in both}) == len(both)  # an id with two texts counts as one
     monkeypatch.setattr(decontaminate, "PASS_BYTES", 4000)
+    monkeypatch.setattr(decontaminate, "_PAIRS", 100)
     assert flat(decontaminate.mark_leaks(docs, bench)) == whole and whole
+    assert result() == query and query
+    assert flat(decontaminate.mark_leaks(docs, twice)) == both
 
 
 def test_multi_index_finds_every_fingerprint_within_the_radius():
@@ -375,7 +383,7 @@ def test_multi_index_finds_every_fingerprint_within_the_radius():
     for i in range(len(prints)):
         for b in rng.choice(64, rng.integers(0, 24), replace=False):
             prints[i] ^= np.uint64(1) << np.uint64(b)
-    group = decontaminate._Length(5, np.arange(300), items, [{}] * 300)
+    group = decontaminate._Length(5, np.arange(300), items, *[np.zeros(0, int)] * 4)
     group.build()
     window, item, _ = group.within(prints, decontaminate.RADIUS)
     apart = np.bitwise_count(prints[:, None] ^ items[None, :])
