@@ -483,23 +483,18 @@ def _hist_sql(src: str, col: str, k: int, stage: str | None = None) -> str:
 SQL["histogram"] = _hist_sql("events", "value", 30)
 
 
-def _kde_sql(src: str, col: str, group: str | None, grid: int, fine: int = 2048, cut: float = 3.0) -> str:
+def _kde_sql(src: str, col: str, group: str | None, grid: int, cut: float = 3.0) -> str:
+    """The direct sum over all rows at every grid point."""
     g = f"{group}, " if group else ""
     gj = f"USING ({group})" if group else "ON true"
     return f"""
-WITH st AS (SELECT {g}min({col}) AS lo, max({col}) AS hi, count({col}) AS n, stddev_samp({col}) AS sd
+WITH st AS (SELECT {g}min({col}) AS lo, max({col}) AS hi, count({col}) AS n, stddev_samp({col}) * pow(cast(count({col}) AS DOUBLE), -0.2::DOUBLE) AS h
             FROM {src} WHERE {col} IS NOT NULL {'AND ' + group + ' IS NOT NULL' if group else ''} {'GROUP BY ' + group if group else ''}),
-st2 AS (SELECT *, sd * pow(cast(n AS DOUBLE), -0.2::DOUBLE) AS h, (hi - lo) / {fine} AS w FROM st),
-fb AS (SELECT {'s.' + group + ', ' if group else ''}CASE WHEN s.w > 0 THEN least(floor(({col} - s.lo) / s.w), {fine - 1}) ELSE 0 END AS fb,
-              count(*) AS c
-       FROM {src} x JOIN st2 s {('ON x.' + group + ' = s.' + group) if group else 'ON true'}
-       WHERE {col} IS NOT NULL GROUP BY ALL),
-bins AS (SELECT {g}c, lo + (fb + 0.5::DOUBLE) * w AS center, h, n, lo, hi FROM fb JOIN st2 {gj}),
-gp AS (SELECT {g}gi, lo - {cut!r}::DOUBLE * h + gi * ((hi - lo + {2 * cut!r}::DOUBLE * h) / {grid - 1}) AS gx
-       FROM st2, (SELECT range AS gi FROM range({grid})))
+gp AS (SELECT {g}gi, h, n, lo - {cut!r}::DOUBLE * h + gi * ((hi - lo + {2 * cut!r}::DOUBLE * h) / {grid - 1}) AS gx
+       FROM st, (SELECT range AS gi FROM range({grid})) WHERE h > 0)
 SELECT {g}cast(gi AS INTEGER) AS grid, {r('any_value(gx)')} AS x,
-  {r('sum(c * exp(-0.5::DOUBLE * ((gx - center) / bins.h) * ((gx - center) / bins.h))) / (any_value(bins.n) * any_value(bins.h) * 2.5066282746310002::DOUBLE)')} AS density
-FROM gp JOIN bins {gj} WHERE bins.h > 0 GROUP BY {g}gi"""
+  {r(f'sum(exp(-0.5::DOUBLE * ((gx - {col}) / h) * ((gx - {col}) / h))) / (any_value(n) * any_value(h) * 2.5066282746310002::DOUBLE)')} AS density
+FROM gp JOIN (SELECT * FROM {src} WHERE {col} IS NOT NULL) {gj} GROUP BY {g}gi"""
 
 
 SQL["kde"] = _kde_sql("events", "value", None, 200)

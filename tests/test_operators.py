@@ -4,6 +4,7 @@ import itertools
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from tabstrata.operators import metrics as M
 from tabstrata.operators import prepare as P
 from tabstrata.operators import profile as PR
 from tabstrata.operators import relations as REL
-from tabstrata.session import table
+from tabstrata.session import scratch_path, table
 
 
 def test_impute_median_even_count_and_mode_ties(spark):
@@ -327,3 +328,57 @@ def test_most_frequent_keeps_64_bit_integers(spark):
     big = 9007199254740993
     df = spark.createDataFrame([(big,), (big,), (9,), (10,), (None,)], "x bigint")
     assert [r["x"] for r in impute(df, "most_frequent", ["x"]).collect()].count(big) == 3
+
+
+def test_knn_prunes_clustered_data_and_stays_exact(spark):
+    """Twelve far clusters with ties and repeated rows: equal to comparing all pairs, and most pairs are never compared."""
+    from tabstrata.operators.knn import KnnIndex, distances, fit_knn
+
+    rng = np.random.default_rng(5)
+    X = np.round(rng.integers(0, 12, 1500)[:, None] * 100.0 + rng.normal(size=(1500, 3)), 1)
+    X[:400] = X[0]  # a value that many rows share
+    X[rng.random(X.shape) < 0.08] = np.nan
+    X[7] = np.nan
+    cols = ["a", "b", "c"]
+    df = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in x]) for i, x in enumerate(X)], "id long, a double, b double, c double")
+    index = fit_knn(df, cols, "id", block_rows=100)
+    want = X.copy()
+    dist = distances(X, X)
+    for i, j in zip(*np.nonzero(np.isnan(X))):
+        has = np.flatnonzero(~np.isnan(X[:, j]) & np.isfinite(dist[i]))
+        near = has[np.lexsort((has, dist[i, has]))][:5]
+        want[i, j] = X[near, j].mean() if near.size else np.nanmean(X[:, j])
+    got = np.array([list(r[1:]) for r in sorted(index.impute(df, 5, count=True).select("id", *cols).collect())])
+    assert np.allclose(got, want, atol=1e-9)
+    assert index.visited["visited"] < 0.35 * index.visited["all"]
+    path = scratch_path(spark, "knn-test")
+    index.save(spark, path)
+    again = KnnIndex.load(spark, path).impute(df.where("id < 300"), 5).select("id", *cols)
+    assert np.allclose(np.array([list(r[1:]) for r in sorted(again.collect())]), want[:300], atol=1e-9)
+
+
+def test_knn_rare_patterns_share_a_cell(spark, monkeypatch):
+    from tabstrata.operators import knn
+
+    rng = np.random.default_rng(6)
+    X = rng.normal(size=(200, 4))
+    X[rng.random(X.shape) < 0.3] = np.nan
+    df = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in x]) for i, x in enumerate(X)], "id long, a double, b double, c double, d double")
+    whole = sorted(knn.knn_impute(df, ["a", "b", "c", "d"], "id", 3).collect())
+    monkeypatch.setattr(knn, "MAX_PATTERNS", 3)
+    assert sorted(knn.knn_impute(df, ["a", "b", "c", "d"], "id", 3).collect()) == whole
+
+
+def test_kde_equals_the_direct_sum_on_heavy_tails(spark):
+    from tabstrata.operators.density import kde
+
+    rng = np.random.default_rng(8)
+    x = np.exp(rng.normal(8, 2, 50_000))
+    rows = spark.createDataFrame(pd.DataFrame({"x": x, "g": np.where(np.arange(len(x)) % 3 > 0, "hot", "other")}))
+    for group in (None, "g"):
+        got = kde(rows, "x", group, grid_size=120).toPandas()
+        for name, part in got.groupby(group) if group else [(None, got)]:
+            own = x if name is None else rows.where(F.col("g") == name).toPandas()["x"].to_numpy()
+            h = own.std(ddof=1) * len(own) ** -0.2
+            want = np.array([np.exp(-0.5 * ((p - own) / h) ** 2).sum() / (len(own) * h * np.sqrt(2 * np.pi)) for p in part["x"]])
+            assert len(part) == 120 and np.allclose(part["density"], want, rtol=1e-6, atol=want.max() * 1e-9)
