@@ -181,10 +181,19 @@ def scale(df: DataFrame, method: str = "standard", columns: list[str] | None = N
 # --------------------------------------------------------------------------------------
 # Categorical encoding
 # --------------------------------------------------------------------------------------
+#: Levels up to which a column's codes are literals in the plan; beyond it they are a table in the shared folder.
+MAX_LITERAL_LEVELS = 1000
+#: Levels up to which a code table is broadcast (counted when it is made); beyond it rows are joined by a shuffle.
+MAX_BROADCAST_LEVELS = 100_000
+
+
 @dataclass
 class EncoderModel:
+    """Sorted levels of each column (``levels``), or for columns of many levels the path and size of their code table (``tables``)."""
+
     method: str
     levels: dict[str, list[str]]
+    tables: dict[str, tuple[str, int]] = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
         if self.method == "one_hot":
@@ -198,32 +207,65 @@ class EncoderModel:
         out = {}
         for c, lv in self.levels.items():
             codes = F.create_map(*[x for i, level in enumerate(lv) for x in (F.lit(level), F.lit(i))])
-            code = F.element_at(codes, F.col(c).cast("string")) if lv else F.lit(None).cast("int")
-            if self.method == "label":
-                out[c] = F.when(F.col(c).isNull(), F.lit(-1)).otherwise(F.coalesce(code, F.lit(-1)))
-            else:
-                out[c] = code.cast("int")
-        return df.withColumns(out)
+            out[c] = F.element_at(codes, F.col(c).cast("string")) if lv else F.lit(None).cast("int")
+        order = df.columns
+        for i, (c, (path, n)) in enumerate(self.tables.items()):
+            codes = df.sparkSession.read.parquet(path).select(F.col("level").alias(f"_level{i}"), F.col("code").alias(f"_code{i}"))
+            df = df.join(F.broadcast(codes) if n <= MAX_BROADCAST_LEVELS else codes, F.col(c).cast("string") == F.col(f"_level{i}"), "left").drop(f"_level{i}")
+            out[c] = F.col(f"_code{i}")
+        if self.method == "label":
+            out = {c: F.coalesce(code, F.lit(-1)) for c, code in out.items()}
+        return df.withColumns({c: code.cast("int") for c, code in out.items()}).select(*order)
 
 
 def fit_encoder(df: DataFrame, method: str = "one_hot", columns: list[str] | None = None,
-                max_levels: int = 1000) -> EncoderModel:
-    """E8 fit: sorted distinct non-null levels per column (bounded by ``max_levels``)."""
+                max_levels: int = MAX_LITERAL_LEVELS) -> EncoderModel:
+    """E8 fit: sorted distinct non-null levels per column.
+
+    Label and ordinal codes take any number of levels: beyond ``max_levels``
+    the distinct levels are numbered in range-sorted order (``dense_codes``)
+    and kept as a table, which transforms join back. One column a level stops
+    at ``max_levels``; ``fit_one_hot_vector`` makes one sparse vector instead.
+    """
     if method not in ("one_hot", "label", "ordinal"):
         raise ValueError(f"unknown encoding method {method!r}")
     cols = columns if columns is not None else string_columns(df)
-    levels = {}
+    levels, tables = {}, {}
     for c in cols:
-        vals = (df.select(F.col(c).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
-                .limit(max_levels + 1).collect())
-        if len(vals) > max_levels:
-            raise ValueError(f"column {c!r} has more than {max_levels} levels")
-        levels[c] = sorted(r["v"] for r in vals)
-    return EncoderModel(method, levels)
+        distinct = df.select(F.col(c).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
+        vals = distinct.limit(max_levels + 1).collect()
+        if len(vals) <= max_levels:
+            levels[c] = sorted(r["v"] for r in vals)
+        elif method == "one_hot":
+            raise ValueError(f"column {c!r} has more than {max_levels} levels; use fit_one_hot_vector")
+        else:
+            tables[c] = dense_codes(distinct)
+    return EncoderModel(method, levels, tables)
+
+
+def dense_codes(levels: DataFrame) -> tuple[str, int]:
+    """Path and size of a table (level, code) with the distinct values of ``v`` numbered from 0 in sorted order.
+
+    Values are sorted in ranges; each range starts where the ones before it
+    end, by a count a range, so no task and not the driver holds all levels.
+    """
+    from ..session import scratch_path
+    spark = levels.sparkSession
+    path = scratch_path(spark, "levels")
+    at = F.monotonically_increasing_id()
+    levels.repartitionByRange(F.col("v")).sortWithinPartitions("v").withColumn("_at", at).withColumn("_part", F.shiftright("_at", 33)).write.parquet(path)
+    rows = spark.read.parquet(path)
+    parts = rows.groupBy("_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
+    offsets = parts.withColumn("_before", before)
+    codes = rows.join(F.broadcast(offsets.drop("_n")), "_part")
+    out = scratch_path(spark, "codes")
+    codes.select(F.col("v").alias("level"), (F.col("_before") + F.col("_at") - F.col("_first")).cast("int").alias("code")).write.parquet(out)
+    return out, int(parts.agg(F.sum("_n")).first()[0] or 0)
 
 
 def encode(df: DataFrame, method: str = "one_hot", columns: list[str] | None = None,
-           max_levels: int = 1000) -> DataFrame:
+           max_levels: int = MAX_LITERAL_LEVELS) -> DataFrame:
     return fit_encoder(df, method, columns, max_levels).transform(df)
 
 
@@ -348,16 +390,17 @@ def split_dataset(df: DataFrame, id_col: str, target: str, test_size=0.2, val_si
     """(train, val or None, test) DataFrames; the target must exist.
 
     Labels are a projection, so the parts are read through to the source.
-    With ``materialize`` the labelled table is checkpointed once to the
-    shared ``spark.checkpoint.dir``, for inputs that are dear to recompute.
+    With ``materialize`` the labelled table is written once to the shared
+    folder, for inputs that several jobs read.
     """
     if target not in df.columns:
         raise ValueError(f"Target column '{target}' not found in dataframe")
     lab = (split_labels_stratified(df, id_col, stratify, test_size, val_size, seed) if stratify
            else split_labels(df, id_col, test_size, val_size, seed))
     if materialize:
-        from ..session import shared_dir
-        shared_dir(lab.sparkSession)
-        lab = lab.checkpoint(eager=True)
+        from ..session import scratch_path
+        path = scratch_path(lab.sparkSession, "split")
+        lab.write.parquet(path)
+        lab = lab.sparkSession.read.parquet(path)
     parts = {k: lab.where(F.col("split") == k).drop("split") for k in ("train", "val", "test")}
     return parts["train"], (parts["val"] if val_size and float(val_size) > 0 else None), parts["test"]

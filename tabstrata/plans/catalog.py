@@ -328,6 +328,15 @@ def _encode(method):
     return q
 
 
+def _encode_many(method):
+    """Codes of a column with a level a part and order (null in every 97th row)."""
+    def q(spark, d):
+        li = table(spark, d, "lineitem").select(F.expr(ROW_ID).alias("row_id"), F.when(F.col("l_partkey") % 97 != 0, F.concat_ws("-", "l_partkey", "l_orderkey")).alias("item"))
+        return P.encode(li, method, ["item"])
+    q.__name__ = f"encode_many_{method}"
+    return q
+
+
 def split(spark, d):
     ev = table(spark, d, "events").select("event_id", "value")
     return P.split_labels(ev, "event_id", 0.2, 0.1, SEED).select("event_id", "split")
@@ -390,6 +399,8 @@ QUERIES = {
     "encode_onehot": _encode("one_hot"),
     "encode_label": _encode("label"),
     "encode_ordinal": _encode("ordinal"),
+    "encode_many_label": _encode_many("label"),
+    "encode_many_ordinal": _encode_many("ordinal"),
     "split": split,
     "split_stratified": split_stratified,
 }
@@ -493,6 +504,15 @@ def preprocess(spark, d):
     return round_doubles(train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))))
 
 
+def preprocess_knn(spark, d):
+    """Fitted KNN imputation and isolation forest: training rows are searched for both parts."""
+    from .pipeline import preprocess as prep
+    p = _posts_na(spark, d)
+    config = {"missing_values": {"strategy": "knn"}, "outliers": {"method": "isolation_forest", "treatment": "flag"}}
+    train, _, test, _ = prep(p, "target", "post_id", config, test_size=0.2, seed=SEED)
+    return round_doubles(train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))))
+
+
 def qq(spark, d):
     line, _ = M.qq(_line_pred(spark, d), "label", "prediction", "row_id")
     return round_doubles(line, 4)
@@ -690,6 +710,7 @@ def run(spark, d):
 QUERIES.update({
     "impute_knn": impute_knn,
     "isolation_forest": isolation_forest,
+    "preprocess_knn": preprocess_knn,
     "preprocess": preprocess,
     "qq": qq,
     "qq_points": qq_points,

@@ -497,6 +497,14 @@ SELECT {g}cast(gi AS INTEGER) AS grid, {r('any_value(gx)')} AS x,
 FROM gp JOIN (SELECT * FROM {src} WHERE {col} IS NOT NULL) {gj} GROUP BY {g}gi"""
 
 
+for _m, _none in (("label", "-1"), ("ordinal", "NULL")):
+    SQL[f"encode_many_{_m}"] = f"""
+WITH t AS (SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS row_id,
+                  CASE WHEN l_partkey % 97 <> 0 THEN l_partkey || '-' || l_orderkey END AS item FROM lineitem),
+codes AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS code FROM (SELECT DISTINCT item FROM t WHERE item IS NOT NULL))
+SELECT row_id, cast(coalesce(code, {_none}) AS INTEGER) AS item FROM t LEFT JOIN codes USING (item)"""
+
+
 SQL["kde"] = _kde_sql("events", "value", None, 200)
 
 

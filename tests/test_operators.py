@@ -382,3 +382,69 @@ def test_kde_equals_the_direct_sum_on_heavy_tails(spark):
             h = own.std(ddof=1) * len(own) ** -0.2
             want = np.array([np.exp(-0.5 * ((p - own) / h) ** 2).sum() / (len(own) * h * np.sqrt(2 * np.pi)) for p in part["x"]])
             assert len(part) == 120 and np.allclose(part["density"], want, rtol=1e-6, atol=want.max() * 1e-9)
+
+
+def test_isolation_forest_with_repeated_ids_and_rows(spark):
+    from tabstrata.operators.outliers import fit_isolation_forest
+
+    ids = spark.range(20_000).select((F.col("id") % 10).alias("id"), (F.col("id") % 5000).cast("double").alias("x"))
+    same = spark.range(9_000).select(F.lit(1).cast("long").alias("id"), F.lit(2.0).alias("x"))
+    for df in (ids, ids.unionByName(same), same.unionByName(ids.limit(3))):
+        model = fit_isolation_forest(df, ["x"], "id")
+        assert len(model.trees) == 100 and {int(t[4][0]) for t in model.trees} == {256}
+    again = fit_isolation_forest(df.repartition(7), ["x"], "id")
+    assert [t[1].tolist() for t in again.trees] == [t[1].tolist() for t in model.trees]
+
+
+def test_encode_many_levels(spark, monkeypatch):
+    names = [f"n{i % 2500}" for i in range(4000)] + ["", "é", "Z", None]
+    df = spark.createDataFrame(list(enumerate(names)), "id int, c string")
+    order = {v: i for i, v in enumerate(sorted({n for n in names if n is not None}))}
+    other = spark.createDataFrame([(1, "n7"), (2, "unseen"), (3, None)], "id int, c string")
+    for limit in (100_000, 10):
+        monkeypatch.setattr(P, "MAX_BROADCAST_LEVELS", limit)
+        label, ordinal = P.fit_encoder(df, "label", ["c"]), P.fit_encoder(df, "ordinal", ["c"])
+        assert {r.id: r.c for r in label.transform(df).collect()} == {i: -1 if n is None else order[n] for i, n in enumerate(names)}
+        assert {r.id: r.c for r in ordinal.transform(df).collect()} == {i: order.get(n) for i, n in enumerate(names)}
+        assert [r.c for r in label.transform(other).orderBy("id").collect()] == [order["n7"], -1, -1]
+        assert [r.c for r in ordinal.transform(other).orderBy("id").collect()] == [order["n7"], None, None]
+    with pytest.raises(ValueError):
+        P.fit_encoder(df, "one_hot", ["c"])
+
+
+def test_preparation_with_knn_and_forest_saves_and_loads(spark):
+    from tabstrata.operators.knn import distances
+    from tabstrata.plans.pipeline import Preparation, PreparationModel
+
+    rng = np.random.default_rng(2)
+    X = np.round(rng.normal(size=(400, 2)) * 10, 2)
+    X[rng.random(X.shape) < 0.1] = np.nan
+    X[5] = [900.0, -900.0]
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in x], f"level{i}" if i % 9 else None, 1.0 * i) for i, x in enumerate(X)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c string, y double")
+    train, test = df.where("id < 300"), df.where("id >= 300 or id = 5")
+    config = {"missing_values": {"strategy": "knn", "knn_neighbors": 3}, "outliers": {"method": "isolation_forest", "treatment": "flag"}, "time_features": {"enabled": False}, "categorical": {"method": "label"}, "scaling": {"enabled": False}}
+    model = Preparation(config).fit(train, "y", "id")
+    got = {r.id: r for r in model.transform(test).collect()}
+    T, dist = X[:300], distances(X, X[:300])
+    for i in range(300, 400):
+        for j, c in enumerate("ab"):
+            want = X[i, j]
+            if np.isnan(want):
+                has = np.flatnonzero(~np.isnan(T[:, j]) & np.isfinite(dist[i]))
+                near = has[np.lexsort((has, dist[i, has]))][:3]
+                want = T[near, j].mean() if near.size else np.nanmean(T[:, j])
+            assert got[i][c] == pytest.approx(want)
+    assert got[5].is_outlier == 1 and sum(r.is_outlier for r in got.values()) < 20
+    path = scratch_path(spark, "preparation-test")
+    model.save(spark, path)
+    again = PreparationModel.load(spark, path)
+    assert sorted(again.transform(test).collect()) == sorted(got.values())
+    full = Preparation({"time_features": {"enabled": False}}).fit(train.drop("c"), "y", "id")
+    full.save(spark, path + "-b")
+    assert sorted(PreparationModel.load(spark, path + "-b").transform(test.drop("c")).collect()) == sorted(full.transform(test.drop("c")).collect())
+    for bad in ({"missing_values": {"strategy": "knn"}}, {"outliers": {"method": "isolation_forest"}}):
+        with pytest.raises(ValueError):
+            Preparation(bad).fit(train, "y")
+    with pytest.raises(ValueError):
+        Preparation({"outliers": {"method": "odd"}}).fit(train, "y", "id")
