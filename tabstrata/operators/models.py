@@ -101,9 +101,19 @@ def complete_rows(df: DataFrame, features: list[str], label: str) -> DataFrame:
 
 
 def train(df: DataFrame, features: list[str], label: str, model_type: str = "linear", **kw) -> PipelineModel:
-    """Fit (assembler -> estimator) on the complete rows of ``df``; F7 goes through ``train_svr``."""
+    """Fit (assembler -> estimator) on the complete rows of ``df``; F7 goes through ``train_svr``.
+
+    A random forest is grown by ``forest.train_forest`` (exact splits, no depth
+    limit); with ``max_bins`` it is Spark's own, binned and 30 levels deep at most.
+    """
     if model_type == "svr":
         return train_svr(df, features, label, **kw)
+    if model_type == "random_forest" and "max_bins" not in kw:
+        from .forest import train_forest
+        odd = set(kw) - {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "random_state", "bootstrap", "node_rows"}
+        if odd:
+            raise ValueError(f"{model_type} has no parameter {sorted(odd)}")
+        return train_forest(df, features, label, **kw)
     d = complete_rows(df, features, label).select(*features, F.col(label).cast("double").alias(label))
     est = estimator(model_type, d, label, n_features=len(features), **kw)
     return Pipeline(stages=[assembler(features), est]).fit(d)

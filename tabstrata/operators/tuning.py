@@ -21,11 +21,10 @@ from .metrics import regression_metrics
 from .ranking import global_rank, label_by_position
 
 # The reference's search grids (parameters Spark has no
-# equivalent for - solver names, normalize, copy_X, min_samples_split - are
-# dropped; an unlimited depth becomes Spark's cap of 30).
+# equivalent for - solver names, normalize, copy_X - are dropped).
 GRIDS = {
     "random_forest": {"n_estimators": [50, 100, 200], "max_depth": [None, 10, 20, 30],
-                      "min_samples_leaf": [1, 2, 4]},
+                      "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4]},
     "gradient_boosting": {"n_estimators": [50, 100, 200], "learning_rate": [0.01, 0.1, 0.2],
                           "max_depth": [3, 5, 7], "subsample": [0.8, 0.9, 1.0]},
     "linear": {"fit_intercept": [True, False]},

@@ -175,3 +175,99 @@ def test_fold_sums_equal_fits_with_nulls_collinear_columns_and_offsets(spark, re
             assert fast[i] == pytest.approx(mse, rel=1e-4)
     curve = TU.learning_curve(odd, ["a", "b"], "y", "id", "linear", cv=4, train_sizes=[0.3, 1.0]).collect()
     assert len(curve) == 2 and all(r["train_rmse_mean"] > 0 for r in curve)
+
+
+def _cart(X, y, w, depth, split, leaf):
+    """A plain recursive regression tree: nested (feature, cut, left, right), leaf values."""
+    if len(y) < max(split, 2 * leaf, 2) or y.min() == y.max() or depth == 0:
+        return np.average(y, weights=w)
+    best = None
+    for j in range(X.shape[1]):
+        values = np.unique(X[:, j])
+        for a, b in zip(values, values[1:]):
+            low = X[:, j] <= a + (b - a) / 2
+            if min(low.sum(), (~low).sum()) >= leaf:
+                score = sum((w * y)[s].sum() ** 2 / w[s].sum() for s in (low, ~low))
+                if best is None or score > best[0] + 1e-9 * abs(best[0]):
+                    best = (score, j, a + (b - a) / 2, low)
+    if best is None:
+        return np.average(y, weights=w)
+    _, j, cut, low = best
+    return j, cut, *(_cart(X[s], y[s], w[s], None if depth is None else depth - 1, split, leaf) for s in (low, ~low))
+
+
+def _nested(tree, i=0):
+    if tree["feature"][i] < 0:
+        return float(tree["value"][i])
+    return int(tree["feature"][i]), float(tree["threshold"][i]), _nested(tree, tree["left"][i]), _nested(tree, tree["right"][i])
+
+
+def _flat(t):
+    return [t] if not isinstance(t, tuple) else [t[0], t[1], *_flat(t[2]), *_flat(t[3])]
+
+
+def test_grow_equals_plain_cart():
+    from tabstrata.operators.forest import grow
+
+    rng = np.random.default_rng(0)
+    for k in range(60):
+        n = int(rng.integers(1, 50))
+        X, y, w = rng.integers(0, rng.choice([3, 10, 1000]), (n, 3)).astype(float), rng.normal(size=n), rng.integers(1, 4, n).astype(float)
+        y -= np.average(y, weights=w)  # so that both add up around the mean
+        for depth, split, leaf in ((None, 2, 1), (3, 2, 1), (None, 5, 2), (None, 10, 4)):
+            assert _flat(_nested(grow(X, y, w, depth, split, leaf))) == pytest.approx(_flat(_cart(X, y, w, depth, split, leaf)))
+
+
+@pytest.fixture(scope="module")
+def forest_frame(spark):
+    rng = np.random.default_rng(4)
+    X = np.round(rng.normal(size=(600, 3)), 2)
+    y = np.round(5 * (X[:, 0] > 0) + X[:, 1] + rng.normal(size=600) / 5, 3)
+    df = spark.createDataFrame([(i, *map(float, x), float(v)) for i, (x, v) in enumerate(zip(X, y))] + [(9999, None, 1.0, 1.0, 1.0)], "id long, a double, b double, c double, y double")
+    return X, y, df
+
+
+def test_forest_to_purity_and_each_tree_by_itself(spark, forest_frame):
+    from tabstrata.operators import forest as FO
+
+    X, y, df = forest_frame
+    whole = FO.train_forest(df, ["a", "b", "c"], "y", n_estimators=3, bootstrap=False)
+    got = {r.id: r.prediction for r in whole.transform(df).collect()}
+    assert got[9999] is None and np.allclose([got[i] for i in range(600)], y)  # unique rows are fitted exactly
+    model = FO.train_forest(df.repartition(5), ["a", "b", "c"], "y", n_estimators=100, min_samples_split=5)
+    again = FO.train_forest(df, ["a", "b", "c"], "y", n_estimators=100, min_samples_split=5)
+    trees, other = model.trees(spark), again.trees(spark)
+    assert len(trees) == 100 and all(np.array_equal(a[0]["threshold"], b[0]["threshold"]) for a, b in zip(trees, other))
+    keys = np.array([r.k for r in df.where("id < 600").groupBy("a", "b", "c", "y").count().join(df, ["a", "b", "c", "y"]).orderBy("id").select(F.xxhash64("a", "b", "c", "y", F.lit(0).cast("long")).alias("k")).collect()])
+    w = FO.poisson_weights(keys, np.arange(100), 42)
+    for t in range(0, 100, 25):
+        own = w[:, t] > 0
+        assert _flat(_nested(trees[t][0])) == pytest.approx(_flat(_cart(X[own], y[own], w[own, t], None, 5, 1)), rel=1e-6)
+    assert 0.55 < own.mean() < 0.7 and sum(model.importances) == pytest.approx(1) and int(np.argmax(model.importances)) == 0
+
+
+def test_forest_split_over_the_table_equals_in_one_task(spark, forest_frame, monkeypatch):
+    from tabstrata.operators import forest as FO
+    from tabstrata.session import scratch_path
+    from tabstrata.sources.io import load_model, save_model
+
+    X, y, df = forest_frame
+    coarse = df.withColumns({c: F.round(F.col(c) * 5) for c in "abc"})
+    kw = {"n_estimators": 2, "min_samples_leaf": 2, "max_depth": 9, "bootstrap": False}  # cuts lie between the values of all rows, so with all rows they are the same
+    one = FO.train_forest(coarse, ["a", "b", "c"], "y", **kw)
+    many = FO.train_forest(coarse, ["a", "b", "c"], "y", node_rows=60, **kw)
+    assert max(len(t["feature"]) for t in many.tops) > 5
+    told = lambda m: np.array([r.prediction for r in m.transform(coarse.where("id < 600")).orderBy("id").collect()])
+    assert np.allclose(told(one), told(many)) and np.allclose(one.importances, many.importances)
+    path = save_model(many, scratch_path(spark, "models"), "forest")
+    monkeypatch.setattr(FO, "MAX_BROADCAST_NODES", 10)  # met subtree by subtree
+    assert np.allclose(told(load_model(path)), told(one))
+    same = spark.range(500).select(F.lit(1.0).alias("a"), F.lit(2.0).alias("y"))  # a node that can't be split
+    assert {r.prediction for r in FO.train_forest(same, ["a"], "y", n_estimators=2, node_rows=50).transform(same).collect()} == {2.0}
+    with pytest.raises(ValueError):
+        FO.train_forest(df.limit(0), ["a"], "y")
+
+
+def test_forest_grid_has_every_point():
+    from tabstrata.operators import tuning as TU
+    assert np.prod([len(v) for v in TU.GRIDS["random_forest"].values()]) == 108
