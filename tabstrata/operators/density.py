@@ -202,14 +202,30 @@ def _poisson1_thresholds(kmax: int = 20) -> np.ndarray:
     return np.array(out)
 
 
-def bootstrap_mean_ci(df: DataFrame, col: str, id_col: str, group: str | None = None, replicates: int = 200,
+#: Bytes of replicate sums that a task holds at once; rows whose weights are drawn at once.
+SUM_BYTES, DRAWN_ROWS = 64 << 20, 2048
+
+
+def _interval(sums: np.ndarray, level: float) -> tuple[float, float, int]:
+    """Percentile interval of the replicates' means; replicates that drew no row have none."""
+    m = sums[1][sums[0] > 0] / sums[0][sums[0] > 0]
+    if not m.size:
+        return math.nan, math.nan, 0
+    lo, hi = np.quantile(m, [(1.0 - level) / 2.0, (1.0 + level) / 2.0])
+    return float(lo), float(hi), int(m.size)
+
+
+def bootstrap_mean_ci(df: DataFrame, col: str, id_col: str, group: str | None = None, replicates: int = 1000,
                       seed: int = 42, level: float = 0.95) -> DataFrame:
     """C20: Poisson bootstrap of the (group) mean: percentile interval over replicates.
 
     Each row carries repeatable Poisson(1) weights, one per replicate, drawn
-    from a hash of (seed, id, replicate). Weighted sums are accumulated per
-    partition with NumPy (``mapInPandas``), so only partitions x groups x
-    replicates partial sums are shuffled, never rows x replicates.
+    from a hash of (seed, id, replicate); weighted sums are added up with NumPy.
+    As long as the sums of all groups (counted) fit into ``SUM_BYTES``, rows
+    stay where they are and only sums travel, merged in two steps. With more
+    groups, rows are range-sorted by (group, id) and summed group after group:
+    a group inside a task is done there, and only the first and last one of each
+    range are merged, so a hot group is many tasks and small ones cost no sums.
     """
     keys = [group] if group else []
     d = df.select(*keys, F.col(id_col).cast("long").alias("_id"), F.col(col).cast("double").alias("_x")) \
@@ -218,27 +234,67 @@ def bootstrap_mean_ci(df: DataFrame, col: str, id_col: str, group: str | None =
         d = d.where(F.col(group).isNotNull()).withColumn("_g", F.col(group).cast("string"))
     else:
         d = d.withColumn("_g", F.lit(""))
+    d = d.select("_g", "_id", "_x")
     B = int(replicates)
+    most = max(1, SUM_BYTES // (16 * B))
+    few = d.select("_g").distinct().limit(most + 1).count() <= most
+    kind = "_g string, _part int, ci_low double, ci_high double, replicates long, sums binary"
+
+    def row(g, sums, done):
+        lo, hi, n = _interval(sums, level) if done else (None, None, None)
+        return {"_g": g, "_part": int(np.random.randint(32)), "ci_low": lo, "ci_high": hi, "replicates": n, "sums": None if done else sums.tobytes()}
+
+    def drawn(pdf):
+        """(group, its sums) of stretches of rows of one group, in order."""
+        for at in range(0, len(pdf), DRAWN_ROWS):
+            part = pdf.iloc[at:at + DRAWN_ROWS]
+            g = part["_g"].to_numpy()
+            starts = np.r_[0, np.flatnonzero(g[1:] != g[:-1]) + 1]
+            w = _poisson_weights(part["_id"].to_numpy(dtype=np.int64), B, seed)
+            sw = np.add.reduceat(w, starts)
+            yield from zip(g[starts], np.stack([sw, np.add.reduceat(w * part["_x"].to_numpy()[:, None], starts)], 1))
+
+    def in_place(it):
+        acc: dict[str, np.ndarray] = {}
+        for pdf in it:
+            for g, sums in drawn(pdf.sort_values("_g", kind="stable")):
+                acc[g] = acc[g] + sums if g in acc else sums
+        yield pd.DataFrame([row(g, sums, False) for g, sums in acc.items()], columns=["_g", "_part", "ci_low", "ci_high", "replicates", "sums"])
 
-    def partial(it):
-        acc: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    def in_order(it):
+        current, total, first, out = None, None, True, []
         for pdf in it:
-            for g, sub in pdf.groupby("_g", sort=False):
-                xs = sub["_x"].to_numpy(dtype=np.float64)
-                w = _poisson_weights(sub["_id"].to_numpy(dtype=np.int64), B, seed)
-                sw, swx = acc.get(g, (np.zeros(B), np.zeros(B)))
-                acc[g] = (sw + w.sum(axis=0), swx + (w * xs[:, None]).sum(axis=0))
-        for g, (sw, swx) in acc.items():
-            yield pd.DataFrame({"_g": g, "rep": np.arange(B, dtype=np.int32), "sw": sw, "swx": swx})
-
-    parts = d.select("_g", "_id", "_x").mapInPandas(partial, "_g string, rep int, sw double, swx double")
-    reps = parts.groupBy("_g", "rep").agg((F.sum("swx") / F.sum("sw")).alias("m"))
-    a = (1.0 - level) / 2.0
-    out = reps.groupBy("_g").agg(F.percentile("m", F.array(F.lit(a), F.lit(1.0 - a))).alias("ci"),
-                                 F.count(F.lit(1)).alias("replicates"))
+            for g, sums in drawn(pdf):
+                if g == current:
+                    total = total + sums
+                    continue
+                if current is not None:
+                    out.append(row(current, total, not first))
+                    first = False
+                current, total = g, sums
+            if out:
+                yield pd.DataFrame(out)
+                out = []
+        if current is not None:
+            yield pd.DataFrame([row(current, total, False)])
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([row(pdf["_g"].iloc[0], sum(np.frombuffer(b).reshape(2, B) for b in pdf["sums"]), False)])
+
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([row(pdf["_g"].iloc[0], sum(np.frombuffer(b).reshape(2, B) for b in pdf["sums"]), True)])
+
+    merged = lambda p: p.groupBy("_g", "_part").applyInPandas(add, kind).groupBy("_g").applyInPandas(finish, kind)
+    if few:
+        out = merged(d.mapInPandas(in_place, kind))
+    else:
+        from ..session import scratch_path
+        path = scratch_path(df.sparkSession, "bootstrap")
+        d.repartitionByRange("_g", "_id").sortWithinPartitions("_g", "_id").mapInPandas(in_order, kind).write.parquet(path)
+        rows = df.sparkSession.read.parquet(path)
+        out = rows.where("sums IS NULL").unionByName(merged(rows.where("sums IS NOT NULL")))
     mean = d.groupBy("_g").agg(F.avg("_x").alias("mean"), F.count(F.lit(1)).alias("n"))
-    res = mean.join(out, "_g").select(
-        "_g", "n", "mean", F.col("ci")[0].alias("ci_low"), F.col("ci")[1].alias("ci_high"), "replicates")
+    res = mean.join(out, "_g").select("_g", "n", "mean", "ci_low", "ci_high", "replicates")
     return res.withColumnRenamed("_g", group) if group else res.drop("_g")
 
 
@@ -310,7 +366,7 @@ def _poisson_weights(ids: np.ndarray, B: int, seed: int) -> np.ndarray:
     return np.searchsorted(_poisson1_thresholds(), uu, side="right").astype(np.float64)
 
 
-def regression_band(df: DataFrame, x: str, y: str, id_col: str, replicates: int = 200, seed: int = 42,
+def regression_band(df: DataFrame, x: str, y: str, id_col: str, replicates: int = 1000, seed: int = 42,
                     level: float = 0.95, grid_size: int = 50) -> DataFrame:
     """C13 band: least-squares line of y on x and its bootstrap percentile band.
 
@@ -325,10 +381,12 @@ def regression_band(df: DataFrame, x: str, y: str, id_col: str, replicates: int
 
     def partial(it):
         acc = np.zeros((5, B))
-        for pdf in it:
-            w = _poisson_weights(pdf["_id"].to_numpy(dtype=np.int64), B, seed)
-            xs, ys = pdf["_x"].to_numpy()[:, None], pdf["_y"].to_numpy()[:, None]
-            acc += np.stack([w.sum(0), (w * xs).sum(0), (w * ys).sum(0), (w * xs * xs).sum(0), (w * xs * ys).sum(0)])
+        for whole in it:
+            for at in range(0, len(whole), DRAWN_ROWS):
+                pdf = whole.iloc[at:at + DRAWN_ROWS]
+                w = _poisson_weights(pdf["_id"].to_numpy(dtype=np.int64), B, seed)
+                xs, ys = pdf["_x"].to_numpy(), pdf["_y"].to_numpy()
+                acc += np.stack([np.ones(len(xs)), xs, ys, xs * xs, xs * ys]) @ w
         yield pd.DataFrame({"rep": np.arange(B, dtype=np.int32), "sw": acc[0], "sx": acc[1], "sy": acc[2],
                             "sxx": acc[3], "sxy": acc[4]})
 

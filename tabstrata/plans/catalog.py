@@ -435,13 +435,13 @@ def group_ci(spark, d):
 
 def bootstrap_ci(spark, d):
     return round_doubles(DEN.bootstrap_mean_ci(table(spark, d, "events"), "value", "event_id", "event_type",
-                                               replicates=200, seed=SEED))
+                                               replicates=1000, seed=SEED))
 
 
 def ols_band(spark, d):
     li = table(spark, d, "lineitem").select(F.expr(ROW_ID).alias("row_id"),
                                             "l_quantity", "l_extendedprice")
-    return round_doubles(DEN.regression_band(li, "l_quantity", "l_extendedprice", "row_id", replicates=100,
+    return round_doubles(DEN.regression_band(li, "l_quantity", "l_extendedprice", "row_id", replicates=1000,
                                              seed=SEED), 2)
 
 
@@ -569,7 +569,7 @@ def _tree_model(kind, **kw):
 def svr(spark, d):
     from ..operators import models as MD
     p = _posts_ml(spark, d)
-    m = MD.train(p, POST_FEATS, "target", "svr", n_components=100, iterations=25)
+    m = MD.train(p, POST_FEATS, "target", "svr")
     return round_doubles(m.transform(p.select("post_id", *POST_FEATS)).select("post_id", "prediction"), 4)
 
 
@@ -583,7 +583,7 @@ def predict(spark, d):
 def importance(spark, d):
     from ..operators import models as MD
     p = _posts_ml(spark, d)
-    m = MD.train(p, POST_FEATS, "target", "random_forest", n_estimators=20, max_depth=8)
+    m = MD.train(p, POST_FEATS, "target", "random_forest")
     return round_doubles(MD.feature_importances(m, POST_FEATS), 4)
 
 
@@ -597,8 +597,8 @@ def grid(spark, d):
 def random_search(spark, d):
     from ..operators import tuning as TU
     li = _lineitem_ml(spark, d)
-    _, _, _, res = TU.search(li, LINE_FEATS, "l_extendedprice", "row_id", "lasso", cv=3, search_method="random",
-                             n_iter=3, seed=SEED)
+    _, _, _, res = TU.search(li, LINE_FEATS, "l_extendedprice", "row_id", "lasso", cv=5, search_method="random",
+                             n_iter=10, seed=SEED)
     return round_doubles(res, 2)
 
 
@@ -690,8 +690,7 @@ def train_models(spark, d):
     li = _lineitem_ml(spark, d)
     lab = P.split_labels(li, "row_id", 0.2, 0.0, SEED)
     train, test = lab.where(F.col("split") == "train"), lab.where(F.col("split") == "test")
-    models, _ = tm(train, LINE_FEATS, "l_extendedprice", "row_id", ["linear", "ridge", "gradient_boosting"],
-                   params={"gradient_boosting": {"n_estimators": 10, "max_depth": 3}})
+    models, _ = tm(train, LINE_FEATS, "l_extendedprice", "row_id", ["linear", "ridge", "gradient_boosting"])
     preds = None
     for name, m in models.items():
         p = MD.predict(m, test).select(F.lit(name).alias("model"), "l_extendedprice", "prediction")
@@ -702,8 +701,7 @@ def train_models(spark, d):
 def run(spark, d):
     from .report import run as run_all
     p = _posts_na(spark, d)
-    res = run_all(p, "target", "post_id", model_types=["linear", "random_forest"],
-                  params={"random_forest": {"n_estimators": 10, "max_depth": 6}}, explore=False)
+    res = run_all(p, "target", "post_id", model_types=["linear", "random_forest"])
     return round_doubles(res["comparison"], 4)
 
 
@@ -718,8 +716,8 @@ QUERIES.update({
     "ridge": _penalized("ridge", alpha=1.0),
     "lasso": _penalized("lasso", alpha=1.0),
     "enet": _penalized("elasticnet", alpha=1.0, l1_ratio=0.5),
-    "forest": _tree_model("random_forest", n_estimators=20, max_depth=8),
-    "boosting": _tree_model("gradient_boosting", n_estimators=20, max_depth=3),
+    "forest": _tree_model("random_forest"),
+    "boosting": _tree_model("gradient_boosting"),
     "svr": svr,
     "predict": predict,
     "importance": importance,

@@ -745,7 +745,7 @@ ww AS (SELECT *, ({w}) AS w FROM wu)"""
 
 
 SQL["bootstrap_ci"] = f"""
-WITH {_weighted_rows("events", "event_id", "event_id, event_type, value", 200, SEED)},
+WITH {_weighted_rows("events", "event_id", "event_id, event_type, value", 1000, SEED)},
 reps AS (SELECT event_type, rep, sum(w * value) / sum(w) AS m FROM ww GROUP BY event_type, rep),
 ci AS (SELECT event_type, quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi, count(*) AS replicates
        FROM reps GROUP BY event_type),
@@ -756,7 +756,7 @@ FROM mn JOIN ci USING (event_type)"""
 SQL["ols_band"] = f"""
 WITH li AS (SELECT {C.ROW_ID} AS row_id, l_quantity AS x, l_extendedprice AS y FROM lineitem
             WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL),
-{_weighted_rows("li", "row_id", "row_id, x, y", 100, SEED)},
+{_weighted_rows("li", "row_id", "row_id, x, y", 1000, SEED)},
 sums AS (SELECT rep, sum(w) AS sw, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx, sum(w * x * y) AS sxy
          FROM ww GROUP BY rep),
 lines AS (SELECT rep, (sxy - sx * sy / sw) / (sxx - sx * sx / sw) AS s, sy / sw AS my, sx / sw AS mx FROM sums),

@@ -271,3 +271,19 @@ def test_forest_split_over_the_table_equals_in_one_task(spark, forest_frame, mon
 def test_forest_grid_has_every_point():
     from tabstrata.operators import tuning as TU
     assert np.prod([len(v) for v in TU.GRIDS["random_forest"].values()]) == 108
+
+
+def test_bootstrap_of_many_groups_equals_in_place(spark, monkeypatch):
+    from tabstrata.operators import density as DEN
+
+    df = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 701).cast("string"))).alias("g"), (F.col("id") * 7 % 101).cast("double").alias("x"))
+    told = lambda: {r.g: (r.n, round(r.mean, 9), round(r.ci_low, 9), round(r.ci_high, 9), r.replicates) for r in DEN.bootstrap_mean_ci(df, "x", "id", "g", 50).collect()}
+    whole = told()
+    monkeypatch.setattr(DEN, "SUM_BYTES", 16 * 50 * 10)  # ten groups' sums at once
+    assert told() == whole and len(whole) > 400
+    w = DEN._poisson_weights(np.arange(0, 6000, 3), 50, 42)
+    x = np.arange(0, 6000, 3) * 7 % 101
+    assert whole["hot"][2:4] == pytest.approx(tuple(np.quantile((w * x[:, None]).sum(0) / w.sum(0), [0.025, 0.975])))
+    one = spark.createDataFrame([(1, "a", 2.0)], "id long, g string, x double")
+    r = DEN.bootstrap_mean_ci(one, "x", "id", "g", 50).first()
+    assert r.ci_low == r.ci_high == 2.0 and 0 < r.replicates < 50  # replicates without the row don't count
