@@ -715,9 +715,12 @@ _GOLD = 0x9E3779B97F4A7C15
 
 
 def _mulmod(a: str, b: int) -> str:
-    lo, hi = b & 0xFFFFFFFF, b >> 32
-    return (f"CAST(((CAST({a} AS HUGEINT) * {lo}) + ((CAST({a} AS HUGEINT) * {hi}) % 4294967296) * 4294967296)"
-            f" % {_M64} AS UBIGINT)")
+    """a * b modulo 2^64 in halves of 32 bits, so that nothing overflows."""
+    low, high = b & 0xFFFFFFFF, b >> 32
+    lo, hi, m = f"({a} & 4294967295::UBIGINT)", f"({a} >> 32)", "4294967295::UBIGINT"
+    p = f"({lo} * {low}::UBIGINT)"
+    top = f"((({p} >> 32) + (({lo} * {high}::UBIGINT) & {m}) + (({hi} * {low}::UBIGINT) & {m})) & {m})"
+    return f"({top} * 4294967296::UBIGINT + ({p} & {m}))"
 
 
 def _mix64_sql(z: str) -> str:
@@ -726,21 +729,22 @@ def _mix64_sql(z: str) -> str:
     return f"xor({z2}, {z2} >> 31)"
 
 
-def _poisson_sql(id_expr: str, rep: str, seed: int) -> str:
+def _weighted_rows(src: str, id_expr: str, cols: str, B: int, seed: int) -> str:
+    """CTEs up to ww: the columns, rep and w. The id's and the replicate's own parts of the hash are taken once each."""
     from ..operators.density import _poisson1_thresholds
     salt = (seed * _GOLD) % (1 << 64)
     z1 = _mix64_sql(f"xor(CAST({id_expr} AS UBIGINT), {salt}::UBIGINT)")
-    z2 = f"CAST((CAST({z1} AS HUGEINT) + {_mulmod(f'CAST({rep} AS UBIGINT)', _GOLD)}) % {_M64} AS UBIGINT)"
-    uu = f"(CAST(({_mix64_sql('z2')}) >> 11 AS DOUBLE) / 9007199254740992.0::DOUBLE)"
-    th = _poisson1_thresholds()
-    w = " + ".join(f"CASE WHEN uu >= {float(t)!r}::DOUBLE THEN 1 ELSE 0 END" for t in th)
-    return z2, uu, w
-
-
-def _weighted_rows(src: str, id_expr: str, cols: str, B: int, seed: int) -> str:
-    z2, uu, w = _poisson_sql(id_expr, "rep", seed)
-    return f"""wz AS (SELECT {cols}, rep, {z2} AS z2 FROM {src}, (SELECT range AS rep FROM range({B}))),
-wu AS (SELECT *, {uu} AS uu FROM wz),
+    w = "CASE " + " ".join(f"WHEN uu < {float(t)!r}::DOUBLE THEN {k}" for k, t in enumerate(_poisson1_thresholds())) + f" ELSE {len(_poisson1_thresholds())} END"
+    half = lambda z, shift: f"xor({z}, {z} >> {shift})"
+    return f"""wid AS MATERIALIZED (SELECT {cols}, {z1} AS z1 FROM {src}),
+wrep AS MATERIALIZED (SELECT range AS rep, {_mulmod('CAST(range AS UBIGINT)', _GOLD)} AS g FROM range({B})),
+w0 AS (SELECT * EXCLUDE (z1, g), ((z1 >> 1) + (g >> 1) + (z1 & g & 1)) AS h, xor(z1 & 1, g & 1) AS l FROM wid, wrep),
+w1 AS (SELECT * EXCLUDE (h, l), (h & 9223372036854775807::UBIGINT) * 2 + l AS z FROM w0),
+w2 AS (SELECT * REPLACE ({half('z', 30)} AS z) FROM w1),
+w3 AS (SELECT * REPLACE ({_mulmod('z', 0xBF58476D1CE4E5B9)} AS z) FROM w2),
+w4 AS (SELECT * REPLACE ({half('z', 27)} AS z) FROM w3),
+w5 AS (SELECT * REPLACE ({_mulmod('z', 0x94D049BB133111EB)} AS z) FROM w4),
+wu AS (SELECT * EXCLUDE (z), CAST(({half('z', 31)}) >> 11 AS DOUBLE) / 9007199254740992.0::DOUBLE AS uu FROM w5),
 ww AS (SELECT *, ({w}) AS w FROM wu)"""
 
 
