@@ -1,11 +1,13 @@
 """Quality rules with host verdicts, in DataFrame functions only.
 
-Each document gets rule counts from its words and lines. Soft rules (share of
-symbols, share of repeated lines, length of words) are aggregated by host; a
-host's failure rate is shrunk towards all hosts' rate with a beta prior fitted
-to the hosts by moments; documents that fail a soft rule are dropped only
-where their host's shrunk rate is above ``max_rate``, so clean documents stay
-whatever their host. Documents that fail a base rule are always dropped.
+Each document gets rule counts from its words and lines. Failures of any rule,
+base or soft (share of symbols, share of repeated lines, length of words), are
+aggregated by host; a host's failure rate is shrunk towards all hosts' rate
+with a beta prior fitted to the hosts by moments. A host is rejected where its
+rate is surely above the common one: the posterior mean less ``SURE`` standard
+deviations is above ``EXCESS`` times the pooled rate. Documents that fail a soft
+rule are dropped only on rejected hosts, so clean documents stay whatever their
+host. Documents that fail a base rule are always dropped.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Soft rules: most symbols per word, most repeated lines per line, least and most code points per word.
 MAX_SYMBOLS, MAX_DUP_LINES, MIN_WORD, MAX_WORD = 0.1, 0.3, 3.0, 10.0
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: Shrunk failure rate from which a host's soft failures count.
-MAX_RATE = 0.5
+#: Times the pooled failure rate that a rejected host's rate is above, and the standard deviations of its posterior that must clear it.
+EXCESS, SURE = 1.5, 3.0
 
 
 def _repeat_words(ordered: Column) -> Column:
@@ -31,8 +33,8 @@ def _repeat_words(ordered: Column) -> Column:
     return F.size(F.array_distinct(covered)).cast("long")
 
 
-def document_features(docs: DataFrame, text: str = "text", windows: bool = True) -> DataFrame:
-    """``docs`` without its text but with n_words, word_chars, n_symbols, n_dup_lines, n_lines and, with ``windows``, n_repeat_words.
+def document_features(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without its text but with n_words, word_chars, n_symbols, n_dup_lines, n_lines and n_repeat_words.
 
     A null text has no words and no lines with words; all counts are over the
     whole text. Windows are compared by 64-bit hashes within one text.
@@ -60,8 +62,6 @@ def document_features(docs: DataFrame, text: str = "text", windows: bool = True)
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
     ]
-    if not windows:
-        return base.select(*keep, *counts)
     base = base.select(*keep, *counts, F.explode(F.array(grams)).alias("_g"))
     repeats = F.size(F.array_distinct("_g")) < F.size("_g")
     ordered = F.when(repeats, F.sort_array(F.transform("_g", lambda h, i: F.struct(h.alias("h"), i.alias("p")))))
@@ -87,8 +87,8 @@ def with_rules(features: DataFrame) -> DataFrame:
     return features.withColumn("base_failed", base).withColumn("soft_failed", soft_rules())
 
 
-def host_verdicts(rules: DataFrame, host: str, max_rate: float = MAX_RATE) -> DataFrame:
-    """One row per host: documents, failures, shrunk rate, verdict. A null host is a host.
+def host_verdicts(rules: DataFrame, host: str, excess: float = EXCESS, sure: float = SURE) -> DataFrame:
+    """One row per host: documents, failures, shrunk rate, its standard deviation, verdict. A null host is a host.
 
     The prior Beta(a, b) has the mean m and the variance v of the hosts' rates:
     a + b = m (1 - m) / v - 1, at least 1; hosts all alike give the largest
@@ -96,18 +96,18 @@ def host_verdicts(rules: DataFrame, host: str, max_rate: float = MAX_RATE) -> Da
     """
     spark = rules.sparkSession
     path = scratch_path(spark, "host-counts")  # written, so that the prior doesn't count anew
-    rules.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("soft_failed").cast("long")).alias("failed")).write.parquet(path)
+    rules.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("base_failed") | F.col("soft_failed")).cast("long")).alias("failed")).write.parquet(path)
     hosts = spark.read.parquet(path)
     rate = F.col("failed") / F.col("n")
     prior = hosts.agg((F.sum("failed") / F.sum("n")).alias("m"), F.var_pop(rate).alias("v"))
     weight = F.least(F.greatest(F.col("m") * (1 - F.col("m")) / F.greatest(F.col("v"), F.lit(1e-12)) - 1, F.lit(1.0)), F.lit(1e6))
     m, w = prior.select("m").scalar(), prior.select(weight).scalar()  # one row each
-    shrunk = (F.col("failed") + m * w) / (F.col("n") + w)
-    rated = hosts.withColumn("rate", shrunk)
-    return rated.withColumn("host_rejected", F.col("rate") > max_rate)
+    rated = hosts.withColumn("rate", (F.col("failed") + m * w) / (F.col("n") + w))
+    rated = rated.withColumn("sd", F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + w + 1)))
+    return rated.withColumn("host_rejected", F.col("rate") - sure * F.col("sd") > excess * m)
 
 
-def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: str = "text", max_rate: float = MAX_RATE) -> DataFrame:
+def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: str = "text", excess: float = EXCESS, sure: float = SURE) -> DataFrame:
     """doc_id, the rule counts, base_failed, soft_failed, host_rate, host_rejected and kept of every row.
 
     The counts are computed once and written to the shared folder; the host
@@ -120,26 +120,26 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: s
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), F.col(text).alias("text"))
     with_rules(document_features(narrow)).write.parquet(path)
     rules = spark.read.parquet(path)
-    hosts = host_verdicts(rules, "host", max_rate).select(F.col("host").alias("_host"), F.col("rate").alias("host_rate"), "host_rejected")
+    hosts = host_verdicts(rules, "host", excess, sure).select(F.col("host").alias("_host"), F.col("rate").alias("host_rate"), "host_rejected")
     joined = rules.join(hosts, F.col("host").eqNullSafe(F.col("_host")), "left").drop("host", "_host")
     return joined.withColumn("kept", ~F.col("base_failed") & ~(F.col("soft_failed") & F.col("host_rejected")))
 
 
-def filter_documents(docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_RATE) -> DataFrame:
+def filter_documents(docs: DataFrame, host: str = "source", text: str = "text", excess: float = EXCESS, sure: float = SURE) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their columns as they were.
 
-    Only hosts' counts and verdicts are written; texts are read twice (the
-    first time without the word windows, which hosts don't need) and, while
-    the table of rejected hosts is small, never shuffled. The rows ride along
-    as one struct, so columns of any name may be present.
+    Rows that pass the base rules are written once with their flags, beside the
+    flags of all rows, so every text is looked at once and hosts are counted
+    from the flags; while the table of rejected hosts is small, texts are never
+    shuffled. The rows ride along as one struct, so columns of any name may be
+    present; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    narrow = docs.select(F.col(host).alias("host"), F.col(text).alias("text"))
-    soft = document_features(narrow, windows=False).select("host", soft_rules().alias("soft_failed"))
-    path = scratch_path(spark, "host-rejected")
-    host_verdicts(soft, "host", max_rate).filter("host_rejected").select(F.col("host").alias("_host"), F.lit(True).alias("_bad")).write.parquet(path)
-    bad = spark.read.parquet(path)
     packed = docs.select(F.struct("*").alias("row"), F.col(host).alias("host"), F.col(text).alias("text"))
-    marked = with_rules(document_features(packed)).filter(~F.col("base_failed")).select("row", "host", "soft_failed")
-    joined = marked.join(bad, F.col("host").eqNullSafe(F.col("_host")), "left")
+    path = scratch_path(spark, "host-flags")
+    marked = with_rules(document_features(packed))
+    marked.select(F.when(~F.col("base_failed"), F.col("row")).alias("row"), "host", "base_failed", "soft_failed").write.parquet(path)
+    flags = spark.read.parquet(path)
+    bad = host_verdicts(flags.select("host", "base_failed", "soft_failed"), "host", excess, sure).filter("host_rejected").select(F.col("host").alias("_host"), F.lit(True).alias("_bad"))
+    joined = flags.filter(~F.col("base_failed")).join(bad, F.col("host").eqNullSafe(F.col("_host")), "left")
     return joined.filter(~F.col("soft_failed") | F.col("_bad").isNull()).select("row.*")

@@ -31,12 +31,13 @@ WITH t AS (
            OR word_chars < {H.MIN_WORD} * n_words OR word_chars > {H.MAX_WORD} * n_words) AS soft_failed
   FROM f
 ), h AS (
-  SELECT source AS host, count(*) AS n, sum(soft_failed::BIGINT)::BIGINT AS failed FROM r GROUP BY source
+  SELECT source AS host, count(*) AS n, sum((base_failed OR soft_failed)::BIGINT)::BIGINT AS failed FROM r GROUP BY source
 ), prior AS (
   SELECT m, least(greatest(m * (1 - m) / greatest(v, 1e-12) - 1, 1.0), 1e6) AS w
   FROM (SELECT sum(failed) / sum(n) AS m, var_pop(failed / n) AS v FROM h)
 ), verdict AS (
-  SELECT host, (failed + m * w) / (n + w) > {H.MAX_RATE} AS host_rejected FROM h, prior
+  SELECT host, rate - {H.SURE} * sqrt(rate * (1 - rate) / (n + w + 1)) > {H.EXCESS} * m AS host_rejected
+  FROM (SELECT *, (failed + m * w) / (n + w) AS rate FROM h, prior)
 )
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,

@@ -32,7 +32,8 @@ COLUMNS_LOG2, PREFIXES = 20, (4, 5, 6)
 SAMPLE = 20_000
 MIN_TEXTS = 3
 #: A column is fitted if its chi-square with the label is at least this (one in 1e4 columns by chance),
-#: the words of a pair if so are both likelihood ratios of the pair, among texts with one word or the other.
+#: the words of a pair if so are both likelihood ratios of the pair, among texts with one word or the other. Three-fold
+#: cross-validation among the learnable labels of sf0.1 (2,990) gave log losses of 0.057, 0.051, 0.059, 0.060 for 10.8, 15.1, 20, 25.
 MIN_CHI2 = 15.1
 FACTORS, EPOCHS, BATCH, RATE, DECAY = 4, 12, 128, 0.1, 1e-5
 THRESHOLD = 0.3

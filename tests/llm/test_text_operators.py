@@ -104,6 +104,16 @@ def test_host_verdict_shrinks_and_spares_clean_documents(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, r in got.items() if r.kept}
 
 
+def test_base_failures_count_for_the_host(spark):
+    """One in four documents of a host is too short, and nobody else's: its soft failures go, those of another host stay."""
+    clean, noisy = " ".join(f"word{i}" for i in range(60)), " ".join(f"w{i}ord #" for i in range(60))
+    rows = [(i, "short" if i % 4 == 0 else noisy if i % 50 == 1 else clean, "bad") for i in range(400)] + [(1000 + i, noisy if i % 50 == 1 else clean, f"h{i % 8}") for i in range(4000)]
+    got = {r.doc_id: r for r in host_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[1].host_rejected and got[1].soft_failed and not got[1].kept and got[2].kept
+    assert not got[1001].host_rejected and got[1001].soft_failed and got[1001].kept
+    assert {d for d, r in got.items() if r.host_rejected} == set(range(400))
+
+
 def test_host_rules_are_native(spark, odd):
     plan = host_rules.with_rules(host_rules.document_features(odd.select("doc_id", "source", "text")))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
