@@ -128,18 +128,18 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: s
 def filter_documents(docs: DataFrame, host: str = "source", text: str = "text", excess: float = EXCESS, sure: float = SURE) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their columns as they were.
 
-    Rows that pass the base rules are written once with their flags, beside the
-    flags of all rows, so every text is looked at once and hosts are counted
-    from the flags; while the table of rejected hosts is small, texts are never
-    shuffled. The rows ride along as one struct, so columns of any name may be
-    present; an empty table gives no rows.
+    Only hosts' counts and verdicts are written; texts are read twice and,
+    while the table of rejected hosts is small, never shuffled. The rows ride
+    along as one struct, so columns of any name may be present; an empty table
+    gives no rows.
     """
     spark = docs.sparkSession
+    narrow = docs.select(F.col(host).alias("host"), F.col(text).alias("text"))
+    flags = with_rules(document_features(narrow)).select("host", "base_failed", "soft_failed")
+    path = scratch_path(spark, "host-rejected")
+    host_verdicts(flags, "host", excess, sure).filter("host_rejected").select(F.col("host").alias("_host"), F.lit(True).alias("_bad")).write.parquet(path)
+    bad = spark.read.parquet(path)
     packed = docs.select(F.struct("*").alias("row"), F.col(host).alias("host"), F.col(text).alias("text"))
-    path = scratch_path(spark, "host-flags")
-    marked = with_rules(document_features(packed))
-    marked.select(F.when(~F.col("base_failed"), F.col("row")).alias("row"), "host", "base_failed", "soft_failed").write.parquet(path)
-    flags = spark.read.parquet(path)
-    bad = host_verdicts(flags.select("host", "base_failed", "soft_failed"), "host", excess, sure).filter("host_rejected").select(F.col("host").alias("_host"), F.lit(True).alias("_bad"))
-    joined = flags.filter(~F.col("base_failed")).join(bad, F.col("host").eqNullSafe(F.col("_host")), "left")
+    marked = with_rules(document_features(packed)).filter(~F.col("base_failed")).select("row", "host", "soft_failed")
+    joined = marked.join(bad, F.col("host").eqNullSafe(F.col("_host")), "left")
     return joined.filter(~F.col("soft_failed") | F.col("_bad").isNull()).select("row.*")
