@@ -101,11 +101,15 @@ def complete_rows(df: DataFrame, features: list[str], label: str) -> DataFrame:
 
 
 def train(df: DataFrame, features: list[str], label: str, model_type: str = "linear", **kw) -> PipelineModel:
-    """Fit (assembler -> estimator) on the complete rows of ``df``; F7 goes through ``train_svr``.
+    """Fit (assembler -> estimator) on the complete rows of ``df``; F7 goes through ``train_svr``
+    or, with ``exact``, ``kernel_svr.train_kernel_svr``.
 
     A random forest is grown by ``forest.train_forest`` (exact splits, no depth
     limit); with ``max_bins`` it is Spark's own, binned and 30 levels deep at most.
     """
+    if model_type == "svr" and kw.pop("exact", False):
+        from .kernel_svr import train_kernel_svr
+        return train_kernel_svr(df, features, label, **kw)
     if model_type == "svr":
         return train_svr(df, features, label, **kw)
     if model_type == "random_forest" and "max_bins" not in kw:

@@ -573,6 +573,15 @@ def svr(spark, d):
     return round_doubles(m.transform(p.select("post_id", *POST_FEATS)).select("post_id", "prediction"), 4)
 
 
+def svr_exact(spark, d):
+    """Exact RBF SVR of customers' balances, with the rows that violate its conditions (none)."""
+    from ..operators import models as MD
+    cu = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").cast("double").alias("nation"), F.length("c_mktsegment").cast("double").alias("segment"),
+                                            (F.col("c_custkey") % 100).cast("double").alias("key"), (F.col("c_acctbal") / 1000).alias("balance"))
+    m = MD.train(cu, ["nation", "segment", "key"], "balance", "svr", exact=True)
+    return round_doubles(m.transform(cu).select("c_custkey", "prediction"), 1).withColumn("violators", F.lit(m.violators))
+
+
 def predict(spark, d):
     from ..operators import models as MD
     li = _lineitem_ml(spark, d)
@@ -719,6 +728,7 @@ QUERIES.update({
     "forest": _tree_model("random_forest"),
     "boosting": _tree_model("gradient_boosting"),
     "svr": svr,
+    "svr_exact": svr_exact,
     "predict": predict,
     "importance": importance,
     "grid": grid,

@@ -287,3 +287,36 @@ def test_bootstrap_of_many_groups_equals_in_place(spark, monkeypatch):
     one = spark.createDataFrame([(1, "a", 2.0)], "id long, g string, x double")
     r = DEN.bootstrap_mean_ci(one, "x", "id", "g", 50).first()
     assert r.ci_low == r.ci_high == 2.0 and 0 < r.replicates < 50  # replicates without the row don't count
+
+
+def test_exact_kernel_svr_equals_a_full_solve(spark, monkeypatch):
+    from tabstrata.operators import kernel_svr as KS
+    from tabstrata.session import scratch_path
+    from tabstrata.sources.io import load_model, save_model
+
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(400, 2))
+    y = np.sin(2 * X[:, 0]) * 3 + X[:, 1] + rng.normal(size=400) / 3
+    df = spark.createDataFrame([(*map(float, x), float(v)) for x, v in zip(X, y)] + [(None, 1.0, 1.0)], "a double, b double, y double")
+    model = KS.train_kernel_svr(df, ["a", "b"], "y", working=100, tol=1e-4)
+    assert model.violators == 0 and 1 < model.passes < 200
+    S = (X - X.mean(0)) / X.std(0)
+    K = KS.kernel(S, S, 0.5)
+    assert model.gamma == pytest.approx(0.5)
+    b = KS.solve(K, y, np.zeros(400), np.zeros(400), 1.0, 0.1, 1e-6)
+    full = b @ K @ b / 2 - y @ b + 0.1 * np.abs(b).sum()
+    assert abs(b.sum()) < 1e-9 and np.abs(b).max() <= 1
+    assert model.objective == pytest.approx(full, abs=1e-4 * abs(full))
+    got = [r.prediction for r in model.transform(df).collect()]
+    assert got[-1] is None
+    free = (np.abs(b) > 1e-6) & (np.abs(b) < 1 - 1e-6)
+    want = K @ b + np.mean((y - K @ b - 0.1 * np.sign(b))[free])
+    assert np.allclose(sorted(got[:-1]), sorted(want), atol=0.01)
+    path = save_model(model, scratch_path(spark, "models"), "svr")
+    monkeypatch.setattr(KS, "MAX_VECTORS", 50)  # several scans
+    again = [r.prediction for r in load_model(path).transform(df).collect()]
+    assert np.allclose(sorted(p for p in again if p is not None), sorted(got[:-1]))
+    one = KS.train_kernel_svr(df.limit(1), ["a", "b"], "y")
+    assert one.n_vectors == 0 and one.transform(df.limit(1)).first().prediction == pytest.approx(float(y[0]), abs=0.2)
+    with pytest.raises(ValueError):
+        KS.train_kernel_svr(df.limit(0), ["a", "b"], "y")
