@@ -96,8 +96,8 @@ def _cross_term(rows: DataFrame, nblk: int) -> DataFrame:
     for a in range(nblk):
         prefix.append(acc)
         acc = acc + d[a]
-    contrib = sum((F.col(f"c{b}") * prefix[b] for b in range(1, nblk)), F.lit(0))
-    return run.agg(F.sum(contrib.cast("double")).alias("S"))
+    contrib = sum((F.col(f"c{b}").cast("double") * prefix[b] for b in range(1, nblk)), F.lit(0.0))
+    return run.agg(F.sum(contrib).alias("S"))
 
 
 def kendall_s(df: DataFrame, x: str, y: str, blocks: int = 16, leaf: int = 200_000,
@@ -107,8 +107,8 @@ def kendall_s(df: DataFrame, x: str, y: str, blocks: int = 16, leaf: int = 200_0
     shared_dir(df.sparkSession)  # blocks are checkpointed to the shared folder
     base = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")) \
              .where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    ties = base.groupBy("x").agg(F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0]
-    tiesy = base.groupBy("y").agg(F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0]
+    ties = base.groupBy("x").agg(F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("c").cast("double") * (F.col("c") - 1) / 2)).first()[0]
+    tiesy = base.groupBy("y").agg(F.count(F.lit(1)).alias("c")).agg(F.sum(F.col("c").cast("double") * (F.col("c") - 1) / 2)).first()[0]
     cur = base.withColumn("g", F.lit("r"))
     total, n = 0.0, None
     nblk = 2 * blocks
