@@ -40,18 +40,17 @@ def odd(spark):
 
 
 # LM scoring
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_lm_scoring_brute_force(spark, odd, monkeypatch, broadcast):
-    size = 60
+@pytest.mark.parametrize("broadcast, min_count, parts", [(True, 2, 1), (False, 2, 40), (True, 12, 3)])
+def test_lm_scoring_brute_force(spark, odd, monkeypatch, broadcast, min_count, parts):
+    """With one block and with many, so that words and bigrams lie in several of them or in one alone."""
     if not broadcast:
         monkeypatch.setattr(lm_scoring, "BROADCAST_IDS", 0)
     docs = odd.filter("doc_id IS NULL OR doc_id <> 13").select("doc_id", "text", "block")
     targets = spark.createDataFrame([(1,), (1,), (5,), (8,), (None,)], "doc_id long")
-    got = sorted(map(tuple, lm_scoring.score(docs, targets, size=size).collect()), key=str)
+    got = sorted(map(tuple, lm_scoring.score(docs.repartition(parts), targets, min_count=min_count).collect()), key=str)
     rows = [(r.doc_id, [w.lower() for w in WORD.findall((r.text or "").encode())]) for r in docs.collect()]
     count = collections.Counter(w for _, t in rows for w in t)
-    signed = {w: int(textarrays.word_hashes(*_buffer([w.decode()]))[0].view(np.int64)[0]) for w in count}
-    kept = set(sorted(count, key=lambda w: (-count[w], signed[w]))[:size])
+    kept = {w for w, n in count.items() if n >= min_count}
     ids = [(d, ["<e>", *(w if w in kept else "<o>" for w in t), "<e>"]) for d, t in rows]
 
     def model(some):
