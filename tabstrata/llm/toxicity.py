@@ -7,9 +7,10 @@ the pairwise products of their factors, so that two terms together can weigh
 more than each alone. The pairwise part is over the root of the number of
 terms, so a long text isn't all pairs.
 
-The model is fitted on a bounded sample of labelled rows (``SAMPLE``, those
-with the smallest hash of their id); the terms of the sample come to the driver
-as packed numbers, the texts don't. A column is fitted if its presence goes
+The model is fitted on a bounded sample of labelled rows (``SAMPLE`` and
+``SAMPLE_TERMS``, those with the smallest hash of their id); the terms of the
+sample come to the driver as packed numbers, the texts don't. Pairs of words are
+counted in tasks, a range of words each; the words that tell come back. A column is fitted if its presence goes
 with the label, or if it is half of a pair of words that does where neither
 word need do so alone: among texts with either word, the other tells. Columns
 and pairs in fewer than ``MIN_TEXTS`` sample texts are left out. All texts are
@@ -22,14 +23,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabstrata.llm import textarrays
+from tabstrata.session import scratch_path
 
 COLUMNS_LOG2, PREFIXES = 20, (4, 5, 6)
-#: Labelled rows to fit on, at most.
-SAMPLE = 20_000
+#: Labelled rows to fit on, at most, and how many distinct terms their texts have together, at most.
+SAMPLE, SAMPLE_TERMS = 20_000, 40_000_000
+#: Neighbours of words that one task looks through for pairs, at most (or those of one word).
+PAIR_STEPS = 20_000_000
 MIN_TEXTS = 3
 #: A column is fitted if its chi-square with the label is at least this (one in 1e4 columns by chance),
 #: the words of a pair if so are both likelihood ratios of the pair, among texts with one word or the other. Three-fold
@@ -104,43 +108,78 @@ def _ratio(t: np.ndarray, n: np.ndarray, all_t: np.ndarray, all_n: np.ndarray) -
     return 2 * (log(t, n) + log(n - t, n) + log(rest_t, rest) + log(rest - rest_t, rest) - log(all_t, all_n) - log(all_n - all_t, all_n))
 
 
-def telling_pairs(words: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+class _Words:
+    """Texts as ascending lists of candidate words, and each word's places in them."""
+
+    def __init__(self, words: list[np.ndarray], labels: np.ndarray):
+        has, ones = (np.bincount(np.concatenate([np.zeros(0, np.int64), *some]), minlength=1 << COLUMNS_LOG2).astype(float) for some in (words, [w for w, y in zip(words, labels) if y > 0]))
+        self.columns = np.flatnonzero((has >= MIN_TEXTS) & (_ratio(ones, ones, ones, has) >= MIN_CHI2))
+        place = np.full(1 << COLUMNS_LOG2, -1, np.int32)
+        place[self.columns] = np.arange(len(self.columns), dtype=np.int32)
+        rows = [r[r >= 0] for r in (place[w] for w in words)]
+        self.flat = np.concatenate([np.zeros(0, np.int32), *rows])
+        length = np.array([len(r) for r in rows], np.int64)
+        self.end = np.repeat(np.cumsum(length), length).astype(np.int32)
+        self.one = np.repeat(labels > 0, length)
+        self.by_word = np.argsort(self.flat, kind="stable").astype(np.int32)
+        self.total, self.ones = has[self.columns], ones[self.columns]
+        self.cut = np.r_[0, np.cumsum(self.total).astype(np.int64)]
+
+    def ranges(self) -> list[tuple[int, int]]:
+        """Ranges of words with at most ``PAIR_STEPS`` later neighbours each, or of one word."""
+        steps = np.r_[0, np.cumsum((self.end - np.arange(len(self.flat)))[self.by_word])][self.cut]
+        out, at = [], 0
+        while at < len(self.columns):
+            to = max(at + 1, int(np.searchsorted(steps, steps[at] + PAIR_STEPS, "right")) - 1)
+            out.append((at, to))
+            at = to
+        return out
+
+    def found(self, first: int, last: int) -> np.ndarray:
+        """Words in telling pairs whose first word is in the range."""
+        size = len(self.columns)
+        found = np.zeros(size, bool)
+        for i in range(first, last):
+            at = self.by_word[self.cut[i] : self.cut[i + 1]]
+            toxic = self.one[at]
+            t, n = (np.bincount(np.concatenate([np.zeros(0, np.int32), *(self.flat[a + 1 : b] for a, b in zip(some.tolist(), self.end[some].tolist()))]), minlength=size) for some in (at[toxic], at[~toxic]))
+            n = n + t
+            j = np.flatnonzero(n >= MIN_TEXTS)
+            t, n = t[j].astype(float), n[j].astype(float)
+            hit = j[(_ratio(t, n, self.ones[i], self.total[i]) >= MIN_CHI2) & (_ratio(t, n, self.ones[j], self.total[j]) >= MIN_CHI2)]
+            if len(hit):
+                found[i] = found[hit] = True
+        return np.flatnonzero(found)
+
+
+def telling_pairs(words: list[np.ndarray], labels: np.ndarray, spark: SparkSession | None = None) -> np.ndarray:
     """Columns of the words in pairs that tell more than each of their words.
 
     Pairs in ``MIN_TEXTS`` texts or more are counted, one word at a time with
     the words that come after it in its texts. Words whose texts' labels have
     too little entropy for any pair to reach ``MIN_CHI2`` are left out first.
+    With a session, ranges of words are counted by its tasks; the lists that
+    they are sent hold at most ``SAMPLE_TERMS`` words.
     """
-    has, ones = (np.bincount(np.concatenate([np.zeros(0, np.int64), *some]), minlength=1 << COLUMNS_LOG2).astype(float) for some in (words, [w for w, y in zip(words, labels) if y > 0]))
-    columns = np.flatnonzero((has >= MIN_TEXTS) & (_ratio(ones, ones, ones, has) >= MIN_CHI2))
-    size = len(columns)
-    place = np.full(1 << COLUMNS_LOG2, -1, np.int32)
-    place[columns] = np.arange(size, dtype=np.int32)
-    rows = [r[r >= 0] for r in (place[w] for w in words)]  # ascending
-    flat = np.concatenate([np.zeros(0, np.int32), *rows])
-    length = np.array([len(r) for r in rows], np.int64)
-    end = np.repeat(np.cumsum(length), length)
-    one = np.repeat(labels > 0, length)
-    by_word = np.argsort(flat, kind="stable")  # places in ``flat`` by word
-    total, ones = has[columns], ones[columns]
-    cut = np.r_[0, np.cumsum(total).astype(np.int64)]
-    found = np.zeros(size, bool)
-    for i in range(size):
-        at = by_word[cut[i] : cut[i + 1]]
-        toxic = one[at]
-        t, n = (np.bincount(np.concatenate([np.zeros(0, np.int32), *(flat[a + 1 : b] for a, b in zip(some.tolist(), end[some].tolist()))]), minlength=size) for some in (at[toxic], at[~toxic]))
-        n = n + t
-        j = np.flatnonzero(n >= MIN_TEXTS)
-        t, n = t[j].astype(float), n[j].astype(float)
-        hit = j[(_ratio(t, n, ones[i], total[i]) >= MIN_CHI2) & (_ratio(t, n, ones[j], total[j]) >= MIN_CHI2)]
-        if len(hit):
-            found[i] = found[hit] = True
-    return columns[found]
-
-
-def fit(texts: list[np.ndarray], words: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
+    lists = _Words(words, labels)
+    ranges = lists.ranges()
+    if spark is None or len(ranges) < 2:
+        found = [lists.found(*r) for r in ranges]
+        return lists.columns[np.unique(np.concatenate([np.zeros(0, np.int64), *found]))]
+    sent = spark.sparkContext.broadcast(lists)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(sent.value.found(*ranges[k]), pa.int64())], names=["word"])
+
+    told = spark.range(0, len(ranges), 1, len(ranges)).mapInArrow(run, "word long").distinct().toArrow()  # at most the candidate words
+    return lists.columns[np.sort(told["word"].to_numpy())]
+
+
+def fit(texts: list[np.ndarray], words: list[np.ndarray], labels: np.ndarray, spark: SparkSession | None = None, seed: int = 7) -> Machine:
     """Logistic loss by AdaGrad over batches of texts; the columns of each text, and those of its words, are distinct."""
-    columns = np.union1d(telling(texts, labels), telling_pairs(words, labels))
+    columns = np.union1d(telling(texts, labels), telling_pairs(words, labels, spark))
     rate = float(labels.mean()) if len(labels) else 0.0
     clipped = min(max(rate, 1e-6), 1 - 1e-6)
     rng = np.random.default_rng(seed)
@@ -200,6 +239,9 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Machine:
     """Fit on at most ``sample`` labelled rows whose id satisfies ``usable`` (a condition on ``doc_id``).
 
+    They are taken by a hash of their id as long as their texts have at most
+    ``SAMPLE_TERMS`` distinct terms together.
+
     Rows with a null id or label are left out; an id labelled twice counts as
     1 if any label is, an id with several rows in ``docs`` once, with the text
     of the smallest hash. Without both classes every score is the share of ones.
@@ -209,11 +251,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column, doc_id
     chosen = known.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.col(text).alias("_text"))
     found = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_terms, "doc_id long, key long, label int, terms binary, words binary")
-    least = found.groupBy("doc_id").agg(F.min(F.struct("key", "label", "terms", "words")).alias("row"))
-    rows = least.select("row.*").toArrow()  # bounded by ``sample``
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "toxicity-sample")
+    found.groupBy("doc_id").agg(F.min(F.struct("key", "label", "terms", "words")).alias("row")).select("doc_id", "row.*").write.parquet(path)
+    least = spark.read.parquet(path)
+    so_far = F.sum(F.octet_length("terms") / 4).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))  # ``sample`` rows of two numbers
+    taken = least.select("doc_id", so_far.alias("n")).filter(F.col("n") <= SAMPLE_TERMS)
+    rows = least.join(F.broadcast(taken), "doc_id").select("label", "terms", "words").toArrow()  # bounded by ``sample`` and ``SAMPLE_TERMS``
     order = sorted(range(rows.num_rows), key=lambda i: rows["terms"][i].as_py())  # the same order on every run
-    packed = [[np.frombuffer(rows[c][i].as_py(), "<i4").astype(np.int64) for i in order] for c in ("terms", "words")]
-    return fit(*packed, np.array([rows["label"][i].as_py() for i in order], float))
+    packed = [[np.frombuffer(rows[c][i].as_py(), "<i4") for i in order] for c in ("terms", "words")]
+    return fit(*packed, np.array([rows["label"][i].as_py() for i in order], float), spark)
 
 
 def _score(model):

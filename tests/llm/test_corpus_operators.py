@@ -145,10 +145,92 @@ def test_toxicity_learns_a_repeated_id_once(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     labels = spark.createDataFrame([(i, int(i == 5)) for i in range(20)], "doc_id long, toxic int")
     seen = []
-    monkeypatch.setattr(toxicity, "fit", lambda texts, words, labels: seen.append((len(texts), len(words), labels.sum())))
+    monkeypatch.setattr(toxicity, "fit", lambda texts, words, labels, spark: seen.append((len(texts), len(words), labels.sum())))
     toxicity.train(docs, labels, "toxic", F.lit(True))
     toxicity.train(docs, labels, "toxic", F.lit(True), sample=8)
     assert seen[0] == (20, 20, 1) and seen[1][:2] == (8, 8)
+    monkeypatch.setattr(toxicity, "SAMPLE_TERMS", 60)  # a text has 4 words and some beginnings
+    toxicity.train(docs, labels, "toxic", F.lit(True))
+    assert 0 < seen[2][0] < 20
+
+
+def test_toxicity_null_and_repeated_labels(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (3, "c d"), (None, "e f"), (4, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, None), (2, 0), (3, None), (None, 1), (4, 0), (9, 1)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, words, labels, spark: seen.append(sorted(zip(map(len, words), labels.tolist()))))
+    toxicity.train(docs, labels, "toxic", F.lit(True))
+    assert seen == [[(0, 0.0), (0, 0.0), (2, 1.0)]]  # ids 2 and 4 (no words) and 1 (1 if any label is)
+
+
+def test_toxicity_margins_equal_the_sum_over_all_pairs():
+    rng = np.random.default_rng(2)
+    machine = toxicity.Machine(np.arange(30), 0.3, rng.normal(size=30), rng.normal(size=(30, toxicity.FACTORS)))
+    texts = [np.sort(rng.choice(30, n, replace=False)) for n in (0, 1, 2, 17)]
+    got = machine.margins(np.repeat(np.arange(4), [len(t) for t in texts]), np.concatenate(texts), 4)
+    for t, m in zip(texts, got):
+        pairs = sum(machine.factors[i] @ machine.factors[j] for a, i in enumerate(t) for j in t[a + 1 :])
+        assert m == pytest.approx(0.3 + sum(machine.weights[i] for i in t) + pairs / max(1, len(t)))
+
+
+def test_toxicity_fit_equals_a_plain_loop(monkeypatch):
+    """Two epochs of AdaGrad, one number at a time."""
+    rng = np.random.default_rng(3)
+    texts = [np.sort(rng.choice(6, rng.integers(0, 6), replace=False)) for _ in range(300)]
+    labels = np.array([float(0 in t and (1 in t or rng.random() < 0.3)) for t in texts])
+    monkeypatch.setattr(toxicity, "EPOCHS", 2)
+    monkeypatch.setattr(toxicity, "telling_pairs", lambda *_: np.arange(6))
+    got = toxicity.fit(texts, texts, labels)
+    draw, rate = np.random.default_rng(7), labels.mean()
+    b, w, v = math.log(rate / (1 - rate)), np.zeros(6), draw.normal(0, 0.01, (6, toxicity.FACTORS))
+    sb, sw, sv = 1e-6, np.full(6, 1e-6), np.full(v.shape, 1e-6)
+    for _ in range(2):
+        order = draw.permutation(300)
+        for at in range(0, 300, toxicity.BATCH):
+            some = order[at : at + toxicity.BATCH]
+            gb, gw, gv, seen = 0.0, np.zeros(6), np.zeros(v.shape), set()
+            for d in some:
+                t = texts[d]
+                z = b + sum(w[i] for i in t) + sum(v[i] @ v[j] for i in t for j in t if i < j) / max(1, len(t))
+                e = 1 / (1 + math.exp(-z)) - labels[d]
+                gb += e
+                for i in t:
+                    seen.add(i)
+                    gw[i] += e
+                    gv[i] += e * sum((v[j] for j in t if j != i), np.zeros(toxicity.FACTORS)) / len(t)
+            for i in seen:
+                gw[i] += toxicity.DECAY * len(some) * w[i]
+                gv[i] += toxicity.DECAY * len(some) * v[i]
+                sw[i] += gw[i] ** 2
+                sv[i] += gv[i] ** 2
+                w[i] -= toxicity.RATE * gw[i] / math.sqrt(sw[i])
+                v[i] -= toxicity.RATE * gv[i] / np.sqrt(sv[i])
+            sb += gb**2
+            b -= toxicity.RATE * gb / math.sqrt(sb)
+    assert got.bias == pytest.approx(b) and np.allclose(got.weights, w) and np.allclose(got.factors, v)
+
+
+def test_toxicity_pairs_in_tasks_equal_all_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    words = [np.sort(rng.choice(40, rng.integers(0, 12), replace=False)) for _ in range(900)]
+    labels = np.array([float({3, 5} <= set(w) or {8, 30} <= set(w) or rng.random() < 0.05) for w in map(list, words)])
+    log = lambda x, y: x * math.log(x / y) if x else 0.0
+
+    def ratio(t, n, all_t, all_n):
+        rest, rest_t = all_n - n, all_t - t
+        return 2 * (log(t, n) + log(n - t, n) + log(rest_t, rest) + log(rest - rest_t, rest) - log(all_t, all_n) - log(all_n - all_t, all_n))
+
+    has = [(sum(i in w for w in words), sum(y for w, y in zip(words, labels) if i in w)) for i in range(40)]
+    want = set()
+    for i in range(40):
+        for j in range(i + 1, 40):
+            both = [y for w, y in zip(words, labels) if i in w and j in w]
+            if len(both) >= toxicity.MIN_TEXTS and min(ratio(sum(both), len(both), has[k][1], has[k][0]) for k in (i, j)) >= toxicity.MIN_CHI2:
+                want |= {i, j}
+    assert want >= {3, 5, 8, 30} and set(toxicity.telling_pairs(words, labels).tolist()) == want
+    monkeypatch.setattr(toxicity, "PAIR_STEPS", 500)
+    ship_package(spark)
+    assert toxicity.telling_pairs(words, labels, spark).tolist() == sorted(want)
 
 
 def test_toxicity_query(spark, odd):
