@@ -9,12 +9,15 @@ is added back.
 
 Skew: a key value that holds a large share of the rows shows up as a
 repeated edge in the approximate quantiles. Rows equal to such a value
-are split further by id ranges, so no bucket holds more than about
-n / n_buckets rows even when one key holds a third of the table.
+are split further by that value's own id quantiles, so no bucket holds more
+than about n / n_buckets rows even when one key holds a third of the table,
+and there are at most about 3 x n_buckets buckets.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -63,11 +66,15 @@ def _bucket_columns(df: DataFrame, key: str, id_col: str, n_buckets: int, key_is
     kd = F.col(key).cast("double")
     # rows at an edge: keys that differ may share a double, so heavy keys are compared in their
     # own type; a heavy key's rows are split by id, the keys between two heavy ones stay together
-    step = len(iedges) + 4
+    step = 1
     if heavy:
         listed = F.array(*[F.lit(h).cast(df.schema[key].dataType) for h in heavy])
-        below = F.size(F.filter(listed, lambda h: h < F.col(key)))
-        tie_minor = below * step + F.when(F.array_contains(listed, F.col(key)), F.col("_ib").cast("int") + 1).otherwise(F.lit(0))
+        cuts = _id_edges(df, key, id_col, listed, [kedges.count(h) for h in heavy], acc)
+        step = max(len(c) for c in cuts) + 2
+        own = F.get(F.from_json(F.lit(json.dumps(cuts)), "array<array<double>>"), F.col("_below"))
+        out = out.withColumn("_below", _count_up_to(listed, len(heavy), lambda h: h < F.col(key)))
+        place = _count_up_to(own, step, lambda e: e <= F.col(id_col).cast("double"))
+        tie_minor = F.col("_below") * step + F.when(F.get(listed, F.col("_below")) == F.col(key), place + 1).otherwise(F.lit(0))
     else:
         tie_minor = F.lit(0)
     null_maj = F.lit(len(ksplits))
@@ -75,7 +82,29 @@ def _bucket_columns(df: DataFrame, key: str, id_col: str, n_buckets: int, key_is
     minor = (F.when(F.col(key).isNull(), F.col("_ib").cast("int"))
              .when(kd == lower, tie_minor)
              .otherwise(F.lit((len(heavy) + 1) * step)))
-    return out.withColumns({"_maj": maj, "_min": minor}).drop("_kb", "_ib")
+    return out.withColumns({"_maj": maj, "_min": minor}).drop("_kb", "_ib", "_below")
+
+
+def _id_edges(df: DataFrame, key: str, id_col: str, listed: Column, repeats: list[int], accuracy: int) -> list[list[float]]:
+    """For each heavy key its own id edges: as many parts as the quantiles repeat it, rounded up to a power of two.
+
+    All parts together are at most twice the number of quantiles, however the
+    ids of a key lie among all ids. One aggregate over the heavy keys' rows.
+    """
+    parts = [1 << (n - 1).bit_length() for n in repeats]
+    d = df.withColumn("_at", F.array_position(listed, F.col(key))).where(F.col("_at") > 0)
+    mine = F.element_at(F.array(*[F.lit(p) for p in parts]), F.col("_at").cast("int"))
+    edges = [F.percentile_approx(F.when(mine == p, F.col(id_col).cast("double")), [i / p for i in range(1, p)], accuracy)
+             for p in sorted(set(parts))]
+    rows = d.groupBy("_at").agg(F.coalesce(*edges).alias("_e")).collect()  # one row a heavy key
+    found = {r["_at"]: sorted({e for e in r["_e"] or [] if e is not None}) for r in rows}
+    return [found.get(i + 1, []) for i in range(len(parts))]
+
+
+def _count_up_to(ascending: Column, size: int, holds) -> Column:
+    """Number of leading elements of an ascending array (of at most ``size``) for which ``holds``, by binary search."""
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(1, size).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, by: F.when(F.coalesce(holds(F.get(ascending, at + by - 1)), F.lit(False)), at + by).otherwise(at))
 
 
 def global_rank(df: DataFrame, key: str, id_col: str, out: str = "rank", n_buckets: int | None = None,
@@ -88,7 +117,7 @@ def global_rank(df: DataFrame, key: str, id_col: str, out: str = "rank", n_bucke
 
     Jobs: one approximate-quantile pass (skipped for uniform keys), one
     count per bucket (map-side combined), one shuffle by bucket. The
-    offset table has at most about n_buckets^2 rows (times the number of
+    offset table has at most about 4 x n_buckets rows (times the number of
     groups) and is broadcast only without groups; with groups it is joined
     on (group, bucket).
     """
@@ -330,10 +359,11 @@ def average_rank(df: DataFrame, col: str, out: str, broadcast_limit: int = 1_000
     return df.join(ranks, on=col, how="left")
 
 
-def ranks_from_counts(vals: DataFrame, group: str, value: str, count: str, sizes: dict,
-                      window_limit: int = 1_000_000, out: str = "avg_rank") -> DataFrame:
+def ranks_from_counts(vals: DataFrame, group: str, value: str, counts: list[str], sizes: dict,
+                      window_limit: int = 1_000_000, out: list[str] | None = None) -> DataFrame:
     """Average rank of every distinct value within its group, from a table
-    unique in (group, value) with the number of rows ``count`` of each.
+    unique in (group, value) with one or more numbers of rows ``counts`` of each
+    (one rank column ``out`` for each of them).
 
     ``sizes`` holds the number of distinct values per group (counted by the
     caller). Groups with at most ``window_limit`` of them are ranked with one
@@ -343,14 +373,16 @@ def ranks_from_counts(vals: DataFrame, group: str, value: str, count: str, sizes
     """
     small = [g for g, n in sizes.items() if n <= window_limit]
     big = [g for g, n in sizes.items() if n > window_limit]
+    out = out or [f"rank_{c}" for c in counts]
+    half = lambda c: (F.col(c) + 1) / 2.0
     parts = []
-    if small:
+    if big:
+        run = running_sums_before(vals.where(F.col(group).isin(big)), group, value, counts)
+        parts.append(run.select(group, value, *[(F.col(f"before_{c}") + half(c)).alias(o) for c, o in zip(counts, out)]))
+    if small or not big:
         w = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
         parts.append(vals.where(F.col(group).isin(small)).select(
-            group, value, (F.coalesce(F.sum(count).over(w), F.lit(0)) + (F.col(count) + 1) / 2.0).alias(out)))
-    if big:
-        run = running_sums_before(vals.where(F.col(group).isin(big)), group, value, [count])
-        parts.append(run.select(group, value, (F.col(f"before_{count}") + (F.col(count) + 1) / 2.0).alias(out)))
+            group, value, *[(F.coalesce(F.sum(c).over(w), F.lit(0)) + half(c)).alias(o) for c, o in zip(counts, out)]))
     res = parts[0]
     for p in parts[1:]:
         res = res.unionByName(p)

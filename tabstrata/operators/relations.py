@@ -77,82 +77,77 @@ def lower_triangle(matrix: DataFrame, columns: list[str]) -> DataFrame:
     return with_index(matrix, columns).where(F.col("i") > F.col("j")).drop("i", "j")
 
 
-def _rank_tables(df: DataFrame, sides: list[tuple[str, Column]], broadcast_limit: int):
-    """Average ranks for several (column, row condition) sides in one pass.
-
-    Every row is stacked into one (side, value) entry per side whose
-    condition holds, and one map-side combined aggregate counts rows per
-    (side, value); that distinct-value table is written once to the shared
-    folder and the number of distinct values per side is counted there.
-    Ranks come from ``ranks_from_counts``. Returns, per side, the rank table
-    (_v, _rank) and whether it may be broadcast: the smallest tables are
-    broadcast while their summed row count stays within ``broadcast_limit``;
-    the rest are shuffle-joined.
+MASK_BITS = 60  # null flags of so many columns go into one long
+
+
+def _rank_tables(df: DataFrame, cols: list[str], partners: list[str], broadcast_limit: int):
+    """Average ranks of several columns in one pass, each among all its values and among the rows where a partner has one.
+
+    Every row is stacked into one (column, value, which partners have a value)
+    entry a column, and one map-side combined aggregate counts rows per
+    (column, value): all of them, and those with each partner. That
+    distinct-value table is written once to the shared folder and the number of
+    distinct values per column is counted there. Ranks come from
+    ``ranks_from_counts``. Returns, per column, the rank table (_v, _r, then _r0,
+    _r1, ... by partner) and whether it may be broadcast: the smallest tables
+    are broadcast while all their ranks stay within ``broadcast_limit``; the rest
+    are shuffle-joined.
     """
     spark = df.sparkSession
-    entries = [F.struct(F.lit(k).alias("_k"), F.when(cond, F.col(c).cast("double")).alias("_v"))
-               for k, (c, cond) in enumerate(sides)]
+    chunks = [partners[i:i + MASK_BITS] for i in range(0, len(partners), MASK_BITS)]
+    masks = [sum((F.shiftleft(F.col(c).isNotNull().cast("long"), j) for j, c in enumerate(chunk)), F.lit(0)) for chunk in chunks]
+    entries = [F.struct(F.lit(k).alias("_k"), F.col(c).cast("double").alias("_v"), *[m.alias(f"_m{i}") for i, m in enumerate(masks)])
+               for k, c in enumerate(cols)]
+    has = [F.shiftright(f"_m{j // MASK_BITS}", j % MASK_BITS).bitwiseAND(F.lit(1)) for j in range(len(partners))]
+    counts = ["_n"] + [f"_n{j}" for j in range(len(partners))]
+    names = ["_r"] + [f"_r{j}" for j in range(len(partners))]
     path = scratch_path(spark, "rank-values")
     (df.select(F.inline(F.array(*entries))).where(F.col("_v").isNotNull())
-     .groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_vc"))
+     .groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(h).alias(f"_n{j}") for j, h in enumerate(has)])
      .write.parquet(path))
     vals = spark.read.parquet(path)
-    sizes = {r["_k"]: r["n"] for r in vals.groupBy("_k").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per side
-    ranks = ranks_from_counts(vals, "_k", "_v", "_vc", sizes, broadcast_limit, "_rank")
+    sizes = {r["_k"]: r["n"] for r in vals.groupBy("_k").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+    ranks = ranks_from_counts(vals, "_k", "_v", counts, sizes, broadcast_limit, names)
     small, used = set(), 0
-    for k in sorted(range(len(sides)), key=lambda k: sizes.get(k, 0)):
-        if used + sizes.get(k, 0) <= broadcast_limit:
+    for k in sorted(range(len(cols)), key=lambda k: sizes.get(k, 0)):
+        if used + sizes.get(k, 0) * len(names) <= broadcast_limit:
             small.add(k)
-            used += sizes.get(k, 0)
-    return [(ranks.where(F.col("_k") == k).select("_v", "_rank"), k in small) for k in range(len(sides))]
-
-
-def _attach_rank(df: DataFrame, col: str, table: DataFrame, bcast: bool, out: str) -> DataFrame:
-    t = table.select(F.col("_v").alias(f"_jv_{out}"), F.col("_rank").alias(out))
-    d = df.withColumn(f"_jv_{out}", F.col(col).cast("double"))
-    return d.join(F.broadcast(t) if bcast else t, f"_jv_{out}", "left").drop(f"_jv_{out}")
+            used += sizes.get(k, 0) * len(names)
+    return [(ranks.where(F.col("_k") == k).select("_v", *names), k in small) for k in range(len(cols))]
 
 
 def spearman_matrix(df: DataFrame, columns: list[str] | None = None, broadcast_limit: int = 1_000_000) -> DataFrame:
     """Spearman = Pearson on average ranks.
 
     Without nulls each column is ranked once. With nulls (checked in one
-    pass), each pair is ranked among its complete rows, as pandas does.
-    Either way all rankings come from one stacked aggregate
-    (``_rank_tables``), not one pass per column or pair.
+    pass), each pair is ranked among its complete rows, as pandas does: a
+    value's rank there is its running count over the rows in which the other
+    column has a value, so a column's distinct values carry one count for each
+    column that has nulls, and rows are stacked once a column, not once a pair.
     """
     cols = columns or numeric_columns(df)
     nulls = df.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first()
-    has_null = any(nulls[c] for c in cols)
-    if not has_null:
-        tables = _rank_tables(df, [(c, F.lit(True)) for c in cols], broadcast_limit)
-        r = df.select(*cols)
-        for i, c in enumerate(cols):
-            r = _attach_rank(r, c, *tables[i], f"_r{i}")
-        ranked = r.select(*[F.col(f"_r{i}").alias(c) for i, c in enumerate(cols)])
-        return pearson_matrix(ranked, cols)
-    pairs = _pairs(cols)
-    sides = []
-    for a, b in pairs:
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        sides += [(a, both), (b, both)]
-    tables = _rank_tables(df, sides, broadcast_limit)
-    parts = []
-    for p, (a, b) in enumerate(pairs):
-        sub = df.select(a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
-        sub = _attach_rank(_attach_rank(sub, a, *tables[2 * p], "_ra"), b, *tables[2 * p + 1], "_rb")
-        one = sub.agg(F.corr("_ra", "_rb").alias("corr"))
-        parts.append(one.select(F.inline(F.array(
-            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col("corr")),
-            F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), F.col("corr"))))))
-    for c in cols:
-        sub = df.select(c).where(F.col(c).isNotNull())
-        one = sub.agg(F.corr(F.col(c).cast("double"), F.col(c).cast("double")).alias("corr"))
-        parts.append(one.select(F.lit(c).alias("x"), F.lit(c).alias("y"), "corr"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    partners = [c for c in cols if nulls[c]]
+    tables = _rank_tables(df, cols, partners, broadcast_limit)
+    r = df.select(*cols)
+    for i, c in enumerate(cols):
+        table, small = tables[i]
+        t = table.select(F.lit(True).alias("_ok"), F.col("_v").alias("_jv"), *[F.col(x).alias(f"_{i}{x}") for x in table.columns[1:]])
+        # nulls are spread by a hash of the row, so that they don't meet in one task
+        r = r.withColumns({"_ok": F.col(c).isNotNull(), "_jv": F.coalesce(F.col(c).cast("double"), F.xxhash64(*cols).cast("double"))})
+        r = r.join(F.broadcast(t) if small else t, ["_ok", "_jv"], "left").drop("_ok", "_jv")
+    if not partners:
+        return pearson_matrix(r.select(*[F.col(f"_{i}_r").alias(c) for i, c in enumerate(cols)]), cols)
+
+    def among(i: int, other: str) -> Column:
+        rank = F.col(f"_{i}_r{partners.index(other)}") if other in partners else F.col(f"_{i}_r")
+        return F.when(F.col(other).isNotNull(), rank)
+
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1)]
+    one = r.agg(*[F.corr(among(i, cols[j]), among(j, cols[i])).alias(f"c{i}_{j}") for i, j in pairs])
+    both = lambda i, j: [(i, j), (j, i)] if i != j else [(i, j)]
+    return one.select(F.inline(F.array(*[F.struct(F.lit(cols[x]).alias("x"), F.lit(cols[y]).alias("y"), F.col(f"c{i}_{j}").alias("corr"))
+                                         for i, j in pairs for x, y in both(i, j)])))
 
 
 # --------------------------------------------------------------------------------------

@@ -288,6 +288,29 @@ def test_spearman_pairwise_complete_matches_pandas(spark, limit):
             assert got[(x, y)] == pytest.approx(ref.loc[x, y], abs=1e-12)
 
 
+def test_spearman_stacks_rows_once_a_column(spark, monkeypatch):
+    """With nulls a row is one entry a column and an all-null column has no correlations; more null flags than one long holds."""
+    import pandas as pd
+    monkeypatch.setattr(REL, "MASK_BITS", 2)
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({c: rng.integers(0, 9, 300).astype(float) for c in "abcde"})
+    for c, frac in zip("abcd", (0.7, 0.2, 0.4, 0.1)):
+        pdf.loc[rng.random(300) < frac, c] = np.nan
+    rows = [tuple(None if math.isnan(v) else float(v) for v in r) + (None,) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double").repartition(3)
+    out = REL.spearman_matrix(df, list("abcdef"))
+    got = {(r["x"], r["y"]): r["corr"] for r in out.collect()}
+    want = pdf.corr(method="spearman")
+    assert len(got) == 36
+    for x, y in itertools.product("abcdef", repeat=2):
+        if "f" in (x, y):
+            assert got[(x, y)] is None or math.isnan(got[(x, y)])
+        else:
+            assert got[(x, y)] == pytest.approx(want.loc[x, y], abs=1e-12)
+    (table, _), *_ = REL._rank_tables(df, list("abcdef"), list("abcdf"), 1_000_000)
+    assert table.count() == pdf["a"].nunique()
+
+
 def test_stratified_cuts_equal_ranked_path(spark, monkeypatch):
     """Boundary cuts per stratum label rows exactly like numbering every row per stratum."""
     rows = [(i, "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(1, 2001)]
@@ -316,6 +339,23 @@ def test_csv_mixed_round_trip(spark):
         read_csv(spark, path, "b int").collect()
 
 
+def test_csv_is_split_unless_a_field_has_line_feeds(spark):
+    """A file without quoted line feeds is read in ranges by several tasks, with equal rows."""
+    from tabstrata.session import scratch_path
+    from tabstrata.sources.io import read_csv, write_table
+    src = spark.range(20000).select("id", F.concat(F.lit('a "b", '), F.col("id")).alias("s"), F.when(F.col("id") % 7 > 0, F.col("id") / 8).alias("x"))
+    path = scratch_path(spark, "split")
+    write_table(src.coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100_000)
+    try:
+        got = read_csv(spark, path, "id long, s string, x double")
+        assert got.rdd.getNumPartitions() > 3
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, src.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_outliers_of_an_all_null_column(spark):
     from tabstrata.operators.profile import detect_and_handle_outliers
     df = spark.createDataFrame([(1, None), (2, None), (50, None)], "x int, y double")

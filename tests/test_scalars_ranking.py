@@ -136,3 +136,15 @@ def test_labels_of_repeated_ids_do_not_depend_on_layout(spark):
     a = {r["u"]: r["fold"] for r in assign_folds(df.repartition(7), "i", 5).collect()}
     b = {r["u"]: r["fold"] for r in assign_folds(df.coalesce(1), "i", 5).collect()}
     assert a == b
+
+
+@pytest.mark.parametrize("by_key", [True, False])
+def test_buckets_of_many_heavy_values_stay_few(spark, by_key):
+    """Heavy values are split by their own ids, wherever these lie among all ids; buckets stay few and even."""
+    n, values, nb = 12000, 60, 128
+    rows = [(i, i * values // n if by_key else i % values) for i in range(n)] + [(n + i, 7) for i in range(n // 2)] + [(2 * n + i, None) for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, k long").repartition(5)
+    sizes = [r["count"] for r in R._bucket_columns(df, "k", "id", nb, False).groupBy("_maj", "_min").count().collect()]
+    assert len(sizes) <= 3 * nb and max(sizes) <= 3 * len(rows) / nb
+    want = {row[0]: i + 1 for i, row in enumerate(sorted(rows, key=lambda t: (t[1] is None, t[1] or 0, t[0])))}
+    assert {r["id"]: r["rank"] for r in R.global_rank(df, "k", "id", n_buckets=nb).collect()} == want
