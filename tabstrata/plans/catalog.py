@@ -211,6 +211,15 @@ def corr_spearman(spark, d):
     return round_doubles(REL.spearman_matrix(table(spark, d, "lineitem"), LINE_COLS))
 
 
+#: lineitem columns and the rows where the query with nulls leaves them out
+NULL_WHERE = {"l_quantity": "l_linenumber = 2", "l_extendedprice": "l_returnflag = 'R'", "l_discount": "l_orderkey % 7 = 3", "l_tax": "false"}
+
+
+def corr_spearman_nulls(spark, d):
+    li = table(spark, d, "lineitem").select(*[F.expr(f"CASE WHEN NOT ({where}) THEN {c} END").alias(c) for c, where in NULL_WHERE.items()])
+    return round_doubles(REL.spearman_matrix(li, LINE_COLS))
+
+
 def corr_kendall(spark, d):
     return round_doubles(REL.kendall_matrix(table(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_tax"]))
 
@@ -372,6 +381,7 @@ QUERIES = {
     "quantiles": quantiles,
     "corr_pearson": corr_pearson,
     "corr_spearman": corr_spearman,
+    "corr_spearman_nulls": corr_spearman_nulls,
     "corr_kendall": corr_kendall,
     "corr_kendall_wide": corr_kendall_wide,
     "corr_lower": corr_lower,

@@ -264,6 +264,19 @@ _RANKS = ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {
 SQL["corr_spearman"] = f"WITH rk AS (SELECT {_RANKS} FROM lineitem)\n" + _corr_long(LINE_COLS, "rk")
 
 
+_NULLED = ", ".join(f"CASE WHEN NOT ({where}) THEN {c} END AS {c}" for c, where in C.NULL_WHERE.items())
+
+
+def _spearman_pair(a: str, b: str) -> str:
+    rank = "rank() OVER (ORDER BY {0}) + (count(*) OVER (PARTITION BY {0}) - 1) / 2.0::DOUBLE"
+    return (f"SELECT '{a}' AS x, '{b}' AS y, {r('corr(ra, rb)')} AS corr FROM (SELECT {rank.format(a)} AS ra, {rank.format(b)} AS rb "
+            f"FROM nulled WHERE {a} IS NOT NULL AND {b} IS NOT NULL)")
+
+
+SQL["corr_spearman_nulls"] = (f"WITH nulled AS (SELECT {_NULLED} FROM lineitem)\n"
+                              + "\nUNION ALL\n".join(_spearman_pair(a, b) for a in LINE_COLS for b in LINE_COLS))
+
+
 def _kendall(a: str, b: str) -> str:
     return f"""SELECT '{a}' AS x, '{b}' AS y, {r('s.S / sqrt((t.n0 - t1.n1) * (t.n0 - t2.n2))')} AS corr, true AS exact
 FROM (SELECT sum(c1.n * c2.n * sign(c1.a - c2.a) * sign(c1.b - c2.b)) / 2.0 AS S
