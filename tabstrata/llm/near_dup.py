@@ -17,8 +17,9 @@ the text has it times ``idf``. Texts whose weighted Jaccard similarity is
    of m nodes has m - 1 ties.
 3. Candidate components are solved exactly by pivots (see ``_solve``): those of
    bounded size in one task, larger ones in rounds over all their nodes (see
-   ``_pivot_links``), so that neither a task nor the driver holds such a
-   component and a large group of near copies is never compared pair by pair.
+   ``_pivot_links``), where tasks compare parts of bounded size, so that neither
+   a task nor the driver holds such a component and a large group of near copies
+   is never compared pair by pair.
 """
 
 from __future__ import annotations
@@ -44,12 +45,13 @@ BANDS, ROWS = 14, 4
 SMOOTHING = 0.1
 #: Nodes and bytes of a component that one task solves.
 TASK_NODES, TASK_BYTES = 4000, 16 << 20
+#: Pivots of a large component in the first round; each round has twice as many as the one before.
 PIVOTS = 16
-#: Bytes of pivots in one round.
-PIVOT_BYTES = 48 << 20
+#: Bytes of nodes, and of pivots, of a large component that one task compares.
+PART_BYTES = 4 << 20
 BLOCK_BYTES = 8 << 20
-#: Ranges of shingle hashes for each shuffle partition; a range is held in memory by one task.
-RANGES = 4
+#: Ranges of shingle hashes for each shuffle partition, and the bytes of text for which there is one at least; a range is held in memory by one task.
+RANGES, RANGE_BYTES = 4, 16 << 20
 _EPS = 1e-9
 
 
@@ -218,9 +220,9 @@ def _survivors(n_docs: int, least: float, bands: int, rows: int):
     return run
 
 
-def shared_vectors(docs: DataFrame, doc_id: str, text: str, n_docs: int, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, digest, total, central, bands, vector of the documents that can have links."""
-    buckets = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def shared_vectors(docs: DataFrame, doc_id: str, text: str, n_docs: int, n_bytes: int, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, digest, total, central, bands, vector of the documents that can have links; ``n_bytes`` of all texts set the number of ranges."""
+    buckets = max(RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // RANGE_BYTES))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text")).filter("doc_id IS NOT NULL")
     blocks = texts.mapInArrow(_blocks(buckets), _BLOCK)
     answers = blocks.groupBy("bucket").applyInArrow(_frequencies, _ANSWER)
@@ -299,79 +301,95 @@ def _solve(n_docs: int, least: float):
     return run
 
 
-def _compare(pivots, n_docs: int, least: float):
-    """Each node against the pivots of its component: links, and near misses that two links could bridge."""
+def _compare(n_docs: int, least: float):
+    """Some nodes of a component against some of its pivots: links, and near misses that two links could bridge."""
+    far = 1 - 2 * (1 - least)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = {}
-        far = 1 - 2 * (1 - least)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                out = []
-                for r in batch.slice(lo, 256).to_pylist():
-                    own = pivots.value.get(r["component"])
-                    if own is None:
-                        continue
-                    if r["component"] not in lists:
-                        lists[r["component"]] = _Lists([_vector(p[2], n_docs) for p in own], np.array([p[1] for p in own]))
-                    s = lists[r["component"]].similarities(*_vector(r["vector"], n_docs), r["total"])
-                    out += [{"component": r["component"], "node": r["node"], "pivot": own[k][0], "similarity": float(s[k])} for k in np.flatnonzero(s >= far - _EPS) if own[k][0] != r["node"]]
-                if out:
-                    yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("component", pa.int64()), ("node", pa.int64()), ("pivot", pa.int64()), ("similarity", pa.float64())]))
+    def run(nodes: pa.Table, pivots: pa.Table) -> pa.Table:
+        node, total, packed = nodes.column("node").to_pylist(), nodes.column("total").to_pylist(), nodes.column("vector")
+        own = pivots.column("node").to_numpy()
+        out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if len(own) and node:
+            lists = _Lists([_vector(v.as_py(), n_docs) for v in pivots.column("vector")], pivots.column("total").to_numpy())
+            for n, t, v in zip(node, total, packed):
+                s = lists.similarities(*_vector(v.as_py(), n_docs), t)
+                near = np.flatnonzero((s >= far - _EPS) & (own != n))
+                out.append((np.full(len(near), n), own[near], s[near]))
+        return pa.table({c: np.concatenate([o[k] for o in out]) for k, c in enumerate(("node", "pivot", "similarity"))})
 
     return run
 
 
+def _in_parts(nodes: DataFrame, name: str) -> DataFrame:
+    """``nodes`` with a part, so that (component, size, part) has about ``PART_BYTES`` of multisets."""
+    each = nodes.groupBy("component", "size").agg(F.ceil(F.sum(F.length("vector")) / PART_BYTES).alias("_n")).select(F.col("component").alias("_c"), F.col("size").alias("_s"), "_n")
+    part = F.pmod(F.xxhash64("node"), F.greatest("_n", F.lit(1)))
+    return nodes.join(each, (F.col("component") == F.col("_c")) & (F.col("size") == F.col("_s"))).select(*nodes.columns, part.alias(name))
+
+
 def _pivot_links(nodes: DataFrame, n_docs: int, least: float) -> DataFrame:
-    """u, v of links that connect the classes of large components: ``_solve`` in rounds over all their nodes."""
+    """u, v of links that connect the classes of large components: ``_solve`` in rounds over all their nodes.
+
+    A round opens the most central open nodes of each component as pivots,
+    twice as many as the round before, so n nodes that are all unlike take
+    about log2(n / ``PIVOTS``) rounds. Nodes and pivots meet in pairs of parts of
+    bounded size, only where their total weights allow a similarity that
+    counts. Pivots, links and open nodes of a round are tables in the shared
+    folder; none of them comes to the driver and no plan grows with the rounds.
+    """
     spark = nodes.sparkSession
-    reach = 1 - least
+    reach, far = 1 - least, 1 - 2 * (1 - least)
 
-    def written(df: DataFrame, name: str) -> DataFrame:
+    def write(df: DataFrame, name: str) -> str:
         path = scratch_path(spark, name)
         df.write.parquet(path)
-        return spark.read.parquet(path)
+        return path
 
-    state = nodes.select("component", "node", "central")
-    opened, found, tried = state, None, None
+    def written(df: DataFrame, name: str) -> DataFrame:
+        return spark.read.parquet(write(df, name))
+
+    # two multisets are as similar as the smaller total over the larger at most: similar ones are in neighbouring sizes
+    size = F.floor(F.log("total") / (-np.log(far) * (1 + 1e-6))) if far > 0 else F.lit(0).cast("long")
+    parted = written(_in_parts(nodes.withColumn("size", size), "part"), "near-parts").select("component", "size", "part", "node", "total", "central", "vector")
+    parts = written(parted.select("component", "size", "part").distinct(), "near-part-names")
+    pair = F.concat_ws("/", "component", "size", "part", "chunk_size", "chunk").alias("pair")
+
+    def compared(chosen: DataFrame) -> DataFrame:
+        chunks = _in_parts(chosen.select("component", "size", "node", "total", "vector"), "chunk").withColumnRenamed("size", "chunk_size")
+        named = chunks.select("component", "chunk_size", "chunk").distinct()
+        pairs = named.select("*", F.explode(F.array(*(F.col("chunk_size") + k for k in (-1, 0, 1)))).alias("size")).join(parts, ["component", "size"])
+        left = parted.join(pairs, ["component", "size", "part"]).select(pair, "node", "total", "vector")
+        right = chunks.join(pairs, ["component", "chunk_size", "chunk"]).select(pair, "node", "total", "vector")
+        return left.groupBy("pair").cogroup(right.groupBy("pair")).applyInArrow(_compare(n_docs, least), "node long, pivot long, similarity double")
+
+    state = parted.select("component", "node", "central")
+    opened, links_at, pivots_at, per = state, [], [], PIVOTS
     while True:
-        # the most central open nodes of each component, components in order up to the round's bytes
         rank = F.row_number().over(Window.partitionBy("component").orderBy(F.desc("central"), "node"))
-        best = opened.withColumn("k", rank).filter(F.col("k") <= PIVOTS).select(F.col("node").alias("_n"))
-        chosen = written(nodes.join(best, F.col("node") == F.col("_n"), "left_semi").select("component", "node", "total", "vector"), "near-pivots")
-        sizes = chosen.groupBy("component").agg(F.sum(F.length("vector")).alias("b")).orderBy("component").limit(1000).collect()
-        if not sizes:
-            # every node is settled; look for pairs of classes that a link could still join
-            links = found.filter(F.col("similarity") >= least - _EPS)
-            label = connected_components(links.select(F.col("node").alias("u"), F.col("pivot").alias("v")))
-            a = label.select(F.col("node").alias("_x"), F.col("component").alias("cx"))
-            b = label.select(F.col("node").alias("_p"), F.col("component").alias("cp"))
-            labelled = found.join(a, F.col("node") == F.col("_x"), "left").join(b, F.col("pivot") == F.col("_p"), "left")
-            apart = F.coalesce("cx", "node") != F.coalesce("cp", "pivot")
-            nearest = labelled.filter(apart).groupBy("pivot").agg(F.max("similarity").alias("s")).select(F.col("pivot").alias("_q"), "s")
-            more = links.join(nearest, F.col("pivot") == F.col("_q")).filter((1 - F.col("similarity")) >= (1 - F.col("s")) - reach - _EPS).select(F.col("node").alias("_m")).distinct()
-            fresh = state.join(more, F.col("node") == F.col("_m"), "left_semi")
-            opened = written(fresh.join(tried.select(F.col("node").alias("_t")), F.col("node") == F.col("_t"), "left_anti"), "near-open")
-            if opened.isEmpty():
-                return links.select(F.col("node").alias("u"), F.col("pivot").alias("v"))
+        best = opened.withColumn("k", rank).filter(F.col("k") <= per).select(F.col("node").alias("_n"))
+        at = write(parted.join(best, F.col("node") == F.col("_n"), "left_semi").select("component", "size", "node", "total", "vector"), "near-pivots")
+        chosen = spark.read.parquet(at)
+        if not chosen.isEmpty():
+            pivots_at.append(at)
+            links_at.append(write(compared(chosen), "near-links"))
+            linked = spark.read.parquet(links_at[-1]).filter(F.col("similarity") >= least - _EPS).select("node").unionByName(chosen.select("node")).select(F.col("node").alias("_d"))
+            opened = written(opened.join(linked, F.col("node") == F.col("_d"), "left_anti"), "near-open")
+            per *= 2
             continue
-        now, size = [], 0
-        for r in sizes:
-            if now and size + r["b"] > PIVOT_BYTES:
-                break
-            now.append(r["component"])
-            size += r["b"]
-        pivots: dict[int, list] = {}
-        for r in chosen.filter(F.col("component").isin(now)).orderBy("component", "node").toLocalIterator():
-            pivots.setdefault(r["component"], []).append((r["node"], r["total"], bytes(r["vector"])))
-        given = spark.sparkContext.broadcast(pivots)
-        mine = nodes.filter(F.col("component").isin(now)).select("component", "node", "total", "vector")
-        new = written(mine.mapInArrow(_compare(given, n_docs, least), "component long, node long, pivot long, similarity double"), "near-links")
-        found = new if found is None else found.unionByName(new)
-        fresh = spark.createDataFrame([(p[0],) for ps in pivots.values() for p in ps], "node long")
-        tried = fresh if tried is None else tried.unionByName(fresh)
-        linked = new.filter(F.col("similarity") >= least - _EPS).select("node").unionByName(fresh).select(F.col("node").alias("_d"))
-        opened = written(opened.join(linked, F.col("node") == F.col("_d"), "left_anti"), "near-open")
+        # every node is settled; look for pairs of classes that a link could still join
+        found, tried = spark.read.parquet(*links_at), spark.read.parquet(*pivots_at)
+        links = found.filter(F.col("similarity") >= least - _EPS)
+        label = connected_components(links.select(F.col("node").alias("u"), F.col("pivot").alias("v")))
+        a = label.select(F.col("node").alias("_x"), F.col("component").alias("cx"))
+        b = label.select(F.col("node").alias("_p"), F.col("component").alias("cp"))
+        labelled = found.join(a, F.col("node") == F.col("_x"), "left").join(b, F.col("pivot") == F.col("_p"), "left")
+        apart = F.coalesce("cx", "node") != F.coalesce("cp", "pivot")
+        nearest = labelled.filter(apart).groupBy("pivot").agg(F.max("similarity").alias("s")).select(F.col("pivot").alias("_q"), "s")
+        more = links.join(nearest, F.col("pivot") == F.col("_q")).filter((1 - F.col("similarity")) >= (1 - F.col("s")) - reach - _EPS).select(F.col("node").alias("_m")).distinct()
+        fresh = state.join(more, F.col("node") == F.col("_m"), "left_semi")
+        opened = written(fresh.join(tried.select(F.col("node").alias("_t")), F.col("node") == F.col("_t"), "left_anti"), "near-open")
+        if opened.isEmpty():
+            return links.select(F.col("node").alias("u"), F.col("pivot").alias("v"))
 
 
 # --------------------------------------------------------------------------------------
@@ -391,8 +409,8 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
         df.write.parquet(path)
         return spark.read.parquet(path)
 
-    n_docs = docs.count()
-    vectors = written(shared_vectors(docs, doc_id, text, n_docs, least, bands, rows), "near-vectors")
+    n_docs, n_bytes = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col(text)))).first()
+    vectors = written(shared_vectors(docs, doc_id, text, n_docs, n_bytes or 0, least, bands, rows), "near-vectors")
     # equal multisets are one node, named by its least document
     alike = vectors.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first(F.struct("total", "central", "bands", "vector")).alias("x"))
     chosen = written(alike.select("digest", "node", "x.*"), "near-nodes")

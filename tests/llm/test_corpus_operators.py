@@ -327,6 +327,38 @@ def test_near_duplicates_of_documents(spark, odd):
     assert {r.doc_id: r.class_id for r in queries.op4_near_dup(spark, SF_SMALL).collect()} == _brute_classes(rows, len(rows))
 
 
+def test_near_duplicates_in_more_ranges(spark, odd, copies, monkeypatch):
+    """The number of hash ranges follows the bytes of the texts and changes no class."""
+    docs, _ = copies
+    want = {(r.doc_id, r.class_id) for r in near_dup.with_classes(docs).collect()}
+    monkeypatch.setattr(near_dup, "RANGE_BYTES", 2000)
+    assert {(r.doc_id, r.class_id) for r in near_dup.with_classes(docs).collect()} == want
+
+
+def test_large_component_of_unlike_nodes(spark, odd, monkeypatch):
+    """5,000 nodes of one component that are nearly all unlike, in parts of a few: few rounds, no link lost."""
+    rng = np.random.default_rng(3)
+    vectors, links = [], []
+    for i in range(5000):
+        if i % 50 == 49:  # like the node before but for a shingle or two of 30
+            h = vectors[-1][0].copy()
+            h[: 1 + i % 2] = rng.integers(1, 1 << 62, 1 + i % 2).astype(np.uint64)
+            links.append((i - 1, i))
+        else:
+            h = rng.integers(1, 1 << 62, int(rng.integers(20, 200)) if i % 50 != 48 else 30).astype(np.uint64)
+            h[0] = 7  # a shingle that most nodes have
+        h = np.sort(h)
+        vectors.append((h, np.ones(len(h), np.int64), np.full(len(h), 2)))
+    weight = float(near_dup.idf(2, 10_000))
+    rows = [(0, i, len(v[0]) * weight, float(i % 7), bytearray(near_dup._packed(*v))) for i, v in enumerate(vectors)]
+    nodes = spark.createDataFrame(rows, "component long, node long, total double, central double, vector binary").repartition(8)
+    rounds, path = [], near_dup.scratch_path
+    monkeypatch.setattr(near_dup, "scratch_path", lambda s, name: (rounds.append(name), path(s, name))[1])
+    monkeypatch.setattr(near_dup, "PART_BYTES", 2 << 20)
+    found = {tuple(sorted((r.u, r.v))) for r in near_dup._pivot_links(nodes, 10_000, 0.8).collect()}
+    assert found == set(links) and rounds.count("near-links") <= 20
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     rng = np.random.default_rng(1)
     h = textarrays.mix(np.arange(1, 401, dtype=np.uint64))
