@@ -27,8 +27,8 @@ from tokenizers import Tokenizer
 from tabstrata.llm import pretokens, textarrays
 from tabstrata.session import scratch_path
 
-#: Bytes of text that a task gathers into one set of blocks.
-BLOCK_BYTES = 8 << 20
+#: Bytes of text that a task gathers into one set of blocks, and those for which there is a range of hashes at least.
+BLOCK_BYTES, RANGE_BYTES = 8 << 20, 16 << 20
 _BLOCK = "block string, bucket int, pieces binary, sizes binary, counts binary, docs binary, freqs binary, ids binary, nulls binary, n_bytes binary, own binary"
 _PACKED = [c.split()[0] for c in _BLOCK.split(", ")[2:]]
 
@@ -172,8 +172,9 @@ def count_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     """
     library(path)  # fails here, not in a task, if the file is of another kind
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
+    n_bytes = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // RANGE_BYTES))
     folder = scratch_path(spark, "token-blocks")
     rows.mapInArrow(_blocks(path, buckets), _BLOCK).write.option("compression", "zstd").parquet(folder)
     blocks = spark.read.parquet(folder)
