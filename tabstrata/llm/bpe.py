@@ -199,26 +199,35 @@ def _round_trip(path: str, with_ids: bool):
         for batch in batches:
             for part, data, offsets in textarrays.slices(batch, "_text", 1 << 20):
                 ids, at = coder.encode(data, offsets)
+                begun = np.r_[0, np.cumsum((data & 0xC0) != 0x80)][offsets[:-1]]  # characters before each text
+                spans = np.stack(coder.spans(data, ids), 1) - np.repeat(begun, np.diff(at))[:, None]
                 texts = [ids[a:b] for a, b in zip(at, at[1:])]
-                cols = [part.column("row"), pa.array(np.diff(at), pa.int64()), pa.array([sha(digits[pretokens.ragged(first[x], long[x])].tobytes()[:-1]) for x in texts], pa.string()), pa.array([sha(coder.spelled(x).tobytes()) for x in texts], pa.string())]
+                bytes_back = [coder.spelled(x).tobytes() for x in texts]
+                given = textarrays.filled(part.column("_text")).to_pylist()
+                cols = [
+                    part.column("row"), pa.array(np.diff(at), pa.int64()), pa.array([sha(digits[pretokens.ragged(first[x], long[x])].tobytes()[:-1]) for x in texts], pa.string()), pa.array([sha(x) for x in bytes_back], pa.string()),
+                    pa.array([sha(spans[a:b].astype("<i4").tobytes()) for a, b in zip(at, at[1:])], pa.string()), pa.array([x.decode(errors="replace") == t for x, t in zip(bytes_back, given)], pa.bool_()),
+                ]
                 if with_ids:
                     cols.append(pa.ListArray.from_arrays(at.astype(np.int32), pa.array(ids, pa.int32())))
-                yield pa.RecordBatch.from_arrays(cols, names=["row", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(cols)])
+                yield pa.RecordBatch.from_arrays(cols, names=["row", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256", "same_text", "ids"][: len(cols)])
         coder.pieces.clear()
 
     return rows
 
 
 def round_trip(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, with_ids: bool = False) -> DataFrame:
-    """row, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids: ``encode`` and ``decode`` of each text in one pass.
+    """row, n_tokens, ids_sha256, decoded_sha256, spans_sha256, same_text and, if asked for, ids: ``encode`` and ``decode`` of each text in one pass.
 
-    The ids are decoded where they are made, so a task needs one Python worker
-    and no ids travel for the digests.
+    ``spans_sha256`` is of the first and one-past-last character of every token
+    (32-bit little-endian, token by token); ``same_text`` tells whether the
+    decoded text is the given one (null: empty). The ids are decoded where they
+    are made, so a task needs one Python worker and no ids travel for the digests.
     """
     rows = df.select(F.struct(*(keep if keep is not None else df.columns)).alias("row"), F.col(text).alias("_text"))
     kind = rows.schema["row"].dataType.simpleString()
     more = ", ids array<int>" if with_ids else ""
-    return rows.mapInArrow(_round_trip(path, with_ids), f"row {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
+    return rows.mapInArrow(_round_trip(path, with_ids), f"row {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string, same_text boolean{more}")
 
 
 def default_ranks() -> str:

@@ -68,7 +68,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text to ids and back."""
     done = bpe.round_trip(table(spark, sf_dir, "documents"), bpe.default_ranks(), keep=["doc_id"])
-    return done.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return done.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256", "same_text")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 import tiktoken
 from conftest import SF_SMALL
@@ -135,13 +136,15 @@ def test_pretokens_match_the_pattern():
         assert [raw[a:b].decode() for a, b in zip(start[at[i] : at[i + 1]], end[at[i] : at[i + 1]])] == pattern.findall(t or "")
 
 
-def test_token_counts_equal_the_library(spark, odd):
+def test_token_counts_equal_the_library(spark, odd, monkeypatch):
     path = token_counts.default_tokenizer()
     library = token_counts.library(path)
     key = lambda r: str(r)
     got = sorted([tuple(r) for r in token_counts.count_tokens(odd, path).collect()], key=key)
     want = sorted([(d, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for d, t, _ in ODD], key=key)
     assert got == want
+    monkeypatch.setattr(token_counts, "RANGE_BYTES", 500)  # more ranges, same counts
+    assert sorted([tuple(r) for r in token_counts.count_tokens(odd, path).collect()], key=key) == want
     whole = {r.doc_id: r for r in queries.op7_token_counts(spark, SF_SMALL).collect()}
     for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect():
         n = len(library.encode(r.text or "", add_special_tokens=False).ids)
@@ -176,7 +179,11 @@ def test_bpe_equals_tiktoken_and_round_trips(spark, odd):
         ids = other.encode_ordinary(r.text or "")
         want = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest())
         got = digests[r.doc_id]
-        assert (got.n_tokens, got.ids_sha256, got.decoded_sha256) == want
+        assert (got.n_tokens, got.ids_sha256, got.decoded_sha256) == want and got.same_text
+    done = {(r.row.doc_id, r.row.text): r for r in bpe.round_trip(odd, ranks).collect()}
+    for r in rows:  # the registered run's spans are those of ``encode``
+        spans = np.array(list(zip(r.char_start, r.char_end)), "<i4")
+        assert done[r.row.doc_id, r.row.text].spans_sha256 == hashlib.sha256(spans.tobytes()).hexdigest()
 
 
 def test_bpe_random_strings_equal_tiktoken():
