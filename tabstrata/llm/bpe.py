@@ -212,6 +212,7 @@ def _round_trip(path: str, with_ids: bool):
                     cols.append(pa.ListArray.from_arrays(at.astype(np.int32), pa.array(ids, pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, names=["row", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256", "same_text", "ids"][: len(cols)])
         coder.pieces.clear()
+        textarrays.give_back()
 
     return rows
 

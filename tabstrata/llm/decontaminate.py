@@ -213,6 +213,7 @@ def _mark(index, least: float, with_text: bool):
                 rows = [[{"item_id": int(i), "similarity": s, "first_word": a, "n_words": n} for i, (s, a, n) in sorted(x.items())] for x in leaks(items, data, offsets, least)]
                 cols = [part.column("row"), pa.array(rows, _LEAK), *([part.column("_text")] if with_text else [])]
                 yield pa.RecordBatch.from_arrays(cols, names=["row", "leaks", "_text"][: len(cols)])
+        textarrays.give_back()
 
     return run
 

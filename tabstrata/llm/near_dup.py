@@ -113,6 +113,8 @@ def _blocks(buckets: int):
                     yield from block.send(f"{part}-{n}", buckets)
                     n, block = n + 1, _Block()
         yield from block.send(f"{part}-{n}", buckets)
+        del block
+        textarrays.give_back()
 
     return run
 
@@ -193,6 +195,11 @@ def _survivors(n_docs: int, least: float, bands: int, rows: int):
     """Of one block: documents with enough shared weight, as multisets of shared shingles with band keys."""
 
     def run(table: pa.Table) -> pa.Table:
+        out = found(table)
+        textarrays.give_back()
+        return out
+
+    def found(table: pa.Table) -> pa.Table:
         parts = table.to_pylist()
         home = next(p for p in parts if p["ids"] is not None)
         ids, total = textarrays.unpack(home["ids"]).astype(np.int64), textarrays.unpack(home["totals"]).astype(float)

@@ -7,6 +7,7 @@ empty texts. A single text longer than the bound is a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,14 @@ _PLAIN = np.ones(256, bool)
 _PLAIN[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = False
 
 
+def give_back() -> None:
+    """Return a task's freed memory to the system: Spark keeps its Python workers, and an idle one would hold it through the next stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library may have none
+    if trim is not None:
+        trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit (splitmix64)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
