@@ -90,13 +90,12 @@ def _cross_term(rows: DataFrame, nblk: int) -> DataFrame:
     ty = rows.groupBy("g", "y").agg(*cnt)
     tot = ty.groupBy("g").agg(*[F.sum(f"c{a}").alias(f"N{a}") for a in range(nblk)])
     run = running_sums_before(ty, "g", "y", [f"c{a}" for a in range(nblk)]).join(tot, "g")
-    # D_a = less_a + le_a - N_a, with le_a = less_a + c_a
-    d = [F.col(f"before_c{a}") * 2 + F.col(f"c{a}") - F.col(f"N{a}") for a in range(nblk)]
-    prefix, acc = [], F.lit(0)
-    for a in range(nblk):
-        prefix.append(acc)
-        acc = acc + d[a]
-    contrib = sum((F.col(f"c{b}").cast("double") * prefix[b] for b in range(1, nblk)), F.lit(0.0))
+    # D_a = less_a + le_a - N_a, with le_a = less_a + c_a. The sum over the blocks is one fold of an
+    # array: written out, every prefix repeats the ones before it, and the generated code doubles a block
+    terms = F.array(*[F.struct(F.col(f"c{a}").alias("c"), (F.col(f"before_c{a}") * 2 + F.col(f"c{a}") - F.col(f"N{a}")).alias("d")) for a in range(nblk)])
+    start = F.struct(F.lit(0).cast("long").alias("prefix"), F.lit(0.0).alias("s"))
+    contrib = F.aggregate(terms, start, lambda at, t: F.struct((at["prefix"] + t["d"]).alias("prefix"), (at["s"] + t["c"].cast("double") * at["prefix"]).alias("s")),
+                          lambda at: at["s"])
     return run.agg(F.sum(contrib).alias("S"))
 
 

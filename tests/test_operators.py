@@ -201,6 +201,17 @@ def test_exact_kendall_recursion_matches_brute_force(spark):
     assert n1 == pytest.approx(sum(c * (c - 1) / 2 for c in np.unique(x, return_counts=True)[1]))
 
 
+def test_exact_kendall_recursion_at_the_default_number_of_blocks(spark):
+    """32 counts a value: the sum over the blocks stays a small plan (the driver ran out of memory on its code)."""
+    from tabstrata.operators.kendall import kendall_s, numpy_s
+    rng = np.random.default_rng(18)
+    x = np.round(rng.normal(size=2000), 2)
+    y = np.round(x * 0.3 + rng.normal(size=2000), 2)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double").repartition(3)
+    s, n, _, _ = kendall_s(df, "x", "y", leaf=500)
+    assert n == 2000 and s == numpy_s(x, y)
+
+
 def test_grouped_quantiles_rank_equals_exact(spark):
     from tabstrata.operators.quantiles import grouped_quantiles
     rng = np.random.default_rng(9)
