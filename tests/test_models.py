@@ -268,6 +268,28 @@ def test_forest_split_over_the_table_equals_in_one_task(spark, forest_frame, mon
         FO.train_forest(df.limit(0), ["a"], "y")
 
 
+def test_forest_moves_blocks_and_subtrees_and_copies_only_what_many_rows_reach(spark, forest_frame, monkeypatch):
+    from tabstrata.operators import forest as FO
+
+    X, y, df = forest_frame
+    kw = {"n_estimators": 6, "node_rows": 60}
+    model = FO.train_forest(df, ["a", "b", "c"], "y", **kw)
+    told = lambda: {r.id: r.prediction for r in model.transform(df).collect()}
+    whole = told()
+    assert model.n_nodes > 1000 and spark.read.parquet(model.path).count() < 300  # a row a subtree
+    monkeypatch.setattr(FO, "NODE_SLICE", 16)  # subtrees in several rows
+    sliced = FO.train_forest(df, ["a", "b", "c"], "y", **kw)
+    assert spark.read.parquet(sliced.path).count() > 300 and sliced.importances == pytest.approx(model.importances)
+    model = sliced
+    assert told() == whole
+    monkeypatch.setattr(FO, "MAX_BROADCAST_NODES", 10)
+    monkeypatch.setattr(FO, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(FO, "PART_ROWS", 40)  # some subtrees are reached by more rows
+    parts = model._parts(df.select("a", "b", "c").dropna())
+    assert parts and len(parts) < sum(len(t) for t in model.trees(spark))
+    assert told() == pytest.approx(whole, nan_ok=True) and whole[9999] is None
+
+
 def test_forest_grid_has_every_point():
     from tabstrata.operators import tuning as TU
     assert np.prod([len(v) for v in TU.GRIDS["random_forest"].values()]) == 108
