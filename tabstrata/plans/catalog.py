@@ -545,6 +545,15 @@ def _lineitem_ml(spark, d):
         F.expr(ROW_ID).alias("row_id"), *LINE_FEATS, "l_extendedprice")
 
 
+def _split_lines(spark, d):
+    """Training and test line items, labelled once: every job of a fit or a report reads them, and a filter on the label draws each row's md5 again for every comparison."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "split-lines")
+    P.split_labels(_lineitem_ml(spark, d), "row_id", 0.2, 0.0, SEED).write.parquet(path)
+    lab = spark.read.parquet(path)
+    return lab.where(F.col("split") == "train"), lab.where(F.col("split") == "test")
+
+
 def _posts_ml(spark, d):
     return P.impute(_posts_na(spark, d), "mean", POST_FEATS).drop("category")
 
@@ -696,9 +705,7 @@ def eda_report(spark, d):
 def evaluation_report(spark, d):
     from ..operators import models as MD
     from .report import evaluation_report as ev
-    li = _lineitem_ml(spark, d)
-    lab = P.split_labels(li, "row_id", 0.2, 0.0, SEED)
-    train, test = lab.where(F.col("split") == "train"), lab.where(F.col("split") == "test")
+    train, test = _split_lines(spark, d)
     m = MD.train(train, LINE_FEATS, "l_extendedprice", "linear")
     return _bundle_sizes(ev(m, test, LINE_FEATS, "l_extendedprice", "row_id", "linear", train=train))
 
@@ -706,9 +713,7 @@ def evaluation_report(spark, d):
 def train_models(spark, d):
     from ..operators import models as MD
     from .report import train_models as tm
-    li = _lineitem_ml(spark, d)
-    lab = P.split_labels(li, "row_id", 0.2, 0.0, SEED)
-    train, test = lab.where(F.col("split") == "train"), lab.where(F.col("split") == "test")
+    train, test = _split_lines(spark, d)
     models, _ = tm(train, LINE_FEATS, "l_extendedprice", "row_id", ["linear", "ridge", "gradient_boosting"])
     preds = None
     for name, m in models.items():

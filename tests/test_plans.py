@@ -81,3 +81,17 @@ def test_position_labels_do_not_shuffle_rows(spark, name):
     plan = _plan(spark, name)
     shuffles = [line for line in plan.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
     assert not shuffles, shuffles
+
+
+def test_split_lines_are_labelled_once(spark):
+    """No job of a report draws the rows' md5 again, and the parts are those of ``split_labels``."""
+    from tabstrata.operators import prepare as P
+    from tabstrata.plans import catalog
+
+    train, test = catalog._split_lines(spark, SF)
+    for part in (train, test):
+        assert "md5" not in part._jdf.queryExecution().optimizedPlan().toString()
+    lab = P.split_labels(catalog._lineitem_ml(spark, SF), "row_id", 0.2, 0.0, catalog.SEED)
+    for part, name in ((train, "train"), (test, "test")):
+        want = lab.where(f"split = '{name}'")
+        assert part.count() == want.count() and not part.exceptAll(want).count()
