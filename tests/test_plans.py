@@ -95,3 +95,14 @@ def test_split_lines_are_labelled_once(spark):
     for part, name in ((train, "train"), (test, "test")):
         want = lab.where(f"split = '{name}'")
         assert part.count() == want.count() and not part.exceptAll(want).count()
+
+
+def test_run_computes_its_input_and_split_once(spark):
+    """The parts of a run read the stored rows and labels, not the md5 draws that made them."""
+    from tabstrata.plans import catalog
+    from tabstrata.plans.report import run
+
+    res = run(catalog._posts_na(spark, SF), "target", "post_id", model_types=["linear"])
+    assert res["comparison"].count() == 1
+    for part in (res["comparison"], *res["eda"].values()):
+        assert "md5" not in part._jdf.queryExecution().optimizedPlan().toString()
