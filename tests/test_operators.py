@@ -408,6 +408,48 @@ def test_knn_prunes_clustered_data_and_stays_exact(spark):
     assert np.allclose(np.array([list(r[1:]) for r in sorted(again.collect())]), want[:300], atol=1e-9)
 
 
+def test_knn_columns_of_few_values_are_answered_by_equality(spark, monkeypatch):
+    """Ties at distance 0 go to the smallest ids and aren't searched for; a search of every query gives the same."""
+    from tabstrata.operators import knn
+
+    rng = np.random.default_rng(8)
+    X = np.c_[rng.integers(0, 5, 1200), rng.integers(0, 3, 1200) - 1, rng.integers(0, 40, 1200)].astype(float)
+    X[rng.random(X.shape) < 0.12] = np.nan
+    X[5], X[6, 0], X[9] = np.nan, np.inf, [0.0, -0.0, np.nan]
+    cols = ["a", "b", "c"]
+    df = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in x]) for i, x in enumerate(X)], "id long, a double, b double, c double")
+    index = knn.fit_knn(df, cols, "id", block_rows=100)
+    with np.errstate(invalid="ignore"):
+        dist = knn.distances(X, X)
+    want = X.copy()
+    for i, j in zip(*np.nonzero(np.isnan(X))):
+        has = np.flatnonzero(~np.isnan(X[:, j]) & np.isfinite(dist[i]))
+        near = has[np.lexsort((has, dist[i, has]))][:5]
+        want[i, j] = X[near, j].mean() if near.size else np.nanmean(X[:, j])
+    got = np.array([list(r[1:]) for r in sorted(index.impute(df, 5, count=True).select("id", *cols).collect())])
+    assert np.allclose(got, want, atol=1e-9)
+    assert index.visited["visited"] < 0.02 * index.visited["all"]
+    monkeypatch.setattr(knn, "MAX_COPIES", 0)
+    again = np.array([list(r[1:]) for r in sorted(index.impute(df, 5).select("id", *cols).collect())])
+    assert np.allclose(again, want, atol=1e-9)
+
+
+def test_preprocess_searches_the_neighbours_of_training_rows_once(spark, monkeypatch):
+    from tabstrata.operators.knn import KnnIndex
+    from tabstrata.plans.pipeline import preprocess
+
+    rows = [(i, None if i % 7 == 0 else float(i % 24), None if i % 11 == 0 else float(i % 7), float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, post_hour double, post_day double, y double")
+    searched, impute = [], KnnIndex.impute
+    monkeypatch.setattr(KnnIndex, "impute", lambda self, d, *a, **kw: (searched.append(1), impute(self, d, *a, **kw))[1])
+    train, _, test, model = preprocess(df, "y", "id", {"missing_values": {"strategy": "knn"}})
+    assert len(searched) == 2  # the training and the test part
+    raw = df.join(train.select("id"), "id")
+    key = lambda r: r["id"]
+    for a, b in zip(sorted(train.collect(), key=key), sorted(model.transform(raw).select(*train.columns).collect(), key=key), strict=True):
+        assert list(a) == pytest.approx(list(b), abs=1e-9)
+
+
 def test_knn_rare_patterns_share_a_cell(spark, monkeypatch):
     from tabstrata.operators import knn
 
