@@ -34,6 +34,32 @@ def regression_frame(spark):
     return X, y, df
 
 
+@pytest.mark.parametrize("kind,params", [("lasso", {}), ("elasticnet", {"l1_ratio": 0.3})])
+@pytest.mark.parametrize("fit_intercept", [True, False])
+def test_penalized_folds_come_from_one_aggregate(spark, monkeypatch, kind, params, fit_intercept):
+    """No fit a fold and point: only the best point is fitted; scores are those of Spark's fits."""
+    from tabstrata.operators import tuning as TU
+
+    rng = np.random.default_rng(4)
+    X = rng.normal(size=(300, 3)) * [1.0, 5.0, 0.2] + [3.0, 0.0, 1.0]
+    y = X @ [2.0, -0.5, 0.0] + rng.normal(size=300) + 40
+    df = spark.createDataFrame([(i, *map(float, x), float(v)) for i, (x, v) in enumerate(zip(X, y))], "id long, a double, b double, c double, y double")
+    fits, train = [], MD.train
+    monkeypatch.setattr(MD, "train", lambda *a, **kw: (fits.append(1), train(*a, **kw))[1])
+    grid = {"alpha": [0.05, 2.0], "fit_intercept": [fit_intercept], **{k: [v] for k, v in params.items()}}
+    _, best, score, res = TU.search(df, ["a", "b", "c"], "y", "id", kind, cv=3, grid=grid)
+    assert len(fits) == 1
+    got = [r["mean_score"] for r in res.orderBy("point").collect()]
+    folded = TU.assign_folds(df, "id", 3).persist()
+    for point, mean in zip(TU.param_points(kind, grid), got, strict=True):
+        each = []
+        for i in range(3):
+            m = train(folded.where(f"fold <> {i}"), ["a", "b", "c"], "y", kind, **point)
+            each.append(MD.predict(m, folded.where(f"fold = {i}")).selectExpr("avg(pow(y - prediction, 2))").first()[0])
+        assert mean == pytest.approx(np.mean(each), rel=1e-6)
+    assert score == min(got)
+
+
 @pytest.mark.parametrize("kind,alpha,ratio", [("lasso", 0.1, 1.0), ("elasticnet", 0.2, 0.5)])
 def test_penalized_match_coordinate_descent(regression_frame, kind, alpha, ratio):
     X, y, df = regression_frame
