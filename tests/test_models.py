@@ -34,6 +34,24 @@ def regression_frame(spark):
     return X, y, df
 
 
+def test_boosting_on_grouped_rows_equals_all_rows(spark, monkeypatch):
+    """Rows of equal features are fitted as one weighted row; features of many values or sampled stages are fitted row by row."""
+    rng = np.random.default_rng(9)
+    X = np.c_[rng.integers(0, 9, 4000), rng.integers(0, 4, 4000)].astype(float)
+    y = 3 * X[:, 0] - X[:, 1] ** 2 + rng.normal(size=4000)
+    df = spark.createDataFrame([(i, *map(float, x), float(v)) for i, (x, v) in enumerate(zip(X, y))], "id long, a double, b double, y double").persist()
+    sizes, fit = [], MD.Pipeline.fit
+    monkeypatch.setattr(MD.Pipeline, "fit", lambda self, d: (sizes.append(d.count()), fit(self, d))[1])
+    score = lambda m: [r["prediction"] for r in MD.predict(m, df).orderBy("id").collect()]
+    kw = {"n_estimators": 8, "max_depth": 2}
+    grouped = score(MD.train(df, ["a", "b"], "y", "gradient_boosting", **kw))
+    MD.train(df.withColumn("a", F.col("id") * 1.0), ["a"], "y", "gradient_boosting", n_estimators=1)
+    MD.train(df, ["a", "b"], "y", "gradient_boosting", n_estimators=1, subsample=0.8)
+    monkeypatch.setattr(MD, "_grouped", lambda *a: None)
+    assert grouped == pytest.approx(score(MD.train(df, ["a", "b"], "y", "gradient_boosting", **kw)), rel=1e-9)
+    assert sizes == [36, 4000, 4000, 4000]
+
+
 @pytest.mark.parametrize("kind,params", [("lasso", {}), ("elasticnet", {"l1_ratio": 0.3})])
 @pytest.mark.parametrize("fit_intercept", [True, False])
 def test_penalized_folds_come_from_one_aggregate(spark, monkeypatch, kind, params, fit_intercept):
