@@ -386,3 +386,25 @@ def test_exact_kernel_svr_equals_a_full_solve(spark, monkeypatch):
     assert one.n_vectors == 0 and one.transform(df.limit(1)).first().prediction == pytest.approx(float(y[0]), abs=0.2)
     with pytest.raises(ValueError):
         KS.train_kernel_svr(df.limit(0), ["a", "b"], "y")
+
+
+def test_exact_kernel_svr_of_many_rows_takes_few_passes(spark, monkeypatch):
+    from tabstrata.operators import kernel_svr as KS
+
+    rng = np.random.default_rng(5)
+    X = np.c_[rng.integers(0, 9, 800), rng.integers(0, 11, 800)].astype(float)  # rows of equal features
+    y = np.sin(X[:, 0]) + X[:, 1] / 3 + rng.normal(size=800) * 2
+    df = spark.createDataFrame([(*map(float, x), float(v)) for x, v in zip(X, y)], "a double, b double, y double")
+    S = (X - X.mean(0)) / X.std(0)
+    K = KS.kernel(S, S, 0.5)
+    for epsilon in (0.1, 0.0):
+        model = KS.train_kernel_svr(df, ["a", "b"], "y", working=8, epsilon=epsilon, max_passes=95)  # 100 passes only to visit every row
+        b = KS.solve(K, y, np.zeros(800), np.zeros(800), 1.0, epsilon, 1e-5)
+        full = b @ K @ b / 2 - y @ b + epsilon * np.abs(b).sum()
+        assert model.violators == 0 and model.n_vectors <= len(np.unique(X, axis=0))
+        assert model.objective == pytest.approx(full, rel=1e-5)
+    monkeypatch.setattr(KS, "MAX_RANK", 3)  # decomposition from zero
+    slow = KS.train_kernel_svr(df, ["a", "b"], "y", working=300, epsilon=0.0)
+    assert slow.violators == 0 and slow.objective == pytest.approx(model.objective, rel=1e-5)
+    a, c = ([r.prediction for r in m.transform(df.limit(50)).collect()] for m in (model, slow))
+    assert np.allclose(a, c, atol=0.01)
