@@ -94,11 +94,17 @@ class Forest:
         return found.select("tree", (F.col("node") * FANOUT + F.col("digit")).alias("node"), F.col("child").alias("digest"), "root", F.concat("path", step).alias("path"))
 
     def descend(self, starts: DataFrame, to: int = 0) -> DataFrame:
-        """From starts (tree, depth, digest, path) down to height ``to``: tree, node, digest, root (the start's digest) and the path."""
+        """From starts (tree, depth, digest, path) down to height ``to``: tree, node, digest, root (the start's digest) and the path.
+
+        The requests of every height but the last are written: a plan of all
+        heights at once is planned again on the driver after each of its stages.
+        """
         begin = lambda h: starts.filter(F.col("depth") == h).select("tree", F.lit(0).cast("long").alias("node"), "digest", F.col("digest").alias("root"), "path")
         at = begin(len(self.records))
         for height in range(len(self.records), to, -1):
             at = self._children(at, height).unionByName(begin(height - 1))
+            if height - 1 > to:
+                at = _written(at, "merkle-requests")
         return at
 
 

@@ -264,6 +264,16 @@ def test_manifest_of_deep_trees_and_repeated_rows(spark, odd):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_manifest_plan_does_not_grow_with_the_trees(spark):
+    def joins(n):
+        docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit("en").alias("lang"), F.lit(1).alias("n_chars"), F.lit("a").alias("text"))
+        out = merkle.manifest(docs)
+        assert out.filter("verified").count() == n
+        return out._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+    assert joins(300) == joins(5000)  # three and four heights
+
+
 def test_manifest_query(spark, odd):
     got = sorted(map(tuple, queries.op13_merkle_manifest(spark, SF_SMALL).collect()), key=str)
     rows = [(r.doc_id, r.source, r.lang, r.n_chars, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
