@@ -687,9 +687,19 @@ def model_save_load(spark, d):
     return round_doubles(MD.predict(back, li).select("row_id", "prediction"), 2)
 
 
-def _bundle_sizes(bundle: dict) -> DataFrame:
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("part"), "n_rows")
-             for name, df in bundle.items()]
+def _digits(f) -> Column:
+    """A double at nine digits, so that the order of sums doesn't show."""
+    c = F.col(f"`{f.name}`")
+    return F.format_string("%.9g", c).cast("double").alias(f.name) if f.dataType.typeName() in ("double", "float") else c
+
+
+def _bundle_parts(bundle: dict) -> DataFrame:
+    """One row a part: its name, its number of rows and all of them, sorted, as JSON."""
+    parts = []
+    for name, df in bundle.items():
+        rows = F.array_sort(F.collect_list(F.struct(*[_digits(f) for f in df.schema.fields])))
+        told = df.agg(F.count(F.lit(1)).alias("n_rows"), F.to_json(rows, {"ignoreNullFields": "false"}).alias("rows"))
+        parts.append(told.select(F.lit(name).alias("part"), "n_rows", "rows"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -699,7 +709,7 @@ def _bundle_sizes(bundle: dict) -> DataFrame:
 def eda_report(spark, d):
     from .report import eda_report as eda
     p = _posts_na(spark, d)
-    return _bundle_sizes(eda(p, "target", "post_id"))
+    return _bundle_parts(eda(p, "target", "post_id"))
 
 
 def evaluation_report(spark, d):
@@ -707,7 +717,7 @@ def evaluation_report(spark, d):
     from .report import evaluation_report as ev
     train, test = _split_lines(spark, d)
     m = MD.train(train, LINE_FEATS, "l_extendedprice", "linear")
-    return _bundle_sizes(ev(m, test, LINE_FEATS, "l_extendedprice", "row_id", "linear", train=train))
+    return _bundle_parts(ev(m, test, LINE_FEATS, "l_extendedprice", "row_id", "linear", train=train))
 
 
 def train_models(spark, d):

@@ -106,3 +106,20 @@ def test_run_computes_its_input_and_split_once(spark):
     assert res["comparison"].count() == 1
     for part in (res["comparison"], *res["eda"].values()):
         assert "md5" not in part._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bundles_hold_what_their_parts_compute(spark):
+    import json
+
+    from tabstrata.operators import metrics as M
+    from tabstrata.operators import models as MD
+    from tabstrata.plans import catalog as C
+
+    train, test = C._split_lines(spark, SF)
+    pred = MD.predict(MD.train(train, C.LINE_FEATS, "l_extendedprice", "linear"), test)
+    want = M.regression_metrics(pred, "l_extendedprice", "prediction").first()
+    got = {r.part: r for r in C.evaluation_report(spark, SF).collect()}
+    one, = json.loads(got["metrics"].rows)
+    assert all(one[k] == pytest.approx(want[k]) for k in ("mse", "rmse", "mae", "r2", "mape"))
+    assert all(len(json.loads(r.rows)) == r.n_rows > 0 for r in got.values())
+    assert sum(x["count"] for x in json.loads(got["segments"].rows)) == sum(x["count"] for x in json.loads(got["residual_bins"].rows)) == test.count()
