@@ -312,6 +312,25 @@ def test_forest_split_over_the_table_equals_in_one_task(spark, forest_frame, mon
         FO.train_forest(df.limit(0), ["a"], "y")
 
 
+def test_forest_does_not_depend_on_where_nodes_are_split(spark, monkeypatch):
+    from tabstrata.operators import forest as FO
+
+    rng = np.random.default_rng(8)
+    X = np.c_[np.round(rng.normal(size=3000), 3), rng.integers(0, 4, 3000), np.where(rng.random(3000) < 0.6, 0.5, rng.random(3000))]
+    y = np.round(X[:, 0] * X[:, 2] + (X[:, 1] == 2) + rng.normal(size=3000), 2)
+    df = spark.createDataFrame([(*map(float, x), float(v)) for x, v in zip(X, y)], "a double, b double, c double, y double")
+    monkeypatch.setattr(FO, "RANGE_ROWS", 400)  # ranges, some of them of one value
+    for kw in ({"min_samples_leaf": 3, "max_depth": 11}, {}):
+        one, many = (FO.train_forest(df, ["a", "b", "c"], "y", n_estimators=3, node_rows=k, **kw) for k in (250_000, 300))
+        monkeypatch.setattr(FO, "MAX_VALUES", 100)
+        wide = FO.train_forest(df.repartition(7), ["a", "b", "c"], "y", n_estimators=3, node_rows=300, **kw)
+        told = lambda m: np.array([r.prediction for r in m.transform(df).orderBy("a", "b", "c", "y").collect()])
+        assert min(len(t["feature"]) for t in many.tops) > 9
+        assert np.allclose(told(one), told(many), atol=1e-9) and np.allclose(told(one), told(wide), atol=1e-9)
+        assert np.allclose(one.importances, many.importances) and np.allclose(one.importances, wide.importances)
+        monkeypatch.setattr(FO, "MAX_VALUES", 2048)
+
+
 def test_forest_moves_blocks_and_subtrees_and_copies_only_what_many_rows_reach(spark, forest_frame, monkeypatch):
     from tabstrata.operators import forest as FO
 
