@@ -320,6 +320,7 @@ def test_forest_does_not_depend_on_where_nodes_are_split(spark, monkeypatch):
     y = np.round(X[:, 0] * X[:, 2] + (X[:, 1] == 2) + rng.normal(size=3000), 2)
     df = spark.createDataFrame([(*map(float, x), float(v)) for x, v in zip(X, y)], "a double, b double, c double, y double")
     monkeypatch.setattr(FO, "RANGE_ROWS", 400)  # ranges, some of them of one value
+    monkeypatch.setattr(FO, "RANGE_CUTS", 80)  # few nodes at once
     for kw in ({"min_samples_leaf": 3, "max_depth": 11}, {}):
         one, many = (FO.train_forest(df, ["a", "b", "c"], "y", n_estimators=3, node_rows=k, **kw) for k in (250_000, 300))
         monkeypatch.setattr(FO, "MAX_VALUES", 100)
